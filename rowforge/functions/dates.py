@@ -42,7 +42,7 @@ def normalize_date(c, fmt: str, mode: str = "strict",
     """
     c = _c(c)
     if mode == "strict":
-        return F.date_format(F.try_to_date(c, F.lit(fmt)), out_fmt)
+        return F.date_format(F.try_to_date(c, fmt), out_fmt)
     if mode != "lenient":
         raise ValueError(f"unknown mode {mode!r}")
     rx, order = _lenient_regex(fmt)
