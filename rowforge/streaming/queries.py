@@ -1,3 +1,104 @@
-"""Registered streaming jobs (filled in below)."""
+"""Registered streaming jobs.  Each runs to completion (``availableNow``) on
+its own checkpoint below the shared checkpoint folder and returns what its
+sink holds afterwards, read back as a batch frame."""
 
-STREAM_QUERIES: dict = {}
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rowforge.plans import chat, queries as batch, render
+from rowforge.session import scratch_path
+from rowforge.sources.tables import create_database
+from rowforge.streaming import chat as sc
+from rowforge.streaming.runner import (
+    run_append_to_files, run_complete_to_files, run_to_table, use_rocksdb_state,
+)
+
+# Files per micro-batch for the text source: several batches per run, so the
+# keyword state is carried across batches.
+FILES_PER_TRIGGER = 2
+
+
+def _chat_text_dir(spark: SparkSession, sf: str) -> str:
+    return batch._rendered(spark, sf, "chat",
+                           lambda: render.chat_lines(batch._t(spark, sf, "conversations")))
+
+
+def _lines(spark, sf) -> DataFrame:
+    return sc.text_stream(spark, _chat_text_dir(spark, sf), FILES_PER_TRIGGER)
+
+
+def _conversations(spark, sf) -> DataFrame:
+    return sc.parquet_stream(spark, sf, "conversations.parquet", sc.CONVERSATION_SCHEMA, 1)
+
+
+def _paths(spark, name):
+    return scratch_path(spark, "stream", name, "out"), scratch_path(spark, "stream", name, "ckpt")
+
+
+def q_stream_file_source(spark, sf):
+    out, ck = _paths(spark, "messages")
+    run_append_to_files(chat.parse_messages(_lines(spark, sf)), out, ck)
+    return spark.read.parquet(out)
+
+
+def q_stream_tokens(spark, sf):
+    out, ck = _paths(spark, "tokens")
+    run_append_to_files(sc.customer_words(_lines(spark, sf)), out, ck)
+    return spark.read.parquet(out)
+
+
+def q_stream_append(spark, sf):
+    out, ck = _paths(spark, "words")
+    words = sc.words_without_stop(sc.customer_words(_lines(spark, sf)), batch._stop(spark))
+    run_append_to_files(words, out, ck)
+    return spark.read.parquet(out)
+
+
+def q_stream_complete(spark, sf):
+    use_rocksdb_state(spark)
+    out, ck = _paths(spark, "keywords")
+    words = sc.words_without_stop(sc.customer_words(_lines(spark, sf)), batch._stop(spark))
+    run_complete_to_files(sc.stream_keyword_counts(words), out, ck)
+    return spark.read.parquet(out)
+
+
+def q_stream_result_read(spark, sf):
+    """Stream into a catalog table, then read the result by its name; the
+    stop words are removed with the null-aware ``NOT IN`` form."""
+    db = f"rf_{uuid.uuid4().hex[:12]}"
+    create_database(spark, db, scratch_path(spark, "warehouse"))
+    table = f"{db}.chat_words"
+    _, ck = _paths(spark, "table")
+    words = sc.words_without_stop(sc.customer_words(_lines(spark, sf)), batch._stop(spark),
+                                  null_aware=True)
+    run_to_table(words, table, ck)
+    return spark.table(table).select("id", "word")
+
+
+def q_stream_to_parquet(spark, sf):
+    """Parquet file sink, run twice on one checkpoint: the second run finds
+    no new input and adds nothing (exactly-once)."""
+    out, ck = _paths(spark, "conv_words")
+    for _ in range(2):
+        toks = chat.conversation_tokens(_conversations(spark, sf))
+        run_append_to_files(sc.words_without_stop(toks, batch._stop(spark)), out, ck)
+    return spark.read.parquet(out)
+
+
+def q_stream_agg_to_json(spark, sf):
+    use_rocksdb_state(spark)
+    out, ck = _paths(spark, "conv_keywords")
+    toks = chat.conversation_tokens(_conversations(spark, sf))
+    counts = sc.stream_keyword_counts(sc.words_without_stop(toks, batch._stop(spark)))
+    run_complete_to_files(counts, out, ck, fmt="json")
+    return spark.read.schema("chatkeywords STRING, occurances BIGINT").json(out)
+
+
+STREAM_QUERIES = {
+    name[2:]: fn for name, fn in sorted(globals().items())
+    if name.startswith("q_stream_") and callable(fn)
+}

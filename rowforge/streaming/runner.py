@@ -19,10 +19,16 @@ def use_rocksdb_state(spark) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+DEFAULT_TIMEOUT_S = 3600
+
+
 def _finish(q, timeout_s: int | None):
-    q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+    done = q.awaitTermination(timeout_s or DEFAULT_TIMEOUT_S)
     if q.exception():
         raise q.exception()
+    if not done:
+        q.stop()
+        raise TimeoutError(f"streaming query {q.id} did not finish in {timeout_s or DEFAULT_TIMEOUT_S}s")
     return q
 
 
