@@ -15,6 +15,7 @@ JAVA_TRIM_PATTERN = r"^[\x00-\x20]+|[\x00-\x20]+$"
 SPECIAL_CHARS_PATTERN = r"[0-9\-?,/_()\[\]]"
 
 INT_PATTERN = r"^[+-]?[0-9]+$"
+BLANK_PATTERN = r"^[\x00-\x20]*$"
 
 
 def _c(c) -> Column:
@@ -26,8 +27,9 @@ def java_trim(c) -> Column:
 
 
 def is_blank(c) -> Column:
-    """True when the value is empty after a Java-style trim (null stays null)."""
-    return F.length(java_trim(c)) == 0
+    """True when the value is empty after a Java-style trim (null stays null).
+    One anchored match, no string is built."""
+    return _c(c).rlike(BLANK_PATTERN)
 
 
 def clean_special_chars(c) -> Column:
