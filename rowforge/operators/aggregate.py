@@ -30,9 +30,10 @@ def group_avg_count(df: DataFrame, keys: list[str], value: str,
 def rank_within(df: DataFrame, partition_by: list[str], order_desc: str,
                 tie_break: list[str], name: str = "seq_number") -> DataFrame:
     """``row_number()`` per partition by descending ``order_desc``; ties are
-    resolved by ``tie_break`` so the numbering is reproducible."""
+    resolved by ``tie_break`` (ascending, nulls last) so the numbering is
+    reproducible."""
     w = Window.partitionBy(*partition_by).orderBy(F.col(order_desc).desc(),
-                                                  *[F.col(c).asc() for c in tie_break])
+                                                  *[F.col(c).asc_nulls_last() for c in tie_break])
     return df.withColumn(name, F.row_number().over(w))
 
 

@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
 from rowforge.functions.keys import composite_key, with_audit_columns
+from rowforge.functions.text import clean_special_chars
+from rowforge.functions.urls import url_protocol
+from rowforge.operators.aggregate import rank_within
 from rowforge.operators.cleanse import LineSpec
+from rowforge.operators.relational import enrich_inner_join, harmonise_key
 from rowforge.plans.render import INSURANCE_FIELDS
 
 INT_FIELDS = ("IssuerId", "IssuerId2", "custnum")
@@ -35,3 +39,51 @@ def insure_view(ds: DataFrame) -> DataFrame:
           .drop("DentalOnlyPlan"))
 
 
+
+
+ENRICHED_COLUMNS = ["IssuerId", "IssuerId2", "BusinessDate", "State_desc", "srcnm", "NetworkName",
+                    "NetworkURL", "custnum", "MarketCoverage", "issueridcomposite", "sysdt", "systs",
+                    "cleannetworkname", "curdt", "curts", "yr", "mth", "Protocol", "Profession", "Age"]
+
+
+def _customers(custs: DataFrame) -> DataFrame:
+    """Customer lookup keyed by the int form of its text id (bad ids never
+    join instead of failing the job)."""
+    return harmonise_key(custs.select("Id", "Age", "Profession"), "Id", "int", "cust_id").drop("Id")
+
+
+def enriched_view(ds22: DataFrame, states: DataFrame, custs: DataFrame) -> DataFrame:
+    """Plans joined to their state (small lookup, size-checked broadcast) and
+    customer (shuffle join), with the cleaned name, load date/time, year and
+    month of the business date and the URL protocol.  Duplicate lookup keys
+    multiply rows, as any inner join does."""
+    c = _customers(custs)
+    j = enrich_inner_join(ds22, [(states, ds22["stcd"] == states["State_cd"], True),
+                                 (c, ds22["custnum"] == c["cust_id"], False)])
+    return j.select(
+        "IssuerId", "IssuerId2", "BusinessDate", "State_desc", "srcnm", "NetworkName",
+        "NetworkURL", "custnum", "MarketCoverage", "issueridcomposite", "sysdt", "systs",
+        clean_special_chars("NetworkName").alias("cleannetworkname"),
+        F.current_date().alias("curdt"), F.current_timestamp().alias("curts"),
+        F.year("BusinessDate").alias("yr"), F.month("BusinessDate").alias("mth"),
+        url_protocol("NetworkURL").alias("Protocol"), "Profession", "Age")
+
+
+def protocol_ranking(ds22: DataFrame, states: DataFrame, custs: DataFrame) -> DataFrame:
+    """avg(age) and count per (state, protocol, profession) over the enriched
+    rows, numbered per protocol by count.
+
+    Same result as grouping the enriched view, but plans are first counted
+    per (customer, state code, protocol) so the customer join sees a few rows
+    per customer, whatever share of plans one customer holds."""
+    pre = (ds22.groupBy("custnum", "stcd", url_protocol("NetworkURL").alias("Protocol"))
+               .agg(F.count(F.lit(1)).alias("n")))
+    c = _customers(custs)
+    j = enrich_inner_join(pre, [(states, pre["stcd"] == states["State_cd"], True),
+                                (c, pre["custnum"] == c["cust_id"], False)])
+    age, n = F.col("Age").try_cast("double"), F.col("n")
+    g = j.groupBy("State_desc", "Protocol", "Profession").agg(
+        (F.round(F.sum(age * n), 2) / F.sum(F.when(age.isNotNull(), n))).alias("avg_age"),
+        F.sum(n).alias("total"))
+    return (rank_within(g, ["Protocol"], "total", ["State_desc", "Profession"])
+            .select("seq_number", "avg_age", "total", "State_desc", "Protocol", "Profession"))

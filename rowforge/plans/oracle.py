@@ -45,7 +45,7 @@ ins{v}_raw AS (
     CAST(k AS VARCHAR) AS f1,
     CASE WHEN kind = 'badint' THEN 'N' || CAST(ck AS VARCHAR) ELSE CAST(ck AS VARCHAR) END AS f2,
     CASE WHEN kind = 'baddate' THEN {bad} ELSE {good} END AS f3,
-    CASE WHEN kind = 'missing' THEN '  ' ELSE st END AS f4,
+    CASE WHEN kind = 'missing' THEN '  ' ELSE CAST(ck % 25 AS VARCHAR) END AS f4,
     pr AS f5,
     'Plan-' || st || '/' || CAST(ck % 10 AS VARCHAR) || '_(' || pr || ')' AS f6,
     CASE WHEN k % 3 = 0 THEN 'http://www' || CAST(ck AS VARCHAR) || '.example.com/'
@@ -235,7 +235,7 @@ FROM orders JOIN customer ON o_custkey = c_custkey
 GROUP BY n_name, o_orderpriority, c_mktsegment"""
 O["rank_within_protocol"] = f"""
 SELECT CAST(row_number() OVER (PARTITION BY o_orderpriority
-                               ORDER BY total DESC, n_name, c_mktsegment) AS INTEGER) AS seq_number,
+                               ORDER BY total DESC, n_name NULLS LAST, c_mktsegment NULLS LAST) AS INTEGER) AS seq_number,
        avg_acctbal, total, n_name, o_orderpriority, c_mktsegment
 FROM ({O["group_avg_count"]}) g"""
 
@@ -280,4 +280,30 @@ WHERE word NOT IN (SELECT stopword FROM {STOP}) GROUP BY word"""
 O["stream_to_parquet"] = _NOSTOP
 O["stream_agg_to_json"] = O["keyword_count"]
 
+# ------------------------------------------------------------------ the insurance flow
+_CSVROWS = "csvrows AS (" + _CSV[_CSV.index("\nSELECT") + 1:] + ")"
+_STATES = "states AS (SELECT c0 AS State_cd, c1 AS State_desc FROM cs WHERE c2 = '' UNION ALL SELECT c0, c1 FROM st)"
+_CUSTS = "custs AS (SELECT TRY_CAST(c0 AS INTEGER) AS cust_id, c3 AS Age, nullif(c4, '') AS Profession FROM cs WHERE c2 <> '')"
+_COMB = "comb AS (SELECT r.*, s.State_desc, k.Age, k.Profession FROM csvrows r " \
+        "JOIN states s ON r.StateCode = s.State_cd JOIN custs k ON r.custnum = k.cust_id)"
+O["insure_view"] = f"""SELECT IssuerId, IssuerId2, BusinessDate, StateCode AS stcd, SourceName AS srcnm,
+       NetworkName, NetworkURL, custnum, MarketCoverage,
+       CAST(IssuerId AS VARCHAR) || CAST(IssuerId2 AS VARCHAR) AS issueridcomposite,
+       true AS sysdt_ok FROM ({_CSV})"""
+O["insurance_enriched"] = _with(_ins(1), _CS, _CSVROWS, _STATES, _CUSTS, _COMB) + f"""
+SELECT IssuerId, IssuerId2, BusinessDate, State_desc, SourceName AS srcnm, NetworkName, NetworkURL,
+       custnum, MarketCoverage, CAST(IssuerId AS VARCHAR) || CAST(IssuerId2 AS VARCHAR) AS issueridcomposite,
+       regexp_replace({jt("NetworkName")}, '[0-9\\-?,/_()\\[\\]]', ' ', 'g') AS cleannetworkname,
+       CAST(year(BusinessDate) AS INTEGER) AS yr, CAST(month(BusinessDate) AS INTEGER) AS mth,
+       CASE WHEN instr(NetworkURL, 'http') > 0 THEN 'http' ELSE 'noprotocol' END AS Protocol,
+       Profession, Age, true AS dates_ok
+FROM comb"""
+O["insurance_protocol_rank"] = _with(_ins(1), _CS, _CSVROWS, _STATES, _CUSTS, _COMB) + """
+SELECT CAST(row_number() OVER (PARTITION BY Protocol ORDER BY total DESC, State_desc NULLS LAST, Profession NULLS LAST) AS INTEGER) AS seq_number,
+       avg_age, total, State_desc, Protocol, Profession
+FROM (SELECT State_desc, CASE WHEN instr(NetworkURL, 'http') > 0 THEN 'http' ELSE 'noprotocol' END AS Protocol,
+             Profession, round(sum(TRY_CAST(Age AS DOUBLE)), 2) / count(TRY_CAST(Age AS DOUBLE)) AS avg_age,
+             count(*) AS total
+      FROM comb GROUP BY 1, 2, 3)"""
+
 ORACLE_SQL = O

@@ -25,6 +25,7 @@ from rowforge.operators.relational import (
 )
 from rowforge.operators.splitting import split_by_null, split_by_width, write_split_by
 from rowforge.plans import chat, render, segments
+from rowforge.plans import insurance
 from rowforge.plans.insurance import INSURANCE_SCHEMA, SPEC_FILE1, SPEC_FILE2
 from rowforge.session import read_table, scratch_path
 from rowforge.sinks import files as sinks
@@ -60,10 +61,17 @@ def _insurance_text(spark, sf, variant: int) -> DataFrame:
 
 
 def _insurance_csv(spark, sf) -> DataFrame:
-    path = _rendered(spark, sf, "insurance1_csv",
-                     lambda: render.insurance_lines(_t(spark, sf, "orders"), 1, with_header=False),
-                     header_per_file=render.INSURANCE_HEADER)
-    return read_csv_typed(spark, path, INSURANCE_SCHEMA, date_format="yyyy-MM-dd")
+    """File 1 through the typed CSV reader, ingested once per session into a
+    Parquet table (fixed set of dropped malformed rows, see read_csv_typed)."""
+    k = (spark.sparkContext.applicationId, sf, "insurance1_typed")
+    if k not in _written:
+        path = _rendered(spark, sf, "insurance1_csv",
+                         lambda: render.insurance_lines(_t(spark, sf, "orders"), 1, with_header=False),
+                         header_per_file=render.INSURANCE_HEADER)
+        store = scratch_path(spark, "ingested", "insurance1")
+        read_csv_typed(spark, path, INSURANCE_SCHEMA, date_format="yyyy-MM-dd", store_path=store)
+        _written[k] = store
+    return spark.read.schema(INSURANCE_SCHEMA).parquet(_written[k])
 
 
 def _mixed_text_path(spark, sf) -> str:
@@ -326,6 +334,31 @@ def q_split_by_null_states(spark, sf):
     return _split_null(spark, sf)[1]
 
 
+# ---------------------------------------------------------------- the insurance flow
+
+def _flow_inputs(spark, sf):
+    custs, states = _split_null(spark, sf)
+    return insurance.insure_view(_insurance_csv(spark, sf)), states, custs
+
+
+def q_insure_view(spark, sf):
+    v = insurance.insure_view(_insurance_csv(spark, sf))
+    return v.withColumn("sysdt_ok", F.col("sysdt") == F.current_date()).drop("sysdt", "systs")
+
+
+def q_insurance_enriched(spark, sf):
+    """The joined view with every derived column; load date/time columns are
+    reported as checks against the current date (they differ per run)."""
+    v = insurance.enriched_view(*_flow_inputs(spark, sf))
+    return v.select(*[c for c in insurance.ENRICHED_COLUMNS
+                      if c not in ("sysdt", "systs", "curdt", "curts")],
+                    (F.col("curdt") == F.col("sysdt")).alias("dates_ok"))
+
+
+def q_insurance_protocol_rank(spark, sf):
+    return insurance.protocol_ranking(*_flow_inputs(spark, sf))
+
+
 # ---------------------------------------------------------------- relational
 
 def q_union_all(spark, sf):

@@ -61,7 +61,7 @@ def insurance_lines(orders: DataFrame, variant: int, with_header: bool = True) -
         _s(k),
         F.when(kind == "badint", F.concat(F.lit("N"), _s(ck))).otherwise(_s(ck)),
         F.when(kind == "baddate", bad).otherwise(good),
-        F.when(kind == "missing", F.lit("  ")).otherwise(st),
+        F.when(kind == "missing", F.lit("  ")).otherwise(_s(ck % 25)),
         pr,
         F.concat(F.lit("Plan-"), st, F.lit("/"), _s(ck % 10), F.lit("_("), pr, F.lit(")")),
         F.when(k % 3 == 0, F.concat(F.lit("http://www"), _s(ck), F.lit(".example.com/")))

@@ -10,12 +10,16 @@ from pyspark.sql.types import StringType, StructField, StructType
 def read_csv_typed(spark: SparkSession, path, schema: StructType,
                    date_format: str = "yyyy-MM-dd", header: bool = True,
                    null_value: str = "", mode: str = "DROPMALFORMED",
-                   **options) -> DataFrame:
+                   store_path: str | None = None, **options) -> DataFrame:
     """Typed CSV; with DROPMALFORMED rows that are too short, too long, or
     hold a value that does not parse as its column type are dropped.
 
-    Note: a count right after the read may skip parsing (column pruning) and
-    so count malformed rows; count after selecting all columns.
+    The CSV parser only converts the columns a query reads, so on its own
+    DROPMALFORMED drops a different set of rows for different projections (a
+    count, or a select without one column, keeps rows a full read drops).
+    ``store_path`` (a folder under the shared checkpoint dir) fixes the set:
+    every column is parsed once, the typed rows are written as Parquet and
+    all consumers read that table -- which also cuts lineage to the raw text.
     """
     r = (spark.read.schema(schema)
          .option("header", header)
@@ -24,7 +28,11 @@ def read_csv_typed(spark: SparkSession, path, schema: StructType,
          .option("mode", mode))
     for k, v in options.items():
         r = r.option(k, v)
-    return r.csv(path)
+    df = r.csv(path)
+    if store_path is None:
+        return df
+    df.write.mode("overwrite").parquet(store_path)
+    return spark.read.schema(schema).parquet(store_path)
 
 
 def string_schema(width: int, prefix: str = "_c") -> StructType:

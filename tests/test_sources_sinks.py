@@ -122,3 +122,18 @@ def test_jdbc_writer_builds_options(spark, monkeypatch):
     assert opts["dbtable"] == "t" and opts["numPartitions"] == 4 and opts["truncate"] is True
     assert opts["user"] == "u" and opts["password"] == "p"
     assert seen["mode"] == [("overwrite",)]
+
+
+def test_csv_dropmalformed_fixed_by_ingest(spark, scratch):
+    """Without ingest the parser converts only the columns a query reads, so a
+    one-column count keeps rows whose other columns are malformed; the
+    ingested table drops the same rows for every projection."""
+    p = scratch("csv_prune")
+    head = ",".join(INSURANCE_SCHEMA.fieldNames())
+    write_raw(p, "\n".join([head, "1,2,2019-10-01,AL,S,N,u,5,M,D",
+                            "2,x,2019-10-01,AL,S,N,u,5,M,D",     # bad int in column 2
+                            "3,4,2019-13-01,AL,S,N,u,5,M,D"]) + "\n")   # bad date
+    stored = read_csv_typed(spark, p, INSURANCE_SCHEMA, store_path=scratch("csv_ingest"))
+    assert stored.count() == 1
+    assert stored.select("IssuerId").count() == 1
+    assert stored.select("NetworkName").distinct().count() == 1
