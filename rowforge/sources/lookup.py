@@ -20,5 +20,9 @@ def read_lookup_list(spark: SparkSession, path, name: str = "stopword") -> DataF
 
 
 def lookup_from_values(spark: SparkSession, values, name: str = "stopword") -> DataFrame:
-    """Small fixed list as a one-column frame (for tests and defaults)."""
-    return spark.createDataFrame([(v,) for v in values], f"{name} string")
+    """Small fixed list as a one-column frame built from literals, so it is
+    planned JVM-side (no Python worker, no Python RDD scan)."""
+    vals = list(values)
+    if not vals:
+        return spark.range(0).select(F.lit(None).cast("string").alias(name))
+    return spark.range(1).select(F.explode(F.array(*[F.lit(v) for v in vals])).alias(name))
