@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowforge.operators.partitioning import maybe_broadcast
+from rowforge.operators.partitioning import DEFAULT_BROADCAST_ROWS, fits_broadcast, maybe_broadcast
 
 
 def harmonise_key(df: DataFrame, key: str, to_type: str, alias: str | None = None) -> DataFrame:
@@ -47,14 +47,24 @@ def antijoin_left_anti(df: DataFrame, col: str, lookup: DataFrame, lookup_col: s
     return left.join(lk, left[col] == lk["__lk"], "left_anti")
 
 
-def antijoin_not_in(df: DataFrame, col: str, lookup: DataFrame, lookup_col: str) -> DataFrame:
+def antijoin_not_in(df: DataFrame, col: str, lookup: DataFrame, lookup_col: str,
+                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """SQL ``NOT IN (subquery)`` semantics, null-aware: a null in the lookup
     empties the result, a null value is dropped (kept if the lookup is empty).
-    Catalyst plans it as a broadcast null-aware anti join."""
+
+    A lookup proven small is left to Catalyst, which plans a broadcast
+    null-aware anti join.  A larger one would make Spark fall back to a
+    nested-loop join, so the same semantics are computed exactly with two
+    bounded probes (any null? any row?) and a shuffled ``left_anti``.
+    """
     lk = lookup.select(F.col(lookup_col).alias("__lk"))
-    return df.sparkSession.sql(
-        f"SELECT * FROM {{left}} WHERE `{col}` NOT IN (SELECT __lk FROM {{right}})",
-        left=df, right=lk)
+    if fits_broadcast(lk, max_broadcast_rows):
+        return df.sparkSession.sql(
+            f"SELECT * FROM {{left}} WHERE `{col}` NOT IN (SELECT __lk FROM {{right}})",
+            left=df, right=lk)
+    if lk.where(F.col("__lk").isNull()).limit(1).count() > 0:
+        return df.limit(0)
+    return df.where(F.col(col).isNotNull()).join(lk, F.col(col) == lk["__lk"], "left_anti")
 
 
 def antijoin_outer_null(df: DataFrame, col: str, lookup: DataFrame, lookup_col: str) -> DataFrame:

@@ -32,7 +32,16 @@ def split_by_values(df: DataFrame, col: str, values: list) -> dict:
 
 
 def write_split_by(df: DataFrame, col: str, path: str, fmt: str = "parquet",
-                   mode: str = "overwrite") -> None:
+                   mode: str = "overwrite", files_per_value: int | None = None) -> None:
     """All splits in one pass: one directory per value of ``col``; readers
-    prune to the directories they filter on."""
+    prune to the directories they filter on.
+
+    By default each task writes the values it holds (no shuffle, but up to
+    tasks x values files).  ``files_per_value`` shuffles rows to
+    (value, hash bucket) first: each value lands in at most that many files,
+    and a value holding a third of all rows is still spread over that many
+    tasks instead of one."""
+    if files_per_value:
+        bucket = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value))
+        df = df.repartition(F.col(col), bucket)
     df.write.mode(mode).partitionBy(col).format(fmt).save(path)

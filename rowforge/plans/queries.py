@@ -308,7 +308,7 @@ def q_split_by_date(spark, sf):
     ev = _t(spark, sf, "events").select("event_id", "user_id", "event_type", "value",
                                         F.to_date("ts").alias("event_date"))
     path = scratch_path(spark, "out", "events_by_date")
-    write_split_by(ev, "event_date", path)
+    write_split_by(ev, "event_date", path, files_per_value=4)
     return spark.read.parquet(path)
 
 

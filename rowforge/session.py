@@ -33,6 +33,10 @@ def build_session(master: str | None = None, app: str = "rowforge",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # AQE sizes shuffle partitions from real data: start high, coalesce
+        # to ~256 MB each (a 1000-executor cluster sets shuffle.partitions
+        # in the thousands; tests pass a small number).
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     if shuffle_partitions:

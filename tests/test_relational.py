@@ -100,3 +100,26 @@ def test_balance_summary(spark):
     r = balance_summary(spark.range(1000), 8).first()
     assert (r.num_partitions, r.total_rows) == (8, 1000)
     assert r.max_rows - r.min_rows <= 8
+
+
+def test_not_in_large_list_rewrite_is_exact(spark):
+    w = words(spark, ["a", None, "the", "b"])
+    # max_broadcast_rows=0 forces the shuffled rewrite
+    assert got(antijoin_not_in(w, "word", stop(spark, ["the"]), "stopword", 0)) == ["a", "b"]
+    assert got(antijoin_not_in(w, "word", stop(spark, ["the", None]), "stopword", 0)) == []
+    empty = spark.createDataFrame([], "stopword string")
+    assert got(antijoin_not_in(w, "word", empty, "stopword", 0)) == ["a", "b", "the", None]
+
+
+def test_split_by_value_salted_layout(spark, scratch):
+    import glob
+    import os
+    from rowforge.operators.splitting import write_split_by
+    df = spark.range(1000).select((F.col("id") % 3).alias("d"), "id")
+    p = scratch("split")
+    write_split_by(df, "d", p, files_per_value=2)
+    back = spark.read.parquet(p)
+    assert back.count() == 1000
+    for v in range(3):
+        files = glob.glob(os.path.join(p.replace("file:", ""), f"d={v}", "part-*"))
+        assert 1 <= len(files) <= 2
