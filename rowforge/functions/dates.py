@@ -48,9 +48,12 @@ def normalize_date(c, fmt: str, mode: str = "strict",
     rx, order = _lenient_regex(fmt)
     part = {p: F.regexp_extract(c, rx, i + 1) for i, p in enumerate(order)}
     num = {p: F.when(v != "", v.try_cast("int")) for p, v in part.items()}
+    # keep every step inside the date range, so garbage yields null rather
+    # than an ANSI error
+    ok = num["y"].between(1, 9999) & num["m"].between(0, 12000) & num["d"].between(0, 3_660_000)
     base = F.make_date(num["y"], F.lit(1), F.lit(1))
     d = F.date_add(F.add_months(base, num["m"] - 1), num["d"] - 1)
-    return F.date_format(d, out_fmt)
+    return F.when(ok, F.date_format(d, out_fmt))
 
 
 def date_parts(c) -> dict[str, Column]:

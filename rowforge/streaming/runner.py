@@ -41,11 +41,20 @@ def run_append_to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "p
     return _finish(q, timeout_s)
 
 
+def set_state_partitions(spark, n: int) -> None:
+    """Partitions of a stateful stream's shuffle and state store.  Takes
+    effect only for a checkpoint's first run; later runs keep the number
+    recorded in the checkpoint."""
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+
+
 def run_complete_to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
-                          timeout_s: int | None = None):
+                          timeout_s: int | None = None, state_partitions: int | None = None):
     """Complete-mode result (an aggregate without watermark) written as the
     whole current table after every micro-batch.  Overwrite, not append, so a
     repeated batch or a second run never duplicates keys."""
+    if state_partitions:
+        set_state_partitions(df.sparkSession, state_partitions)
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").format(fmt).save(path)
 

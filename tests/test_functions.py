@@ -80,3 +80,10 @@ def test_sql_function_matches_column_function(spark):
     b = spark.sql("SELECT remspecialcharudf(v) AS r FROM {d}", d=df).collect()
     assert a == b
     assert spark.catalog.functionExists("remspecialcharudf")
+
+
+def test_lenient_date_garbage_is_null_not_error(spark):
+    lenient = lambda c: normalize_date(c, "yyyy-MM-dd", "lenient")
+    assert one(spark, lenient, "0000-01-01") is None
+    assert one(spark, lenient, "2019-99999999-01") is None
+    assert one(spark, lenient, "2019-00-00") == "2018-11-30"
