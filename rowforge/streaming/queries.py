@@ -14,7 +14,7 @@ from rowforge.session import scratch_path
 from rowforge.sources.tables import create_database
 from rowforge.streaming import chat as sc
 from rowforge.streaming.runner import (
-    run_append_to_files, run_complete_to_files, run_to_table, use_rocksdb_state,
+    read_result, run_append_to_files, run_complete_to_files, run_to_table, use_rocksdb_state,
 )
 
 # Files per micro-batch for the text source: several batches per run, so the
@@ -41,29 +41,32 @@ def _paths(spark, name):
 
 def q_stream_file_source(spark, sf):
     out, ck = _paths(spark, "messages")
-    run_append_to_files(chat.parse_messages(_lines(spark, sf)), out, ck)
-    return spark.read.parquet(out)
+    msgs = chat.parse_messages(_lines(spark, sf))
+    run_append_to_files(msgs, out, ck)
+    return read_result(spark, out, msgs.schema)
 
 
 def q_stream_tokens(spark, sf):
     out, ck = _paths(spark, "tokens")
-    run_append_to_files(sc.customer_words(_lines(spark, sf)), out, ck)
-    return spark.read.parquet(out)
+    words = sc.customer_words(_lines(spark, sf))
+    run_append_to_files(words, out, ck)
+    return read_result(spark, out, words.schema)
 
 
 def q_stream_append(spark, sf):
     out, ck = _paths(spark, "words")
     words = sc.words_without_stop(sc.customer_words(_lines(spark, sf)), batch._stop(spark))
     run_append_to_files(words, out, ck)
-    return spark.read.parquet(out)
+    return read_result(spark, out, words.schema)
 
 
 def q_stream_complete(spark, sf):
     use_rocksdb_state(spark)
     out, ck = _paths(spark, "keywords")
     words = sc.words_without_stop(sc.customer_words(_lines(spark, sf)), batch._stop(spark))
-    run_complete_to_files(sc.stream_keyword_counts(words), out, ck)
-    return spark.read.parquet(out)
+    counts = sc.stream_keyword_counts(words)
+    run_complete_to_files(counts, out, ck)
+    return read_result(spark, out, counts.schema)
 
 
 def q_stream_result_read(spark, sf):
@@ -85,8 +88,9 @@ def q_stream_to_parquet(spark, sf):
     out, ck = _paths(spark, "conv_words")
     for _ in range(2):
         toks = chat.conversation_tokens(_conversations(spark, sf))
-        run_append_to_files(sc.words_without_stop(toks, batch._stop(spark)), out, ck)
-    return spark.read.parquet(out)
+        words = sc.words_without_stop(toks, batch._stop(spark))
+        run_append_to_files(words, out, ck)
+    return read_result(spark, out, words.schema)
 
 
 def q_stream_agg_to_json(spark, sf):
@@ -95,7 +99,7 @@ def q_stream_agg_to_json(spark, sf):
     toks = chat.conversation_tokens(_conversations(spark, sf))
     counts = sc.stream_keyword_counts(sc.words_without_stop(toks, batch._stop(spark)))
     run_complete_to_files(counts, out, ck, fmt="json")
-    return spark.read.schema("chatkeywords STRING, occurances BIGINT").json(out)
+    return read_result(spark, out, counts.schema, fmt="json")
 
 
 STREAM_QUERIES = {

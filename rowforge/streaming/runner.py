@@ -8,6 +8,7 @@ checkpoint only see new files and file sinks stay exactly-once.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -63,6 +64,19 @@ def run_complete_to_files(df: DataFrame, path: str, checkpoint: str, fmt: str =
     return _finish(q, timeout_s)
 
 
+def read_result(spark, path: str, schema, fmt: str = "parquet") -> DataFrame:
+    """A sink's output as a batch frame with a fixed schema; empty (not an
+    error) when the stream produced no rows or no batch ran."""
+    try:
+        df = spark.read.schema(schema).format(fmt).load(path)
+        df.limit(0).collect()  # resolve the path now
+        return df
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def run_to_table(df: DataFrame, table: str, checkpoint: str, timeout_s: int | None = None):
     """Append a stream into a catalog table readable by name afterwards."""
     q = (df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)

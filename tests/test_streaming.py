@@ -94,3 +94,15 @@ def test_complete_mode_overwrites_per_batch(spark, scratch):
     df = spark.read.parquet(out)
     assert df.count() == 21 and df.select("chatkeywords").distinct().count() == 21
     assert {r.chatkeywords: r.occurances for r in df.collect()}["hi"] == 2
+
+
+def test_read_result_of_a_stream_with_no_input(spark, scratch):
+    from rowforge.streaming.runner import read_result
+    src, out, ck = scratch("empty_src"), scratch("empty_out"), scratch("empty_ck")
+    os.makedirs(src.replace("file:", ""), exist_ok=True)
+    kept = sc.words_without_stop(sc.customer_words(sc.text_stream(spark, src)),
+                                 lookup_from_values(spark, STOP))
+    counts = sc.stream_keyword_counts(kept)
+    run_complete_to_files(counts, out, ck)
+    df = read_result(spark, out, counts.schema)
+    assert df.count() == 0 and df.columns == ["chatkeywords", "occurances"]
