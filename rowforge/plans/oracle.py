@@ -277,6 +277,7 @@ O["stream_result_read"] = O["stream_append"]
 O["stream_complete"] = _with(_MSG, _MTOK) + f"""
 SELECT word AS chatkeywords, count(*) AS occurances FROM mtok
 WHERE word NOT IN (SELECT stopword FROM {STOP}) GROUP BY word"""
+O["stream_update"] = O["stream_complete"]
 O["stream_to_parquet"] = _NOSTOP
 O["stream_agg_to_json"] = O["keyword_count"]
 

@@ -14,7 +14,8 @@ from rowforge.session import scratch_path
 from rowforge.sources.tables import create_database
 from rowforge.streaming import chat as sc
 from rowforge.streaming.runner import (
-    read_result, run_append_to_files, run_complete_to_files, run_to_table, use_rocksdb_state,
+    read_latest_versions, read_result, run_append_to_files, run_complete_to_files, run_to_table,
+    run_update_to_versions, use_rocksdb_state,
 )
 
 # Files per micro-batch for the text source: several batches per run, so the
@@ -69,6 +70,17 @@ def q_stream_complete(spark, sf):
     return read_result(spark, out, counts.schema)
 
 
+def q_stream_update(spark, sf):
+    """Keyword counts in update mode: each batch writes only changed keys,
+    the reader takes the latest version per keyword."""
+    use_rocksdb_state(spark)
+    out, ck = _paths(spark, "keyword_versions")
+    words = sc.words_without_stop(sc.customer_words(_lines(spark, sf)), batch._stop(spark))
+    counts = sc.stream_keyword_counts(words)
+    run_update_to_versions(counts, out, ck)
+    return read_latest_versions(spark, out, counts.schema, ["chatkeywords"])
+
+
 def q_stream_result_read(spark, sf):
     """Stream into a catalog table, then read the result by its name; the
     stop words are removed with the null-aware ``NOT IN`` form."""

@@ -106,3 +106,21 @@ def test_read_result_of_a_stream_with_no_input(spark, scratch):
     run_complete_to_files(counts, out, ck)
     df = read_result(spark, out, counts.schema)
     assert df.count() == 0 and df.columns == ["chatkeywords", "occurances"]
+
+
+def test_update_mode_versions_give_current_counts(spark, scratch):
+    from rowforge.streaming.runner import read_latest_versions, run_update_to_versions
+    use_rocksdb_state(spark)
+    src, out, ck = scratch("up_src"), scratch("up_out"), scratch("up_ck")
+    for i, part in enumerate([CHAT[:6], CHAT[6:12], CHAT[12:]]):
+        write_chat(src, part, f"p{i}.txt")
+    kept = sc.words_without_stop(sc.customer_words(sc.text_stream(spark, src, 1)),
+                                 lookup_from_values(spark, STOP))
+    counts = sc.stream_keyword_counts(kept)
+    run_update_to_versions(counts, out, ck)
+    raw = spark.read.parquet(out)
+    assert raw.select("batch_id").distinct().count() == 3
+    assert raw.count() < 21 * 3          # only changed keys per batch
+    cur = {r.chatkeywords: r.occurances
+           for r in read_latest_versions(spark, out, counts.schema, ["chatkeywords"]).collect()}
+    assert len(cur) == 21 and cur["hi"] == 2 and cur["connection"] == 2 and cur["value"] == 2
