@@ -40,13 +40,21 @@ class LineSpec:
 def drop_header(lines: DataFrame, header: str | None = None, col: str = "value") -> DataFrame:
     """Drop every line equal to the header (repeats inside the body too).
 
-    Without ``header`` the first line of the data set is taken (one row
-    reaches the driver)."""
+    Without ``header`` the first line of the first input file (by name) is
+    taken: one file listing and one line reach the driver.  Spark orders
+    input splits by size, so a plain ``first()`` would not be stable."""
     if header is None:
-        header = lines.select(col).first()[0]
+        header = first_line(lines, col)
     return lines.where(F.col(col) != F.lit(header))
 
 
+def first_line(lines: DataFrame, col: str = "value") -> str | None:
+    files = sorted(lines.inputFiles())
+    src = lines.sparkSession.read.text(files[0]) if files else lines.select(col)
+    row = src.first()
+    return row[0] if row else None
+
+
 def drop_blank_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     """Drop empty and whitespace-only lines."""
     return lines.where(~is_blank(col))

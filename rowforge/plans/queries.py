@@ -18,7 +18,7 @@ from rowforge.functions.sql import register_sql_functions
 from rowforge.functions.text import clean_special_chars, split_keep_trailing, java_trim
 from rowforge.functions.urls import url_protocol, url_scheme
 from rowforge.operators import cleanse as cl
-from rowforge.operators.partitioning import balance_summary, maybe_broadcast
+from rowforge.operators.partitioning import balance_summary
 from rowforge.operators.relational import (
     antijoin_left_anti, antijoin_not_in, antijoin_outer_null, dedup_counts, dedup_exact,
     enrich_inner_join, harmonise_key, rows_not_in, union_all,

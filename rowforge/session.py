@@ -63,6 +63,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if d:
         sc.setCheckpointDir(d)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach; "
+                           "a machine-local temporary folder is only used in local mode")
     local = tempfile.mkdtemp(prefix="rowforge-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()

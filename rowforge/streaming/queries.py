@@ -7,7 +7,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from rowforge.plans import chat, queries as batch, render
 from rowforge.session import scratch_path

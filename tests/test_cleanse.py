@@ -84,3 +84,16 @@ def test_cleanse_stored_once(spark, scratch):
     assert set(rej.columns) == {"value", "reject_reason"}
     # kept + rejected are disjoint and together are every body line
     assert kept.count() + rej.count() == 7
+
+
+def test_first_line_is_from_first_file_by_name(spark, scratch):
+    import os
+    p = scratch("hdr").replace("file:", "")
+    os.makedirs(p)
+    with open(os.path.join(p, "b.txt"), "w") as f:
+        f.write("9,9,2019-10-01,x\n" * 50)          # larger file, listed second by name
+    with open(os.path.join(p, "a.txt"), "w") as f:
+        f.write(HEADER + "\n1,2,2019-10-01,x\n")
+    lines = spark.read.text(p)
+    assert cl.first_line(lines) == HEADER
+    assert cl.drop_header(lines).count() == 51
