@@ -168,20 +168,16 @@ def cleanse(lines: DataFrame, spec: LineSpec, header: str | None,
 
 def quality_counts(lines: DataFrame, spec: LineSpec, header: str,
                    col: str = "value") -> DataFrame:
-    """Reconciliation in one aggregate:
-    raw = header + blank + kept + each reject reason."""
-    cl = classify(lines, spec, col, fence=False)
-    is_header = F.col(col) == F.lit(header)
-    blank = ~is_header & is_blank(col)
-    body = ~is_header & ~blank
-    r = F.col("reject_reason")
-    return cl.agg(
-        F.count(F.lit(1)).alias("raw_lines"),
-        F.count_if(is_header).alias("header_lines"),
-        F.count_if(blank).alias("blank_lines"),
-        F.count_if(body & (r == TOO_FEW_FIELDS)).alias("too_few_fields"),
-        F.count_if(body & (r == MISSING_REQUIRED)).alias("missing_required"),
-        F.count_if(body & (r == BAD_INT)).alias("bad_int"),
-        F.count_if(body & (r == BAD_DATE)).alias("bad_date"),
-        F.count_if(body & r.isNull()).alias("kept"),
-    )
+    """Reconciliation in one aggregate.  Every line gets exactly one
+    category (header, blank, one reject reason, or kept), so
+    raw = header + blank + each reject reason + kept by construction."""
+    cl = classify(lines, spec, col)
+    cat = (F.when(F.col(col) == F.lit(header), F.lit("header_lines"))
+            .when(is_blank(col), F.lit("blank_lines"))
+            .when(F.col("reject_reason").isNull(), F.lit("kept"))
+            .otherwise(F.col("reject_reason")))
+    cats = ["header_lines", "blank_lines", TOO_FEW_FIELDS, MISSING_REQUIRED, BAD_INT, BAD_DATE, "kept"]
+    c = F.col("category")
+    return (cl.select(cat.alias("category"))
+              .agg(F.count(F.lit(1)).alias("raw_lines"),
+                   *[F.count_if(c == x).alias(x) for x in cats]))
