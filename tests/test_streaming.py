@@ -42,7 +42,7 @@ def write_chat(path, rows, name):
 
 def test_golden_chat_keywords(spark, scratch):
     src = scratch("chat_src")
-    write_chat(src, CHAT, "chatdata.txt")
+    write_chat(src, CHAT, "chat.txt")
     lines = sc.text_stream(spark, src)
     words = sc.customer_words(lines)
     kept = sc.words_without_stop(words, lookup_from_values(spark, STOP))
@@ -62,7 +62,7 @@ def test_golden_chat_keywords(spark, scratch):
 
 def test_null_aware_not_in_on_stream(spark, scratch):
     src = scratch("chat_src2")
-    write_chat(src, CHAT, "chatdata.txt")
+    write_chat(src, CHAT, "chat.txt")
     kept = sc.words_without_stop(sc.customer_words(sc.text_stream(spark, src)),
                                  lookup_from_values(spark, STOP), null_aware=True)
     run_to_memory(kept, "golden_words_notin")
