@@ -89,8 +89,24 @@ def _spec(variant):
     return SPEC_FILE1 if variant == 1 else SPEC_FILE2
 
 
+def _cleansed(spark, sf, variant) -> tuple[DataFrame, DataFrame]:
+    """(kept typed rows, rejected lines) of one file, classified once per
+    session into a status-partitioned table under the shared folder; later
+    jobs read it with partition pruning instead of re-parsing the text."""
+    k = (spark.sparkContext.applicationId, sf, f"cleansed{variant}")
+    if k not in _written:
+        store = scratch_path(spark, "cleansed", f"file{variant}")
+        cl.cleanse(_insurance_text(spark, sf, variant), _spec(variant), render.INSURANCE_HEADER,
+                   store_path=store)
+        _written[k] = store
+    stored = spark.read.parquet(_written[k])
+    kept = stored.where(F.col("status") == "kept").select(*_spec(variant).names)
+    rejected = stored.where(F.col("status") == "rejected").select("value", "reject_reason")
+    return kept, rejected
+
+
 def _typed(spark, sf, variant):
-    return cl.typed_records(_body(spark, sf, variant), _spec(variant))
+    return _cleansed(spark, sf, variant)[0]
 
 
 def _stop(spark) -> DataFrame:
@@ -242,16 +258,12 @@ def q_filter_complete_rows(spark, sf):
 
 
 def q_typed_records(spark, sf):
-    return _typed(spark, sf, 1)
+    """Classification straight from the text (no stored intermediate)."""
+    return cl.typed_records(_body(spark, sf, 1), SPEC_FILE1)
 
 
 def q_cleanse_rejects(spark, sf):
-    out = []
-    for v in (1, 2):
-        _, rej = cl.cleanse(_insurance_text(spark, sf, v), _spec(v), render.INSURANCE_HEADER,
-                            store_path=scratch_path(spark, "cleansed", f"file{v}"))
-        out.append(rej.withColumn("file", F.lit(v)))
-    return union_all(*out)
+    return union_all(*[_cleansed(spark, sf, v)[1].withColumn("file", F.lit(v)) for v in (1, 2)])
 
 
 def q_quality_counts(spark, sf):
