@@ -8,7 +8,7 @@ a set difference.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field as dc_field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +34,6 @@ class LineSpec:
     date_format: str = "yyyy-MM-dd"
     date_mode: str = "strict"
     trim: bool = False
-    extra: dict = dc_field(default_factory=dict)
 
 
 def drop_header(lines: DataFrame, header: str | None = None, col: str = "value") -> DataFrame:
@@ -45,6 +44,8 @@ def drop_header(lines: DataFrame, header: str | None = None, col: str = "value")
     input splits by size, so a plain ``first()`` would not be stable."""
     if header is None:
         header = first_line(lines, col)
+        if header is None:      # no lines at all
+            return lines
     return lines.where(F.col(col) != F.lit(header))
 
 
@@ -156,8 +157,11 @@ def cleanse(lines: DataFrame, spec: LineSpec, header: str | None,
     executor never re-reads the raw input.
     """
     body = drop_blank_lines(drop_header(lines, header, col), col)
-    cl = classify(body, spec, col).withColumn(
-        "status", F.when(F.col("reject_reason").isNull(), "kept").otherwise("rejected"))
+    kept_row = F.col("reject_reason").isNull()
+    # the raw line is only kept for rejects (kept rows have their typed values)
+    cl = classify(body, spec, col).withColumns({
+        "status": F.when(kept_row, "kept").otherwise("rejected"),
+        col: F.when(~kept_row, F.col(col))})
     if store_path:
         cl.write.mode("overwrite").partitionBy("status").parquet(store_path)
         cl = lines.sparkSession.read.parquet(store_path)
