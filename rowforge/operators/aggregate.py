@@ -31,7 +31,10 @@ def rank_within(df: DataFrame, partition_by: list[str], order_desc: str,
                 tie_break: list[str], name: str = "seq_number") -> DataFrame:
     """``row_number()`` per partition by descending ``order_desc``; ties are
     resolved by ``tie_break`` (ascending, nulls last) so the numbering is
-    reproducible."""
+    reproducible.
+
+    The rows of one partition key are sorted in one task, so apply it to
+    aggregated data (as every job here does: groups, not raw rows)."""
     w = Window.partitionBy(*partition_by).orderBy(F.col(order_desc).desc(),
                                                   *[F.col(c).asc_nulls_last() for c in tie_break])
     return df.withColumn(name, F.row_number().over(w))

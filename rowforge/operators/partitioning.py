@@ -5,20 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup is broadcast only below this many rows; the check reads at most
-# this many + 1 rows, so it is cheap even on a huge side.
+# A lookup is broadcast only below these bounds; the check reads at most
+# max_rows + 1 rows, so it is cheap even on a huge side.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` provably has <= ``max_rows`` rows whose serialized
+    size (as JSON text) totals <= ``max_bytes``; one bounded job."""
+    size = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                   F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
+    return r["n"] <= max_rows and r["b"] <= max_bytes
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven <= ``max_rows``;
+def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its size is proven within the bounds;
     otherwise the side is returned as is and the join shuffles (AQE may
     still convert it at run time from real sizes, and splits skewed keys)."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
 def repartition_balance(df: DataFrame, n: int = 8) -> DataFrame:

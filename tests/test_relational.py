@@ -123,3 +123,9 @@ def test_split_by_value_salted_layout(spark, scratch):
     for v in range(3):
         files = glob.glob(os.path.join(p.replace("file:", ""), f"d={v}", "part-*"))
         assert 1 <= len(files) <= 2
+
+
+def test_broadcast_check_bounds_bytes_too(spark):
+    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("s"))
+    assert fits_broadcast(wide, 10, 100_000)
+    assert not fits_broadcast(wide, 10, 5_000)
