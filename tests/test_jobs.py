@@ -1,0 +1,86 @@
+"""The end-to-end jobs on small files of the studied layouts."""
+
+import os
+
+from test_streaming import CHAT, STOP
+
+from rowforge.plans import jobs
+from rowforge.plans.render import INSURANCE_HEADER
+
+FILE1 = [INSURANCE_HEADER,
+         "1,10,2019-10-01,AL,SrcA,Plan-/2X_(dental),http://www2.a.com/,100,Individual,No",
+         "2,20,2019-10-02,CA,SrcB,Net[1],www.b.com,200,,",
+         "",
+         "3,30,2019-13-01,AL,SrcA,N,http://c,100,,",          # bad date
+         "4,40,2019-10-01,AL",                                 # too short
+         "5,,2019-10-01,AL,SrcA,N,http://c,100,,"]             # missing IssuerId2
+FILE2 = [INSURANCE_HEADER,
+         " 1 , 10 ,01-10-2019, AL ,SrcA,Plan-/2X_(dental),http://www2.a.com/,100,Individual,No",  # dup of file 1
+         "6,60,02-10-2019,CA,SrcC,N,https://d.org,300,,",
+         "7,x70,02-10-2019,CA,SrcC,N,https://d.org,300,,"]    # bad int
+CUSTS_STATES = ["100,Ann,Lee,30,Engineer", "200,Bo,Ray,40,Doctor", "300,Cy,Ho,50,Engineer",
+                "AL,Alabama", "CA,California"]
+
+
+def write(path, rows, name="part-0.txt", nl="\n"):
+    d = path.replace("file:", "")
+    os.makedirs(d, exist_ok=True)
+    with open(os.path.join(d, name), "w", newline="") as f:
+        f.write(nl.join(rows) + nl)
+    return path
+
+
+def test_cleansing_job(spark, scratch):
+    f1, f2, out = write(scratch("f1"), FILE1), write(scratch("f2"), FILE2), scratch("clean_out")
+    res = jobs.cleansing_job(spark, f1, f2, out)
+    q = {r["file"]: r for r in res["quality"]}
+    assert (q[1]["kept"], q[1]["bad_date"], q[1]["too_few_fields"], q[1]["missing_required"],
+            q[1]["blank_lines"], q[1]["header_lines"]) == (2, 1, 1, 1, 1, 1)
+    assert (q[2]["kept"], q[2]["bad_int"]) == (2, 1)
+    assert res["dedup"] == {"total_count": 4, "distinct_count": 3, "duplicate_count": 1}
+    dd = spark.read.parquet(f"{out}/deduplicated")
+    assert dd.count() == 3
+    assert sorted(str(r.BusinessDate) for r in dd.select("BusinessDate").distinct().collect()) == \
+        ["2019-10-01", "2019-10-02"]
+    assert spark.read.parquet(f"{out}/rejected").count() == 4
+
+
+def test_enrichment_job(spark, scratch):
+    plans = write(scratch("plans"), FILE1)
+    cs = write(scratch("cs"), CUSTS_STATES)
+    out = scratch("enrich_out")
+    ranking = {(r.State_desc, r.Protocol, r.Profession): (r.seq_number, r.total, r.avg_age)
+               for r in jobs.enrichment_job(spark, plans, cs, out).collect()}
+    # plan 5 (empty IssuerId2) is kept on the CSV path: an empty field is a
+    # null there, not a reject as on the line-cleansing path
+    assert ranking == {("Alabama", "http", "Engineer"): (1, 2, 30.0),
+                       ("California", "noprotocol", "Doctor"): (1, 1, 40.0)}
+    enriched = spark.read.parquet(f"{out}/enriched").orderBy("IssuerId").collect()
+    assert enriched[0].cleannetworkname == "Plan   X  dental "
+    assert enriched[0].issueridcomposite == "110" and enriched[0].yr == 2019
+    tilde = open([os.path.join(p, f) for p, _, fs in os.walk(f"{out}/cleaned_csv".replace("file:", ""))
+                  for f in fs if f.startswith("part-")][0]).read()
+    assert tilde.startswith("IssuerId~IssuerId2~BusinessDate")
+
+
+def test_chat_job_golden_and_incremental(spark, scratch):
+    src, out = scratch("chat_in"), scratch("chat_out")
+    stop = write(scratch("stop"), STOP, nl="\r\n")
+    write(src, CHAT[:12], "a.txt", nl="\r\n")
+    ck = scratch("chat_ck")
+    jobs.chat_job(spark, src, stop, out, ck)
+    write(src, CHAT[12:], "b.txt", nl="\r\n")
+    jobs.chat_job(spark, src, stop, out, ck)        # second run: only the new file
+    assert spark.read.parquet(f"{out}/words").count() == 24
+    kw = {r.chatkeywords: r.occurances for r in
+          spark.read.schema("chatkeywords string, occurances long").json(f"{out}/keywords").collect()}
+    assert len(kw) == 21 and kw["hi"] == 2 and kw["connection"] == 2 and kw["value"] == 2
+
+
+def test_cli_parses_and_runs_chat(spark, scratch):
+    from rowforge.__main__ import main
+    src, out = scratch("cli_in"), scratch("cli_out")
+    write(src, CHAT, "c.txt", nl="\r\n")
+    stop = write(scratch("cli_stop"), STOP)
+    main(["--master", "local[2]", "chat", "--chat-dir", src, "--stopwords", stop, "--out", out])
+    assert spark.read.parquet(f"{out}/words").count() == 24
