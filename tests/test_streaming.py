@@ -124,3 +124,33 @@ def test_update_mode_versions_give_current_counts(spark, scratch):
     cur = {r.chatkeywords: r.occurances
            for r in read_latest_versions(spark, out, counts.schema, ["chatkeywords"]).collect()}
     assert len(cur) == 21 and cur["hi"] == 2 and cur["connection"] == 2 and cur["value"] == 2
+
+
+def test_complete_mode_recovers_after_a_failed_batch(spark, scratch):
+    """A micro-batch dies half way (its offsets are logged, its output is
+    not committed); rerunning on the same checkpoint replays that batch and
+    the overwrite leaves exactly the right counts."""
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    use_rocksdb_state(spark)
+    src, out, ck = scratch("fail_src"), scratch("fail_out"), scratch("fail_ck")
+    for i, part in enumerate([CHAT[:6], CHAT[6:12], CHAT[12:]]):
+        write_chat(src, part, f"p{i}.txt")
+
+    def counts():
+        kept = sc.words_without_stop(sc.customer_words(sc.text_stream(spark, src, 1)),
+                                     lookup_from_values(spark, STOP))
+        return sc.stream_keyword_counts(kept)
+
+    def flaky(batch, batch_id):
+        batch.write.mode("overwrite").parquet(out)
+        if batch_id == 1:
+            raise RuntimeError("lost in the middle of batch 1")
+
+    q = (counts().writeStream.outputMode("complete").foreachBatch(flaky)
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination(120)
+    run_complete_to_files(counts(), out, ck)
+    got = {r.chatkeywords: r.occurances for r in spark.read.parquet(out).collect()}
+    assert len(got) == 21 and got["hi"] == 2 and got["value"] == 2 and sum(got.values()) == 24
