@@ -202,7 +202,7 @@ _CUST_NULLS = """SELECT c_custkey, c_name, c_nationkey, c_acctbal,
 O["sql_view_select"] = "SELECT c_custkey, c_name, c_mktsegment FROM customer"
 O["external_table_scan"] = "SELECT c_custkey, c_name, c_mktsegment FROM customer"
 O["external_table_append"] = f"{_CUST} UNION ALL {_CUST}"
-O["managed_table_overwrite"] = "SELECT n_nationkey, n_name FROM nation"
+O["managed_table_overwrite"] = "SELECT c_custkey, c_name, c_mktsegment FROM customer"
 O["sink_text"] = """SELECT concat_ws(',', CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR),
                  CAST(c_acctbal AS VARCHAR), c_mktsegment) AS value FROM customer"""
 O["sink_csv_overwrite"] = _CUST_NULLS
@@ -214,7 +214,7 @@ O["composite_key"] = """SELECT o_orderkey, o_custkey,
        CAST(o_orderkey AS VARCHAR) || CAST(o_custkey AS VARCHAR) AS issueridcomposite FROM orders"""
 O["drop_columns"] = """SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
        l_returnflag, l_linestatus FROM lineitem"""
-O["audit_columns"] = "SELECT n_nationkey, n_name, true AS sysdt_ok, true AS systs_ok FROM nation"
+O["audit_columns"] = "SELECT c_custkey, c_name, true AS sysdt_ok, true AS systs_ok FROM customer"
 O["split_by_date"] = "SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS event_date FROM events"
 O["date_parts"] = """SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS yr,
        CAST(month(o_orderdate) AS INTEGER) AS mth FROM orders"""

@@ -181,12 +181,13 @@ def q_managed_table_overwrite(spark, sf):
     root = scratch_path(spark, "warehouse")
     db = f"rf_{uuid.uuid4().hex[:12]}"
     create_database(spark, db, root)
-    table = f"{db}.nation_copy"
-    spark.sql(f"CREATE TABLE {table} (n_nationkey INT, n_name STRING) USING parquet")
-    nat = _t(spark, sf, "nation")
-    cols = ["n_nationkey", "n_name"]
-    sinks.overwrite_table_from_view(spark, table, nat, cols)
-    sinks.overwrite_table_from_view(spark, table, nat, cols)  # second run replaces
+    table = f"{db}.customer_copy"
+    spark.sql(f"CREATE TABLE {table} (c_custkey BIGINT, c_name STRING, c_mktsegment STRING) "
+              "USING parquet")
+    cust = _t(spark, sf, "customer")
+    cols = ["c_custkey", "c_name", "c_mktsegment"]
+    sinks.overwrite_table_from_view(spark, table, cust, cols)
+    sinks.overwrite_table_from_view(spark, table, cust, cols)  # second run replaces
     return spark.table(table)
 
 
@@ -310,8 +311,8 @@ def q_drop_columns(spark, sf):
 
 
 def q_audit_columns(spark, sf):
-    n = with_audit_columns(_t(spark, sf, "nation").select("n_nationkey", "n_name"))
-    return n.select("n_nationkey", "n_name",
+    c = with_audit_columns(_t(spark, sf, "customer").select("c_custkey", "c_name"))
+    return c.select("c_custkey", "c_name",
                     (F.col("sysdt") == F.current_date()).alias("sysdt_ok"),
                     F.col("systs").isNotNull().alias("systs_ok"))
 
