@@ -99,4 +99,4 @@ def chat_job(spark: SparkSession, chat_dir: str, stopwords: str, out: str,
     run_append_to_files(words, f"{out}/words", f"{ck}/words")
     use_rocksdb_state(spark)
     run_complete_to_files(sc.stream_keyword_counts(words), f"{out}/keywords", f"{ck}/keywords",
-                          fmt="json")
+                          fmt="json", n_state=spark.sparkContext.defaultParallelism)

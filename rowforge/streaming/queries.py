@@ -35,6 +35,12 @@ def _conversations(spark, sf) -> DataFrame:
     return sc.parquet_stream(spark, sf, "conversations.parquet", sc.CONVERSATION_SCHEMA, 1)
 
 
+def _n_state(spark) -> int:
+    """State partitions for a new checkpoint: the cluster's default
+    parallelism (cores here, all executor cores on a cluster)."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _paths(spark, name):
     return scratch_path(spark, "stream", name, "out"), scratch_path(spark, "stream", name, "ckpt")
 
@@ -65,7 +71,7 @@ def q_stream_complete(spark, sf):
     out, ck = _paths(spark, "keywords")
     words = sc.words_without_stop(sc.customer_words(_lines(spark, sf)), batch._stop(spark))
     counts = sc.stream_keyword_counts(words)
-    run_complete_to_files(counts, out, ck)
+    run_complete_to_files(counts, out, ck, n_state=_n_state(spark))
     return read_result(spark, out, counts.schema)
 
 
@@ -76,7 +82,7 @@ def q_stream_update(spark, sf):
     out, ck = _paths(spark, "keyword_versions")
     words = sc.words_without_stop(sc.customer_words(_lines(spark, sf)), batch._stop(spark))
     counts = sc.stream_keyword_counts(words)
-    run_update_to_versions(counts, out, ck)
+    run_update_to_versions(counts, out, ck, n_state=_n_state(spark))
     return read_latest_versions(spark, out, counts.schema, ["chatkeywords"])
 
 
@@ -109,7 +115,7 @@ def q_stream_agg_to_json(spark, sf):
     out, ck = _paths(spark, "conv_keywords")
     toks = chat.conversation_tokens(_conversations(spark, sf))
     counts = sc.stream_keyword_counts(sc.words_without_stop(toks, batch._stop(spark)))
-    run_complete_to_files(counts, out, ck, fmt="json")
+    run_complete_to_files(counts, out, ck, fmt="json", n_state=_n_state(spark))
     return read_result(spark, out, counts.schema, fmt="json")
 
 

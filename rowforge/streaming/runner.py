@@ -8,6 +8,8 @@ checkpoint only see new files and file sinks stay exactly-once.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,25 +46,35 @@ def run_append_to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "p
     return _finish(q, timeout_s)
 
 
-def set_state_partitions(spark, n: int) -> None:
-    """Partitions of a stateful stream's shuffle and state store.  Takes
-    effect only for a checkpoint's first run; later runs keep the number
-    recorded in the checkpoint."""
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+@contextmanager
+def state_partitions(spark, n: int | None):
+    """Partitions of a stateful stream's shuffle and state store, set only
+    while the query starts (the stream runs on a clone of the session taken
+    at start, so the caller's setting is restored right after).  The number
+    is fixed by a checkpoint's first run; later runs keep the recorded one."""
+    if not n:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
 
 
 def run_complete_to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
-                          timeout_s: int | None = None, state_partitions: int | None = None):
+                          timeout_s: int | None = None, n_state: int | None = None):
     """Complete-mode result (an aggregate without watermark) written as the
     whole current table after every micro-batch.  Overwrite, not append, so a
     repeated batch or a second run never duplicates keys."""
-    if state_partitions:
-        set_state_partitions(df.sparkSession, state_partitions)
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").format(fmt).save(path)
 
-    q = (df.writeStream.outputMode("complete").foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    with state_partitions(df.sparkSession, n_state):
+        q = (df.writeStream.outputMode("complete").foreachBatch(write_batch)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     return _finish(q, timeout_s)
 
 
@@ -98,7 +110,7 @@ def run_to_memory(df: DataFrame, name: str, mode: str = "append", checkpoint: st
 
 
 def run_update_to_versions(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
-                           timeout_s: int | None = None):
+                           timeout_s: int | None = None, n_state: int | None = None):
     """Update-mode aggregate: each micro-batch writes only the keys it
     changed, into ``path/batch_id=<n>`` (overwritten if the batch is
     replayed, so it stays exactly-once).  Unlike complete mode, the write per
@@ -106,8 +118,9 @@ def run_update_to_versions(df: DataFrame, path: str, checkpoint: str, fmt: str =
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
 
-    q = (df.writeStream.outputMode("update").foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    with state_partitions(df.sparkSession, n_state):
+        q = (df.writeStream.outputMode("update").foreachBatch(write_batch)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     return _finish(q, timeout_s)
 
 

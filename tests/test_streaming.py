@@ -154,3 +154,16 @@ def test_complete_mode_recovers_after_a_failed_batch(spark, scratch):
     run_complete_to_files(counts(), out, ck)
     got = {r.chatkeywords: r.occurances for r in spark.read.parquet(out).collect()}
     assert len(got) == 21 and got["hi"] == 2 and got["value"] == 2 and sum(got.values()) == 24
+
+
+def test_state_partitions_leave_session_setting_alone(spark, scratch):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    src, out, ck = scratch("sp_src"), scratch("sp_out"), scratch("sp_ck")
+    write_chat(src, CHAT, "c.txt")
+    kept = sc.words_without_stop(sc.customer_words(sc.text_stream(spark, src)),
+                                 lookup_from_values(spark, STOP))
+    run_complete_to_files(sc.stream_keyword_counts(kept), out, ck, n_state=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.read.parquet(out).count() == 21
+    offsets = os.path.join(ck.replace("file:", ""), "offsets", "0")
+    assert '"spark.sql.shuffle.partitions":"3"' in open(offsets).read()
