@@ -12,6 +12,7 @@ from rowforge.functions.urls import url_protocol
 from rowforge.operators.aggregate import rank_within
 from rowforge.operators.cleanse import LineSpec
 from rowforge.operators.relational import enrich_inner_join, harmonise_key
+from rowforge.operators.splitting import split_by_null
 from rowforge.plans.render import INSURANCE_FIELDS
 
 INT_FIELDS = ("IssuerId", "IssuerId2", "custnum")
@@ -41,6 +42,18 @@ def insure_view(ds: DataFrame) -> DataFrame:
 
 
 
+def customers_and_states(ragged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split the mixed 5/2-column file (read as strings) by its third
+    column: customers where it is set, states where it is null (so a
+    customer with an empty last name lands among the states)."""
+    custs, states = split_by_null(ragged, "_c2")
+    custs = custs.withColumnsRenamed({"_c0": "Id", "_c1": "FirstName", "_c2": "LastName",
+                                      "_c3": "Age", "_c4": "Profession"})
+    states = (states.drop("_c2", "_c3", "_c4")
+                    .withColumnsRenamed({"_c0": "State_cd", "_c1": "State_desc"}))
+    return custs, states
+
+
 ENRICHED_COLUMNS = ["IssuerId", "IssuerId2", "BusinessDate", "State_desc", "srcnm", "NetworkName",
                     "NetworkURL", "custnum", "MarketCoverage", "issueridcomposite", "sysdt", "systs",
                     "cleannetworkname", "curdt", "curts", "yr", "mth", "Protocol", "Profession", "Age"]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from rowforge.functions.text import clean_special_chars
 from rowforge.operators import cleanse as cl
 from rowforge.operators.relational import dedup_counts, union_all
-from rowforge.operators.splitting import split_by_null, write_split_by
+from rowforge.operators.splitting import write_split_by
 from rowforge.plans import insurance
 from rowforge.session import scratch_path
 from rowforge.sinks import files as sinks
@@ -69,12 +69,7 @@ def enrichment_job(spark: SparkSession, plans_csv: str, custs_states: str, out:
     cleaned = ds3.withColumn("NetworkName", clean_special_chars("NetworkName"))
     sinks.write_json(cleaned.drop("DentalOnlyPlan"), f"{out}/cleaned_json")
     sinks.write_csv(cleaned.drop("DentalOnlyPlan"), f"{out}/cleaned_csv", header=True, sep="~")
-    ragged = read_csv_strings(spark, custs_states, 5)
-    custs, states = split_by_null(ragged, "_c2")
-    custs = custs.withColumnsRenamed({"_c0": "Id", "_c1": "FirstName", "_c2": "LastName",
-                                      "_c3": "Age", "_c4": "Profession"})
-    states = (states.drop("_c2", "_c3", "_c4")
-                    .withColumnsRenamed({"_c0": "State_cd", "_c1": "State_desc"}))
+    custs, states = insurance.customers_and_states(read_csv_strings(spark, custs_states, 5))
     ds22 = insurance.insure_view(ds1)
     sinks.write_parquet(insurance.enriched_view(ds22, states, custs), f"{out}/enriched",
                         mode="overwrite")

@@ -23,7 +23,7 @@ from rowforge.operators.relational import (
     antijoin_left_anti, antijoin_not_in, antijoin_outer_null, dedup_counts, dedup_exact,
     enrich_inner_join, harmonise_key, rows_not_in, union_all,
 )
-from rowforge.operators.splitting import split_by_null, split_by_width, write_split_by
+from rowforge.operators.splitting import split_by_width, write_split_by
 from rowforge.plans import chat, render, segments
 from rowforge.plans import insurance
 from rowforge.plans.insurance import INSURANCE_SCHEMA, SPEC_FILE1, SPEC_FILE2
@@ -331,12 +331,7 @@ def q_split_by_width(spark, sf):
 
 
 def _split_null(spark, sf):
-    cust, states = split_by_null(_ragged(spark, sf), "_c2")
-    cust = cust.withColumnsRenamed({"_c0": "Id", "_c1": "FirstName", "_c2": "LastName",
-                                    "_c3": "Age", "_c4": "Profession"})
-    states = (states.drop("_c2", "_c3", "_c4")
-                    .withColumnsRenamed({"_c0": "State_cd", "_c1": "State_desc"}))
-    return cust, states
+    return insurance.customers_and_states(_ragged(spark, sf))
 
 
 def q_split_by_null(spark, sf):
