@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,14 +44,25 @@ def clean_special_chars(c) -> Column:
 
 
 def split_keep_trailing(c, sep: str = ",") -> Column:
-    """``split(sep, -1)``: every field, trailing empty ones included."""
-    return F.split(_c(c), sep, -1)
+    """``split(sep, -1)``: every field, trailing empty ones included.
+    ``sep`` is a literal separator, not a pattern."""
+    return F.split(_c(c), re.escape(sep), -1)
+
+
+def split_trimmed(c, sep: str = ",") -> Column:
+    """Fields with Java-style trim applied to each: one pass over the line
+    removes the blanks/control chars around every separator and at both
+    ends, then splits (no per-field lambda)."""
+    s = re.escape(sep)
+    literal = sep.replace("\\", "\\\\").replace("$", "\\$")   # replacement text, not a group ref
+    return F.split(F.regexp_replace(java_trim(c), f"[\\x00-\\x20]*{s}[\\x00-\\x20]*", literal), s, -1)
 
 
 def java_split_width(c, sep: str = ",") -> Column:
     """Number of fields of a Java ``split(sep)`` without limit, which drops
     trailing empty fields (``"3,Cy,Ray,50,"`` has 4)."""
-    return F.size(F.split(F.regexp_replace(_c(c), f"(?:{sep})+$", ""), sep, -1))
+    s = re.escape(sep)
+    return F.size(F.split(F.regexp_replace(_c(c), f"(?:{s})+$", ""), s, -1))
 
 
 def field(arr, i: int) -> Column:
@@ -59,7 +72,7 @@ def field(arr, i: int) -> Column:
 
 def tokenize(c, sep: str = " ") -> Column:
     """Split on one separator; runs of separators give empty tokens."""
-    return F.split(_c(c), sep, -1)
+    return F.split(_c(c), re.escape(sep), -1)
 
 
 def strict_int(c) -> Column:

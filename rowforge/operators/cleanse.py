@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowforge.functions.dates import normalize_date
-from rowforge.functions.text import is_blank, java_trim, split_keep_trailing, strict_int
+from rowforge.functions.text import is_blank, split_keep_trailing, split_trimmed, strict_int
 
 # Reject reasons, in the order they are tested.
 TOO_FEW_FIELDS = "too_few_fields"
@@ -62,8 +62,9 @@ def drop_blank_lines(lines: DataFrame, col: str = "value") -> DataFrame:
 
 
 def _field_array(spec: LineSpec, col: str) -> Column:
-    arr = split_keep_trailing(F.col(col), spec.sep)
-    return F.transform(arr, java_trim) if spec.trim else arr
+    if spec.trim:
+        return split_trimmed(F.col(col), spec.sep)
+    return split_keep_trailing(F.col(col), spec.sep)
 
 
 def _staged(lines: DataFrame, spec: LineSpec, col: str,

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowforge.functions.text import field, tokenize
+from rowforge.functions.text import field, split_keep_trailing, tokenize
 from rowforge.operators.aggregate import keyword_count
 from rowforge.operators.relational import antijoin_left_anti
 
@@ -27,7 +27,7 @@ DEFAULT_STOP_WORDS = (
 
 def parse_messages(lines: DataFrame, sep: str = "~", col: str = "value") -> DataFrame:
     """``id~chat~type`` lines -> (id, chat, type); missing parts are null."""
-    parts = F.split(F.col(col).cast("string"), sep, -1)
+    parts = split_keep_trailing(F.col(col).cast("string"), sep)
     return lines.select(field(parts, 0).alias("id"), field(parts, 1).alias("chat"),
                         field(parts, 2).alias("type"))
 

@@ -87,3 +87,18 @@ def test_lenient_date_garbage_is_null_not_error(spark):
     assert one(spark, lenient, "0000-01-01") is None
     assert one(spark, lenient, "2019-99999999-01") is None
     assert one(spark, lenient, "2019-00-00") == "2018-11-30"
+
+
+def test_separators_are_literal(spark):
+    from rowforge.functions.text import split_keep_trailing, split_trimmed
+    df = spark.createDataFrame([("a|b||",), (" x . y\t.z ",)], "v string")
+    r = df.select(split_keep_trailing("v", "|").alias("p"), split_trimmed("v", ".").alias("t")).collect()
+    assert r[0].p == ["a", "b", "", ""]
+    assert r[1].t == ["x", "y", "z"]
+    assert one(spark, lambda c: java_split_width(c, "|"), "a|b||") == 2
+
+
+def test_trimmed_split_with_dollar_separator(spark):
+    from rowforge.functions.text import split_trimmed
+    df = spark.createDataFrame([(" a $ b$c ",)], "v string")
+    assert df.select(split_trimmed("v", "$").alias("t")).first().t == ["a", "b", "c"]
