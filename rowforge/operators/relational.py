@@ -62,8 +62,19 @@ def antijoin_not_in(df: DataFrame, col: str, lookup: DataFrame, lookup_col: str,
         return df.sparkSession.sql(
             f"SELECT * FROM {{left}} WHERE `{col}` NOT IN (SELECT __lk FROM {{right}})",
             left=df, right=lk)
+    return not_in_shuffled(df, col, lk, "__lk")
+
+
+def not_in_shuffled(df: DataFrame, col: str, lookup: DataFrame, lookup_col: str) -> DataFrame:
+    """``NOT IN`` semantics for a lookup of any size, without a nested loop:
+    a null in the lookup -> no rows; an empty lookup -> every row (nulls
+    too); otherwise the non-null values not in the lookup (shuffled
+    ``left_anti``).  The two probes read at most one row each."""
+    lk = lookup.select(F.col(lookup_col).alias("__lk"))
     if lk.where(F.col("__lk").isNull()).limit(1).count() > 0:
         return df.limit(0)
+    if lk.limit(1).count() == 0:
+        return df
     return df.where(F.col(col).isNotNull()).join(lk, F.col(col) == lk["__lk"], "left_anti")
 
 

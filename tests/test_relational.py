@@ -103,12 +103,16 @@ def test_balance_summary(spark):
 
 
 def test_not_in_large_list_rewrite_is_exact(spark):
+    from rowforge.operators.relational import not_in_shuffled
     w = words(spark, ["a", None, "the", "b"])
-    # max_broadcast_rows=0 forces the shuffled rewrite
+    # max_broadcast_rows=0 forces the shuffled rewrite for non-empty lists
     assert got(antijoin_not_in(w, "word", stop(spark, ["the"]), "stopword", 0)) == ["a", "b"]
     assert got(antijoin_not_in(w, "word", stop(spark, ["the", None]), "stopword", 0)) == []
     empty = spark.createDataFrame([], "stopword string")
-    assert got(antijoin_not_in(w, "word", empty, "stopword", 0)) == ["a", "b", "the", None]
+    # the rewrite itself, on every case, against the SQL form
+    for lk in (stop(spark, ["the"]), stop(spark, ["the", None]), empty, stop(spark, [None])):
+        assert got(not_in_shuffled(w, "word", lk, "stopword")) == \
+            got(antijoin_not_in(w, "word", lk, "stopword"))
 
 
 def test_split_by_value_salted_layout(spark, scratch):
