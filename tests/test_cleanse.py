@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from rowforge.operators import cleanse as cl
 from rowforge.operators.cleanse import LineSpec
