@@ -32,16 +32,25 @@ def split_by_values(df: DataFrame, col: str, values: list) -> dict:
 
 
 def write_split_by(df: DataFrame, col: str, path: str, fmt: str = "parquet",
-                   mode: str = "overwrite", files_per_value: int | None = None) -> None:
+                   mode: str = "overwrite", layout: str = "rebalance",
+                   files_per_value: int = 4) -> None:
     """All splits in one pass: one directory per value of ``col``; readers
     prune to the directories they filter on.
 
-    By default each task writes the values it holds (no shuffle, but up to
-    tasks x values files).  ``files_per_value`` shuffles rows to
-    (value, hash bucket) first: each value lands in at most that many files,
-    and a value holding a third of all rows is still spread over that many
-    tasks instead of one."""
-    if files_per_value:
+    layout:
+      ``rebalance`` (default) -- rows go to tasks by value and AQE splits
+        any oversized value (a date holding a third of all rows) into
+        advisory-size tasks and merges small ones, so file sizes follow the
+        data whatever its skew;
+      ``salted`` -- exactly ``files_per_value`` hash buckets per value;
+      ``local`` -- no shuffle: each task writes the values it holds (up to
+        tasks x values small files).
+    """
+    if layout == "rebalance":
+        df = df.hint("rebalance", col)
+    elif layout == "salted":
         bucket = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value))
         df = df.repartition(F.col(col), bucket)
+    elif layout != "local":
+        raise ValueError(f"unknown layout {layout!r}")
     df.write.mode(mode).partitionBy(col).format(fmt).save(path)

@@ -121,7 +121,7 @@ def test_split_by_value_salted_layout(spark, scratch):
     from rowforge.operators.splitting import write_split_by
     df = spark.range(1000).select((F.col("id") % 3).alias("d"), "id")
     p = scratch("split")
-    write_split_by(df, "d", p, files_per_value=2)
+    write_split_by(df, "d", p, layout="salted", files_per_value=2)
     back = spark.read.parquet(p)
     assert back.count() == 1000
     for v in range(3):
@@ -133,3 +133,23 @@ def test_broadcast_check_bounds_bytes_too(spark):
     wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("s"))
     assert fits_broadcast(wide, 10, 100_000)
     assert not fits_broadcast(wide, 10, 5_000)
+
+
+def test_split_by_value_rebalance_splits_a_hot_value(spark, scratch):
+    import glob
+    import os
+    from rowforge.operators.splitting import write_split_by
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        df = spark.range(200000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 10).alias("d"),
+            F.sha2(F.col("id").cast("string"), 256).alias("pad")).repartition(8)
+        p = scratch("rebalance")
+        write_split_by(df, "d", p)
+    finally:
+        spark.conf.set(key, old)
+    assert spark.read.parquet(p).count() == 200000
+    hot = glob.glob(os.path.join(p.replace("file:", ""), "d=0", "part-*"))
+    assert len(hot) > 1          # the value holding a third of the rows is split
