@@ -6,6 +6,7 @@ from them into the shared checkpoint folder) in full.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -38,6 +39,19 @@ from rowforge.sources.text import read_text_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 _written: dict[tuple, str] = {}
+_lock = threading.RLock()
+
+
+def _once(spark: SparkSession, sf: str, key: str, make) -> str:
+    """Path of an intermediate built once per session and data set
+    (``make(path)`` writes it); safe when jobs run from several threads."""
+    k = (spark.sparkContext.applicationId, sf, key)
+    with _lock:
+        if k not in _written:
+            path = scratch_path(spark, "prepared", key)
+            make(path)
+            _written[k] = path
+        return _written[k]
 
 
 def _t(spark, sf, name):
@@ -46,12 +60,7 @@ def _t(spark, sf, name):
 
 def _rendered(spark: SparkSession, sf: str, key: str, make, **kw) -> str:
     """Render once per session and data set into the shared folder."""
-    k = (spark.sparkContext.applicationId, sf, key)
-    if k not in _written:
-        path = scratch_path(spark, "rendered", key)
-        render.write_lines(make(), path, **kw)
-        _written[k] = path
-    return _written[k]
+    return _once(spark, sf, key, lambda path: render.write_lines(make(), path, **kw))
 
 
 def _insurance_text(spark, sf, variant: int) -> DataFrame:
@@ -63,15 +72,14 @@ def _insurance_text(spark, sf, variant: int) -> DataFrame:
 def _insurance_csv(spark, sf) -> DataFrame:
     """File 1 through the typed CSV reader, ingested once per session into a
     Parquet table (fixed set of dropped malformed rows, see read_csv_typed)."""
-    k = (spark.sparkContext.applicationId, sf, "insurance1_typed")
-    if k not in _written:
+    def ingest(store):
         path = _rendered(spark, sf, "insurance1_csv",
                          lambda: render.insurance_lines(_t(spark, sf, "orders"), 1, with_header=False),
                          header_per_file=render.INSURANCE_HEADER)
-        store = scratch_path(spark, "ingested", "insurance1")
         read_csv_typed(spark, path, INSURANCE_SCHEMA, date_format="yyyy-MM-dd", store_path=store)
-        _written[k] = store
-    return spark.read.schema(INSURANCE_SCHEMA).parquet(_written[k])
+
+    store = _once(spark, sf, "insurance1_typed", ingest)
+    return spark.read.schema(INSURANCE_SCHEMA).parquet(store)
 
 
 def _mixed_text_path(spark, sf) -> str:
@@ -93,13 +101,10 @@ def _cleansed(spark, sf, variant) -> tuple[DataFrame, DataFrame]:
     """(kept typed rows, rejected lines) of one file, classified once per
     session into a status-partitioned table under the shared folder; later
     jobs read it with partition pruning instead of re-parsing the text."""
-    k = (spark.sparkContext.applicationId, sf, f"cleansed{variant}")
-    if k not in _written:
-        store = scratch_path(spark, "cleansed", f"file{variant}")
-        cl.cleanse(_insurance_text(spark, sf, variant), _spec(variant), render.INSURANCE_HEADER,
-                   store_path=store)
-        _written[k] = store
-    stored = spark.read.parquet(_written[k])
+    store = _once(spark, sf, f"cleansed{variant}",
+                  lambda path: cl.cleanse(_insurance_text(spark, sf, variant), _spec(variant),
+                                          render.INSURANCE_HEADER, store_path=path))
+    stored = spark.read.parquet(store)
     kept = stored.where(F.col("status") == "kept").select(*_spec(variant).names)
     rejected = stored.where(F.col("status") == "rejected").select("value", "reject_reason")
     return kept, rejected
