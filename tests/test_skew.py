@@ -42,3 +42,21 @@ def test_dedup_counts_with_one_hot_row(spark):
     assert r.total_count == 30000
     assert r.distinct_count == 20000 + 1
     assert r.duplicate_count == 30000 - 20001
+
+
+def test_segment_stats_generic_path_with_null_priority(spark):
+    orders = skewed_orders(spark, 3000).withColumn(
+        "o_orderpriority", F.when(F.col("o_orderkey") % 7 == 0, F.lit(None))
+        .otherwise(F.col("o_orderpriority")))
+    customer = spark.range(500).select(
+        F.col("id").alias("c_custkey"), (F.col("id") % 25).cast("int").alias("c_nationkey"),
+        F.lit("S").alias("c_mktsegment"), (F.col("id") * 0.5).alias("c_acctbal"))
+    nation = spark.range(25).select(F.col("id").cast("int").alias("n_nationkey"),
+                                    F.col("id").cast("string").alias("n_name"))
+    got = {(r.n_name, r.o_orderpriority): r.total
+           for r in segment_stats(orders, customer, nation).collect()}
+    want = {(r.n_name, r.o_orderpriority): r["count"] for r in
+            orders.join(customer, orders.o_custkey == customer.c_custkey)
+                  .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+                  .groupBy("n_name", "o_orderpriority").count().collect()}
+    assert got == want and any(k[1] is None for k in got)
