@@ -45,3 +45,11 @@ def keyword_count(words: DataFrame, word_col: str = "word",
     """Occurrences per word (case-sensitive, punctuation kept)."""
     return (words.groupBy(F.col(word_col).alias(key_name))
                  .agg(F.count(F.lit(1)).alias(count_name)))
+
+
+def top_keywords(counts: DataFrame, k: int, key: str = "chatkeywords",
+                 count: str = "occurances") -> DataFrame:
+    """The ``k`` most frequent keywords (ties by keyword, so the report is
+    reproducible).  Planned as a per-partition top-k merged at the end: no
+    partition is sorted whole and only k rows per task move."""
+    return counts.orderBy(F.col(count).desc(), F.col(key).asc_nulls_last()).limit(k)

@@ -269,6 +269,9 @@ O["keyword_count"] = _with(_TOK) + f"""
 SELECT word AS chatkeywords, count(*) AS occurances FROM tok
 WHERE word NOT IN (SELECT stopword FROM {STOP}) GROUP BY word"""
 
+O["keyword_top"] = f"""SELECT * FROM ({O["keyword_count"]}) k
+ORDER BY occurances DESC, chatkeywords ASC NULLS LAST LIMIT 20"""
+
 # ------------------------------------------------------------------ streaming (same answers as batch)
 O["stream_file_source"] = O["parse_delimited_message"]
 O["stream_tokens"] = _with(_MSG, _MTOK) + "\nSELECT id, word FROM mtok"

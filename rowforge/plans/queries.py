@@ -19,6 +19,7 @@ from rowforge.functions.sql import register_sql_functions
 from rowforge.functions.text import clean_special_chars, split_keep_trailing, java_trim
 from rowforge.functions.urls import url_protocol, url_scheme
 from rowforge.operators import cleanse as cl
+from rowforge.operators.aggregate import top_keywords
 from rowforge.operators.partitioning import balance_summary
 from rowforge.operators.relational import (
     antijoin_left_anti, antijoin_not_in, antijoin_outer_null, dedup_counts, dedup_exact,
@@ -484,6 +485,14 @@ def q_keyword_count(spark, sf):
     return chat.keywords(_chat_tokens(spark, sf), _stop(spark))
 
 
+TOP_KEYWORDS = 20
+
+
+def q_keyword_top(spark, sf):
+    """The most recurring customer keywords (a top-k report)."""
+    return top_keywords(q_keyword_count(spark, sf), TOP_KEYWORDS)
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)
