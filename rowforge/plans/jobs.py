@@ -22,9 +22,7 @@ from rowforge.sources.csv import read_csv_strings, read_csv_typed
 from rowforge.sources.lookup import read_lookup_list
 from rowforge.sources.text import read_text_lines
 from rowforge.streaming import chat as sc
-from rowforge.streaming.runner import (
-    run_append_to_files, run_complete_to_files, use_rocksdb_state,
-)
+from rowforge.streaming.runner import run_append_to_files, run_complete_to_files
 
 
 def cleansing_job(spark: SparkSession, file1: str, file2: str, out: str,
@@ -92,6 +90,5 @@ def chat_job(spark: SparkSession, chat_dir: str, stopwords: str, out: str,
         sc.customer_words(sc.text_stream(spark, chat_dir, max_files_per_trigger)), stop,
         null_aware=True)
     run_append_to_files(words, f"{out}/words", f"{ck}/words")
-    use_rocksdb_state(spark)
     run_complete_to_files(sc.stream_keyword_counts(words), f"{out}/keywords", f"{ck}/keywords",
-                          fmt="json", n_state=spark.sparkContext.defaultParallelism)
+                          fmt="json", n_state=spark.sparkContext.defaultParallelism, rocksdb=True)

@@ -14,7 +14,7 @@ from rowforge.sources.tables import create_database
 from rowforge.streaming import chat as sc
 from rowforge.streaming.runner import (
     read_latest_versions, read_result, run_append_to_files, run_complete_to_files, run_to_table,
-    run_update_to_versions, use_rocksdb_state,
+    run_update_to_versions,
 )
 
 # Files per micro-batch for the text source: several batches per run, so the
@@ -67,22 +67,20 @@ def q_stream_append(spark, sf):
 
 
 def q_stream_complete(spark, sf):
-    use_rocksdb_state(spark)
     out, ck = _paths(spark, "keywords")
     words = sc.words_without_stop(sc.customer_words(_lines(spark, sf)), batch._stop(spark))
     counts = sc.stream_keyword_counts(words)
-    run_complete_to_files(counts, out, ck, n_state=_n_state(spark))
+    run_complete_to_files(counts, out, ck, n_state=_n_state(spark), rocksdb=True)
     return read_result(spark, out, counts.schema)
 
 
 def q_stream_update(spark, sf):
     """Keyword counts in update mode: each batch writes only changed keys,
     the reader takes the latest version per keyword."""
-    use_rocksdb_state(spark)
     out, ck = _paths(spark, "keyword_versions")
     words = sc.words_without_stop(sc.customer_words(_lines(spark, sf)), batch._stop(spark))
     counts = sc.stream_keyword_counts(words)
-    run_update_to_versions(counts, out, ck, n_state=_n_state(spark))
+    run_update_to_versions(counts, out, ck, n_state=_n_state(spark), rocksdb=True)
     return read_latest_versions(spark, out, counts.schema, ["chatkeywords"])
 
 
@@ -111,11 +109,10 @@ def q_stream_to_parquet(spark, sf):
 
 
 def q_stream_agg_to_json(spark, sf):
-    use_rocksdb_state(spark)
     out, ck = _paths(spark, "conv_keywords")
     toks = chat.conversation_tokens(_conversations(spark, sf))
     counts = sc.stream_keyword_counts(sc.words_without_stop(toks, batch._stop(spark)))
-    run_complete_to_files(counts, out, ck, fmt="json", n_state=_n_state(spark))
+    run_complete_to_files(counts, out, ck, fmt="json", n_state=_n_state(spark), rocksdb=True)
     return read_result(spark, out, counts.schema, fmt="json")
 
 

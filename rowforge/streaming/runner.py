@@ -19,8 +19,9 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def use_rocksdb_state(spark) -> None:
-    """Keep large state (an unbounded vocabulary) off the JVM heap.  Must be
-    set before a query first starts on its checkpoint."""
+    """Session default: keep large state (an unbounded vocabulary) off the
+    JVM heap.  Must be set before a query first starts on its checkpoint;
+    the runners' ``rocksdb=True`` does the same for one query only."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
@@ -47,32 +48,39 @@ def run_append_to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "p
 
 
 @contextmanager
-def state_partitions(spark, n: int | None):
-    """Partitions of a stateful stream's shuffle and state store, set only
-    while the query starts (the stream runs on a clone of the session taken
-    at start, so the caller's setting is restored right after).  The number
-    is fixed by a checkpoint's first run; later runs keep the recorded one."""
-    if not n:
-        yield
-        return
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
+def stream_start_conf(spark, n_state: int | None = None, rocksdb: bool = False):
+    """Settings for a stateful stream, applied only while it starts: the
+    state partition count and the state store.  A stream runs on a clone of
+    the session taken at start (and records both in its checkpoint on the
+    first run), so the caller's session settings are restored right after."""
+    conf = {}
+    if n_state:
+        conf["spark.sql.shuffle.partitions"] = str(n_state)
+    if rocksdb:
+        conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def run_complete_to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
-                          timeout_s: int | None = None, n_state: int | None = None):
+                          timeout_s: int | None = None, n_state: int | None = None,
+                          rocksdb: bool = False):
     """Complete-mode result (an aggregate without watermark) written as the
     whole current table after every micro-batch.  Overwrite, not append, so a
     repeated batch or a second run never duplicates keys."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").format(fmt).save(path)
 
-    with state_partitions(df.sparkSession, n_state):
+    with stream_start_conf(df.sparkSession, n_state, rocksdb):
         q = (df.writeStream.outputMode("complete").foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     return _finish(q, timeout_s)
@@ -110,7 +118,8 @@ def run_to_memory(df: DataFrame, name: str, mode: str = "append", checkpoint: st
 
 
 def run_update_to_versions(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
-                           timeout_s: int | None = None, n_state: int | None = None):
+                           timeout_s: int | None = None, n_state: int | None = None,
+                           rocksdb: bool = False):
     """Update-mode aggregate: each micro-batch writes only the keys it
     changed, into ``path/batch_id=<n>`` (overwritten if the batch is
     replayed, so it stays exactly-once).  Unlike complete mode, the write per
@@ -118,7 +127,7 @@ def run_update_to_versions(df: DataFrame, path: str, checkpoint: str, fmt: str =
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
 
-    with state_partitions(df.sparkSession, n_state):
+    with stream_start_conf(df.sparkSession, n_state, rocksdb):
         q = (df.writeStream.outputMode("update").foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     return _finish(q, timeout_s)

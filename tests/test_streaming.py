@@ -162,8 +162,12 @@ def test_state_partitions_leave_session_setting_alone(spark, scratch):
     write_chat(src, CHAT, "c.txt")
     kept = sc.words_without_stop(sc.customer_words(sc.text_stream(spark, src)),
                                  lookup_from_values(spark, STOP))
-    run_complete_to_files(sc.stream_keyword_counts(kept), out, ck, n_state=3)
+    store_key = "spark.sql.streaming.stateStore.providerClass"
+    store_before = spark.conf.get(store_key, None)
+    run_complete_to_files(sc.stream_keyword_counts(kept), out, ck, n_state=3, rocksdb=True)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.conf.get(store_key, None) == store_before
     assert spark.read.parquet(out).count() == 21
     offsets = os.path.join(ck.replace("file:", ""), "offsets", "0")
-    assert '"spark.sql.shuffle.partitions":"3"' in open(offsets).read()
+    text = open(offsets).read()
+    assert '"spark.sql.shuffle.partitions":"3"' in text and "RocksDBStateStoreProvider" in text
