@@ -42,11 +42,31 @@ def insure_view(ds: DataFrame) -> DataFrame:
 
 
 
-def customers_and_states(ragged: DataFrame) -> tuple[DataFrame, DataFrame]:
+def customers_and_states(ragged: DataFrame, store_path: str | None = None
+                         ) -> tuple[DataFrame, DataFrame]:
     """Split the mixed 5/2-column file (read as strings) by its third
     column: customers where it is set, states where it is null (so a
-    customer with an empty last name lands among the states)."""
-    custs, states = split_by_null(ragged, "_c2")
+    customer with an empty last name lands among the states).
+
+    With ``store_path`` the file is parsed once and written partitioned by
+    side; each side then reads only its own folder, so the small states side
+    can be size-checked (and broadcast) without scanning the customers."""
+    if store_path:
+        side = F.when(F.col("_c2").isNotNull(), "cust").otherwise("state")
+        ragged.withColumn("side", side).write.mode("overwrite").partitionBy("side").parquet(store_path)
+        schema = StructType(list(ragged.schema.fields) + [StructField("side", StringType())])
+        return customers_and_states_from_store(
+            ragged.sparkSession.read.schema(schema).parquet(store_path))
+    return _named(*split_by_null(ragged, "_c2"))
+
+
+def customers_and_states_from_store(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The two sides of a stored split (``side`` partition column)."""
+    return _named(stored.where(F.col("side") == "cust").drop("side"),
+                  stored.where(F.col("side") == "state").drop("side"))
+
+
+def _named(custs: DataFrame, states: DataFrame) -> tuple[DataFrame, DataFrame]:
     custs = custs.withColumnsRenamed({"_c0": "Id", "_c1": "FirstName", "_c2": "LastName",
                                       "_c3": "Age", "_c4": "Profession"})
     states = (states.drop("_c2", "_c3", "_c4")

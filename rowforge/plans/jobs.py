@@ -67,7 +67,8 @@ def enrichment_job(spark: SparkSession, plans_csv: str, custs_states: str, out:
     cleaned = ds3.withColumn("NetworkName", clean_special_chars("NetworkName"))
     sinks.write_json(cleaned.drop("DentalOnlyPlan"), f"{out}/cleaned_json")
     sinks.write_csv(cleaned.drop("DentalOnlyPlan"), f"{out}/cleaned_csv", header=True, sep="~")
-    custs, states = insurance.customers_and_states(read_csv_strings(spark, custs_states, 5))
+    custs, states = insurance.customers_and_states(
+        read_csv_strings(spark, custs_states, 5), store_path=scratch_path(spark, "jobs", "custs_states"))
     ds22 = insurance.insure_view(ds1)
     sinks.write_parquet(insurance.enriched_view(ds22, states, custs), f"{out}/enriched",
                         mode="overwrite")
