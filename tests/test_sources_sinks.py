@@ -137,3 +137,20 @@ def test_csv_dropmalformed_fixed_by_ingest(spark, scratch):
     assert stored.count() == 1
     assert stored.select("IssuerId").count() == 1
     assert stored.select("NetworkName").distinct().count() == 1
+
+
+def test_header_per_file_fixture_loses_no_line(spark, scratch):
+    import glob
+    from pyspark.sql import functions as F
+    from rowforge.plans.render import write_lines
+    head = ",".join(INSURANCE_SCHEMA.fieldNames())
+    body = spark.range(1000).repartition(7).select(F.concat_ws(
+        ",", F.col("id").cast("string"), F.lit("2"), F.lit("2019-10-01"), F.lit("AL"), F.lit("S"),
+        F.lit("N"), F.lit("u"), F.lit("5"), F.lit("M"), F.lit("D")).alias("value"))
+    p = scratch("hdr_fixture")
+    write_lines(body, p, header_per_file=head)
+    parts = glob.glob(os.path.join(local(p), "part-*"))
+    assert len(parts) >= 2
+    assert all(open(f).readline().rstrip("\n") == head for f in parts)
+    df = read_csv_typed(spark, p, INSURANCE_SCHEMA)
+    assert df.count() == 1000 and df.select("IssuerId").distinct().count() == 1000
