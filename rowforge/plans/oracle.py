@@ -239,6 +239,8 @@ SELECT CAST(row_number() OVER (PARTITION BY o_orderpriority
        avg_acctbal, total, n_name, o_orderpriority, c_mktsegment
 FROM ({O["group_avg_count"]}) g"""
 
+O["sink_parquet_single"] = O["rank_within_protocol"]
+
 # ------------------------------------------------------------------ URL and text functions
 _URLS = """u AS (SELECT page_id, CASE WHEN page_id % 5 = 0 THEN regexp_replace(url, '^https?://', '')
                                WHEN page_id % 7 = 3 THEN upper(url) ELSE url END AS url FROM pages)"""

@@ -236,6 +236,15 @@ def q_sink_csv_tilde_header(spark, sf):
     return spark.read.schema(_CUST_DDL).option("header", True).option("sep", "~").csv(path)
 
 
+def q_sink_parquet_single(spark, sf):
+    """A single Parquet file -- used for a result of bounded size (the
+    ranking has at most nations x priorities x segments rows at any scale),
+    never for a row-level table."""
+    path = scratch_path(spark, "out", "parquet_single")
+    sinks.write_parquet(q_rank_within_protocol(spark, sf), path, single_file=True)
+    return spark.read.parquet(path)
+
+
 def q_sink_parquet(spark, sf):
     path = scratch_path(spark, "out", "parquet")
     sinks.write_parquet(q_enrich_inner_join(spark, sf), path)

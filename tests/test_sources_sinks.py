@@ -154,3 +154,12 @@ def test_header_per_file_fixture_loses_no_line(spark, scratch):
     assert all(open(f).readline().rstrip("\n") == head for f in parts)
     df = read_csv_typed(spark, p, INSURANCE_SCHEMA)
     assert df.count() == 1000 and df.select("IssuerId").distinct().count() == 1000
+
+
+def test_registered_single_file_sink_writes_one_file(spark):
+    import glob
+    from conftest import SF_SMALL
+    from rowforge.plans.queries import q_sink_parquet_single
+    df = q_sink_parquet_single(spark, SF_SMALL)
+    files = {f for f in df.inputFiles()}
+    assert len(files) == 1 and df.count() > 0
