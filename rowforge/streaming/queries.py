@@ -13,7 +13,7 @@ from rowforge.session import scratch_path
 from rowforge.sources.tables import create_database
 from rowforge.streaming import chat as sc
 from rowforge.streaming.runner import (
-    read_latest_versions, read_result, run_append_to_files, run_complete_to_files, run_to_table,
+    compact_versions, read_latest_versions, read_result, run_append_to_files, run_complete_to_files, run_to_table,
     run_update_to_versions,
 )
 
@@ -75,12 +75,14 @@ def q_stream_complete(spark, sf):
 
 
 def q_stream_update(spark, sf):
-    """Keyword counts in update mode: each batch writes only changed keys,
-    the reader takes the latest version per keyword."""
+    """Keyword counts in update mode: each batch writes only changed keys;
+    the versions are compacted into a snapshot and the reader takes the
+    latest value per keyword."""
     out, ck = _paths(spark, "keyword_versions")
     words = sc.words_without_stop(sc.customer_words(_lines(spark, sf)), batch._stop(spark))
     counts = sc.stream_keyword_counts(words)
     run_update_to_versions(counts, out, ck, n_state=_n_state(spark), rocksdb=True)
+    compact_versions(spark, out, counts.schema, ["chatkeywords"])
     return read_latest_versions(spark, out, counts.schema, ["chatkeywords"])
 
 

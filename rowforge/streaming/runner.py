@@ -133,13 +133,63 @@ def run_update_to_versions(df: DataFrame, path: str, checkpoint: str, fmt: str =
     return _finish(q, timeout_s)
 
 
+def _snapshots(path: str) -> str:
+    return path.rstrip("/") + "__snapshots"
+
+
+def _with(schema, name: str) -> StructType:
+    return StructType(list(schema.fields) + [StructField(name, LongType())])
+
+
+def _latest_snapshot(spark, path: str, schema, fmt: str):
+    """(upto, rows) of the newest compacted snapshot, or (None, None)."""
+    snaps = read_result(spark, _snapshots(path), _with(schema, "upto"), fmt)
+    m = snaps.agg(F.max("upto").alias("m")).first()["m"]
+    if m is None:
+        return None, None
+    return m, snaps.where(F.col("upto") == m).drop("upto")
+
+
+def _versions(spark, path: str, schema, fmt: str, upto: int | None = None) -> DataFrame:
+    """All versions still needed: the newest snapshot (as its batch id) plus
+    the batches after it, optionally only those up to ``upto``."""
+    df = read_result(spark, path, _with(schema, "batch_id"), fmt)
+    base, snap = _latest_snapshot(spark, path, schema, fmt)
+    if base is not None:
+        df = df.where(F.col("batch_id") > base).unionByName(
+            snap.withColumn("batch_id", F.lit(base).cast("long")))
+    if upto is not None:
+        df = df.where(F.col("batch_id") <= upto)
+    return df
+
+
+def _newest_per_key(df: DataFrame, schema, keys: list[str]) -> DataFrame:
+    values = [c for c in schema.fieldNames() if c not in keys]
+    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("__v"))
+    return latest.select(*keys, *[F.col(f"__v.{c}").alias(c) for c in values])
+
+
 def read_latest_versions(spark, path: str, schema, keys: list[str],
                          fmt: str = "parquet") -> DataFrame:
     """Current value per key from ``run_update_to_versions`` output: the row
-    of the highest batch id (one shuffle on the keys, partial max_by)."""
-    full = StructType(list(schema.fields) + [StructField("batch_id", LongType())])
-    df = read_result(spark, path, full, fmt)
-    values = [c for c in schema.fieldNames() if c not in keys]
-    latest = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*values), F.col("batch_id")).alias("__v"))
-    return latest.select(*keys, *[F.col(f"__v.{c}").alias(c) for c in values])
+    of the highest batch id (one shuffle on the keys, partial max_by).  After
+    ``compact_versions`` only the newest snapshot and the batches after it
+    are read (partition pruning skips the older folders)."""
+    return _newest_per_key(_versions(spark, path, schema, fmt), schema, keys)
+
+
+def compact_versions(spark, path: str, schema, keys: list[str], fmt: str = "parquet") -> int | None:
+    """Fold every version up to the newest batch ``m`` into one snapshot,
+    written beside the versions (``<path>__snapshots/upto=<m>``).  Versions
+    are never rewritten or deleted: a stream still running, or replaying an
+    old batch, only writes deltas that readers either still read (> m) or
+    that the snapshot already covers (<= m).  Returns ``m``, or None when
+    there is nothing to compact."""
+    m = (read_result(spark, path, _with(schema, "batch_id"), fmt)
+         .agg(F.max("batch_id").alias("m")).first()["m"])
+    base, _ = _latest_snapshot(spark, path, schema, fmt)
+    if m is None or (base is not None and base >= m):
+        return base
+    snap = _newest_per_key(_versions(spark, path, schema, fmt, upto=m), schema, keys)
+    snap.write.mode("overwrite").format(fmt).save(f"{_snapshots(path)}/upto={m}")
+    return m

@@ -171,3 +171,34 @@ def test_state_partitions_leave_session_setting_alone(spark, scratch):
     offsets = os.path.join(ck.replace("file:", ""), "offsets", "0")
     text = open(offsets).read()
     assert '"spark.sql.shuffle.partitions":"3"' in text and "RocksDBStateStoreProvider" in text
+
+
+def test_compacted_versions_read_the_same(spark, scratch):
+    from rowforge.streaming.runner import (
+        compact_versions, read_latest_versions, run_update_to_versions)
+    use_rocksdb_state(spark)
+    src, out, ck = scratch("cv_src"), scratch("cv_out"), scratch("cv_ck")
+    for i, part in enumerate([CHAT[:6], CHAT[6:12]]):
+        write_chat(src, part, f"p{i}.txt")
+
+    def run():
+        kept = sc.words_without_stop(sc.customer_words(sc.text_stream(spark, src, 1)),
+                                     lookup_from_values(spark, STOP))
+        counts = sc.stream_keyword_counts(kept)
+        run_update_to_versions(counts, out, ck)
+        return counts.schema
+
+    schema = run()
+    before = sorted(tuple(r) for r in read_latest_versions(spark, out, schema, ["chatkeywords"]).collect())
+    assert compact_versions(spark, out, schema, ["chatkeywords"]) == 1
+    after = sorted(tuple(r) for r in read_latest_versions(spark, out, schema, ["chatkeywords"]).collect())
+    assert after == before
+    write_chat(src, CHAT[12:], "p2.txt")     # the stream goes on after compaction
+    run()
+    cur = {r.chatkeywords: r.occurances
+           for r in read_latest_versions(spark, out, schema, ["chatkeywords"]).collect()}
+    assert len(cur) == 21 and cur["hi"] == 2 and cur["connection"] == 2
+    assert compact_versions(spark, out, schema, ["chatkeywords"]) == 2
+    again = {r.chatkeywords: r.occurances
+             for r in read_latest_versions(spark, out, schema, ["chatkeywords"]).collect()}
+    assert again == cur
