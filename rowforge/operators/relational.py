@@ -90,12 +90,16 @@ def rows_not_in(a: DataFrame, b: DataFrame) -> DataFrame:
 
     Every copy of a matched row goes and every copy of an unmatched row
     stays -- neither ``subtract`` (distinct) nor ``exceptAll`` (multiset).
-    ``b`` is reduced to its distinct rows before the shuffle.
+    ``b`` is reduced to its distinct rows (partial aggregate) first.
     """
-    cols = a.columns
-    bd = b.select(*[F.col(c).alias(f"__b_{c}") for c in cols]).distinct()
-    cond = reduce(lambda x, y: x & y, [a[c].eqNullSafe(bd[f"__b_{c}"]) for c in cols])
-    return a.join(bd, cond, "left_anti")
+    # The whole row as one struct key: struct equality treats null fields as
+    # equal (and NaN / -0.0 like <=>), and B's distinct is then already
+    # hash-partitioned on the join key, so B is shuffled once, not twice.
+    # A travels only as the struct and is expanded after the join.
+    row = F.struct(*[F.col(c) for c in a.columns])
+    bd = b.select(row.alias("__row")).distinct()
+    ak = a.select(row.alias("__row"))
+    return ak.join(bd, ak["__row"] == bd["__row"], "left_anti").select("__row.*")
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:
