@@ -14,22 +14,23 @@ def main(argv=None) -> None:
     p.add_argument("--master", default=None, help="e.g. local[8]; omit under spark-submit")
     sub = p.add_subparsers(dest="job", required=True)
     c = sub.add_parser("cleanse", help="two plan files -> kept/rejected/merged/deduplicated")
-    c.add_argument("--file1", required=True)
-    c.add_argument("--file2", required=True)
-    c.add_argument("--out", required=True)
+    c.add_argument("--file1", required=True, help="plan lines, header first, dates yyyy-MM-dd")
+    c.add_argument("--file2", required=True, help="plan lines, dates dd-MM-yyyy, fields may be padded")
+    c.add_argument("--out", required=True, help="output folder")
     e = sub.add_parser("enrich", help="plan CSV + customers/states -> enriched + ranking")
-    e.add_argument("--plans", required=True)
-    e.add_argument("--custs-states", required=True)
-    e.add_argument("--out", required=True)
+    e.add_argument("--plans", required=True, help="plan CSV with header (10 columns)")
+    e.add_argument("--custs-states", required=True,
+                   help="mixed file: customers (5 fields) and states (2 fields)")
+    e.add_argument("--out", required=True, help="output folder")
     e.add_argument("--jdbc-url")
     e.add_argument("--jdbc-table")
     e.add_argument("--jdbc-user")
     e.add_argument("--jdbc-password")
     t = sub.add_parser("chat", help="chat files -> words + keyword counts")
-    t.add_argument("--chat-dir", required=True)
-    t.add_argument("--stopwords", required=True)
-    t.add_argument("--out", required=True)
-    t.add_argument("--checkpoint")
+    t.add_argument("--chat-dir", required=True, help="folder receiving id~text~type files")
+    t.add_argument("--stopwords", required=True, help="one stop word per line")
+    t.add_argument("--out", required=True, help="output folder")
+    t.add_argument("--checkpoint", help="stream checkpoint folder (default: under spark.checkpoint.dir)")
     a = p.parse_args(argv)
 
     spark = build_session(a.master, app=f"rowforge-{a.job}")
