@@ -53,3 +53,45 @@ def top_keywords(counts: DataFrame, k: int, key: str = "chatkeywords",
     reproducible).  Planned as a per-partition top-k merged at the end: no
     partition is sorted whole and only k rows per task move."""
     return counts.orderBy(F.col(count).desc(), F.col(key).asc_nulls_last()).limit(k)
+
+
+def small_value_set(df: DataFrame, cols: list[str], limit: int) -> list[tuple] | None:
+    """The distinct combinations of ``cols`` if there are at most ``limit``
+    and none has a null (at most limit + 1 rows reach the driver), else None."""
+    rows = df.select(*cols).distinct().limit(limit + 1).collect()
+    if len(rows) > limit or any(v is None for r in rows for v in r):
+        return None
+    return sorted(tuple(r) for r in rows)
+
+
+def fold_counts(df: DataFrame, key: str, cols: list[str], limit: int = 64,
+                count_name: str = "n") -> tuple[DataFrame, list[tuple] | None]:
+    """Rows counted per ``key`` and per combination of the few-valued
+    ``cols``, as ONE aggregation keyed by ``key`` alone: one count column per
+    combination (found by a bounded probe).  Its map-side partial aggregate
+    folds a hot key to one row per task, and its hash partitioning on
+    ``key`` is reused by a later join on ``key`` -- one shuffle instead of
+    two.  Unfold with ``unfold_counts`` after the join.
+
+    With more than ``limit`` combinations (or a null) the plain
+    ``groupBy(key, *cols).count()`` is returned with combos None."""
+    combos = small_value_set(df, cols, limit)
+    if combos is None:
+        return df.groupBy(key, *cols).agg(F.count(F.lit(1)).alias(count_name)), None
+    def match(combo):
+        cond = F.lit(True)
+        for c, v in zip(cols, combo):
+            cond = cond & (F.col(c) == F.lit(v))
+        return cond
+    folded = df.groupBy(key).agg(*[F.count_if(match(c)).alias(f"__n{i}")
+                                   for i, c in enumerate(combos)])
+    return folded, combos
+
+
+def unfold_counts(df: DataFrame, combos: list[tuple], cols: list[str], keep: list[str],
+                  count_name: str = "n") -> DataFrame:
+    """Back to one (cols..., count) row per non-zero folded count."""
+    pairs = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(cols, combo)],
+                               F.col(f"__n{i}").alias(count_name))
+                      for i, combo in enumerate(combos)])
+    return df.select(*keep, F.inline(pairs)).where(F.col(count_name) > 0)

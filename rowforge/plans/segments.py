@@ -19,49 +19,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowforge.operators.aggregate import rank_within
+from rowforge.operators.aggregate import fold_counts, rank_within, unfold_counts
 from rowforge.operators.partitioning import maybe_broadcast
 
 GROUP_KEYS = ["n_name", "o_orderpriority", "c_mktsegment"]
 MAX_FOLDED_VALUES = 64
 
 
-def _small_value_set(df: DataFrame, col: str, limit: int) -> list | None:
-    """The distinct values of ``col`` if there are at most ``limit`` and no
-    null (at most limit + 1 rows reach the driver), else None."""
-    vals = [r[0] for r in df.select(col).distinct().limit(limit + 1).collect()]
-    if len(vals) > limit or any(v is None for v in vals):
-        return None
-    return sorted(vals)
-
-
-def _orders_per_customer(orders: DataFrame) -> tuple[DataFrame, list | None]:
-    prios = _small_value_set(orders, "o_orderpriority", MAX_FOLDED_VALUES)
-    if prios is None:
-        return (orders.groupBy("o_custkey", "o_orderpriority")
-                      .agg(F.count(F.lit(1)).alias("n_orders")), None)
-    p = F.col("o_orderpriority")
-    folded = orders.groupBy("o_custkey").agg(
-        *[F.count_if(p == v).alias(f"__n{i}") for i, v in enumerate(prios)])
-    return folded, prios
-
-
-def _unfold(df: DataFrame, prios: list, keep: list[str]) -> DataFrame:
-    """One (priority, n_orders) row per non-zero count."""
-    pairs = F.array(*[F.struct(F.lit(v).alias("o_orderpriority"), F.col(f"__n{i}").alias("n_orders"))
-                      for i, v in enumerate(prios)])
-    return (df.select(*keep, F.inline(pairs))
-              .where(F.col("n_orders") > 0))
-
-
 def segment_stats(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    per_cust, prios = _orders_per_customer(orders.select("o_custkey", "o_orderpriority"))
+    per_cust, prios = fold_counts(orders.select("o_custkey", "o_orderpriority"), "o_custkey",
+                                  ["o_orderpriority"], MAX_FOLDED_VALUES, "n_orders")
     cust = customer.select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
     nat = maybe_broadcast(nation.select("n_nationkey", "n_name"), 100_000)
     j = (per_cust.join(cust, per_cust["o_custkey"] == cust["c_custkey"], "inner")
                  .join(nat, cust["c_nationkey"] == nat["n_nationkey"], "inner"))
     if prios is not None:
-        j = _unfold(j, prios, ["n_name", "c_mktsegment", "c_acctbal"])
+        j = unfold_counts(j, prios, ["o_orderpriority"], ["n_name", "c_mktsegment", "c_acctbal"],
+                          "n_orders")
     n, bal = F.col("n_orders"), F.col("c_acctbal")
     # avg over the joined order rows = sum(balance * orders) / orders with a
     # balance; the sum is rounded back to cents so the result is exact.
