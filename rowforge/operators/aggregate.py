@@ -73,7 +73,9 @@ def fold_counts(df: DataFrame, key: str, cols: list[str], limit: int = 64,
     ``key`` is reused by a later join on ``key`` -- one shuffle instead of
     two.  Unfold with ``unfold_counts`` after the join.
 
-    With more than ``limit`` combinations (or a null) the plain
+    Each row is compared once per combination, so folding pays for a
+    handful of combinations (it saves a shuffle of the counted rows), not
+    for dozens.  With more than ``limit`` combinations (or a null) the plain
     ``groupBy(key, *cols).count()`` is returned with combos None."""
     combos = small_value_set(df, cols, limit)
     if combos is None:

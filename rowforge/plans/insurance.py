@@ -9,7 +9,7 @@ from pyspark.sql.types import DateType, IntegerType, StringType, StructField, St
 from rowforge.functions.keys import composite_key, with_audit_columns
 from rowforge.functions.text import clean_special_chars
 from rowforge.functions.urls import url_protocol
-from rowforge.operators.aggregate import fold_counts, rank_within, unfold_counts
+from rowforge.operators.aggregate import rank_within
 from rowforge.operators.cleanse import LineSpec
 from rowforge.operators.relational import enrich_inner_join, harmonise_key
 from rowforge.operators.splitting import split_by_null
@@ -74,8 +74,6 @@ def _named(custs: DataFrame, states: DataFrame) -> tuple[DataFrame, DataFrame]:
     return custs, states
 
 
-MAX_FOLDED_COMBOS = 128
-
 ENRICHED_COLUMNS = ["IssuerId", "IssuerId2", "BusinessDate", "State_desc", "srcnm", "NetworkName",
                     "NetworkURL", "custnum", "MarketCoverage", "issueridcomposite", "sysdt", "systs",
                     "cleannetworkname", "curdt", "curts", "yr", "mth", "Protocol", "Profession", "Age"]
@@ -109,22 +107,15 @@ def protocol_ranking(ds22: DataFrame, states: DataFrame, custs: DataFrame) -> Da
     rows, numbered per protocol by count.
 
     Same result as grouping the enriched view, but plans are first counted
-    per customer and (state code, protocol) so the customer join sees one
-    row per customer, whatever share of plans one customer holds.  With few
-    (state code, protocol) combinations the counts are folded into one
-    aggregation keyed by customer, whose shuffle the join reuses."""
-    plans = ds22.select("custnum", "stcd", url_protocol("NetworkURL").alias("Protocol"))
-    pre, combos = fold_counts(plans, "custnum", ["stcd", "Protocol"], MAX_FOLDED_COMBOS, "n")
+    per (customer, state code, protocol) so the customer join sees a few
+    rows per customer, whatever share of plans one customer holds.  (The
+    flagship's one-shuffle folding is not used: with dozens of state codes
+    it costs about what it saves.)"""
+    pre = (ds22.groupBy("custnum", "stcd", url_protocol("NetworkURL").alias("Protocol"))
+               .agg(F.count(F.lit(1)).alias("n")))
     c = _customers(custs)
-    if combos is None:
-        j = enrich_inner_join(pre, [(states, pre["stcd"] == states["State_cd"], True),
-                                    (c, pre["custnum"] == c["cust_id"], False)])
-    else:
-        # join customers on the folded rows (one shuffle of plans, on custnum),
-        # then unfold and join the small states lookup
-        j = pre.join(c, pre["custnum"] == c["cust_id"], "inner")
-        j = unfold_counts(j, combos, ["stcd", "Protocol"], ["Age", "Profession"], "n")
-        j = enrich_inner_join(j, [(states, j["stcd"] == states["State_cd"], True)])
+    j = enrich_inner_join(pre, [(states, pre["stcd"] == states["State_cd"], True),
+                                (c, pre["custnum"] == c["cust_id"], False)])
     age, n = F.col("Age").try_cast("double"), F.col("n")
     g = j.groupBy("State_desc", "Protocol", "Profession").agg(
         (F.round(F.sum(age * n), 2) / F.sum(F.when(age.isNotNull(), n))).alias("avg_age"),
