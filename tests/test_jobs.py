@@ -84,3 +84,13 @@ def test_cli_parses_and_runs_chat(spark, scratch):
     stop = write(scratch("cli_stop"), STOP)
     main(["--master", "local[2]", "chat", "--chat-dir", src, "--stopwords", stop, "--out", out])
     assert spark.read.parquet(f"{out}/words").count() == 24
+
+
+def test_cli_cleanse(spark, scratch, capsys):
+    import json
+    from rowforge.__main__ import main
+    f1, f2, out = write(scratch("cli_f1"), FILE1), write(scratch("cli_f2"), FILE2), scratch("cli_clean")
+    main(["cleanse", "--file1", f1, "--file2", f2, "--out", out])
+    res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert res["dedup"] == {"total_count": 4, "distinct_count": 3, "duplicate_count": 1}
+    assert spark.read.parquet(f"{out}/deduplicated").count() == 3
