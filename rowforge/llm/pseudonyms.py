@@ -22,6 +22,8 @@ a value that fails validation is left alone.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +51,11 @@ PATTERNS = {
 _ANY = "|".join(PATTERNS.values())
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _symbols(text: Column) -> Column:
     """The letters and digits of a string as (value, radix); letters count the
     same in either case."""
@@ -63,62 +70,53 @@ def _numbers(*values_and_radices: tuple[Column, int]) -> Column:
                      for v, m in values_and_radices])
 
 
-def permute(symbols: Column, kind: str, key: str) -> Column:
+def permute(symbols: Column, kind: Column, key: str) -> Column:
     """The keyed Feistel permutation of an array of (value, radix): the new
     values, each below the radix of its position."""
-    half = F.floor(F.size(symbols) / 2).cast("int")
-    start = F.struct(F.slice(symbols, 1, half).alias("left"),
-                     F.slice(symbols, half + 1, F.size(symbols) - half).alias("right"))
-
     def turn(state: Column, number: Column) -> Column:
         other = F.array_join(F.transform(state["right"], lambda y: y["v"].cast("string")), ",")
 
-        def shifted(x: Column, place: Column) -> Column:
-            digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), number.cast("string"),
-                                        place.cast("string"), other), 256)
-            shift = F.conv(F.substring(digest, 1, 14), 16, 10).cast("long")
-            return F.struct(((x["v"] + shift) % x["m"]).alias("v"), x["m"].alias("m"))
+        def shifted(seed: Column) -> Column:
+            return F.transform(state["left"], lambda x, place: F.struct(
+                ((x["v"] + F.conv(F.substring(F.sha2(F.concat(place.cast("string"), F.lit("|"), seed), 256), 1, 14),
+                                  16, 10).cast("long")) % x["m"]).alias("v"), x["m"].alias("m")))
 
-        return F.struct(state["right"].alias("left"), F.transform(state["left"], shifted).alias("right"))
+        return F.struct(state["right"].alias("left"), _let(
+            F.concat_ws("|", F.lit(key), kind, number.cast("string"), other), shifted).alias("right"))
 
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn)
-    return F.transform(F.concat(end["left"], end["right"]), lambda x: x["v"])
+    def run(all_of: Column) -> Column:
+        half = F.floor(F.size(all_of) / 2).cast("int")
+        start = F.struct(F.slice(all_of, F.lit(1), half).alias("left"),
+                         F.slice(all_of, half + 1, F.size(all_of) - half).alias("right"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn,
+                           lambda end: F.transform(F.concat(end["left"], end["right"]), lambda x: x["v"]))
+
+    return _let(symbols, run)
 
 
 def _rendered(shape: Column, values: Column) -> Column:
-    """``shape`` with its letters and digits replaced in order by ``values``."""
+    """``shape`` with its letters and digits replaced in order by ``values``,
+    which has to be a variable or column."""
     def one(c: Column, i: Column) -> Column:
-        v = F.get(values, F.length(F.regexp_replace(F.substring(shape, F.lit(1), i), "[^A-Za-z0-9]", ""))).cast("int")
-        return (F.when(c.rlike("[0-9]"), v.cast("string")).when(c.rlike("[a-z]"), F.char(v + 97))
-                .when(c.rlike("[A-Z]"), F.char(v + 65)).otherwise(c))
+        place = F.length(F.regexp_replace(F.substring(shape, F.lit(1), i), "[^A-Za-z0-9]", ""))
+        return F.when(c.rlike("[A-Za-z0-9]"), _let(F.get(values, place).cast("int"), lambda v: F.when(
+            c.rlike("[0-9]"), v.cast("string")).when(c.rlike("[a-z]"), F.char(v + 97)).otherwise(F.char(v + 65))
+        )).otherwise(c)
     return F.array_join(F.transform(F.split(shape, ""), one), "")
 
 
-def _charwise(shape: Column, kind: str, key: str) -> Column:
-    return _rendered(shape, permute(_symbols(shape), kind, key))
-
-
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
 
 def luhn_sum(digits: Column, double_last: bool) -> Column:
     """Sum of the Luhn scheme from the right, doubling the last digit or not."""
+    def add(s: Column, c: Column) -> Column:
+        twice = c.cast("int") * 2
+        return F.struct((s["sum"] + F.when(s["twice"], F.floor(twice / 10).cast("int") + twice % 10)
+                         .otherwise(c.cast("int"))).alias("sum"), (~s["twice"]).alias("twice"))
     return F.aggregate(F.split(F.reverse(digits), ""),
-                       F.struct(F.lit(0).alias("sum"), F.lit(double_last).alias("twice")),
-                       lambda s, c: F.struct(
-                           (s["sum"] + F.when(s["twice"], F.floor(c.cast("int") * 2 / 10).cast("int")
-                                              + c.cast("int") * 2 % 10).otherwise(c.cast("int"))).alias("sum"),
-                           (~s["twice"]).alias("twice")))["sum"]
-
-
-def _card(m: Column, key: str) -> tuple[Column, Column]:
-    digits = _digits(m)
-    valid = (luhn_sum(digits, False) % 10 == 0) & F.length(digits).between(13, 19) & ~digits.rlike("^0+$")
-    body = F.substring(digits, F.lit(1), F.length(digits) - 1)
-    new = F.array_join(permute(_symbols(body), "card", key), "")
-    check = ((10 - luhn_sum(new, True) % 10) % 10).cast("string")
-    return valid, _rendered(m, F.transform(F.split(F.concat(new, check), ""), lambda c: c.cast("long")))
+                       F.struct(F.lit(0).alias("sum"), F.lit(double_last).alias("twice")), add, lambda s: s["sum"])
 
 
 def _mod97(text: Column) -> Column:
@@ -126,88 +124,111 @@ def _mod97(text: Column) -> Column:
         c.rlike("[0-9]"), (s * 10 + F.ascii(c) - 48) % 97).otherwise((s * 100 + F.ascii(c) - 55) % 97))
 
 
-def _iban(m: Column, key: str) -> tuple[Column, Column]:
+def _day(m: Column) -> Column:
+    read = lambda p: F.try_to_timestamp(m, F.lit(p)).cast("date")
+    return (F.when(m.rlike(r"^\d{4}-"), read("yyyy-MM-dd")).when(m.contains("."), read("dd.MM.yyyy"))
+            .otherwise(F.coalesce(read("dd/MM/yyyy"), read("MM/dd/yyyy"))))
+
+
+def _day_text(m: Column, day: Column) -> Column:
+    day_first = F.try_to_timestamp(m, F.lit("dd/MM/yyyy")).isNotNull()
+    return (F.when(m.rlike(r"^\d{4}-"), F.date_format(day, "yyyy-MM-dd"))
+            .when(m.contains("."), F.date_format(day, "dd.MM.yyyy"))
+            .when(day_first, F.date_format(day, "dd/MM/yyyy")).otherwise(F.date_format(day, "MM/dd/yyyy")))
+
+
+def _day_number(m: Column) -> Column:
+    return F.datediff(_day(m), F.lit(FIRST_DAY).cast("date"))
+
+
+def _part(m: Column, start: int, length: int) -> Column:
+    return F.substring(m, start, length).cast("int")
+
+
+def _valid(m: Column) -> dict[str, Column]:
+    """The test of each kind beyond its pattern."""
     plain = F.regexp_replace(m, " ", "")
-    country, body = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
-    valid = (_mod97(F.concat(body, F.substring(plain, 1, 4))) == 1) & F.length(plain).between(15, 34)
-    new = _charwise(body, "iban", key)
-    check = F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
-    chars = F.split(F.concat(country, check, new), "")
-    # blanks go back where they were
-    out = F.array_join(F.transform(F.split(m, ""), lambda c, i: F.when(c == " ", c).otherwise(F.get(
-        chars, F.length(F.regexp_replace(F.substring(m, F.lit(1), i), " ", ""))))), "")
-    return valid, out
-
-
-def _ip(m: Column, key: str) -> tuple[Column, Column]:
-    octets = F.transform(F.split(m, r"\."), lambda x: x.cast("int"))
-    valid = F.forall(octets, lambda x: x <= 255) & ~m.rlike(r"(?:^|\.)0\d")
-    return valid, F.array_join(permute(_numbers(*[(F.get(octets, i), 256) for i in range(4)]), "ip", key), ".")
-
-
-def _date(m: Column, key: str) -> tuple[Column, Column]:
-    out_of = lambda p: F.try_to_timestamp(m, F.lit(p)).cast("date")
-    iso, dotted = m.rlike(r"^\d{4}-"), m.rlike(r"\.")
-    day_first, month_first = out_of("dd/MM/yyyy"), out_of("MM/dd/yyyy")
-    day = (F.when(iso, out_of("yyyy-MM-dd")).when(dotted, out_of("dd.MM.yyyy"))
-           .otherwise(F.coalesce(day_first, month_first)))
-    number = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
-    years, days = YEARS_DAYS
-    valid = F.coalesce(number.between(0, years * days - 1), F.lit(False))
-    new = permute(_numbers((F.floor(number / days), years), (number % days, days)), "date", key)
-    moved = F.date_add(F.lit(FIRST_DAY).cast("date"), (F.get(new, 0) * days + F.get(new, 1)).cast("int"))
-    text = (F.when(iso, F.date_format(moved, "yyyy-MM-dd")).when(dotted, F.date_format(moved, "dd.MM.yyyy"))
-            .when(day_first.isNotNull(), F.date_format(moved, "dd/MM/yyyy"))
-            .otherwise(F.date_format(moved, "MM/dd/yyyy")))
-    return valid, text
-
-
-def _ssn(m: Column, key: str) -> tuple[Column, Column]:
-    part = [x.cast("int") for x in (F.substring(m, 1, 3), F.substring(m, 5, 2), F.substring(m, 8, 4))]
-    valid = part[0].between(1, 899) & (part[0] != 666) & (part[1] > 0) & (part[2] > 0)
-    area = part[0] - 1 - F.when(part[0] > 666, 1).otherwise(0)
-    new = permute(_numbers((area, 898), (part[1] - 1, 99), (part[2] - 1, 9999)), "ssn", key)
-    back = F.get(new, 0) + 1
-    back = back + F.when(back >= 666, 1).otherwise(0)
-    return valid, F.concat(F.lpad(back.cast("string"), 3, "0"), F.lit("-"),
-                           F.lpad((F.get(new, 1) + 1).cast("string"), 2, "0"), F.lit("-"),
-                           F.lpad((F.get(new, 2) + 1).cast("string"), 4, "0"))
-
-
-def _phone(m: Column, key: str) -> tuple[Column, Column]:
-    """The national digits: all after a country code that is set off, else the
-    last ten."""
+    return {
+        "email": F.lit(True),
+        "credential": F.lit(True),
+        "iban": F.length(plain).between(15, 34) & (_mod97(F.concat(
+            F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))) == 1),
+        "ip": F.forall(F.split(m, r"\."), lambda x: x.cast("int") <= 255) & ~m.rlike(r"(?:^|\.)0\d"),
+        "date": F.coalesce(_day_number(m).between(0, YEARS_DAYS[0] * YEARS_DAYS[1] - 1), F.lit(False)),
+        "ssn": (_part(m, 1, 3).between(1, 899) & (_part(m, 1, 3) != 666) & (_part(m, 5, 2) > 0)
+                & (_part(m, 8, 4) > 0)),
+        "phone": F.length(_digits(m)).between(7, 15),
+        "card": (_let(_digits(m), lambda d: luhn_sum(d, False)) % 10 == 0) & ~_digits(m).rlike("^0+$"),
+    }
+
+
+def _kind(m: Column) -> Column:
+    out = F.lit(None).cast("string")
+    for kind, valid in reversed(_valid(m).items()):
+        out = F.when(m.rlike("^(?:" + PATTERNS[kind] + ")$") & valid, F.lit(kind)).otherwise(out)
+    return out
+
+
+def _head(m: Column, kind: Column) -> Column:
+    """What stays in front of the permuted part: a country code that is set
+    off (else all but the last ten digits), a key's name, or nothing."""
     code = F.regexp_extract(m, r"^\+\d{1,3}(?=[ .(-])[ .-]?", 0)
     code = F.when((code == "") & m.startswith("+"),
                   F.substring(m, F.lit(1), F.greatest(F.length(m) - 10, F.lit(1)))).otherwise(code)
-    rest = F.substring(m, F.length(code) + 1, F.length(m))
-    valid = F.length(_digits(m)).between(7, 15)
-    return valid, F.concat(code, _charwise(rest, "phone", key))
-
-
-def _email(m: Column, key: str) -> tuple[Column, Column]:
-    local = F.substring_index(m, "@", 1)
-    return F.lit(True), F.concat(_charwise(local, "email", key), F.substring(m, F.length(local) + 1, F.length(m)))
+    name = F.regexp_extract(m, r"^(?:AKIA(?=[0-9A-Z]{16}$)|" + _ASSIGN + r"[ ]?[=:][ ]?[\"']?)", 0)
+    return F.when(kind == "phone", code).when(kind == "credential", name).otherwise(F.lit(""))
 
 
-def _credential(m: Column, key: str) -> tuple[Column, Column]:
-    head = F.regexp_extract(m, r"^(?:AKIA(?=[0-9A-Z]{16}$)|" + _ASSIGN + r"[ ]?[=:][ ]?[\"']?)", 0)
-    tail = F.substring(m, F.length(head) + 1, F.length(m))
-    return F.lit(True), F.concat(head, _charwise(tail, "credential", key))
+def _body(m: Column, kind: Column, head: Column) -> Column:
+    """The part whose characters are permuted one by one."""
+    rest = F.substring(m, F.length(head) + 1, F.length(m))
+    plain = F.regexp_replace(m, " ", "")
+    return (F.when(kind == "email", F.substring_index(m, "@", 1))
+            .when(kind == "card", F.substring(_digits(m), F.lit(1), F.length(_digits(m)) - 1))
+            .when(kind == "iban", F.substring(plain, F.lit(5), F.length(plain))).otherwise(rest))
 
 
-_MAKERS = {"email": _email, "credential": _credential, "iban": _iban, "ip": _ip, "date": _date,
-           "ssn": _ssn, "phone": _phone, "card": _card}
-_PIECE = "struct<kind: string, text: string>"
+def _symbols_of(m: Column, kind: Column, body: Column) -> Column:
+    octets = F.split(m, r"\.")
+    area = _part(m, 1, 3)
+    years, days = YEARS_DAYS
+    return (F.when(kind == "ip", _numbers(*[(F.get(octets, i), 256) for i in range(4)]))
+            .when(kind == "date", _let(_day_number(m), lambda n: _numbers(
+                (F.floor(n / days), years), (n % days, days))))
+            .when(kind == "ssn", _numbers((area - 1 - F.when(area > 666, 1).otherwise(0), 898),
+                                          (_part(m, 5, 2) - 1, 99), (_part(m, 8, 4) - 1, 9999)))
+            .otherwise(_symbols(body)))
+
+
+def _iban_text(m: Column, new: Column) -> Column:
+    """Country, new check digits and new body, with the blanks of ``m``."""
+    check = F.lpad((98 - _mod97(F.concat(new, F.substring(m, 1, 2), F.lit("00")))).cast("string"), 2, "0")
+    return _let(F.split(F.concat(F.substring(m, 1, 2), check, new), ""), lambda chars: F.array_join(F.transform(
+        F.split(m, ""), lambda c, i: F.when(c == " ", c).otherwise(F.get(
+            chars, F.length(F.regexp_replace(F.substring(m, F.lit(1), i), " ", ""))))), ""))
+
+
+def _text(m: Column, kind: Column, head: Column, body: Column, values: Column) -> Column:
+    area = F.get(values, 0) + 1
+    padded = lambda c, n: F.lpad(c.cast("string"), n, "0")
+    moved = F.date_add(F.lit(FIRST_DAY).cast("date"), (F.get(values, 0) * YEARS_DAYS[1] + F.get(values, 1)).cast("int"))
+    check = _let(F.array_join(values, ""), lambda d: (10 - luhn_sum(d, True) % 10) % 10)
+    return (F.when(kind == "ip", F.array_join(values, "."))
+            .when(kind == "date", _let(moved, lambda d: _day_text(m, d)))
+            .when(kind == "ssn", F.concat_ws("-", padded(area + F.when(area >= 666, 1).otherwise(0), 3),
+                                             padded(F.get(values, 1) + 1, 2), padded(F.get(values, 2) + 1, 4)))
+            .when(kind == "card", _let(F.array_append(values, check.cast("long")), lambda v: _rendered(m, v)))
+            .otherwise(_let(_rendered(body, values), lambda new: F.when(kind == "iban", _iban_text(m, new)).otherwise(
+                F.concat(head, new, F.substring(m, F.length(head) + F.length(body) + 1, F.length(m)))))))
 
 
 def _replaced(m: Column, key: str) -> Column:
-    out = F.struct(F.lit(None).cast("string").alias("kind"), m.alias("text")).cast(_PIECE)
-    for kind, make in reversed(_MAKERS.items()):
-        valid, new = make(m, key)
-        whole = m.rlike("^(?:" + PATTERNS[kind] + ")$")
-        out = F.when(whole & valid, F.struct(F.lit(kind).alias("kind"), new.alias("text")).cast(_PIECE)).otherwise(out)
-    return out
+    """(kind, new text) of a candidate; (null, itself) if it is not valid."""
+    def known(kind: Column) -> Column:
+        new = _let(_head(m, kind), lambda head: _let(_body(m, kind, head), lambda body: _let(
+            permute(_symbols_of(m, kind, body), kind, key), lambda v: _text(m, kind, head, body, v))))
+        return F.struct(kind.alias("kind"), F.when(kind.isNull(), m).otherwise(new).alias("text"))
+    return _let(_kind(m), known)
 
 
 def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFrame:
@@ -216,12 +237,12 @@ def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFr
     text = F.col(f"`{text_col}`").cast("string")
     marked = F.regexp_replace(F.replace(text, F.lit(_MARK), F.lit(_MARK + "0")), _ANY, _MARK + "1$0" + _MARK + "1")
     plain = lambda piece: F.struct(F.lit(None).cast("string").alias("kind"), F.replace(
-        piece, F.lit(_MARK + "0"), F.lit(_MARK)).alias("text")).cast(_PIECE)
+        piece, F.lit(_MARK + "0"), F.lit(_MARK)).alias("text"))
     cut = docs.withColumn("__pieces", F.split(marked, _MARK + "1", -1))
     done = cut.withColumn("__pieces", F.when(F.size("__pieces") > 1, F.transform(
         "__pieces", lambda p, i: F.when(i % 2 == 1, _replaced(p, key)).otherwise(plain(p)))))
     found = F.filter("__pieces", lambda p: p["kind"].isNotNull())
     return (done.withColumn(text_col, F.when(F.col("__pieces").isNull(), text)
                             .otherwise(F.array_join(F.transform("__pieces", lambda p: p["text"]), "")))
-            .withColumn("pseudonyms", F.coalesce(found, F.array().cast(f"array<{_PIECE}>")))
-            .drop("__pieces"))
+            .withColumn("pseudonyms", F.coalesce(found, F.array().cast(
+                "array<struct<kind: string, text: string>>"))).drop("__pieces"))
