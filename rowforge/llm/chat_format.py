@@ -3,7 +3,7 @@
 Method: a turn's content is an ordered array of typed parts.  ``visit``
 flattens it: a text part becomes its escaped text, an image, audio or
 document part becomes one placeholder, and for each placeholder an attachment
-reference is recorded (turn, position, kind, source and the number of tokens
+reference is recorded (turn, position among the parts, kind, source and the number of tokens
 the placeholder expands to).  ``format_conversations`` joins a conversation's
 turns in order, marks each one, and records the spans of assistant content as
 the loss mask (code points of the formatted string, markers excluded).
@@ -80,11 +80,10 @@ def visit(parts: Column) -> tuple[Column, Column]:
     some = F.coalesce(parts, F.array().cast(PARTS))
     content = F.array_join(F.transform(some, lambda p: F.coalesce(
         _placeholder(p), escape(F.coalesce(p["text"], F.lit(""))))), "")
-    attached = F.transform(
-        F.filter(some, lambda p: F.coalesce(p["type"].isin(list(PLACEHOLDERS)), F.lit(False))),
-        lambda p, i: F.struct(i.alias("position"), p["type"].alias("kind"), p["source"].alias("source"),
-                              expanded_tokens(p).cast("long").alias("tokens")))
-    return content, attached
+    attached = F.transform(some, lambda p, i: F.struct(
+        i.alias("position"), p["type"].alias("kind"), p["source"].alias("source"),
+        expanded_tokens(p).cast("long").alias("tokens")))
+    return content, F.filter(attached, lambda a: F.coalesce(a["kind"].isin(list(PLACEHOLDERS)), F.lit(False)))
 
 
 def format_conversations(turns: DataFrame, *, id_col: str = "conv_id", turn_col: str = "turn",

@@ -107,19 +107,19 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source",
     plan = schedule(quota).groupBy("source").agg(
         F.sort_array(F.collect_list(F.struct("number", "slot"))).alias("__slots"))
     # one row per source, its slots of one period: bounded by the period
-    plan = plan.join(quota, "source").select(F.col("source").alias("__source"), "quota", "period",
-                                             F.transform("__slots", lambda s: s["slot"]).alias("__slots"))
+    plan = plan.join(quota, "source").select(F.col("source").alias("__source"), F.col("quota").alias("__quota"),
+                                             F.col("period").alias("__period"), F.transform("__slots", lambda s: s["slot"]).alias("__slots"))
     before = before.join(plan, "__source")
     local = Window.partitionBy(*key).orderBy("__draw", F.col(f"`{id_col}`"))
     numbered = rows.withColumn("__local", F.row_number().over(local)).join(before, key)
     number = F.col("__before") + F.col("__local") - 1
     block = F.floor(number / block_rows)
-    slot = F.floor(F.col("mix_block") / F.col("quota")) * F.col("period") + F.get(
-        "__slots", (F.col("mix_block") % F.col("quota")).cast("int"))
+    slot = F.floor(F.col("mix_block") / F.col("__quota")) * F.col("__period") + F.get(
+        "__slots", (F.col("mix_block") % F.col("__quota")).cast("int"))
     placed = numbered.withColumn("__number", number).withColumn("mix_block", block.cast("long"))
     placed = placed.withColumn("mix_slot", slot.cast("long"))
     return placed.select(
         *keep, "mix_block", "mix_slot",
-        F.floor(F.col("mix_block") * F.col("period") / F.col("quota")).cast("long").alias("mix_release"),
-        F.ceil((F.col("mix_block") + 1) * F.col("period") / F.col("quota")).cast("long").alias("mix_deadline"),
+        F.floor(F.col("mix_block") * F.col("__period") / F.col("__quota")).cast("long").alias("mix_release"),
+        F.ceil((F.col("mix_block") + 1) * F.col("__period") / F.col("__quota")).cast("long").alias("mix_deadline"),
         (F.col("mix_slot") * block_rows + F.col("__number") % block_rows).cast("long").alias("mix_order"))
