@@ -14,10 +14,13 @@ for a chance of ``MISS`` per pair at exactly t), so
   threshold are confirmed on the full shingle sets of their texts.
 
 Large groups never become all their pairs.  Equal sets are one class from the
-start.  Then every posting list first offers only the pairs with its hub, the
-member whose values are the most common ones, until hubs join nothing more;
-pairs inside one component need no test any more, and what remains to be
-compared are pairs of different components.
+start.  Then every posting list offers only the pairs with its hub, the member
+whose values are the most common ones; pairs inside one component need no test
+any more.  Of the pairs between different components, those of lists of up to
+``SHORT_LIST`` members are joined.  Longer lists that have members in common
+form a family, whose members are dealt into chunks of about ``CHUNK``; pairs of
+chunks are compared as tiles, by the same counts and the same sets, and a tile
+returns no more links than it has members.
 
 Edge cases: null, empty and blank texts have no shingles and link with
 nothing; rows of one ``doc_id`` are one document; a row without ``doc_id`` is
@@ -32,13 +35,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from rowforge.llm.shingles import _weights, mix, shingle_sets
 from rowforge.session import scratch_path
 
 COORDINATES = 64
 MISS = 1e-7
+SHORT_LIST = 16
+CHUNK = 256
 SIGNED = "n_shingles long, set_a long, set_b long, signature binary"
 
 
@@ -143,9 +147,105 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, texts: DataFrame, n: int,
             .where(_linked(n, threshold_pct)("text_a", "text_b")).select("a", "b"))
 
 
+def _families(posted: DataFrame, long_lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """(family, rep, component) of the members of long lists, if a family has
+    more than one component."""
+    spark = posted.sparkSession
+    near = posted.join(long_lists, ["coordinate", "value"]).select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    near = _stored(spark, near.distinct(), "near")
+    nodes = near.select(F.col("a").alias("node")).distinct()
+    family = connected(spark, nodes, near.where("a <> b")).select(
+        F.col("node").alias("rep"), F.col("component").alias("family"))
+    members = _stored(spark, family.join(labels, "rep"), "families")
+    mixed = members.groupBy("family").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    return members.join(mixed.select("family"), "family", "left_semi")
+
+
+def _tiled(members: DataFrame, sets: DataFrame, texts: DataFrame, chunk_rows: int) -> DataFrame:
+    """Each member once for every tile (family, low, high) that its chunk is
+    part of.  Large components have chunks of their own, and two chunks of one
+    component make no tile."""
+    size = members.groupBy("family", "component").agg(F.count("*").alias("n"))
+    large = F.col("n") >= chunk_rows
+    sized = members.join(size, ["family", "component"]).select(
+        "family", "rep", "component", large.alias("large"),
+        F.when(large, F.col("component")).otherwise(0).alias("home"))
+    kind = ["family", "large", "home"]
+    count = sized.groupBy(*kind).agg(F.ceil(F.count("*") / chunk_rows).alias("chunks"))
+    part = F.pmod(F.xxhash64(F.lit("chunk"), "rep"), F.col("chunks"))
+    sized = sized.join(count, kind).withColumn("chunk", F.xxhash64("large", "home", part))
+    others = sized.select("family", F.col("large").alias("other_large"), F.col("home").alias("other_home"),
+                          F.col("chunk").alias("other")).distinct()
+    dealt = sized.join(others, "family").where(~(F.col("large") & F.col("other_large")
+                                                 & (F.col("home") == F.col("other_home"))))
+    return (dealt.select("family", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
+                         "chunk", "rep", "component")
+            .join(sets, "rep").join(texts, "rep"))
+
+
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray], columns: int = 8192) -> np.ndarray:
+    """Sizes of the intersections of all pairs of two lists of sets, by
+    products of 0/1 matrices over the shingles that both lists have."""
+    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    out = np.zeros((len(left), len(right)))
+    held = [[np.searchsorted(both, s[np.isin(s, both, assume_unique=True)]) for s in side] for side in (left, right)]
+    for a in range(0, len(both), columns):
+        m = []
+        for side in held:
+            x = np.zeros((len(side), min(columns, len(both) - a)), np.float32)
+            for i, at in enumerate(side):
+                x[i, at[np.searchsorted(at, a):np.searchsorted(at, a + columns)] - a] = 1
+            m.append(x)
+        out += m[0] @ m[1].T
+    return out
+
+
+def _compare(n: int, threshold_pct: int, needed: int):
+    def compare(rows: pa.Table) -> pa.Table:
+        """Links of one tile that join components: no more than a forest."""
+        chunk = rows.column("chunk").to_numpy()
+        low, high = rows.column("low")[0].as_py(), rows.column("high")[0].as_py()
+        rep, component = rows.column("rep").to_numpy(), rows.column("component").to_numpy()
+        size = rows.column("n_shingles").to_numpy()
+        sig = np.frombuffer(b"".join(rows.column("signature").to_pylist()), "<i4").reshape(len(rep), -1)
+        left, right = np.flatnonzero(chunk == low), np.flatnonzero(chunk == high)
+        agree = np.zeros((len(left), len(right)), np.int16)
+        for k in range(sig.shape[1]):
+            agree += sig[left, None, k] == sig[None, right, k]
+        lesser = np.minimum(size[left][:, None], size[right])
+        able = ((agree >= needed) & (component[left][:, None] != component[right])
+                & (100 * lesser >= threshold_pct * np.maximum(size[left][:, None], size[right])))
+        if low == high:
+            able &= left[:, None] < right
+        i, j = np.flatnonzero(able.any(axis=1)), np.flatnonzero(able.any(axis=0))
+        links = []
+        if len(i):
+            text = rows.column("text").combine_chunks()
+            x, y = (list(shingle_sets(text.take(pa.array(side)), n)) for side in (left[i], right[j]))
+            both = _overlaps(x, y)
+            linked = able[np.ix_(i, j)] & (100 * both >= threshold_pct * (
+                size[left[i]][:, None] + size[right[j]] - both))
+            joined: dict = {}
+
+            def root(c):
+                while c in joined:
+                    c = joined[c]
+                return c
+
+            for a, b in np.argwhere(linked):
+                a, b = left[i[a]], right[j[b]]
+                p, q = root(int(component[a])), root(int(component[b]))
+                if p != q:
+                    joined[max(p, q)] = min(p, q)
+                    links.append((int(rep[a]), int(rep[b])))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()),
+                         "b": pa.array([y for _, y in links], pa.int64())})
+    return compare
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, threshold_pct: int = 80, *,
-                    id_col: str = "doc_id", text_col: str = "text",
-                    coordinates: int = COORDINATES, hub_rounds: int = 2) -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text", coordinates: int = COORDINATES,
+                    short_list: int = SHORT_LIST, chunk_rows: int = CHUNK) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest
     doc_id reachable over links, itself included), kept (doc_id is that one)."""
     spark = docs.sparkSession
@@ -171,40 +271,47 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold_pct: int = 80, *,
     posted = _stored(spark, posted.select("rep", "n_shingles", "weight", "v.coordinate", "v.value"),
                      "posted")
     sets = _stored(spark, classes.join(shared.select("rep"), "rep", "left_semi")
-                   .select("rep", "signature"), "sets")
+                   .select("rep", "n_shingles", "signature"), "sets")
     # rows of one doc_id are one document: its least text stands for it
     texts = (rows.join(shared.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
              .groupBy(F.col("doc_id").alias("rep")).agg(F.min("text").alias("text")))
     texts = _stored(spark, texts, "texts")
 
-    in_reach = ((100 * F.least("n_a", "n_b") >= threshold_pct * F.greatest("n_a", "n_b"))
-                & (F.col("component_a") != F.col("component_b")))
-    links = spark.createDataFrame([], "a long, b long")
-    members = posted.select("rep").distinct().select(F.col("rep").alias("node"))
-    labels = members.select("node", F.col("node").alias("component"))
     key = ["coordinate", "value"]
-    for turn in range(hub_rounds + 1):
-        labelled = posted.join(labels.select(F.col("node").alias("rep"), "component"), "rep")
-        mixed = labelled.groupBy(*key).agg(
-            F.min("component").alias("least"), F.max("component").alias("most"),
-            F.max(F.struct("weight", -F.col("rep"), "n_shingles", "component")).alias("hub")
-        ).where("least <> most")
-        side = labelled.select(*key, F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"),
-                               F.col("component").alias("component_a"))
-        if turn < hub_rounds:
-            other = mixed.select(*key, (-F.col("hub.col2")).alias("b"),
-                                 F.col("hub.n_shingles").alias("n_b"),
-                                 F.col("hub.component").alias("component_b"))
-            pairs = side.join(other, key).where(in_reach)
-        else:
-            open_side = _stored(spark, side.join(mixed.select(*key), key, "left_semi"), "open")
-            other = open_side.select(*key, F.col("a").alias("b"), F.col("n_a").alias("n_b"),
-                                     F.col("component_a").alias("component_b"))
-            pairs = open_side.join(other, key).where(in_reach & (F.col("a") < F.col("b")))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = _stored(spark, _confirmed(pairs, sets, texts, n, threshold_pct, needed), "found")
-        links = links.union(found)
-        labels = _stored(spark, connected(spark, members, links), "components")
+    in_reach = 100 * F.least("n_a", "n_b") >= threshold_pct * F.greatest("n_a", "n_b")
+    confirmed = lambda pairs, name: _stored(spark, _confirmed(
+        pairs.where(in_reach).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
+        sets, texts, n, threshold_pct, needed), name)
+
+    # every member with its list's hub
+    hub = F.max(F.struct("weight", (-F.col("rep")).alias("minus_rep"), "n_shingles"))
+    lists = _stored(spark, posted.groupBy(*key).agg(F.count("*").alias("members"), hub.alias("hub"))
+                    .where("members > 1"), "lists")
+    side = posted.select(*key, F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"))
+    hubs = lists.select(*key, (-F.col("hub.minus_rep")).alias("b"), F.col("hub.n_shingles").alias("n_b"))
+    links = confirmed(side.join(hubs, key).where("a <> b"), "hub_links")
+    reps = sets.select(F.col("rep").alias("node"))
+    labels = _stored(spark, connected(spark, reps, links).withColumnRenamed("node", "rep"), "components")
+
+    # pairs of different components in short lists
+    labelled = posted.join(labels, "rep")
+    mixed = labelled.groupBy(*key).agg(F.count("*").alias("members"), F.min("component").alias("x"),
+                                       F.max("component").alias("y")).where("x <> y")
+    mixed = _stored(spark, mixed.select(*key, "members"), "mixed")
+    short = labelled.join(mixed.where(F.col("members") <= short_list).select(*key), key).select(
+        *key, F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("c_a"))
+    short = _stored(spark, short, "short")
+    other = short.select(*key, F.col("a").alias("b"), F.col("n_a").alias("n_b"), F.col("c_a").alias("c_b"))
+    links = links.union(confirmed(short.join(other, key).where("a < b and c_a <> c_b"), "short_links"))
+
+    # families of long lists, in tiles
+    long_lists = mixed.where(F.col("members") > short_list).select(*key).join(
+        lists.select(*key, (-F.col("hub.minus_rep")).alias("hub")), key)
+    tiles = _tiled(_families(posted, long_lists, labels), sets, texts, chunk_rows)
+    found = tiles.groupBy("family", "low", "high").applyInArrow(
+        _compare(n, threshold_pct, needed), "a long, b long")
+    links = links.union(_stored(spark, found, "tile_links"))
+    labels = _stored(spark, connected(spark, reps, links), "components")
 
     of_class = classes.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "set_a", "set_b", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
