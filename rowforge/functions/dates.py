@@ -33,12 +33,15 @@ def _lenient_regex(fmt: str) -> tuple[str, list[str]]:
 
 
 def normalize_date(c, fmt: str, mode: str = "strict",
-                   out_fmt: str = "yyyy-MM-dd") -> Column:
+                   out_fmt: str = "yyyy-MM-dd", years: tuple[int, int] = (1, 9999)) -> Column:
     """Parse text in ``fmt`` and print it as ``out_fmt``.
 
     strict: anything that is not a real date in ``fmt`` becomes null.
     lenient: numbers are taken as they are and rolled over
-    (``2019-13-01`` -> ``2020-01-01``, ``2019-02-30`` -> ``2019-03-02``).
+    (``2019-13-01`` -> ``2020-01-01``, ``2019-02-30`` -> ``2019-03-02``);
+    null only where a number exceeds an int, or the date (or the month that
+    days are counted from) lies outside ``years``, by default the years that
+    print as four digits.
     """
     c = _c(c)
     if mode == "strict":
@@ -48,12 +51,14 @@ def normalize_date(c, fmt: str, mode: str = "strict",
     rx, order = _lenient_regex(fmt)
     part = {p: F.regexp_extract(c, rx, i + 1) for i, p in enumerate(order)}
     num = {p: F.when(v != "", v.try_cast("int")) for p, v in part.items()}
-    # keep every step inside the date range, so garbage yields null rather
-    # than an ANSI error
-    ok = num["y"].between(1, 9999) & num["m"].between(0, 12000) & num["d"].between(0, 3_660_000)
-    base = F.make_date(num["y"], F.lit(1), F.lit(1))
-    d = F.date_add(F.add_months(base, num["m"] - 1), num["d"] - 1)
-    return F.when(ok, F.date_format(d, out_fmt))
+    months = num["y"].cast("bigint") * 12 + num["m"] - 1
+    year = F.floor(months / 12).cast("int")
+    first = F.when(year.between(*years), F.make_date(year, (F.pmod(months, F.lit(12)) + 1).cast("int"), F.lit(1)))
+    # days from 1970-01-01 as a long, checked before they become a date
+    day = F.unix_date(first).cast("bigint") + num["d"] - 1
+    least, most = (F.unix_date(F.make_date(F.lit(y), F.lit(m), F.lit(d)))
+                   for y, m, d in ((years[0], 1, 1), (years[1], 12, 31)))
+    return F.when(day.between(least, most), F.date_format(F.date_from_unix_date(day.cast("int")), out_fmt))
 
 
 def date_parts(c) -> dict[str, Column]:

@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 
 # Java's String.trim removes every char <= U+0020 at both ends;
 # SQL trim only removes blanks.
-JAVA_TRIM_PATTERN = r"^[\x00-\x20]+|[\x00-\x20]+$"
+JAVA_BLANKS = "".join(map(chr, range(0x21)))
 
 # Characters the cleaner turns into one blank each:
 # the digits 0-9 and  - ? , / _ ( ) [ ]
 SPECIAL_CHARS_PATTERN = r"[0-9\-?,/_()\[\]]"
 
-INT_PATTERN = r"^[+-]?[0-9]+$"
-BLANK_PATTERN = r"^[\x00-\x20]*$"
+INT_PATTERN = r"\A[+-]?[0-9]+\z"
 
 
 def _c(c) -> Column:
@@ -25,13 +24,12 @@ def _c(c) -> Column:
 
 
 def java_trim(c) -> Column:
-    return F.regexp_replace(_c(c), JAVA_TRIM_PATTERN, "")
+    return F.btrim(_c(c), F.lit(JAVA_BLANKS))
 
 
 def is_blank(c) -> Column:
-    """True when the value is empty after a Java-style trim (null stays null).
-    One anchored match, no string is built."""
-    return _c(c).rlike(BLANK_PATTERN)
+    """True when the value is empty after a Java-style trim (null stays null)."""
+    return java_trim(c) == ""
 
 
 def clean_special_chars(c) -> Column:
@@ -50,19 +48,17 @@ def split_keep_trailing(c, sep: str = ",") -> Column:
 
 
 def split_trimmed(c, sep: str = ",") -> Column:
-    """Fields with Java-style trim applied to each: one pass over the line
-    removes the blanks/control chars around every separator and at both
-    ends, then splits (no per-field lambda)."""
-    s = re.escape(sep)
-    literal = sep.replace("\\", "\\\\").replace("$", "\\$")   # replacement text, not a group ref
-    return F.split(F.regexp_replace(java_trim(c), f"[\\x00-\\x20]*{s}[\\x00-\\x20]*", literal), s, -1)
+    """Fields with Java-style trim applied to each; linear in the line,
+    however many blanks it holds."""
+    return F.transform(split_keep_trailing(c, sep), java_trim)
 
 
 def java_split_width(c, sep: str = ",") -> Column:
     """Number of fields of a Java ``split(sep)`` without limit, which drops
     trailing empty fields (``"3,Cy,Ray,50,"`` has 4)."""
     s = re.escape(sep)
-    return F.size(F.split(F.regexp_replace(_c(c), f"(?:{s})+$", ""), s, -1))
+    # a run of separators is entered at its first one only
+    return F.size(F.split(F.regexp_replace(_c(c), rf"(?<!{s})(?:{s})++\z", ""), s, -1))
 
 
 def field(arr, i: int) -> Column:
