@@ -6,25 +6,37 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_avg(value, decimals: int = 2):
-    """Average of values with at most ``decimals`` decimals, deterministic to
-    the last bit: the sum is rounded back to its exact decimal value before
-    the one division, so summation order cannot change the result."""
-    v = F.col(value) if isinstance(value, str) else value
-    return F.round(F.sum(v), decimals) / F.count(v)
+# Fixed value: the decimal type in which values of up to 8 decimals add up exactly.
+EXACT_TYPE = "decimal(26,8)"
+
+
+def average(value, weight=None):
+    """Average of a double column, each value counted ``weight`` times (a
+    whole number) if given; null values do not count.
+
+    Where all values of a group have at most 8 decimals, the sum is exact, so
+    the result does not depend on the order of rows; otherwise it is the plain
+    quotient of double sums."""
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    w = F.lit(1) if weight is None else F.col(weight) if isinstance(weight, str) else weight
+    d = v.try_cast(EXACT_TYPE)
+    n = F.sum(F.when(v.isNotNull(), w))
+    exact = F.bool_and(v.isNull() | F.coalesce(d.cast("double") == v, F.lit(False)))
+    return F.when(exact, F.sum(d * w.cast("decimal(11,0)")).cast("double") / n).otherwise(F.sum(v * w) / n)
 
 
 def group_avg_count(df: DataFrame, keys: list[str], value: str,
                     avg_name: str = "avg_value", count_name: str = "total",
-                    decimals: int = 2) -> DataFrame:
-    """``avg(value)`` and ``count(1)`` per group (partial + final aggregate).
+                    weight: str | None = None) -> DataFrame:
+    """``avg(value)`` and ``count(1)`` per group (partial + final aggregate);
+    with ``weight`` each row stands for that many.
 
     A text ``value`` is converted with ``try_cast`` so one bad entry becomes a
     null (ignored by avg) instead of failing the job.
     """
     v = F.col(value).try_cast("double")
-    return df.groupBy(*keys).agg(exact_avg(v, decimals).alias(avg_name),
-                                 F.count(F.lit(1)).alias(count_name))
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return df.groupBy(*keys).agg(average(v, weight).alias(avg_name), rows.alias(count_name))
 
 
 def rank_within(df: DataFrame, partition_by: list[str], order_desc: str,
@@ -40,60 +52,20 @@ def rank_within(df: DataFrame, partition_by: list[str], order_desc: str,
     return df.withColumn(name, F.row_number().over(w))
 
 
+# Output names of the keyword count.
+KEY_NAME, COUNT_NAME = "chatkeywords", "occurances"
+
+
 def keyword_count(words: DataFrame, word_col: str = "word",
-                  key_name: str = "chatkeywords", count_name: str = "occurances") -> DataFrame:
+                  key_name: str = KEY_NAME, count_name: str = COUNT_NAME) -> DataFrame:
     """Occurrences per word (case-sensitive, punctuation kept)."""
     return (words.groupBy(F.col(word_col).alias(key_name))
                  .agg(F.count(F.lit(1)).alias(count_name)))
 
 
-def top_keywords(counts: DataFrame, k: int, key: str = "chatkeywords",
-                 count: str = "occurances") -> DataFrame:
+def top_keywords(counts: DataFrame, k: int, key: str = KEY_NAME,
+                 count: str = COUNT_NAME) -> DataFrame:
     """The ``k`` most frequent keywords (ties by keyword, so the report is
     reproducible).  Planned as a per-partition top-k merged at the end: no
     partition is sorted whole and only k rows per task move."""
     return counts.orderBy(F.col(count).desc(), F.col(key).asc_nulls_last()).limit(k)
-
-
-def small_value_set(df: DataFrame, cols: list[str], limit: int) -> list[tuple] | None:
-    """The distinct combinations of ``cols`` if there are at most ``limit``
-    and none has a null (at most limit + 1 rows reach the driver), else None."""
-    rows = df.select(*cols).distinct().limit(limit + 1).collect()
-    if len(rows) > limit or any(v is None for r in rows for v in r):
-        return None
-    return sorted(tuple(r) for r in rows)
-
-
-def fold_counts(df: DataFrame, key: str, cols: list[str], limit: int = 64,
-                count_name: str = "n") -> tuple[DataFrame, list[tuple] | None]:
-    """Rows counted per ``key`` and per combination of the few-valued
-    ``cols``, as ONE aggregation keyed by ``key`` alone: one count column per
-    combination (found by a bounded probe).  Its map-side partial aggregate
-    folds a hot key to one row per task, and its hash partitioning on
-    ``key`` is reused by a later join on ``key`` -- one shuffle instead of
-    two.  Unfold with ``unfold_counts`` after the join.
-
-    Each row is compared once per combination, so folding pays for a
-    handful of combinations (it saves a shuffle of the counted rows), not
-    for dozens.  With more than ``limit`` combinations (or a null) the plain
-    ``groupBy(key, *cols).count()`` is returned with combos None."""
-    combos = small_value_set(df, cols, limit)
-    if combos is None:
-        return df.groupBy(key, *cols).agg(F.count(F.lit(1)).alias(count_name)), None
-    def match(combo):
-        cond = F.lit(True)
-        for c, v in zip(cols, combo):
-            cond = cond & (F.col(c) == F.lit(v))
-        return cond
-    folded = df.groupBy(key).agg(*[F.count_if(match(c)).alias(f"__n{i}")
-                                   for i, c in enumerate(combos)])
-    return folded, combos
-
-
-def unfold_counts(df: DataFrame, combos: list[tuple], cols: list[str], keep: list[str],
-                  count_name: str = "n") -> DataFrame:
-    """Back to one (cols..., count) row per non-zero folded count."""
-    pairs = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(cols, combo)],
-                               F.col(f"__n{i}").alias(count_name))
-                      for i, combo in enumerate(combos)])
-    return df.select(*keep, F.inline(pairs)).where(F.col(count_name) > 0)

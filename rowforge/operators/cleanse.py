@@ -141,48 +141,52 @@ def typed_records(lines: DataFrame, spec: LineSpec, col: str = "value") -> DataF
             .select(*spec.names))
 
 
-def rejected_rows(lines: DataFrame, spec: LineSpec, col: str = "value") -> DataFrame:
-    """Rejected raw lines with their reason."""
-    return (classify(lines, spec, col).where(F.col("reject_reason").isNotNull())
-            .select(col, "reject_reason"))
-
-
 def cleanse(lines: DataFrame, spec: LineSpec, header: str | None,
             store_path: str | None = None, col: str = "value") -> tuple[DataFrame, DataFrame]:
     """Header/blank removal + classification in one scan; returns
     (kept typed rows, rejected lines with reason).
 
-    With ``store_path`` (a folder under the shared checkpoint dir) the
-    classified rows are written once, partitioned by status, and both outputs
-    read back from there with partition pruning: lineage is cut, and a lost
-    executor never re-reads the raw input.
+    With ``store_path`` (a folder under the shared checkpoint dir) every line
+    is written once, partitioned by status (kept, rejected, header, blank), and
+    both outputs, as well as ``stored_quality_counts``, read back from there
+    with partition pruning: the text is parsed once, lineage is cut, and a
+    lost executor never re-reads the raw input.
     """
-    body = drop_blank_lines(drop_header(lines, header, col), col)
     kept_row = F.col("reject_reason").isNull()
+    cl = _with_status(classify(lines, spec, col), header, col)
     # the raw line is only kept for rejects (kept rows have their typed values)
-    cl = classify(body, spec, col).withColumns({
-        "status": F.when(kept_row, "kept").otherwise("rejected"),
-        col: F.when(~kept_row, F.col(col))})
+    cl = cl.withColumn(col, F.when(~kept_row, F.col(col)))
     if store_path:
         cl.write.mode("overwrite").partitionBy("status").parquet(store_path)
-        cl = lines.sparkSession.read.parquet(store_path)
+        cl = lines.sparkSession.read.schema(cl.schema).parquet(store_path)
     kept = cl.where(F.col("status") == "kept").select(*spec.names)
     rejected = cl.where(F.col("status") == "rejected").select(col, "reject_reason")
     return kept, rejected
 
 
+def _with_status(classified: DataFrame, header: str | None, col: str) -> DataFrame:
+    status = F.when(is_blank(col), "blank").when(F.col("reject_reason").isNull(), "kept").otherwise("rejected")
+    if header is not None:
+        status = F.when(F.col(col) == F.lit(header), "header").otherwise(status)
+    return classified.withColumn("status", status)
+
+
 def quality_counts(lines: DataFrame, spec: LineSpec, header: str,
                    col: str = "value") -> DataFrame:
     """Reconciliation in one aggregate.  Every line gets exactly one
     category (header, blank, one reject reason, or kept), so
     raw = header + blank + each reject reason + kept by construction."""
-    cl = classify(lines, spec, col)
-    cat = (F.when(F.col(col) == F.lit(header), F.lit("header_lines"))
-            .when(is_blank(col), F.lit("blank_lines"))
-            .when(F.col("reject_reason").isNull(), F.lit("kept"))
-            .otherwise(F.col("reject_reason")))
+    return stored_quality_counts(_with_status(classify(lines, spec, col), header, col))
+
+
+def stored_quality_counts(classified: DataFrame) -> DataFrame:
+    """``quality_counts`` of lines that carry ``status`` and ``reject_reason``,
+    such as ``cleanse`` stores."""
+    named = F.create_map(F.lit("header"), F.lit("header_lines"), F.lit("blank"), F.lit("blank_lines"),
+                         F.lit("kept"), F.lit("kept"))
+    category = F.coalesce(named[F.col("status")], F.col("reject_reason"))
     cats = ["header_lines", "blank_lines", TOO_FEW_FIELDS, MISSING_REQUIRED, BAD_INT, BAD_DATE, "kept"]
     c = F.col("category")
-    return (cl.select(cat.alias("category"))
-              .agg(F.count(F.lit(1)).alias("raw_lines"),
-                   *[F.count_if(c == x).alias(x) for x in cats]))
+    return (classified.select(category.alias("category"))
+            .agg(F.count(F.lit(1)).alias("raw_lines"),
+                 *[F.count_if(c == x).alias(x) for x in cats]))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowforge.operators.partitioning import DEFAULT_BROADCAST_ROWS, fits_broadcast, maybe_broadcast
+from rowforge.session import scratch_path
 
 
 def harmonise_key(df: DataFrame, key: str, to_type: str, alias: str | None = None) -> DataFrame:
@@ -30,9 +31,11 @@ def enrich_inner_join(fact: DataFrame, lookups: list[tuple[DataFrame, Column | l
     return out
 
 
-def _lookup_values(lookup: DataFrame, col: str, value_col: str = "stopword") -> DataFrame:
-    """Distinct, non-null lookup values under one column name."""
-    return lookup.select(F.col(col).alias(value_col)).where(F.col(value_col).isNotNull()).distinct()
+def _lookup_values(lookup: DataFrame, col: str) -> DataFrame:
+    """The non-null lookup values as ``__lk``, repeats included: an anti join
+    does not mind them, and without an aggregate in between both sides are
+    plain shuffles, which AQE splits where a value is hot."""
+    return lookup.select(F.col(col).alias("__lk")).where(F.col("__lk").isNotNull())
 
 
 def antijoin_left_anti(df: DataFrame, col: str, lookup: DataFrame, lookup_col: str,
@@ -42,7 +45,7 @@ def antijoin_left_anti(df: DataFrame, col: str, lookup: DataFrame, lookup_col: s
     Nulls are removed from the lookup (so one null there cannot empty the
     result); null values of ``col`` are dropped unless ``keep_null``.
     """
-    lk = maybe_broadcast(_lookup_values(lookup, lookup_col, "__lk"))
+    lk = maybe_broadcast(_lookup_values(lookup, lookup_col))
     left = df if keep_null else df.where(F.col(col).isNotNull())
     return left.join(lk, left[col] == lk["__lk"], "left_anti")
 
@@ -52,35 +55,34 @@ def antijoin_not_in(df: DataFrame, col: str, lookup: DataFrame, lookup_col: str,
     """SQL ``NOT IN (subquery)`` semantics, null-aware: a null in the lookup
     empties the result, a null value is dropped (kept if the lookup is empty).
 
-    A lookup proven small is left to Catalyst, which plans a broadcast
-    null-aware anti join.  A larger one would make Spark fall back to a
-    nested-loop join, so the same semantics are computed exactly with two
-    bounded probes (any null? any row?) and a shuffled ``left_anti``.
+    One plan whatever the data: whether the lookup has a null, or any row, is
+    an uncorrelated scalar subquery (one aggregate over the lookup, run with
+    the query and once per micro-batch on a stream), beside an equi anti join
+    that needs no nested loop.  The size check only decides on a broadcast hint.
     """
     lk = lookup.select(F.col(lookup_col).alias("__lk"))
-    if fits_broadcast(lk, max_broadcast_rows):
-        return df.sparkSession.sql(
-            f"SELECT * FROM {{left}} WHERE `{col}` NOT IN (SELECT __lk FROM {{right}})",
-            left=df, right=lk)
-    return not_in_shuffled(df, col, lk, "__lk")
-
-
-def not_in_shuffled(df: DataFrame, col: str, lookup: DataFrame, lookup_col: str) -> DataFrame:
-    """``NOT IN`` semantics for a lookup of any size, without a nested loop:
-    a null in the lookup -> no rows; an empty lookup -> every row (nulls
-    too); otherwise the non-null values not in the lookup (shuffled
-    ``left_anti``).  The two probes read at most one row each."""
-    lk = lookup.select(F.col(lookup_col).alias("__lk"))
-    if lk.where(F.col("__lk").isNull()).limit(1).count() > 0:
-        return df.limit(0)
-    if lk.limit(1).count() == 0:
-        return df
-    return df.where(F.col(col).isNotNull()).join(lk, F.col(col) == lk["__lk"], "left_anti")
+    seen = lk.agg(F.struct(F.count_if(F.col("__lk").isNull()).alias("nulls"),
+                           F.count(F.lit(1)).alias("rows")).alias("s")).scalar()
+    allowed = (seen["nulls"] == 0) & (F.col(col).isNotNull() | (seen["rows"] == 0))
+    values = maybe_broadcast(_lookup_values(lookup, lookup_col), max_broadcast_rows)
+    left = df.where(allowed)
+    return left.join(values, left[col] == values["__lk"], "left_anti")
 
 
 def antijoin_outer_null(df: DataFrame, col: str, lookup: DataFrame, lookup_col: str) -> DataFrame:
-    """Left outer join + ``lookup IS NULL`` filter (null values are kept)."""
-    lk = maybe_broadcast(_lookup_values(lookup, lookup_col, "__lk"))
+    """Left outer join + ``lookup IS NULL`` filter (null values are kept).
+
+    The list's distinct values are joined, or a value it repeats would
+    multiply the matched rows before the filter drops them; a list that is too
+    large to broadcast is stored first, so the join's sides are plain shuffles
+    and a hot value is split."""
+    lk = _lookup_values(lookup, lookup_col)
+    if fits_broadcast(lk):
+        lk = F.broadcast(lk.distinct())
+    else:
+        path = scratch_path(df.sparkSession, "lookup")
+        lk.distinct().write.parquet(path)
+        lk = df.sparkSession.read.schema(lk.schema).parquet(path)
     return (df.join(lk, df[col] == lk["__lk"], "left_outer")
               .where(F.col("__lk").isNull()).drop("__lk"))
 
@@ -90,16 +92,15 @@ def rows_not_in(a: DataFrame, b: DataFrame) -> DataFrame:
 
     Every copy of a matched row goes and every copy of an unmatched row
     stays -- neither ``subtract`` (distinct) nor ``exceptAll`` (multiset).
-    ``b`` is reduced to its distinct rows (partial aggregate) first.
     """
     # The whole row as one struct key: struct equality treats null fields as
-    # equal (and NaN / -0.0 like <=>), and B's distinct is then already
-    # hash-partitioned on the join key, so B is shuffled once, not twice.
-    # A travels only as the struct and is expanded after the join.
+    # equal (and NaN / -0.0 like <=>).  Each side is shuffled once, as the
+    # struct, with nothing between its exchange and the join, so AQE can
+    # split a row that A repeats very often.
     row = F.struct(*[F.col(c) for c in a.columns])
-    bd = b.select(row.alias("__row")).distinct()
+    bk = b.select(row.alias("__row"))
     ak = a.select(row.alias("__row"))
-    return ak.join(bd, ak["__row"] == bd["__row"], "left_anti").select("__row.*")
+    return ak.join(bk, ak["__row"] == bk["__row"], "left_anti").select("__row.*")
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:
@@ -117,7 +118,11 @@ def dedup_counts(df: DataFrame) -> DataFrame:
     Rows are grouped by all columns with a partial (map-side) count, so a
     row repeated a billion times is combined before the shuffle.
     """
-    grouped = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
-    return grouped.agg(F.sum("__n").alias("total_count"),
+    return counts_of_groups(df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n")), "__n")
+
+
+def counts_of_groups(grouped: DataFrame, n: str) -> DataFrame:
+    """The same from one row per distinct row with its number ``n``."""
+    return grouped.agg(F.sum(n).alias("total_count"),
                        F.count(F.lit(1)).alias("distinct_count"),
-                       (F.sum("__n") - F.count(F.lit(1))).alias("duplicate_count"))
+                       (F.sum(n) - F.count(F.lit(1))).alias("duplicate_count"))

@@ -26,11 +26,6 @@ def split_by_null(df: DataFrame, probe: str) -> tuple[DataFrame, DataFrame]:
     return df.where(F.col(probe).isNotNull()), df.where(F.col(probe).isNull())
 
 
-def split_by_values(df: DataFrame, col: str, values: list) -> dict:
-    """One filtered frame per value (filters push down to the scan)."""
-    return {v: df.where(F.col(col) == F.lit(v)) for v in values}
-
-
 def write_split_by(df: DataFrame, col: str, path: str, fmt: str = "parquet",
                    mode: str = "overwrite", layout: str = "rebalance",
                    files_per_value: int = 4) -> None:

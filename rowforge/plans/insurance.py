@@ -9,7 +9,7 @@ from pyspark.sql.types import DateType, IntegerType, StringType, StructField, St
 from rowforge.functions.keys import composite_key, with_audit_columns
 from rowforge.functions.text import clean_special_chars
 from rowforge.functions.urls import url_protocol
-from rowforge.operators.aggregate import rank_within
+from rowforge.operators.aggregate import group_avg_count, rank_within
 from rowforge.operators.cleanse import LineSpec
 from rowforge.operators.relational import enrich_inner_join, harmonise_key
 from rowforge.operators.splitting import split_by_null
@@ -41,7 +41,6 @@ def insure_view(ds: DataFrame) -> DataFrame:
 
 
 
-
 def customers_and_states(ragged: DataFrame, store_path: str | None = None
                          ) -> tuple[DataFrame, DataFrame]:
     """Split the mixed 5/2-column file (read as strings) by its third
@@ -74,6 +73,7 @@ def _named(custs: DataFrame, states: DataFrame) -> tuple[DataFrame, DataFrame]:
     return custs, states
 
 
+# The joined view's columns, in order.
 ENRICHED_COLUMNS = ["IssuerId", "IssuerId2", "BusinessDate", "State_desc", "srcnm", "NetworkName",
                     "NetworkURL", "custnum", "MarketCoverage", "issueridcomposite", "sysdt", "systs",
                     "cleannetworkname", "curdt", "curts", "yr", "mth", "Protocol", "Profession", "Age"]
@@ -85,21 +85,29 @@ def _customers(custs: DataFrame) -> DataFrame:
     return harmonise_key(custs.select("Id", "Age", "Profession"), "Id", "int", "cust_id").drop("Id")
 
 
+def _states_of(states: DataFrame, plans: DataFrame) -> DataFrame:
+    """The states whose code some plan has.  The states side also holds every
+    customer without a last name and grows with them; what a plan can join is
+    bounded by the distinct codes of the plans."""
+    codes = plans.select(F.col("stcd").alias("__code")).where("stcd is not null").distinct()
+    return states.join(codes, states["State_cd"] == codes["__code"], "left_semi")
+
+
 def enriched_view(ds22: DataFrame, states: DataFrame, custs: DataFrame) -> DataFrame:
-    """Plans joined to their state (small lookup, size-checked broadcast) and
+    """Plans joined to their state (cut to the plans' codes, size-checked
+    broadcast) and
     customer (shuffle join), with the cleaned name, load date/time, year and
     month of the business date and the URL protocol.  Duplicate lookup keys
     multiply rows, as any inner join does."""
     c = _customers(custs)
-    j = enrich_inner_join(ds22, [(states, ds22["stcd"] == states["State_cd"], True),
+    near = _states_of(states, ds22)
+    j = enrich_inner_join(ds22, [(near, ds22["stcd"] == near["State_cd"], True),
                                  (c, ds22["custnum"] == c["cust_id"], False)])
-    return j.select(
-        "IssuerId", "IssuerId2", "BusinessDate", "State_desc", "srcnm", "NetworkName",
-        "NetworkURL", "custnum", "MarketCoverage", "issueridcomposite", "sysdt", "systs",
-        clean_special_chars("NetworkName").alias("cleannetworkname"),
-        F.current_date().alias("curdt"), F.current_timestamp().alias("curts"),
-        F.year("BusinessDate").alias("yr"), F.month("BusinessDate").alias("mth"),
-        url_protocol("NetworkURL").alias("Protocol"), "Profession", "Age")
+    derived = {"cleannetworkname": clean_special_chars("NetworkName"),
+               "curdt": F.current_date(), "curts": F.current_timestamp(),
+               "yr": F.year("BusinessDate"), "mth": F.month("BusinessDate"),
+               "Protocol": url_protocol("NetworkURL")}
+    return j.select(*[derived[c].alias(c) if c in derived else c for c in ENRICHED_COLUMNS])
 
 
 def protocol_ranking(ds22: DataFrame, states: DataFrame, custs: DataFrame) -> DataFrame:
@@ -108,17 +116,13 @@ def protocol_ranking(ds22: DataFrame, states: DataFrame, custs: DataFrame) -> Da
 
     Same result as grouping the enriched view, but plans are first counted
     per (customer, state code, protocol) so the customer join sees a few
-    rows per customer, whatever share of plans one customer holds.  (The
-    flagship's one-shuffle folding is not used: with dozens of state codes
-    it costs about what it saves.)"""
+    rows per customer, whatever share of plans one customer holds."""
     pre = (ds22.groupBy("custnum", "stcd", url_protocol("NetworkURL").alias("Protocol"))
                .agg(F.count(F.lit(1)).alias("n")))
     c = _customers(custs)
-    j = enrich_inner_join(pre, [(states, pre["stcd"] == states["State_cd"], True),
+    near = _states_of(states, ds22)
+    j = enrich_inner_join(pre, [(near, pre["stcd"] == near["State_cd"], True),
                                 (c, pre["custnum"] == c["cust_id"], False)])
-    age, n = F.col("Age").try_cast("double"), F.col("n")
-    g = j.groupBy("State_desc", "Protocol", "Profession").agg(
-        (F.round(F.sum(age * n), 2) / F.sum(F.when(age.isNotNull(), n))).alias("avg_age"),
-        F.sum(n).alias("total"))
+    g = group_avg_count(j, ["State_desc", "Protocol", "Profession"], "Age", "avg_age", weight="n")
     return (rank_within(g, ["Protocol"], "total", ["State_desc", "Profession"])
             .select("seq_number", "avg_age", "total", "State_desc", "Protocol", "Profession"))

@@ -1,17 +1,12 @@
 """Orders per (nation, priority, market segment) with the customers' average
 balance, and the groups numbered per priority by size.
 
-Plan shape at scale (see PLANS_AT_SCALE.md):
-  orders scan (2 columns) -> one aggregate per customer with a count per
-  priority (map-side partial, so a customer holding any share of all orders
-  is one row per task) -> shuffle on custkey, reused by the join with
-  customer (only customer is exchanged) -> broadcast join with nation
-  (size-checked) -> counts unfolded to (priority, n) rows -> partial/final
-  aggregate on the three keys -> window per priority.
-
-When the priority column has more than ``MAX_FOLDED_VALUES`` distinct values
-(or a null), the generic shape is used instead: count per (custkey,
-priority), then join -- one more shuffle of the counted orders.
+Plan shape at scale (see PLANS_AT_SCALE.md), the same whatever the data:
+  orders scan (2 columns) -> count per (custkey, priority), map-side partial,
+  so a customer holding any share of all orders is a few rows per task ->
+  shuffled join of the counts with customer -> broadcast join with nation
+  (size-checked) -> partial/final aggregate on the three keys -> window per
+  priority.
 """
 
 from __future__ import annotations
@@ -19,29 +14,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowforge.operators.aggregate import fold_counts, rank_within, unfold_counts
+from rowforge.operators.aggregate import group_avg_count, rank_within
 from rowforge.operators.partitioning import maybe_broadcast
 
 GROUP_KEYS = ["n_name", "o_orderpriority", "c_mktsegment"]
-MAX_FOLDED_VALUES = 64
 
 
 def segment_stats(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    per_cust, prios = fold_counts(orders.select("o_custkey", "o_orderpriority"), "o_custkey",
-                                  ["o_orderpriority"], MAX_FOLDED_VALUES, "n_orders")
+    per_cust = orders.groupBy("o_custkey", "o_orderpriority").agg(F.count(F.lit(1)).alias("n_orders"))
     cust = customer.select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
     nat = maybe_broadcast(nation.select("n_nationkey", "n_name"), 100_000)
     j = (per_cust.join(cust, per_cust["o_custkey"] == cust["c_custkey"], "inner")
                  .join(nat, cust["c_nationkey"] == nat["n_nationkey"], "inner"))
-    if prios is not None:
-        j = unfold_counts(j, prios, ["o_orderpriority"], ["n_name", "c_mktsegment", "c_acctbal"],
-                          "n_orders")
-    n, bal = F.col("n_orders"), F.col("c_acctbal")
-    # avg over the joined order rows = sum(balance * orders) / orders with a
-    # balance; the sum is rounded back to cents so the result is exact.
-    return j.groupBy(*GROUP_KEYS).agg(
-        (F.round(F.sum(bal * n), 2) / F.sum(F.when(bal.isNotNull(), n))).alias("avg_acctbal"),
-        F.sum(n).alias("total"))
+    return group_avg_count(j, GROUP_KEYS, "c_acctbal", "avg_acctbal", weight="n_orders")
 
 
 def rank_segments(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:

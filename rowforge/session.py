@@ -77,6 +77,37 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "rowforge", *parts, uuid.uuid4().hex])
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) as the cluster sees them, for listings of folders."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, p = hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def fingerprint(spark: SparkSession, paths: list[str]) -> tuple:
+    """Name, size and time of every file below the paths: changes when the
+    data there does.  A listing only."""
+    out = []
+    for path in paths:
+        fs, p = hadoop_path(spark, path)
+        if not fs.exists(p):
+            continue
+        files = fs.listFiles(p, True)
+        while files.hasNext():
+            f = files.next()
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

@@ -65,11 +65,6 @@ def write_jdbc(df: DataFrame, url: str, table: str, user: str | None = None,
     w.save()
 
 
-def append_to_table(df: DataFrame, table: str) -> None:
-    """Append rows to a catalog table (position-based, like INSERT INTO)."""
-    df.write.insertInto(table, overwrite=False)
-
-
 def append_files_to_location(df: DataFrame, location: str, table: str | None = None,
                              sep: str = ",") -> None:
     """Append delimited files into an external table's folder, then refresh

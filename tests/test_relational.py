@@ -102,17 +102,13 @@ def test_balance_summary(spark):
     assert r.max_rows - r.min_rows <= 8
 
 
-def test_not_in_large_list_rewrite_is_exact(spark):
-    from rowforge.operators.relational import not_in_shuffled
+def test_not_in_is_one_plan_and_matches_the_sql_form(spark):
     w = words(spark, ["a", None, "the", "b"])
-    # max_broadcast_rows=0 forces the shuffled rewrite for non-empty lists
-    assert got(antijoin_not_in(w, "word", stop(spark, ["the"]), "stopword", 0)) == ["a", "b"]
-    assert got(antijoin_not_in(w, "word", stop(spark, ["the", None]), "stopword", 0)) == []
     empty = spark.createDataFrame([], "stopword string")
-    # the rewrite itself, on every case, against the SQL form
-    for lk in (stop(spark, ["the"]), stop(spark, ["the", None]), empty, stop(spark, [None])):
-        assert got(not_in_shuffled(w, "word", lk, "stopword")) == \
-            got(antijoin_not_in(w, "word", lk, "stopword"))
+    for lk in (stop(spark, ["the", "the"]), stop(spark, ["the", None]), empty, stop(spark, [None])):
+        want = got(spark.sql("SELECT * FROM {w} WHERE word NOT IN (SELECT stopword FROM {l})", w=w, l=lk))
+        for limit in (0, 1000):        # without and with the broadcast hint
+            assert got(antijoin_not_in(w, "word", lk, "stopword", limit)) == want
 
 
 def test_split_by_value_salted_layout(spark, scratch):
@@ -153,21 +149,3 @@ def test_split_by_value_rebalance_splits_a_hot_value(spark, scratch):
     assert spark.read.parquet(p).count() == 200000
     hot = glob.glob(os.path.join(p.replace("file:", ""), "d=0", "part-*"))
     assert len(hot) > 1          # the value holding a third of the rows is split
-
-
-def test_fold_counts_equals_plain_counts(spark):
-    from rowforge.operators.aggregate import fold_counts, unfold_counts
-    df = spark.range(3000).select((F.col("id") % 17).alias("k"),
-                                  (F.col("id") % 3).cast("string").alias("a"),
-                                  F.when(F.col("id") % 2 == 0, "x").otherwise("y").alias("b"))
-    want = sorted(tuple(r) for r in df.groupBy("k", "a", "b").count().collect())
-    folded, combos = fold_counts(df, "k", ["a", "b"], 64, "count")
-    assert combos is not None and len(combos) == 6 and folded.columns[0] == "k"
-    got = sorted(tuple(r) for r in unfold_counts(folded, combos, ["a", "b"], ["k"], "count").collect())
-    assert got == want
-    # too many combinations (or a null) -> the plain grouped count
-    plain, none = fold_counts(df, "k", ["a", "b"], 5, "count")
-    assert none is None and sorted(tuple(r) for r in plain.collect()) == want
-    withnull = df.withColumn("a", F.when(F.col("k") == 0, None).otherwise(F.col("a")))
-    _, none = fold_counts(withnull, "k", ["a"], 64)
-    assert none is None
