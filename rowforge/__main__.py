@@ -30,7 +30,7 @@ def main(argv=None) -> None:
     t.add_argument("--chat-dir", required=True, help="folder receiving id~text~type files")
     t.add_argument("--stopwords", required=True, help="one stop word per line")
     t.add_argument("--out", required=True, help="output folder")
-    t.add_argument("--checkpoint", help="stream checkpoint folder (default: under spark.checkpoint.dir)")
+    t.add_argument("--checkpoint", help="stream checkpoint folder (default: <out>/_checkpoints)")
     a = p.parse_args(argv)
 
     spark = build_session(a.master, app=f"rowforge-{a.job}")

@@ -13,16 +13,16 @@ from pyspark.sql import functions as F
 
 from rowforge.functions.text import clean_special_chars
 from rowforge.operators import cleanse as cl
-from rowforge.operators.relational import dedup_counts, union_all
+from rowforge.operators.relational import counts_of_groups, union_all
 from rowforge.operators.splitting import write_split_by
 from rowforge.plans import insurance
-from rowforge.session import scratch_path
+from rowforge.session import path_exists, scratch_path
 from rowforge.sinks import files as sinks
 from rowforge.sources.csv import read_csv_strings, read_csv_typed
 from rowforge.sources.lookup import read_lookup_list
 from rowforge.sources.text import read_text_lines
 from rowforge.streaming import chat as sc
-from rowforge.streaming.runner import run_append_to_files, run_complete_to_files
+from rowforge.streaming.runner import run_append_to_files, run_complete_to_versions
 
 
 def cleansing_job(spark: SparkSession, file1: str, file2: str, out: str,
@@ -40,18 +40,23 @@ def cleansing_job(spark: SparkSession, file1: str, file2: str, out: str,
     for v, path in ((1, file1), (2, file2)):
         lines = read_text_lines(spark, path)
         h = header if header is not None else cl.first_line(lines)
-        k, r = cl.cleanse(lines, specs[v], h, store_path=scratch_path(spark, "jobs", f"cleansed{v}"))
+        store = scratch_path(spark, "jobs", f"cleansed{v}")
+        k, r = cl.cleanse(lines, specs[v], h, store_path=store)
         kept.append(k)
         rejected.append(r.withColumn("file", F.lit(v)))
-        quality.append(cl.quality_counts(lines, specs[v], h).withColumn("file", F.lit(v)))
+        quality.append(cl.stored_quality_counts(spark.read.parquet(store)).withColumn("file", F.lit(v)))
     q = union_all(*quality)
     sinks.write_json(q, f"{out}/quality")
     sinks.write_parquet(union_all(*rejected), f"{out}/rejected", mode="overwrite")
     merged = union_all(*kept)
     sinks.write_parquet(merged, f"{out}/merged", mode="overwrite")
     merged = spark.read.parquet(f"{out}/merged")
-    write_split_by(merged.distinct(), "BusinessDate", f"{out}/deduplicated")
-    counts = dedup_counts(merged).first().asDict()
+    # one shuffle for the distinct rows and their counts
+    path = scratch_path(spark, "jobs", "grouped")
+    merged.groupBy(*merged.columns).agg(F.count(F.lit(1)).alias("__n")).write.parquet(path)
+    grouped = spark.read.parquet(path)
+    write_split_by(grouped.drop("__n"), "BusinessDate", f"{out}/deduplicated")
+    counts = counts_of_groups(grouped, "__n").first().asDict()
     return {"quality": [r.asDict() for r in spark.read.json(f"{out}/quality").collect()],
             "dedup": counts}
 
@@ -83,13 +88,18 @@ def chat_job(spark: SparkSession, chat_dir: str, stopwords: str, out: str,
              checkpoint: str | None = None, max_files_per_trigger: int | None = None) -> None:
     """Chat lines (``id~text~type``) arriving as files in ``chat_dir`` ->
     customer words without stop words (parquet, append, exactly-once) and
-    keyword counts (json, rewritten after each micro-batch).  Each run
-    processes the files that are new since the last run."""
-    ck = checkpoint or scratch_path(spark, "jobs", "chat_checkpoints")
+    keyword counts (json versions under ``out/keywords``, one per micro-batch;
+    ``read_newest_version`` reads the current one).  Each run processes the
+    files that are new since the last run; the checkpoints that say which
+    are kept beside the output unless ``checkpoint`` names a folder."""
+    ck = checkpoint or f"{out}/_checkpoints"
+    if path_exists(spark, f"{out}/words/_spark_metadata") and not path_exists(spark, f"{ck}/words/offsets"):
+        raise ValueError(f"{out} holds the output of another checkpoint than {ck}: this run would skip "
+                         "batches that its log counts as done; pass that checkpoint or another folder")
     stop = read_lookup_list(spark, stopwords)
     words = sc.words_without_stop(
         sc.customer_words(sc.text_stream(spark, chat_dir, max_files_per_trigger)), stop,
         null_aware=True)
     run_append_to_files(words, f"{out}/words", f"{ck}/words")
-    run_complete_to_files(sc.stream_keyword_counts(words), f"{out}/keywords", f"{ck}/keywords",
-                          fmt="json", n_state=spark.sparkContext.defaultParallelism, rocksdb=True)
+    run_complete_to_versions(sc.stream_keyword_counts(words), f"{out}/keywords", f"{ck}/keywords",
+                             fmt="json", n_state=spark.sparkContext.defaultParallelism, rocksdb=True)

@@ -9,7 +9,7 @@ kind must yield.
 from __future__ import annotations
 
 from rowforge.plans.chat import DEFAULT_STOP_WORDS
-from rowforge.plans.render import INSURANCE_HEADER
+from rowforge.plans.render import INSURANCE_FIELDS, INSURANCE_HEADER
 
 H = INSURANCE_HEADER
 JT = r"regexp_replace({x}, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')"
@@ -66,8 +66,7 @@ ins{v} AS (
   FROM ins{v}_f)"""
 
 
-NAMES = ["IssuerId", "IssuerId2", "BusinessDate", "StateCode", "SourceName",
-         "NetworkName", "NetworkURL", "custnum", "MarketCoverage", "DentalOnlyPlan"]
+NAMES = INSURANCE_FIELDS
 
 
 def _parsed(v: int) -> str:
@@ -120,6 +119,14 @@ O["split_fields_trimmed"] = _with(_parsed(2)) + f"\nSELECT {FIELD_COLS}, n_field
 O["filter_complete_rows"] = (_with(_parsed(1)) +
                              f"\nSELECT {FIELD_COLS}, n_fields FROM body1 WHERE n_fields >= 10 AND NOT has_blank")
 O["typed_records"] = _with(_parsed(1)) + "\nSELECT * FROM kept1"
+O["typed_records_lenient"] = _with(_parsed(1)) + r"""
+SELECT i1 AS IssuerId, i2 AS IssuerId2,
+       strftime(CAST(make_date(y, 1, 1) + to_months(m - 1) + to_days(d - 1) AS DATE), '%Y-%m-%d') AS BusinessDate,
+       StateCode, SourceName, NetworkName, NetworkURL, i8 AS custnum, MarketCoverage, DentalOnlyPlan
+FROM (SELECT *, CAST(regexp_extract(BusinessDate, '^([0-9]+)-([0-9]+)-([0-9]+)', 1) AS INTEGER) AS y,
+             CAST(regexp_extract(BusinessDate, '^([0-9]+)-([0-9]+)-([0-9]+)', 2) AS INTEGER) AS m,
+             CAST(regexp_extract(BusinessDate, '^([0-9]+)-([0-9]+)-([0-9]+)', 3) AS INTEGER) AS d
+      FROM body1 WHERE reject_reason IS NULL OR reject_reason = 'bad_date')"""
 O["cleanse_rejects"] = _with(_parsed(1), _parsed(2)) + """
 SELECT value, reject_reason, 1 AS file FROM body1 WHERE reject_reason IS NOT NULL
 UNION ALL
@@ -218,7 +225,8 @@ O["audit_columns"] = "SELECT c_custkey, c_name, true AS sysdt_ok, true AS systs_
 O["split_by_date"] = "SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS event_date FROM events"
 O["date_parts"] = """SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS yr,
        CAST(month(o_orderdate) AS INTEGER) AS mth FROM orders"""
-O["repartition_balance"] = "SELECT CAST(8 AS BIGINT) AS num_partitions, count(*) AS total_rows FROM lineitem"
+O["repartition_balance"] = ("SELECT CAST(8 AS BIGINT) AS num_partitions, count(*) AS total_rows, "
+                            "true AS balanced FROM lineitem")
 
 # ------------------------------------------------------------------ joins, groups, ranks
 O["enrich_inner_join"] = """
@@ -228,7 +236,7 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 O["sink_parquet"] = O["enrich_inner_join"]
 O["group_avg_count"] = """
 SELECT n_name, o_orderpriority, c_mktsegment,
-       round(sum(c_acctbal), 2) / count(c_acctbal) AS avg_acctbal,
+       CAST(sum(CAST(c_acctbal AS DECIMAL(26,8))) AS DOUBLE) / count(c_acctbal) AS avg_acctbal,
        count(*) AS total
 FROM orders JOIN customer ON o_custkey = c_custkey
             JOIN nation ON c_nationkey = n_nationkey
@@ -267,6 +275,14 @@ _NOSTOP = _with(_TOK) + f"\nSELECT id, word FROM tok WHERE word NOT IN (SELECT s
 O["antijoin_not_in"] = _NOSTOP
 O["antijoin_left_anti"] = _NOSTOP
 O["antijoin_outer_null"] = _NOSTOP
+_NULLABLE = f"""SELECT id, nullif(word, '') AS word FROM tok
+WHERE nullif(word, '') IS NULL OR word NOT IN (SELECT stopword FROM {STOP})"""
+O["antijoin_not_in_nulls"] = _with(_TOK) + f"\nSELECT * FROM ({_NULLABLE}) WHERE word IS NOT NULL"
+O["antijoin_not_in_null_list"] = _with(_TOK) + f"""
+SELECT count(*) AS rows_left FROM tok
+WHERE nullif(word, '') NOT IN (SELECT stopword FROM {STOP} UNION ALL SELECT NULL)"""
+O["antijoin_left_anti_nulls"] = O["antijoin_not_in_nulls"]
+O["antijoin_outer_null_nulls"] = _with(_TOK) + "\n" + _NULLABLE
 O["keyword_count"] = _with(_TOK) + f"""
 SELECT word AS chatkeywords, count(*) AS occurances FROM tok
 WHERE word NOT IN (SELECT stopword FROM {STOP}) GROUP BY word"""
@@ -308,7 +324,7 @@ O["insurance_protocol_rank"] = _with(_ins(1), _CS, _CSVROWS, _STATES, _CUSTS, _C
 SELECT CAST(row_number() OVER (PARTITION BY Protocol ORDER BY total DESC, State_desc NULLS LAST, Profession NULLS LAST) AS INTEGER) AS seq_number,
        avg_age, total, State_desc, Protocol, Profession
 FROM (SELECT State_desc, CASE WHEN instr(NetworkURL, 'http') > 0 THEN 'http' ELSE 'noprotocol' END AS Protocol,
-             Profession, round(sum(TRY_CAST(Age AS DOUBLE)), 2) / count(TRY_CAST(Age AS DOUBLE)) AS avg_age,
+             Profession, CAST(sum(TRY_CAST(Age AS DECIMAL(26,8))) AS DOUBLE) / count(TRY_CAST(Age AS DOUBLE)) AS avg_age,
              count(*) AS total
       FROM comb GROUP BY 1, 2, 3)"""
 

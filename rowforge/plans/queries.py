@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import threading
 import uuid
+from dataclasses import replace
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,24 +30,27 @@ from rowforge.operators.splitting import split_by_width, write_split_by
 from rowforge.plans import chat, render, segments
 from rowforge.plans import insurance
 from rowforge.plans.insurance import INSURANCE_SCHEMA, SPEC_FILE1, SPEC_FILE2
-from rowforge.session import read_table, scratch_path
+from rowforge.session import fingerprint, read_table, remove_path, scratch_path, table_path
 from rowforge.sinks import files as sinks
 from rowforge.sources.csv import read_csv_strings, read_csv_typed
 from rowforge.sources.lookup import lookup_from_values, read_lookup_list
 from rowforge.sources.tables import (
-    create_database, create_external_csv_table, scan_from_first, select_from_view,
+    create_database, create_external_csv_table, kept_rows, scan_from_first, select_from_view,
 )
 from rowforge.sources.text import read_text_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 _written: dict[tuple, str] = {}
 _lock = threading.RLock()
+#: Tables that stored intermediates are made from.
+_SOURCES = ("orders", "customer", "nation", "conversations")
 
 
 def _once(spark: SparkSession, sf: str, key: str, make) -> str:
-    """Path of an intermediate built once per session and data set
+    """Path of an intermediate built once per session and state of the tables
     (``make(path)`` writes it); safe when jobs run from several threads."""
-    k = (spark.sparkContext.applicationId, sf, key)
+    k = (spark.sparkContext.applicationId, sf, key,
+         fingerprint(spark, [table_path(sf, t) for t in _SOURCES]))
     with _lock:
         if k not in _written:
             path = scratch_path(spark, "prepared", key)
@@ -55,6 +59,13 @@ def _once(spark: SparkSession, sf: str, key: str, make) -> str:
         return _written[k]
 
 
+def remove_intermediates(spark: SparkSession) -> None:
+    """Delete what this session has stored for later queries (at its end)."""
+    with _lock:
+        for k in [k for k in _written if k[0] == spark.sparkContext.applicationId]:
+            remove_path(spark, _written.pop(k))
+
+
 def _t(spark, sf, name):
     return read_table(spark, sf, name)
 
@@ -119,6 +130,12 @@ def _stop(spark) -> DataFrame:
     return lookup_from_values(spark, chat.DEFAULT_STOP_WORDS)
 
 
+def _stop_file(spark, sf) -> DataFrame:
+    """The stop words loaded from a list of text lines, as a job gets them."""
+    path = _rendered(spark, sf, "stopwords", lambda: render.stop_word_lines(_stop(spark)))
+    return read_lookup_list(spark, path)
+
+
 def _chat_tokens(spark, sf) -> DataFrame:
     return chat.conversation_tokens(_t(spark, sf, "conversations"))
 
@@ -160,7 +177,8 @@ def q_lookup_list(spark, sf):
     return read_lookup_list(spark, path, name="item")
 
 
-def _ext_table(spark, sf, appends: int) -> str:
+def _ext_table(spark, sf, appends: int) -> tuple[str, str]:
+    """(database, external table) with that many copies of the customers."""
     root = scratch_path(spark, "warehouse")
     db = f"rf_{uuid.uuid4().hex[:12]}"
     create_database(spark, db, root + "/db")
@@ -171,16 +189,17 @@ def _ext_table(spark, sf, appends: int) -> str:
                                             "c_acctbal", "c_mktsegment")
     for _ in range(appends):
         sinks.append_files_to_location(cust, loc, table)
-    return table
+    return db, table
 
 
 def q_external_table_scan(spark, sf):
-    table = _ext_table(spark, sf, 1)
-    return scan_from_first(spark, table, ["c_custkey", "c_name", "c_mktsegment"])
+    db, table = _ext_table(spark, sf, 1)
+    return kept_rows(spark, scan_from_first(spark, table, ["c_custkey", "c_name", "c_mktsegment"]), db)
 
 
 def q_external_table_append(spark, sf):
-    return spark.table(_ext_table(spark, sf, 2))
+    db, table = _ext_table(spark, sf, 2)
+    return kept_rows(spark, spark.table(table), db)
 
 
 def q_managed_table_overwrite(spark, sf):
@@ -194,7 +213,7 @@ def q_managed_table_overwrite(spark, sf):
     cols = ["c_custkey", "c_name", "c_mktsegment"]
     sinks.overwrite_table_from_view(spark, table, cust, cols)
     sinks.overwrite_table_from_view(spark, table, cust, cols)  # second run replaces
-    return spark.table(table)
+    return kept_rows(spark, spark.table(table), db)
 
 
 # ---------------------------------------------------------------- sinks
@@ -432,9 +451,14 @@ def q_rank_within_protocol(spark, sf):
                                   _t(spark, sf, "nation"))
 
 
-def q_repartition_balance(spark, sf):
-    s = balance_summary(_t(spark, sf, "lineitem"), 8)
-    return s.select("num_partitions", "total_rows")
+def q_repartition_balance(spark, sf, n: int = 8):
+    """Rows dealt to ``n`` partitions, and whether these differ by no more
+    than one row per task that dealt them."""
+    lines = _t(spark, sf, "lineitem")
+    sources = lines.select(F.spark_partition_id().alias("p")).distinct().count()
+    s = balance_summary(lines, n)
+    return s.select("num_partitions", "total_rows",
+                    (F.col("max_rows") - F.col("min_rows") <= sources).alias("balanced"))
 
 
 # ---------------------------------------------------------------- scalar functions
@@ -485,7 +509,7 @@ def q_tokenize(spark, sf):
 
 
 def q_antijoin_not_in(spark, sf):
-    return antijoin_not_in(_chat_tokens(spark, sf), "word", _stop(spark), "stopword")
+    return antijoin_not_in(_chat_tokens(spark, sf), "word", _stop_file(spark, sf), "stopword")
 
 
 def q_antijoin_left_anti(spark, sf):
@@ -500,12 +524,46 @@ def q_keyword_count(spark, sf):
     return chat.keywords(_chat_tokens(spark, sf), _stop(spark))
 
 
-TOP_KEYWORDS = 20
+def q_keyword_top(spark, sf, k: int = 20):
+    """The ``k`` most recurring customer keywords (a top-k report)."""
+    return top_keywords(q_keyword_count(spark, sf), k)
+
+
+# ---------------------------------------------------------------- forms that differ on nulls and on lenient dates
+
+def _nullable_words(spark, sf) -> DataFrame:
+    """Customer tokens in which every empty one is null."""
+    return _chat_tokens(spark, sf).withColumn("word", F.nullif("word", F.lit("")))
+
+
+def _nullable_stop(spark, sf) -> DataFrame:
+    return _stop_file(spark, sf).union(spark.range(1).select(F.lit(None).cast("string")))
+
+
+def q_antijoin_not_in_nulls(spark, sf):
+    """A null word is dropped; the list has no null."""
+    return antijoin_not_in(_nullable_words(spark, sf), "word", _stop_file(spark, sf), "stopword")
+
+
+def q_antijoin_not_in_null_list(spark, sf):
+    """A null in the list leaves nothing: the number of rows, which is 0."""
+    kept = antijoin_not_in(_nullable_words(spark, sf), "word", _nullable_stop(spark, sf), "stopword")
+    return kept.agg(F.count(F.lit(1)).alias("rows_left"))
+
+
+def q_antijoin_left_anti_nulls(spark, sf):
+    """A null in the list is ignored, a null word is dropped."""
+    return antijoin_left_anti(_nullable_words(spark, sf), "word", _nullable_stop(spark, sf), "stopword")
+
+
+def q_antijoin_outer_null_nulls(spark, sf):
+    """A null in the list is ignored, a null word is kept."""
+    return antijoin_outer_null(_nullable_words(spark, sf), "word", _nullable_stop(spark, sf), "stopword")
 
 
-def q_keyword_top(spark, sf):
-    """The most recurring customer keywords (a top-k report)."""
-    return top_keywords(q_keyword_count(spark, sf), TOP_KEYWORDS)
+def q_typed_records_lenient(spark, sf):
+    """File 1 with dates that roll over instead of being rejected."""
+    return cl.typed_records(_body(spark, sf, 1), replace(SPEC_FILE1, date_mode="lenient"))
 
 
 QUERIES: dict[str, Query] = {

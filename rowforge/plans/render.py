@@ -8,7 +8,6 @@ the tables.  The SQL in ``rowforge.plans.oracle`` states the same rules.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -121,24 +120,27 @@ def segment_list_lines(customer: DataFrame) -> DataFrame:
     return customer.select(F.concat(v, F.lit("\r")).alias("value"))
 
 
+def stop_word_lines(words: DataFrame) -> DataFrame:
+    """A one-column list with padding and CRLF endings."""
+    w = F.col(words.columns[0])
+    return words.select(F.concat(F.when(F.length(w) == 2, F.concat(F.lit(" "), w, F.lit(" "))).otherwise(w),
+                                 F.lit("\r")).alias("value"))
+
+
 def write_lines(lines: DataFrame, path: str, header_per_file: str | None = None) -> str:
     """Write the ``value`` column as text files.
 
     ``header_per_file`` puts that line first in every output file, the
     layout a header-aware CSV reader expects (it skips each file's first
-    line)."""
+    line).  The lines go through the CSV writer as one unquoted column of that
+    name, with a separator that no line holds, so each file the writer opens
+    gets its header."""
     df = lines.select("value")
-    if header_per_file is not None:
-        head = header_per_file
-
-        def prepend(batches):
-            first = True
-            for pdf in batches:
-                if first:
-                    yield pd.DataFrame({"value": [head]})
-                    first = False
-                yield pdf
-
-        df = df.mapInPandas(prepend, "value string")
-    df.write.mode("overwrite").text(path)
+    if header_per_file is None:
+        df.write.mode("overwrite").text(path)
+    else:
+        (df.withColumnRenamed("value", header_per_file).write.mode("overwrite")
+         .option("header", True).option("sep", "\u0001").option("quote", "\u0000").option("escape", "\u0000")
+         .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(path))
     return path

@@ -17,10 +17,13 @@ def read_csv_typed(spark: SparkSession, path, schema: StructType,
     The CSV parser only converts the columns a query reads, so on its own
     DROPMALFORMED drops a different set of rows for different projections (a
     count, or a select without one column, keeps rows a full read drops).
-    ``store_path`` (a folder under the shared checkpoint dir) fixes the set:
-    every column is parsed once, the typed rows are written as Parquet and
-    all consumers read that table -- which also cuts lineage to the raw text.
+    ``store_path`` (a folder under the shared checkpoint dir), which that
+    mode therefore requires, fixes the set: every column is parsed once, the
+    typed rows are written as Parquet and all consumers read that table --
+    which also cuts lineage to the raw text.
     """
+    if store_path is None and mode.upper() == "DROPMALFORMED":
+        raise ValueError("DROPMALFORMED needs store_path: the rows it drops would depend on the columns read")
     r = (spark.read.schema(schema)
          .option("header", header)
          .option("dateFormat", date_format)

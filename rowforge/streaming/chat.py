@@ -9,6 +9,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from rowforge.operators.aggregate import keyword_count
 from rowforge.operators.relational import antijoin_left_anti, antijoin_not_in
 from rowforge.plans.chat import filter_by_role, parse_messages, tokens
+from rowforge.session import hadoop_path
 
 CONVERSATION_SCHEMA = StructType([
     StructField("conv_id", LongType()), StructField("turn", LongType()),
@@ -23,12 +24,17 @@ def text_stream(spark: SparkSession, directory: str, max_files_per_trigger: int
     return r.load(directory)
 
 
-def parquet_stream(spark: SparkSession, directory: str, file_glob: str, schema: StructType,
+def parquet_stream(spark: SparkSession, path: str, schema: StructType,
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    """A Parquet table, one file or a folder of part files, as a stream."""
+    r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(directory)
+    fs, p = hadoop_path(spark, path)
+    if fs.getFileStatus(p).isDirectory():
+        return r.parquet(path)
+    # a stream reads folders only: the file's, cut down to the file
+    return r.option("pathGlobFilter", p.getName()).parquet(p.getParent().toString())
 
 
 def customer_words(lines: DataFrame, role: str = "c") -> DataFrame:

@@ -1,6 +1,7 @@
 """Registered streaming jobs.  Each runs to completion (``availableNow``) on
 its own checkpoint below the shared checkpoint folder and returns what its
-sink holds afterwards, read back as a batch frame."""
+sink holds afterwards, read back as a batch frame.  ``files_per_trigger``
+limits the files of a micro-batch; by default Spark takes all there are."""
 
 from __future__ import annotations
 
@@ -9,30 +10,31 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from rowforge.plans import chat, queries as batch, render
-from rowforge.session import scratch_path
-from rowforge.sources.tables import create_database
+from rowforge.session import scratch_path, table_path
+from rowforge.sources.tables import create_database, kept_rows
 from rowforge.streaming import chat as sc
 from rowforge.streaming.runner import (
-    compact_versions, read_latest_versions, read_result, run_append_to_files, run_complete_to_files, run_to_table,
-    run_update_to_versions,
+    compact_versions, read_latest_versions, read_newest_version, read_result, run_append_to_files,
+    run_complete_to_versions, run_to_table, run_update_to_versions,
 )
 
-# Files per micro-batch for the text source: several batches per run, so the
-# keyword state is carried across batches.
-FILES_PER_TRIGGER = 2
-
 
 def _chat_text_dir(spark: SparkSession, sf: str) -> str:
     return batch._rendered(spark, sf, "chat",
                            lambda: render.chat_lines(batch._t(spark, sf, "conversations")))
 
 
-def _lines(spark, sf) -> DataFrame:
-    return sc.text_stream(spark, _chat_text_dir(spark, sf), FILES_PER_TRIGGER)
+def _lines(spark, sf, files: int | None) -> DataFrame:
+    return sc.text_stream(spark, _chat_text_dir(spark, sf), files)
+
+
+def _conversations(spark, sf, files: int | None) -> DataFrame:
+    return sc.parquet_stream(spark, table_path(sf, "conversations"), sc.CONVERSATION_SCHEMA, files)
 
 
-def _conversations(spark, sf) -> DataFrame:
-    return sc.parquet_stream(spark, sf, "conversations.parquet", sc.CONVERSATION_SCHEMA, 1)
+def _stop_list(spark, sf) -> DataFrame:
+    """The stop words as loaded from a list of text lines."""
+    return batch._stop_file(spark, sf)
 
 
 def _n_state(spark) -> int:
@@ -45,77 +47,78 @@ def _paths(spark, name):
     return scratch_path(spark, "stream", name, "out"), scratch_path(spark, "stream", name, "ckpt")
 
 
-def q_stream_file_source(spark, sf):
+def q_stream_file_source(spark, sf, files_per_trigger: int | None = None):
     out, ck = _paths(spark, "messages")
-    msgs = chat.parse_messages(_lines(spark, sf))
-    run_append_to_files(msgs, out, ck)
-    return read_result(spark, out, msgs.schema)
+    msgs = chat.parse_messages(_lines(spark, sf, files_per_trigger))
+    q = run_append_to_files(msgs, out, ck)
+    return read_result(spark, out, msgs.schema, ran=q)
 
 
-def q_stream_tokens(spark, sf):
+def q_stream_tokens(spark, sf, files_per_trigger: int | None = None):
     out, ck = _paths(spark, "tokens")
-    words = sc.customer_words(_lines(spark, sf))
-    run_append_to_files(words, out, ck)
-    return read_result(spark, out, words.schema)
+    words = sc.customer_words(_lines(spark, sf, files_per_trigger))
+    q = run_append_to_files(words, out, ck)
+    return read_result(spark, out, words.schema, ran=q)
 
 
-def q_stream_append(spark, sf):
+def q_stream_append(spark, sf, files_per_trigger: int | None = None):
     out, ck = _paths(spark, "words")
-    words = sc.words_without_stop(sc.customer_words(_lines(spark, sf)), batch._stop(spark))
-    run_append_to_files(words, out, ck)
-    return read_result(spark, out, words.schema)
+    words = sc.words_without_stop(sc.customer_words(_lines(spark, sf, files_per_trigger)), _stop_list(spark, sf))
+    q = run_append_to_files(words, out, ck)
+    return read_result(spark, out, words.schema, ran=q)
 
 
-def q_stream_complete(spark, sf):
+def q_stream_complete(spark, sf, files_per_trigger: int | None = None):
     out, ck = _paths(spark, "keywords")
-    words = sc.words_without_stop(sc.customer_words(_lines(spark, sf)), batch._stop(spark))
+    words = sc.words_without_stop(sc.customer_words(_lines(spark, sf, files_per_trigger)), _stop_list(spark, sf))
     counts = sc.stream_keyword_counts(words)
-    run_complete_to_files(counts, out, ck, n_state=_n_state(spark), rocksdb=True)
-    return read_result(spark, out, counts.schema)
+    q = run_complete_to_versions(counts, out, ck, n_state=_n_state(spark), rocksdb=True)
+    return read_newest_version(spark, out, counts.schema, ran=q)
 
 
-def q_stream_update(spark, sf):
+def q_stream_update(spark, sf, files_per_trigger: int | None = None):
     """Keyword counts in update mode: each batch writes only changed keys;
     the versions are compacted into a snapshot and the reader takes the
     latest value per keyword."""
     out, ck = _paths(spark, "keyword_versions")
-    words = sc.words_without_stop(sc.customer_words(_lines(spark, sf)), batch._stop(spark))
+    words = sc.words_without_stop(sc.customer_words(_lines(spark, sf, files_per_trigger)), _stop_list(spark, sf))
     counts = sc.stream_keyword_counts(words)
     run_update_to_versions(counts, out, ck, n_state=_n_state(spark), rocksdb=True)
     compact_versions(spark, out, counts.schema, ["chatkeywords"])
     return read_latest_versions(spark, out, counts.schema, ["chatkeywords"])
 
 
-def q_stream_result_read(spark, sf):
+def q_stream_result_read(spark, sf, files_per_trigger: int | None = None):
     """Stream into a catalog table, then read the result by its name; the
     stop words are removed with the null-aware ``NOT IN`` form."""
     db = f"rf_{uuid.uuid4().hex[:12]}"
     create_database(spark, db, scratch_path(spark, "warehouse"))
     table = f"{db}.chat_words"
     _, ck = _paths(spark, "table")
-    words = sc.words_without_stop(sc.customer_words(_lines(spark, sf)), batch._stop(spark),
+    words = sc.words_without_stop(sc.customer_words(_lines(spark, sf, files_per_trigger)), _stop_list(spark, sf),
                                   null_aware=True)
     run_to_table(words, table, ck)
-    return spark.table(table).select("id", "word")
+    return kept_rows(spark, spark.table(table).select("id", "word"), db)
 
 
-def q_stream_to_parquet(spark, sf):
+def q_stream_to_parquet(spark, sf, files_per_trigger: int | None = None):
     """Parquet file sink, run twice on one checkpoint: the second run finds
     no new input and adds nothing (exactly-once)."""
     out, ck = _paths(spark, "conv_words")
+    ran = []
     for _ in range(2):
-        toks = chat.conversation_tokens(_conversations(spark, sf))
-        words = sc.words_without_stop(toks, batch._stop(spark))
-        run_append_to_files(words, out, ck)
-    return read_result(spark, out, words.schema)
+        toks = chat.conversation_tokens(_conversations(spark, sf, files_per_trigger))
+        words = sc.words_without_stop(toks, _stop_list(spark, sf))
+        ran.append(run_append_to_files(words, out, ck))
+    return read_result(spark, out, words.schema, ran=ran[0])
 
 
-def q_stream_agg_to_json(spark, sf):
+def q_stream_agg_to_json(spark, sf, files_per_trigger: int | None = None):
     out, ck = _paths(spark, "conv_keywords")
-    toks = chat.conversation_tokens(_conversations(spark, sf))
-    counts = sc.stream_keyword_counts(sc.words_without_stop(toks, batch._stop(spark)))
-    run_complete_to_files(counts, out, ck, fmt="json", n_state=_n_state(spark), rocksdb=True)
-    return read_result(spark, out, counts.schema, fmt="json")
+    toks = chat.conversation_tokens(_conversations(spark, sf, files_per_trigger))
+    counts = sc.stream_keyword_counts(sc.words_without_stop(toks, _stop_list(spark, sf)))
+    q = run_complete_to_versions(counts, out, ck, fmt="json", n_state=_n_state(spark), rocksdb=True)
+    return read_newest_version(spark, out, counts.schema, fmt="json", ran=q)
 
 
 STREAM_QUERIES = {

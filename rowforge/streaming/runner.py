@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from rowforge.session import path_exists, remove_path
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -25,16 +27,14 @@ def use_rocksdb_state(spark) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-DEFAULT_TIMEOUT_S = 3600
-
-
 def _finish(q, timeout_s: int | None):
-    done = q.awaitTermination(timeout_s or DEFAULT_TIMEOUT_S)
+    """Wait to the end of what is there, or at most ``timeout_s`` seconds."""
+    done = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination() or True
     if q.exception():
         raise q.exception()
     if not done:
         q.stop()
-        raise TimeoutError(f"streaming query {q.id} did not finish in {timeout_s or DEFAULT_TIMEOUT_S}s")
+        raise TimeoutError(f"streaming query {q.id} did not finish in {timeout_s}s")
     return q
 
 
@@ -71,30 +71,54 @@ def stream_start_conf(spark, n_state: int | None = None, rocksdb: bool = False):
                 spark.conf.set(k, v)
 
 
-def run_complete_to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
-                          timeout_s: int | None = None, n_state: int | None = None,
-                          rocksdb: bool = False):
-    """Complete-mode result (an aggregate without watermark) written as the
-    whole current table after every micro-batch.  Overwrite, not append, so a
-    repeated batch or a second run never duplicates keys."""
+def _completed(path: str) -> str:
+    return path.rstrip("/") + "__completed"
+
+
+def run_complete_to_versions(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
+                             timeout_s: int | None = None, n_state: int | None = None,
+                             rocksdb: bool = False, keep: int = 2):
+    """Complete-mode result (an aggregate without watermark): every
+    micro-batch writes the whole current table as a version of its own,
+    ``path/batch_id=<n>``, and then its number to a list of completed
+    versions beside it.  Readers take the newest completed one, so a running,
+    failed or replayed batch never shows; the newest ``keep`` versions stay."""
+    spark = df.sparkSession
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").format(fmt).save(path)
+        batch.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
+        batch.sparkSession.range(batch_id, batch_id + 1).coalesce(1).write.mode("overwrite").parquet(
+            f"{_completed(path)}/{batch_id}")
+        for name in [] if batch_id < keep else [f"{_completed(path)}/{batch_id - keep}",
+                                                f"{path}/batch_id={batch_id - keep}"]:
+            remove_path(spark, name)
 
-    with stream_start_conf(df.sparkSession, n_state, rocksdb):
+    with stream_start_conf(spark, n_state, rocksdb):
         q = (df.writeStream.outputMode("complete").foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     return _finish(q, timeout_s)
 
 
-def read_result(spark, path: str, schema, fmt: str = "parquet") -> DataFrame:
-    """A sink's output as a batch frame with a fixed schema; empty (not an
-    error) when the stream produced no rows or no batch ran."""
+def read_newest_version(spark, path: str, schema, fmt: str = "parquet", ran=None) -> DataFrame:
+    """The newest completed version (``ran``: see ``read_result``)."""
+    done = read_result(spark, _completed(path) + "/*", "id long", ran=ran)
+    newest = done.agg(F.max("id").alias("m")).first()["m"]
+    if newest is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).format(fmt).load(f"{path}/batch_id={newest}")
+
+
+def read_result(spark, path: str, schema, fmt: str = "parquet", ran=None) -> DataFrame:
+    """A sink's output as a batch frame with a fixed schema.  A missing output
+    is an error, unless the query that ``ran`` reports that it had no input
+    rows: then the result is empty."""
     try:
         df = spark.read.schema(schema).format(fmt).load(path)
         df.limit(0).collect()  # resolve the path now
         return df
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+        missing = "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e)
+        if not missing or ran is None or any(p["numInputRows"] for p in ran.recentProgress):
             raise
         return spark.createDataFrame([], schema)
 
@@ -143,6 +167,8 @@ def _with(schema, name: str) -> StructType:
 
 def _latest_snapshot(spark, path: str, schema, fmt: str):
     """(upto, rows) of the newest compacted snapshot, or (None, None)."""
+    if not path_exists(spark, _snapshots(path)):
+        return None, None
     snaps = read_result(spark, _snapshots(path), _with(schema, "upto"), fmt)
     m = snaps.agg(F.max("upto").alias("m")).first()["m"]
     if m is None:

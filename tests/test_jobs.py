@@ -1,11 +1,14 @@
 """The end-to-end jobs on small files of the studied layouts."""
 
 import os
+from collections import Counter
 
-from test_streaming import CHAT, STOP
+import pytest
+from test_streaming import CHAT, N_KEPT, N_WORDS, STOP, TWICE
 
 from rowforge.plans import jobs
 from rowforge.plans.render import INSURANCE_HEADER
+from rowforge.streaming.runner import read_newest_version
 
 FILE1 = [INSURANCE_HEADER,
          "1,10,2019-10-01,AL,SrcA,Plan-/2X_(dental),http://www2.a.com/,100,Individual,No",
@@ -67,23 +70,31 @@ def test_chat_job_golden_and_incremental(spark, scratch):
     src, out = scratch("chat_in"), scratch("chat_out")
     stop = write(scratch("stop"), STOP, nl="\r\n")
     write(src, CHAT[:12], "a.txt", nl="\r\n")
-    ck = scratch("chat_ck")
-    jobs.chat_job(spark, src, stop, out, ck)
+    jobs.chat_job(spark, src, stop, out)            # the checkpoint is kept beside the output
     write(src, CHAT[12:], "b.txt", nl="\r\n")
-    jobs.chat_job(spark, src, stop, out, ck)        # second run: only the new file
-    assert spark.read.parquet(f"{out}/words").count() == 24
+    jobs.chat_job(spark, src, stop, out)            # second run: only the new file
+    words_and_keywords_agree(spark, out)
+    # the output of one checkpoint is not continued with another one
+    with pytest.raises(ValueError, match="another checkpoint"):
+        jobs.chat_job(spark, src, stop, out, scratch("chat_ck"))
+
+
+def words_and_keywords_agree(spark, out):
+    words = [r.word for r in spark.read.parquet(f"{out}/words").collect()]
     kw = {r.chatkeywords: r.occurances for r in
-          spark.read.schema("chatkeywords string, occurances long").json(f"{out}/keywords").collect()}
-    assert len(kw) == 21 and kw["hi"] == 2 and kw["connection"] == 2 and kw["value"] == 2
+          read_newest_version(spark, f"{out}/keywords", "chatkeywords string, occurances long", "json").collect()}
+    assert len(words) == N_KEPT and kw == Counter(words)
+    assert len(kw) == N_WORDS and {k for k, v in kw.items() if v == 2} == TWICE
 
 
 def test_cli_parses_and_runs_chat(spark, scratch):
     from rowforge.__main__ import main
     src, out = scratch("cli_in"), scratch("cli_out")
-    write(src, CHAT, "c.txt", nl="\r\n")
     stop = write(scratch("cli_stop"), STOP)
-    main(["--master", "local[2]", "chat", "--chat-dir", src, "--stopwords", stop, "--out", out])
-    assert spark.read.parquet(f"{out}/words").count() == 24
+    for i, part in enumerate((CHAT[:5], CHAT[5:])):
+        write(src, part, f"{i}.txt", nl="\r\n")
+        main(["--master", "local[2]", "chat", "--chat-dir", src, "--stopwords", stop, "--out", out])
+    words_and_keywords_agree(spark, out)
 
 
 def test_cli_cleanse(spark, scratch, capsys):

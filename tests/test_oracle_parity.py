@@ -11,7 +11,8 @@ from conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
-NAMES = sorted(entry.queries())
+# the training-data queries have tests of their own
+NAMES = sorted(n for n in entry.queries() if n != "pipeline" and not n.startswith("op"))
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +35,7 @@ def norm(rows, cols):
 
 
 def test_every_query_has_an_oracle():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = set(NAMES) - set(entry.oracle_sql())
     assert not missing, missing
 
 

@@ -1,6 +1,7 @@
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from rowforge.operators.splitting import split_by_null, split_by_width
@@ -45,7 +46,9 @@ def test_csv_dropmalformed(spark, scratch):
             " \t ",                                        # blank: skipped
             '3,4,2019-10-02,AL,S,"N,with comma",u,6,M,D']  # quoted comma is one field
     write_raw(p, "\n".join(rows) + "\n")
-    df = read_csv_typed(spark, p, INSURANCE_SCHEMA)
+    df = read_csv_typed(spark, p, INSURANCE_SCHEMA, store_path=scratch("csv_store"))
+    with pytest.raises(ValueError, match="store_path"):
+        read_csv_typed(spark, p, INSURANCE_SCHEMA)
     got = sorted((r.IssuerId, r.NetworkName, r.MarketCoverage) for r in df.collect())
     assert got == [(1, "N", None), (3, "N,with comma", "M")]
 
@@ -152,7 +155,7 @@ def test_header_per_file_fixture_loses_no_line(spark, scratch):
     parts = glob.glob(os.path.join(local(p), "part-*"))
     assert len(parts) >= 2
     assert all(open(f).readline().rstrip("\n") == head for f in parts)
-    df = read_csv_typed(spark, p, INSURANCE_SCHEMA)
+    df = read_csv_typed(spark, p, INSURANCE_SCHEMA, store_path=scratch("hdr_store"))
     assert df.count() == 1000 and df.select("IssuerId").distinct().count() == 1000
 
 
