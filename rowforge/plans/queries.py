@@ -59,11 +59,17 @@ def _once(spark: SparkSession, sf: str, key: str, make) -> str:
         return _written[k]
 
 
-def remove_intermediates(spark: SparkSession) -> None:
-    """Delete what this session has stored for later queries (at its end)."""
+#: Intermediates that hold parsed rows (the others are rendered text).
+PARSED = {"insurance1_typed", "cleansed1", "cleansed2", "custs_states_split"}
+
+
+def remove_intermediates(spark: SparkSession, keys: set[str] | None = None) -> None:
+    """Delete what this session has stored for later queries, at its end or
+    (``keys``) to have some of it made anew."""
     with _lock:
         for k in [k for k in _written if k[0] == spark.sparkContext.applicationId]:
-            remove_path(spark, _written.pop(k))
+            if keys is None or k[2] in keys:
+                remove_path(spark, _written.pop(k))
 
 
 def _t(spark, sf, name):

@@ -13,6 +13,8 @@ def spark():
     from rowforge.session import build_session
     s = build_session("local[4]", app="rowforge-tests", shuffle_partitions=8)
     yield s
+    from rowforge.plans.queries import remove_intermediates
+    remove_intermediates(s)
     s.stop()
 
 
