@@ -202,10 +202,11 @@ def identify(docs: DataFrame, model: LanguageModel, *, text_col: str = "text",
              penalty: float = SWITCH_PENALTY) -> DataFrame:
     """``docs`` with lang_pred, score (0 to 1) and spans (start and end in
     code points, language), see the module."""
-    held = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages floats
+    # BUCKETS x languages floats; plain arrays, so that workers need no import
+    held = docs.sparkSession.sparkContext.broadcast((model.languages, model.log_p, model.uses))
 
     def labelled(texts: pa.Array) -> pa.Array:
-        model, out = held.value, []
+        model, out = LanguageModel(*held.value), []
         for codes, rows in code_slices(texts):
             names, score, offsets, start, end, lang = _label(model, penalty, codes, rows)
             span = pa.StructArray.from_arrays(

@@ -259,10 +259,12 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
 def score(docs: DataFrame, model: QualityModel, *, text_col: str = "text") -> DataFrame:
     """``docs`` with ``score``, the probability of label 1."""
-    held = docs.sparkSession.sparkContext.broadcast(model)  # vocabulary x DIMS floats
+    # vocabulary x DIMS floats; plain arrays, so that workers need no import
+    held = docs.sparkSession.sparkContext.broadcast(
+        (model.vocabulary, model.vectors, model.layers, model.temperature))
 
     def scored(texts: pa.Array) -> pa.Array:
-        m = held.value
+        m = QualityModel(*held.value)
         return pa.array(m.probability(pooled(texts, m.vocabulary, m.vectors)), pa.float64())
 
     return docs.withColumn("score", F.arrow_udf(scored, "double")(F.col(text_col).cast("string")))

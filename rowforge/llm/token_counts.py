@@ -44,14 +44,15 @@ TREE = "struct<n_tokens: bigint, chars: array<int>, tokens: array<int>>"
 
 class Tokenizer:
     """A byte-level BPE vocabulary in base64 rank lines; the encoder is made
-    once per process."""
+    on first use, once per task."""
 
     def __init__(self, rank_lines: bytes, pattern: str):
         self.rank_lines, self.pattern = rank_lines, pattern
         self.encoder = None
 
-    def __getstate__(self):
-        return {"rank_lines": self.rank_lines, "pattern": self.pattern, "encoder": None}
+    def sent(self, spark):
+        """Broadcast what a worker makes its own tokenizer from."""
+        return spark.sparkContext.broadcast((self.rank_lines, self.pattern))
 
     def count(self, text: str) -> int:
         if self.encoder is None:
@@ -164,10 +165,13 @@ def _trees(trees: list[Tree]) -> list[pa.Array]:
 
 def count_tokens(docs: DataFrame, tokenizer: Tokenizer, *, text_col: str = "text") -> DataFrame:
     """``docs`` with ``tree``: n_tokens and the two segment trees."""
-    held = docs.sparkSession.sparkContext.broadcast(tokenizer)
+    held = tokenizer.sent(docs.sparkSession)
+    made: list[Tokenizer] = []
 
     def planted(texts: pa.Array) -> pa.Array:
-        trees = [plant(t or "", held.value) for t in texts.to_pylist()]
+        if not made:
+            made.append(Tokenizer(*held.value))
+        trees = [plant(t or "", made[0]) for t in texts.to_pylist()]
         return pa.StructArray.from_arrays(_trees(trees), ["n_tokens", "chars", "tokens"])
 
     return docs.withColumn("tree", F.arrow_udf(planted, TREE)(F.col(text_col).cast("string")))
@@ -177,16 +181,19 @@ def apply_edits(docs: DataFrame, tokenizer: Tokenizer, *, text_col: str = "text"
                 edits_col: str = "edits") -> DataFrame:
     """``docs`` with text and tree after the edits, and ``encoded_chars``, the
     code points that had to be encoded for it."""
-    held = docs.sparkSession.sparkContext.broadcast(tokenizer)
+    held = tokenizer.sent(docs.sparkSession)
+    made: list[Tokenizer] = []
 
     def edited(texts: pa.Array, trees: pa.Array, edits: pa.Array) -> pa.Array:
+        if not made:
+            made.append(Tokenizer(*held.value))
         out_text, out_tree, encoded = [], [], []
         for text, kept, changes in zip(texts.to_pylist(), trees.to_pylist(), edits.to_pylist()):
             text, done = text or "", 0
             tree = Tree(np.array(kept["chars"], np.int64), np.array(kept["tokens"], np.int64))
             changes = [(c["at"] or 0, c["remove"] or 0, c["insert"] or "") for c in changes or [] if c]
             for _, (at, remove, insert) in sorted(enumerate(changes), key=lambda c: (c[1][0], c[0]), reverse=True):
-                text, tree, n = edit(text, tree, at, remove, insert, held.value)
+                text, tree, n = edit(text, tree, at, remove, insert, made[0])
                 done += n
             out_text.append(text)
             out_tree.append(tree)

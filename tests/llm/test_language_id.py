@@ -1,5 +1,3 @@
-import re
-
 import pytest
 
 from rowforge.llm import language_id as li

@@ -2,7 +2,6 @@ import random
 
 import pytest
 from helpers import components
-from pyspark.sql import functions as F
 
 from rowforge.llm.near_dedup import connected, matches_needed, near_duplicates
 
