@@ -32,6 +32,10 @@ INSURANCE_SCHEMA = StructType([
     for n in INSURANCE_FIELDS])
 
 
+# Reader options of the plan files.
+CSV_ESCAPE, CSV_NAN = ",", "0"
+
+
 def insure_view(ds: DataFrame) -> DataFrame:
     """Renamed codes, composite issuer key, no dental column, audit columns."""
     return with_audit_columns(

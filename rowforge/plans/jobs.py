@@ -67,7 +67,8 @@ def enrichment_job(spark: SparkSession, plans_csv: str, custs_states: str, out:
     ``~`` csv), enriched view (parquet) and the per-protocol ranking
     (parquet, and a JDBC table when ``jdbc`` gives url/table/credentials)."""
     ds1 = read_csv_typed(spark, plans_csv, insurance.INSURANCE_SCHEMA,
-                         store_path=scratch_path(spark, "jobs", "plans"))
+                         store_path=scratch_path(spark, "jobs", "plans"),
+                         escape=insurance.CSV_ESCAPE, nanValue=insurance.CSV_NAN)
     ds3 = ds1.na.drop("any")
     cleaned = ds3.withColumn("NetworkName", clean_special_chars("NetworkName"))
     sinks.write_json(cleaned.drop("DentalOnlyPlan"), f"{out}/cleaned_json")

@@ -172,9 +172,10 @@ O["rows_not_in"] = _with(_parsed(1), _parsed(2), "u AS (SELECT * FROM kept1 UNIO
 # ------------------------------------------------------------------ CSV path
 _CSV = _with(_ins(1)) + """
 SELECT CAST(k AS INTEGER) AS IssuerId, CAST(ck AS INTEGER) AS IssuerId2, d AS BusinessDate,
-       f4 AS StateCode, f5 AS SourceName, f6 AS NetworkName, f7 AS NetworkURL,
+       f4 AS StateCode, f5 AS SourceName,
+       CASE WHEN k % 13 = 0 THEN f6 || ', east' ELSE f6 END AS NetworkName, f7 AS NetworkURL,
        CAST(ck AS INTEGER) AS custnum, nullif(f9, '') AS MarketCoverage, nullif(f10, '') AS DentalOnlyPlan
-FROM ins1_f WHERE kind IN ('ok', 'missing')"""
+FROM ins1_f WHERE kind IN ('ok', 'missing') AND k % 37 <> 1"""
 O["csv_schema_dropmalformed"] = _CSV
 O["drop_nulls_any"] = f"SELECT * FROM ({_CSV}) WHERE MarketCoverage IS NOT NULL AND DentalOnlyPlan IS NOT NULL"
 O["rename_columns"] = f"""SELECT IssuerId, IssuerId2, BusinessDate, StateCode AS stcd, SourceName AS srcnm,

@@ -92,9 +92,10 @@ def _insurance_csv(spark, sf) -> DataFrame:
     Parquet table (fixed set of dropped malformed rows, see read_csv_typed)."""
     def ingest(store):
         path = _rendered(spark, sf, "insurance1_csv",
-                         lambda: render.insurance_lines(_t(spark, sf, "orders"), 1, with_header=False),
+                         lambda: render.insurance_lines(_t(spark, sf, "orders"), 1, with_header=False, quoted=True),
                          header_per_file=render.INSURANCE_HEADER)
-        read_csv_typed(spark, path, INSURANCE_SCHEMA, date_format="yyyy-MM-dd", store_path=store)
+        read_csv_typed(spark, path, INSURANCE_SCHEMA, date_format="yyyy-MM-dd", store_path=store,
+                       escape=insurance.CSV_ESCAPE, nanValue=insurance.CSV_NAN)
 
     store = _once(spark, sf, "insurance1_typed", ingest)
     return spark.read.schema(INSURANCE_SCHEMA).parquet(store)

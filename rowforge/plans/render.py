@@ -41,9 +41,14 @@ def line_kind(k, variant: int):
     return expr.otherwise(F.lit("ok"))
 
 
-def insurance_lines(orders: DataFrame, variant: int, with_header: bool = True) -> DataFrame:
+def insurance_lines(orders: DataFrame, variant: int, with_header: bool = True,
+                    quoted: bool = False) -> DataFrame:
     """Orders as insurance-plan lines (columns ``line_no``, ``value``).
 
+    quoted (for CSV readers): every 13th key's network name is a quoted one
+    with a comma inside; every 37th's (after key 1) ends in a comma, which a
+    reader with the escape character ``,`` takes as an unclosed quote.
+
     variant 1: dates ``yyyy-MM-dd``; variant 2: ``dd-MM-yyyy`` and every 7th
     key's fields padded with blank/tab (the trimmed path).
     """
@@ -71,6 +76,9 @@ def insurance_lines(orders: DataFrame, variant: int, with_header: bool = True) -
          .otherwise(F.lit("SHOP (Small Group)")),
         F.when(k % 4 == 0, F.lit("")).when(k % 3 == 0, F.lit("Yes")).otherwise(F.lit("No")),
     ]
+    if quoted:
+        f[5] = (F.when(k % 37 == 1, F.concat(F.lit('"'), f[5], F.lit(',"')))
+                 .when(k % 13 == 0, F.concat(F.lit('"'), f[5], F.lit(', east"'))).otherwise(f[5]))
     if variant == 2:
         f = [F.when(k % 7 == 1, F.concat(F.lit(" "), x, F.lit("\t"))).otherwise(x) for x in f]
     line = (F.when(kind == "header", F.lit(INSURANCE_HEADER))

@@ -53,6 +53,19 @@ def test_csv_dropmalformed(spark, scratch):
     assert got == [(1, "N", None), (3, "N,with comma", "M")]
 
 
+def test_csv_escape_and_nan_options(spark, scratch):
+    from rowforge.plans.insurance import CSV_ESCAPE, CSV_NAN
+    p = scratch("csv_escape")
+    rows = [",".join(INSURANCE_SCHEMA.fieldNames()),
+            '1,2,2019-10-01,AL,S,"N, east",u,5,"",D', '2,2,2019-10-01,AL,S,"",u,0,0,D',
+            '3,2,2019-10-01,AL,S,"N,",u,5,M,D']           # the comma escapes the quote: malformed
+    write_raw(p, "\n".join(rows) + "\n")
+    df = read_csv_typed(spark, p, INSURANCE_SCHEMA, store_path=scratch("csv_escape_store"),
+                        escape=CSV_ESCAPE, nanValue=CSV_NAN)
+    assert sorted((r.IssuerId, r.NetworkName, r.custnum, r.MarketCoverage) for r in df.collect()) == [
+        (1, "N, east", 5, None), (2, None, 0, "0")]
+
+
 def test_ragged_csv_and_splits(spark, scratch):
     p = scratch("mixed")
     write_raw(p, "1,Ann,Lee,30,Eng\n2,Bo,,40,Doc\nAL,Alabama\n3,Cy,Ray,50,\n")
