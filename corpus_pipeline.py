@@ -12,8 +12,8 @@ from rowforge.llm.near_dedup import near_duplicates
 from rowforge.session import read_table, scratch_path
 
 PSEUDONYM_KEY = "pipeline key"
-#: A document goes if no language labels half of its letters with confidence.
-MIN_LANGUAGE_SCORE = 0.5
+#: A document goes if no language labels two fifths of its letters with confidence.
+MIN_LANGUAGE_SCORE = 0.4
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
