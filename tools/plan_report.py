@@ -16,10 +16,12 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from rowforge.functions.text import JAVA_BLANKS  # noqa: E402
+
 
 def summary(df) -> list[str]:
     plan = df._jdf.queryExecution().executedPlan()
-    text = plan.toString()
+    text = plan.toString().replace(JAVA_BLANKS, "0x00-0x20")
     out = []
     for line in text.splitlines():
         line = re.sub(r"#\d+L?", "", line)
