@@ -4,6 +4,7 @@ the last return the columns of ``documents``."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,8 +42,32 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return source_mixing.mix(docs).orderBy("mix_order", "doc_id").select(*docs.columns)
 
 
+def in_read_order(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with ``place``, the number of each row in the order of the
+    table: by file name and row for a table that is read as it is, else by
+    partition and row.  One count per file reaches the driver."""
+    part, row = F.spark_partition_id(), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    if docs._jdf.queryExecution().analyzed().children().isEmpty():
+        try:
+            docs = docs.select("*", F.col("_metadata.file_path").alias("__part"),
+                               F.col("_metadata.row_index").alias("__row"))
+        except AnalysisException:          # not from files
+            pass
+    if "__part" not in docs.columns:
+        docs = docs.select("*", part.alias("__part"), row.alias("__row"))
+    before, offsets = 0, []
+    for r in docs.groupBy("__part").agg(F.count("*").alias("n")).orderBy("__part").collect():
+        offsets.append((r["__part"], before))
+        before += r["n"]
+    kind = docs.schema["__part"].dataType.simpleString()
+    offsets = spark.createDataFrame(offsets, f"__part {kind}, __before long")
+    return (docs.join(F.broadcast(offsets), "__part").withColumn("place", F.col("__before") + F.col("__row"))
+            .drop("__part", "__row", "__before"))
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs)
+    """Sequences of neighbours in the mixed order; their names sort in that order."""
+    return packing.pack(in_read_order(spark, docs), place_col="place")
 
 
 STAGES = [

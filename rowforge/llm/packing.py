@@ -16,6 +16,9 @@ dropped or shortened.
 Documents are dealt to shards of about ``shard_rows`` rows by a hash, so a
 shard is a bounded group at any size, however frequent one source or cluster
 is; bins never span shards.  Only ids, lengths, sources and clusters move.
+Given the place of each row in a reading order, shards are ranges of that
+order instead, and bins are numbered by their first row in it, so the names of
+the bins sort in the order in which they are to be read.
 
 Edge cases: null and empty texts take no room and are not packed; null source
 and null cluster are values like any other for sources, while a row without a
@@ -105,7 +108,7 @@ def pack_shard(sizes: list[int], sources: list, clusters: list, capacity: int,
 def _pack(capacity: int, per_source: int):
     def packed(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("rest", "descending"), ("doc_id", "ascending"), ("source", "ascending"),
-                             ("cluster", "ascending"), ("length", "ascending")])
+                             ("cluster", "ascending"), ("length", "ascending"), ("place", "ascending")])
         shard = rows.column("shard")[0].as_py()
         doc, length = rows.column("doc_id").to_pylist(), rows.column("length").to_pylist()
         rest = rows.column("rest").to_pylist()
@@ -119,6 +122,15 @@ def _pack(capacity: int, per_source: int):
                         position, offset))
         for i, n in enumerate(length):
             out += [(doc[i], p, p * capacity, capacity, f"{shard}.f{i}.{p}", 0, 0) for p in range(n // capacity)]
+        place = rows.column("place").to_pylist()
+        if place[0] is not None:
+            at = [place[i] for i in some] + [place[i] for i, n in enumerate(length) for _ in range(n // capacity)]
+            first: dict = {}     # bin -> its first place; the whole pieces of a text come before its rest
+            for x, here in zip(out, at):
+                mine = (here, x[3] < capacity, x[1])
+                first[x[4]] = min(first.get(x[4], mine), mine)
+            name = {b: f"{shard:09}.{k:09}" for k, b in enumerate(sorted(first, key=first.__getitem__))}
+            out = [(*x[:4], name[x[4]], *x[5:]) for x in out]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int64()]
         return pa.table([pa.array([x[c] for x in out], k) for c, k in enumerate(kinds)],
                         ["doc_id", "piece", "start", "length", "bin", "position", "offset"])
@@ -126,19 +138,23 @@ def _pack(capacity: int, per_source: int):
 
 
 def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-         cluster_col: str | None = None, capacity: int = CAPACITY, per_source: int = PER_SOURCE,
-         shard_rows: int = SHARD_ROWS) -> DataFrame:
+         cluster_col: str | None = None, place_col: str | None = None, capacity: int = CAPACITY,
+         per_source: int = PER_SOURCE, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """The packing plan: one row per piece of a document with its bin, its
     place in it, and the code points ``start``, ``length`` that it takes from
-    the text.  Without a cluster column, equal texts are a cluster."""
+    the text.  Without a cluster column, equal texts are a cluster.
+    ``place_col`` numbers the rows of ``docs`` from 0 in their reading order."""
     text = F.col(text_col).cast("string")
     cluster = F.col(cluster_col).cast("string") if cluster_col else F.md5(text.cast("binary"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.length(text).cast("long").alias("length"),
                        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
-                       cluster.alias("cluster")).where("length > 0")
-    shards = max(1, -(-docs.count() // shard_rows))
-    dealt = rows.withColumn("rest", F.col("length") % capacity).withColumn("shard", F.pmod(
-        F.xxhash64("doc_id", "length", "cluster"), F.lit(shards)).cast("int"))
+                       cluster.alias("cluster"), (F.col(place_col) if place_col else F.lit(None)).cast("long")
+                       .alias("place")).where("length > 0")
+    n_rows = docs.count()
+    shards = max(1, -(-n_rows // shard_rows))
+    shard = (F.floor(F.col("place") * shards / max(1, n_rows)) if place_col
+             else F.pmod(F.xxhash64("doc_id", "length", "cluster"), F.lit(shards)))
+    dealt = rows.withColumn("rest", F.col("length") % capacity).withColumn("shard", shard.cast("int"))
     return dealt.groupBy("shard").applyInArrow(_pack(capacity, per_source), PLAN)
 
 

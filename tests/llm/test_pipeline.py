@@ -81,3 +81,46 @@ def test_empty_table(spark):
     for _, stage in cp.STAGES:
         now = spark.createDataFrame(stage(spark, now, SF).toArrow())
         assert now.count() == 0
+
+
+def test_packing_follows_the_mix(spark, scratch, monkeypatch):
+    import functools
+    docs = spark.createDataFrame([(i, f"text number {i} " * (1 + i % 7), "en", "abc"[i % 3], 0) for i in range(900)], SCHEMA)
+    mix, pack = cp.source_mixing.mix, cp.packing.pack
+    monkeypatch.setattr(cp.packing, "pack", functools.partial(pack, shard_rows=64))
+
+    def plan(stage):
+        path = scratch("mix")
+        stage(spark, docs, SF).write.option("maxRecordsPerFile", 50).parquet(path)
+        return cp.pack_sequences(spark, spark.read.parquet(path), SF).collect()
+
+    def early(rows):
+        """The sources of the texts of the first fifth of the sequences."""
+        names = sorted({r["bin"] for r in rows})
+        first = set(names[:len(names) // 5])
+        return Counter("abc"[r["doc_id"] % 3] for r in rows if r["bin"] in first)
+
+    plans = {"none": plan(lambda spark, docs, sf: docs)}
+    for hot in "ab":
+        target = {s: 8.0 if s == hot else 1.0 for s in "abc"}
+        monkeypatch.setattr(cp.source_mixing, "mix", functools.partial(mix, target=target))
+        order = {r["doc_id"]: i for i, r in enumerate(cp.mix_sources(spark, docs, SF).collect())}
+        plans[hot] = plan(cp.mix_sources)
+        ranges = {}
+        for r in plans[hot]:
+            ranges.setdefault(r["bin"].split(".")[0], []).append(order[r["doc_id"]])
+        seen = [x for k in sorted(ranges) for x in (min(ranges[k]), max(ranges[k]))]
+        assert len(ranges) == 15 and seen == sorted(seen)
+        assert early(plans[hot])[hot] > 0.6 * sum(early(plans[hot]).values())
+    assert len({tuple(sorted(map(tuple, p))) for p in plans.values()}) == 3
+
+
+def test_sequences_are_numbered_in_the_read_order(spark):
+    rows = [(i, "x" * n, "s", None, 0) for i, n in enumerate([3, 25, 8, 10, 2, 1])]
+    docs = cp.in_read_order(spark, spark.createDataFrame(rows, SCHEMA))
+    got = sorted(cp.packing.pack(docs, capacity=10, place_col="place").collect(), key=lambda r: (r["bin"], r["position"]))
+    firsts = {}
+    for r in got:
+        firsts[r["bin"]] = min(firsts.get(r["bin"], 99), r["doc_id"])
+    assert list(firsts.values()) == sorted(firsts.values())
+    assert {r["doc_id"] for r in got} == set(range(6))
