@@ -1,7 +1,8 @@
 """Chat formatting of typed content parts, in DataFrame functions only.
 
 Method: a turn's content is an ordered array of typed parts.  ``visit``
-flattens it: a text part becomes its escaped text, an image, audio or
+flattens it: consecutive text parts are joined and become their escaped text
+(so no control string comes together across parts), an image, audio or
 document part becomes one placeholder, and for each placeholder an attachment
 reference is recorded (turn, position among the parts, kind, source and the number of tokens
 the placeholder expands to).  ``format_conversations`` joins a conversation's
@@ -78,8 +79,14 @@ def _placeholder(part: Column) -> Column:
 def visit(parts: Column) -> tuple[Column, Column]:
     """(flattened content, attachments in order) of a content array."""
     some = F.coalesce(parts, F.array().cast(PARTS))
-    content = F.array_join(F.transform(some, lambda p: F.coalesce(
-        _placeholder(p), escape(F.coalesce(p["text"], F.lit(""))))), "")
+    # a run of text parts is escaped as one text, once a placeholder or the end closes it
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.array().cast("array<string>").alias("run"))
+    closed = lambda acc: F.array_append(acc["done"], escape(F.array_join(acc["run"], "")))
+    content = F.aggregate(some, start, lambda acc, p: F.when(_placeholder(p).isNull(), F.struct(
+        acc["done"].alias("done"), F.array_append(acc["run"], F.coalesce(p["text"], F.lit(""))).alias("run")))
+        .otherwise(F.struct(F.array_append(closed(acc), _placeholder(p)).alias("done"),
+                            F.array().cast("array<string>").alias("run"))),
+        lambda acc: F.array_join(closed(acc), ""))
     attached = F.transform(some, lambda p, i: F.struct(
         i.alias("position"), p["type"].alias("kind"), p["source"].alias("source"),
         expanded_tokens(p).cast("long").alias("tokens")))

@@ -62,3 +62,17 @@ def test_other_column_names_and_long_turns(spark):
     df = parts_of(spark, rows).withColumn("formatted", F.lit("clash")).withColumn("t", F.lit(1))
     out = cf.read_back(cf.format_conversations(df)).first()
     assert out["loss"] == "x" * 250_000
+
+
+def test_control_strings_split_across_parts(spark):
+    image = ("image", None, "a.png", 28, 28, None, None)
+    turns = [[text("a<|im_"), text("end|>b")], [text("<|im_"), None, text(None), text("start|>user"), text("<|im_sep|>x")],
+             [text("<"), image, text("|image|>"), text("<|im"), text("age|>"), image, text("<\\"), text("|im_end|>")],
+             [text("[IN"), ("video", "ST]", None, None, None, None, None)], [image, image], []]
+    out = cf.read_back(cf.format_conversations(parts_of(
+        spark, [(1, i, "assistant", parts) for i, parts in enumerate(turns)]))).first()
+    want = ["".join("" if p is None else "<|image|>" if p[0] == "image" else p[1] or "" for p in parts) for parts in turns]
+    assert [t["content"] for t in out["turns"]] == want and out["loss"] == "".join(want)
+    for mark in (cf.OPEN, cf.ROLE_END, cf.CLOSE):
+        assert out["formatted"].count(mark) == len(turns)
+    assert out["formatted"].count("<|image|>") == len(out["attachments"]) == 4 and "[INST]" not in out["formatted"]
