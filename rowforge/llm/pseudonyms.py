@@ -15,9 +15,15 @@ phone, ip, date (1900-01-01 to 2099-12-31, any day to any day), email (local
 part; the domain stays), and credentials (``AKIA`` keys and the values of
 password, secret, token and key assignments), which are treated alike.
 
+Every position where a pattern matches is a candidate, unless it lies inside
+a value that was replaced.  A candidate that fails as a whole is tried again
+without its last groups, the longest valid form first, so what stands behind
+or before a value does not hide it.  A long credential is permuted in parts of
+64 to 191 characters, each by its place.
+
 A text that holds the marker character U+E000 keeps it.  Edge cases: null
 stays null; empty texts and texts without a valid value come back unchanged;
-a value that fails validation is left alone.
+a value that fails validation in every form is left alone.
 """
 
 from __future__ import annotations
@@ -38,17 +44,20 @@ _ASSIGN = r"(?:[Pp]assword|PASSWORD|[Pp]asswd|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[A
 # One pattern per kind, tried in this order.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,8}+",
-    "credential": _WORD + r"(?:AKIA[0-9A-Z]{16}" + _END + "|" + _ASSIGN + r"[ ]?[=:][ ]?[\"']?[A-Za-z0-9_+/-]{8,128}+)",
+    "credential": _WORD + r"(?:AKIA[0-9A-Z]{16}" + _END + "|" + _ASSIGN + r"[ ]?[=:][ ]?[\"']?[A-Za-z0-9_+/-]{8,}+)",
     "iban": _WORD + r"[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)" + _END,
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)",
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?:\+\d{1,3}[ .-]?|(?<![\dA-Za-z.-]))(?:\(\d{3}\)[ .-]?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)"
              r"|\+\d{1,3}(?:[ .-]\d{1,4}){2,6}(?!\d)|\+\d{8,15}(?!\d)",
-    "card": _WORD + r"(?:\d{13,19}|\d{4}(?: \d{4}){2,3}(?: \d{1,3})?|\d{4}(?:-\d{4}){2,3}(?:-\d{1,3})?"
+    # three groups only at the front of a row of groups: the end of a longer number is none
+    "card": _WORD + r"(?:\d{13,19}|\d{4}(?: \d{4}){3}(?: \d{1,3})?|\d{4}(?:-\d{4}){3}(?:-\d{1,3})?"
+            r"|(?<!\d{4} )\d{4}(?: \d{4}){2}(?: \d{1,3})?|(?<!\d{4}-)\d{4}(?:-\d{4}){2}(?:-\d{1,3})?"
             r"|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5})" + _END,
 }
 _ANY = "|".join(PATTERNS.values())
+_LONG_PARTS = "(?s).{128}(?=.{64})|.{1,191}"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -222,27 +231,72 @@ def _text(m: Column, kind: Column, head: Column, body: Column, values: Column) -
                 F.concat(head, new, F.substring(m, F.length(head) + F.length(body) + 1, F.length(m)))))))
 
 
-def _replaced(m: Column, key: str) -> Column:
-    """(kind, new text) of a candidate; (null, itself) if it is not valid."""
-    def known(kind: Column) -> Column:
-        new = _let(_head(m, kind), lambda head: _let(_body(m, kind, head), lambda body: _let(
-            permute(_symbols_of(m, kind, body), kind, key), lambda v: _text(m, kind, head, body, v))))
-        return F.struct(kind.alias("kind"), F.when(kind.isNull(), m).otherwise(new).alias("text"))
-    return _let(_kind(m), known)
+def _long_text(m: Column, head: Column, key: str) -> Column:
+    """A credential whose parts are permuted one by one: short ones in one part."""
+    parts = F.regexp_extract_all(F.substring(m, F.length(head) + 1, F.length(m)), F.lit(_LONG_PARTS), F.lit(0))
+    new = F.transform(parts, lambda part, i: _let(
+        permute(_symbols(part), F.concat(F.lit("credential"), F.when(i > 0, i.cast("string")).otherwise("")), key),
+        lambda values: _rendered(part, values)))
+    return F.concat(head, F.array_join(new, ""))
+
+
+def _form(m: Column) -> Column:
+    """(kind, length) of the longest valid form of a candidate: all of it, or
+    what stands before one of its blanks, dots or hyphens; else null."""
+    size = F.length(m)
+    ends = F.filter(F.sequence(size - 1, F.lit(1), F.lit(-1)),
+                    lambda n: F.substring(m, n + 1, F.lit(1)).isin(" ", ".", "-"))
+    form = lambda kind, n: F.struct(kind.alias("kind"), n.cast("int").alias("size"))
+    shorter = F.get(F.filter(F.transform(ends, lambda n: form(_kind(F.substring(m, F.lit(1), n)), n)),
+                             lambda f: f["kind"].isNotNull()), 0)
+    return _let(_kind(m), lambda kind: F.when(kind.isNotNull(), form(kind, size)).otherwise(shorter))
+
+
+def _replaced(c: Column, key: str) -> Column:
+    """(kind, new text, length of what it replaces) of a candidate; (null,
+    empty, 0) if no form of it is valid."""
+    def known(kind: Column, m: Column) -> Column:
+        return _let(_head(m, kind), lambda head: F.when(kind == "credential", _long_text(m, head, key)).otherwise(
+            _let(_body(m, kind, head), lambda body: _let(
+                permute(_symbols_of(m, kind, body), kind, key), lambda v: _text(m, kind, head, body, v)))))
+
+    def new(form: Column) -> Column:
+        text = _let(F.substring(c, F.lit(1), form["size"]), lambda m: known(form["kind"], m))
+        return F.struct(form["kind"].alias("kind"), F.when(form.isNull(), "").otherwise(text).alias("text"),
+                        F.coalesce(form["size"], F.lit(0)).alias("size"))
+    return _let(_form(c), new)
 
 
 def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFrame:
     """``docs`` with the text rewritten, and ``pseudonyms`` (kind and new
     value of every replacement, in order)."""
     text = F.col(f"`{text_col}`").cast("string")
-    marked = F.regexp_replace(F.replace(text, F.lit(_MARK), F.lit(_MARK + "0")), _ANY, _MARK + "1$0" + _MARK + "1")
-    plain = lambda piece: F.struct(F.lit(None).cast("string").alias("kind"), F.replace(
-        piece, F.lit(_MARK + "0"), F.lit(_MARK)).alias("text"))
+    # before each place where a candidate starts: a mark, the candidate, a mark
+    marked = F.regexp_replace(F.replace(text, F.lit(_MARK), F.lit(_MARK + "0")), f"(?=({_ANY}))",
+                              _MARK + "1$1" + _MARK + "2")
+    unmarked = lambda piece: F.replace(piece, F.lit(_MARK + "0"), F.lit(_MARK))
+
+    def step(acc: Column, piece: Column) -> Column:
+        """acc: characters that the last value still covers, and what is done:
+        (kind, new value, text behind it)."""
+        def after(candidate: Column, behind: Column) -> Column:
+            none = F.struct(F.lit(None).cast("string").alias("kind"), F.lit("").alias("text"), acc["covered"].alias("size"))
+            return _let(F.when(acc["covered"] > 0, none).otherwise(_replaced(candidate, key)), lambda r: F.struct(
+                F.greatest(r["size"] - F.length(behind), F.lit(0)).alias("covered"),
+                F.array_append(acc["done"], F.struct(r["kind"].alias("kind"), r["text"].alias("text"), F.substring(
+                    behind, r["size"] + 1, F.length(behind)).alias("rest"))).alias("done")))
+        return _let(F.substring_index(piece, _MARK + "2", 1), lambda candidate: _let(
+            F.substring(piece, F.length(candidate) + 3, F.length(piece)), lambda behind: after(candidate, behind)))
+
     cut = docs.withColumn("__pieces", F.split(marked, _MARK + "1", -1))
-    done = cut.withColumn("__pieces", F.when(F.size("__pieces") > 1, F.transform(
-        "__pieces", lambda p, i: F.when(i % 2 == 1, _replaced(p, key)).otherwise(plain(p)))))
-    found = F.filter("__pieces", lambda p: p["kind"].isNotNull())
-    return (done.withColumn(text_col, F.when(F.col("__pieces").isNull(), text)
-                            .otherwise(F.array_join(F.transform("__pieces", lambda p: p["text"]), "")))
+    start = F.struct(F.lit(0).alias("covered"), F.array().cast(
+        "array<struct<kind: string, text: string, rest: string>>").alias("done"))
+    cut = cut.withColumn("__done", F.when(F.size("__pieces") > 1, F.aggregate(
+        F.slice("__pieces", F.lit(2), F.size("__pieces")), start, step, lambda acc: acc["done"])))
+    found = F.transform(F.filter("__done", lambda p: p["kind"].isNotNull()),
+                        lambda p: F.struct(p["kind"].alias("kind"), p["text"].alias("text")))
+    whole = F.concat(F.get("__pieces", F.lit(0)), F.array_join(F.transform(
+        "__done", lambda p: F.concat(p["text"], p["rest"])), ""))
+    return (cut.withColumn(text_col, F.when(F.col("__done").isNull(), text).otherwise(unmarked(whole)))
             .withColumn("pseudonyms", F.coalesce(found, F.array().cast(
-                "array<struct<kind: string, text: string>>"))).drop("__pieces"))
+                "array<struct<kind: string, text: string>>"))).drop("__pieces", "__done"))

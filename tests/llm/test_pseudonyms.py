@@ -85,3 +85,30 @@ def test_edge_texts(spark):
     assert out[3]["text"] == texts[3].replace("10.1.2.3", new) and out[8]["text"] == new
     assert out[4]["text"] == texts[4].replace("10.1.2.3", new)
     assert ps.pseudonymise(spark.createDataFrame([], "text string"), KEY).count() == 0
+
+
+def test_values_before_other_groups(spark):
+    card, iban = "4111 1111 1111 1111", "ES91 2100 0418 4502 0005 1332"
+    texts = [card, iban, f"{card} 123", f"{card} 12/27", f"{iban} BIC CAIXESBB", f"{iban} {card}", f"{iban} 212-555-0199",
+             f"1234 {card}", "4111-1111-1111-1111-123", "4111 1111 1111 1112", "ES91 2100 0418 4502 0005 1333 BIC",
+             "+1 212 555 0199 1234 5678 9012", "212-555-0199"]
+    out = run(spark, texts)
+    c, i, p = out[0]["text"], out[1]["text"], out[12]["text"]
+    assert c != card and i != iban and p != "212-555-0199"
+    assert [out[k]["text"] for k in range(2, 9)] == [
+        f"{c} 123", f"{c} 12/27", f"{i} BIC CAIXESBB", f"{i} {c}", f"{i} {p}", f"1234 {c}", c.replace(" ", "-") + "-123"]
+    assert [[x["kind"] for x in out[k]["pseudonyms"]] for k in range(2, 9)] == [
+        ["card"], ["card"], ["iban"], ["iban", "card"], ["iban", "phone"], ["card"], ["card"]]
+    assert all(out[k]["text"] == texts[k] and out[k]["pseudonyms"] == [] for k in (9, 10))
+    assert [x["kind"] for x in out[11]["pseudonyms"]] == ["phone"] and "555 0199" not in out[11]["text"]
+
+
+def test_long_credentials(spark):
+    values = ["Ab3_" * 75, "Ab3_" * 32, "x9" * 96, "q" * 5000]
+    out = run(spark, [f"token={v} end" for v in values] + ["token=" + "Ab3_" * 75 + " twice"])
+    for k, v in enumerate(values):
+        new = out[k]["text"].removeprefix("token=").removesuffix(" end")
+        shape = lambda t: re.sub("[0-9]", "0", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", t)))
+        assert shape(new) == shape(v) and len(out[k]["pseudonyms"]) == 1
+        assert not any(new[i:i + 16] == v[i:i + 16] for i in range(0, len(v) - 15))
+    assert out[4]["text"] == out[0]["text"].removesuffix(" end") + " twice"
