@@ -13,16 +13,16 @@ from rowforge.llm.near_dedup import near_duplicates
 from rowforge.session import read_table, scratch_path
 
 PSEUDONYM_KEY = "pipeline key"
-#: A document goes if no language labels two fifths of its letters with confidence.
-MIN_LANGUAGE_SCORE = 0.4
+#: A document goes if the languages of its spans, however many, are less sure than this.
+MIN_CONFIDENCE = 0.4
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or without a predominant language, go; a
-    missing lang is filled with the one found."""
+    """Documents without a letter, or whose spans have no sure language, go;
+    mixed ones stay.  A missing lang is filled with the one of most letters."""
     model = language_id.train(docs)
     found = language_id.identify(docs, model).where(
-        (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE))
+        (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("confidence") >= MIN_CONFIDENCE))
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 

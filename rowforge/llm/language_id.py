@@ -7,14 +7,16 @@ language, labels each word, and runs of equally labelled words are the spans.
 
 A document's language is the one that labels most letters (ties: the smaller
 name); its score is the letters of those spans, each span weighted by the
-probability of its label among the learned languages, over all letters.
+probability of its label among the learned languages, over all letters.  Its
+confidence is the same over the spans of all languages, so a text that is
+evenly mixed has a low score and a high confidence.
 
 Training reads text and language only, of a bounded sample: about
 ``rows_per_language`` rows of each language, chosen by a hash of the id.
 
 Edge cases: a null text, or one without letters, is ``und`` with score 0 and
 no spans, as is every text if no training row has a language.  Existing
-columns called lang_pred, score or spans are replaced.
+columns called lang_pred, score, confidence or spans are replaced.
 """
 
 from __future__ import annotations
@@ -167,12 +169,13 @@ def _viterbi(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarra
 
 
 def _label(model: LanguageModel, penalty: float, codes: np.ndarray, rows: np.ndarray):
-    """Per row: language, score, and its spans (start, end, language)."""
+    """Per row: language, score, confidence, and its spans (start, end, language)."""
     starts, ends, before, buckets = _trigrams(codes, rows)
     n_rows, n_lang = len(rows) - 1, len(model.languages)
     if not len(starts) or not n_lang:
         none = np.zeros(0, np.int64)
-        return [UNDETERMINED] * n_rows, np.zeros(n_rows), np.zeros(n_rows + 1, np.int64), none, none, none
+        return ([UNDETERMINED] * n_rows, np.zeros(n_rows), np.zeros(n_rows), np.zeros(n_rows + 1, np.int64),
+                none, none, none)
     scores = np.add.reduceat(model.log_p[buckets], before[:-1], axis=0)
     allowed = model.uses[scripts_of(codes[starts])]
     allowed[~allowed.any(axis=1)] = True
@@ -193,38 +196,39 @@ def _label(model: LanguageModel, penalty: float, codes: np.ndarray, rows: np.nda
     pick = owned.argmax(axis=1)
     size = owned.sum(axis=1)
     score = np.where(size > 0, weighed[np.arange(n_rows), pick] / np.maximum(size, 1), 0.0)
+    confidence = weighed.sum(axis=1) / np.maximum(size, 1)
     names = [model.languages[p] if s else UNDETERMINED for p, s in zip(pick, size)]
-    return (names, score.clip(0, 1), np.searchsorted(row[head], np.arange(n_rows + 1)),
+    return (names, score.clip(0, 1), confidence.clip(0, 1), np.searchsorted(row[head], np.arange(n_rows + 1)),
             starts[head] - rows[row[head]], ends[tail] - rows[row[head]], labels[head])
 
 
 def identify(docs: DataFrame, model: LanguageModel, *, text_col: str = "text",
              penalty: float = SWITCH_PENALTY) -> DataFrame:
-    """``docs`` with lang_pred, score (0 to 1) and spans (start and end in
-    code points, language), see the module."""
+    """``docs`` with lang_pred, score and confidence (0 to 1) and spans (start
+    and end in code points, language), see the module."""
     # BUCKETS x languages floats; plain arrays, so that workers need no import
     held = docs.sparkSession.sparkContext.broadcast((model.languages, model.log_p, model.uses))
 
     def labelled(texts: pa.Array) -> pa.Array:
         model, out = LanguageModel(*held.value), []
         for codes, rows in code_slices(texts):
-            names, score, offsets, start, end, lang = _label(model, penalty, codes, rows)
+            names, score, confidence, offsets, start, end, lang = _label(model, penalty, codes, rows)
             span = pa.StructArray.from_arrays(
                 [pa.array(start, pa.int32()), pa.array(end, pa.int32()),
                  pa.array([model.languages[x] for x in lang], pa.string())], ["start", "end", "lang"])
             out.append(pa.StructArray.from_arrays(
-                [pa.array(names, pa.string()), pa.array(score, pa.float64()),
+                [pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(confidence, pa.float64()),
                  pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), span)],
-                ["lang_pred", "score", "spans"]))
+                ["lang_pred", "score", "confidence", "spans"]))
         return pa.concat_arrays(out) if out else pa.array([], type=pa.struct(
-            [("lang_pred", pa.string()), ("score", pa.float64()),
+            [("lang_pred", pa.string()), ("score", pa.float64()), ("confidence", pa.float64()),
              ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])))]))
 
-    label = F.arrow_udf(labelled, "lang_pred string, score double, "
+    label = F.arrow_udf(labelled, "lang_pred string, score double, confidence double, "
                                   "spans array<struct<start: int, end: int, lang: string>>")
-    keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score", "spans")]
+    keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score", "confidence", "spans")]
     marked = docs.select(*keep, label(F.col(text_col).cast("string")).alias("__lid"))
-    return marked.select(*keep, "__lid.lang_pred", "__lid.score", "__lid.spans")
+    return marked.select(*keep, "__lid.lang_pred", "__lid.score", "__lid.confidence", "__lid.spans")
 
 
 def is_held_out(id_col: str = "doc_id"):

@@ -124,3 +124,20 @@ def test_sequences_are_numbered_in_the_read_order(spark):
         firsts[r["bin"]] = min(firsts.get(r["bin"], 99), r["doc_id"])
     assert list(firsts.values()) == sorted(firsts.values())
     assert {r["doc_id"] for r in got} == set(range(6))
+
+
+def test_language_stage_keeps_evenly_mixed_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    pick = {r["lang"]: r["text"] for r in docs.where("length(text) > 700").collect()}
+    langs = sorted(x for x in pick if x is not None)
+    mixed = [(20_001, 3), (20_002, 4)]
+    rows = [(i, "\n".join(pick[x][:500] for x in langs[:k]), None, "src1", 0) for i, k in mixed]
+    rows += [(20_003, "12 -- 34", None, "src1", 0)]
+    model = cp.language_id.train(docs)
+    found = {r["doc_id"]: r for r in cp.language_id.identify(spark.createDataFrame(rows, SCHEMA), model).collect()}
+    for i, k in mixed:
+        assert len({s["lang"] for s in found[i]["spans"]}) == k
+        assert found[i]["score"] < 0.4 < 0.9 < found[i]["confidence"] <= 1
+    both = docs.select(COLUMNS).union(spark.createDataFrame(rows, SCHEMA))
+    kept = {r["doc_id"] for r in cp.keep_known_language(spark, both, SF).collect()}
+    assert {20_001, 20_002} <= kept and 20_003 not in kept
