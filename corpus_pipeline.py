@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowforge.llm import language_id, packing, pseudonyms, source_mixing
-from rowforge.llm.near_dedup import near_duplicates
+from rowforge.llm.near_dedup import one_of_each
 from rowforge.session import read_table, scratch_path
 
 PSEUDONYM_KEY = "pipeline key"
@@ -27,9 +27,8 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one of the smallest id."""
-    gone = near_duplicates(docs, n=5, threshold_pct=80).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group stays, one of the smallest id."""
+    return one_of_each(docs, n=5, threshold_pct=80)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

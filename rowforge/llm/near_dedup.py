@@ -23,8 +23,11 @@ chunks are compared as tiles, by the same counts and the same sets, and a tile
 returns no more links than it has members.
 
 Edge cases: null, empty and blank texts have no shingles and link with
-nothing; rows of one ``doc_id`` are one document; a row without ``doc_id`` is
-never linked (null component, kept).  Other columns play no part here.
+nothing; what is linked are the sets of texts, so rows of one ``doc_id`` with
+different texts are judged each by its own.  In ``near_duplicates`` a row
+without ``doc_id`` is never linked (null component, kept) and rows that repeat
+the smallest id of a component are all kept; ``one_of_each`` keeps one row of
+every component, whatever its id.  Other columns play no part here.
 """
 
 from __future__ import annotations
@@ -243,19 +246,20 @@ def _compare(n: int, threshold_pct: int, needed: int):
     return compare
 
 
-def near_duplicates(docs: DataFrame, n: int = 5, threshold_pct: int = 80, *,
-                    id_col: str = "doc_id", text_col: str = "text", coordinates: int = COORDINATES,
-                    short_list: int = SHORT_LIST, chunk_rows: int = CHUNK) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest
-    doc_id reachable over links, itself included), kept (doc_id is that one)."""
-    spark = docs.sparkSession
+def _grouped(rows: DataFrame, n: int, threshold_pct: int, coordinates: int, short_list: int,
+             chunk_rows: int, linkable: str) -> tuple[DataFrame, DataFrame]:
+    """The stored rows (``rows`` with doc_id and text, and row, n_shingles,
+    set_a, set_b), and one row per distinct set of those that are ``linkable``:
+    the set, its first row (no_id, doc_id, row), and its component."""
+    spark = rows.sparkSession
     needed = matches_needed(threshold_pct / 100, coordinates)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    base = _stored(spark, rows.withColumn("s", sign(n, coordinates)("text"))
-                   .select("doc_id", "s.*"), "signed")
-    filled = base.where("n_shingles > 0 and doc_id is not null")
+    base = _stored(spark, rows.withColumn("row", F.monotonically_increasing_id())
+                   .withColumn("s", sign(n, coordinates)("text")).select(*rows.columns, "row", "s.*"), "signed")
+    filled = base.where("n_shingles > 0").where(linkable)
+    # the rows of a set have one representative, whose text stands for them
     classes = _stored(spark, filled.groupBy("set_a", "set_b", "n_shingles").agg(
-        F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "classes")
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"),
+        F.first("signature").alias("signature")).withColumn("rep", F.col("first.row")), "classes")
 
     posts = classes.select("rep", F.posexplode(F.arrow_udf(_values, "array<int>")("signature"))
                            .alias("coordinate", "value"))
@@ -272,9 +276,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold_pct: int = 80, *,
                      "posted")
     sets = _stored(spark, classes.join(shared.select("rep"), "rep", "left_semi")
                    .select("rep", "n_shingles", "signature"), "sets")
-    # rows of one doc_id are one document: its least text stands for it
-    texts = (rows.join(shared.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-             .groupBy(F.col("doc_id").alias("rep")).agg(F.min("text").alias("text")))
+    texts = base.select(F.col("row").alias("rep"), "text").join(shared.select("rep"), "rep", "left_semi")
     texts = _stored(spark, texts, "texts")
 
     key = ["coordinate", "value"]
@@ -313,10 +315,33 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold_pct: int = 80, *,
     links = links.union(_stored(spark, found, "tile_links"))
     labels = _stored(spark, connected(spark, reps, links), "components")
 
-    of_class = classes.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
-        "set_a", "set_b", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
+    grouped = classes.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
+        "set_a", "set_b", "n_shingles", "first", F.coalesce("component", "rep").alias("component"))
+    return base, _stored(spark, grouped, "grouped")
+
+
+def near_duplicates(docs: DataFrame, n: int = 5, threshold_pct: int = 80, *,
+                    id_col: str = "doc_id", text_col: str = "text", coordinates: int = COORDINATES,
+                    short_list: int = SHORT_LIST, chunk_rows: int = CHUNK) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest
+    doc_id reachable over links, itself included), kept (doc_id is that one)."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    base, grouped = _grouped(rows, n, threshold_pct, coordinates, short_list, chunk_rows, "doc_id is not null")
+    least = grouped.groupBy("component").agg(F.min("first.doc_id").alias("component_id"))
+    of_class = grouped.join(least, "component").select("set_a", "set_b", "n_shingles", "component_id")
     return (base.join(of_class, ["set_a", "set_b", "n_shingles"], "left")
             .select("doc_id", "n_shingles",
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
                     .alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def one_of_each(docs: DataFrame, n: int = 5, threshold_pct: int = 80, *, coordinates: int = COORDINATES,
+                short_list: int = SHORT_LIST, chunk_rows: int = CHUNK) -> DataFrame:
+    """``docs`` (with doc_id and text) without near-duplicates: exactly one row
+    of every component, of the smallest doc_id, or of none if none has one.
+    Rows without shingles stay."""
+    base, grouped = _grouped(docs, n, threshold_pct, coordinates, short_list, chunk_rows, "true")
+    first = grouped.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
+    alone = base.where("n_shingles = 0").select("row")
+    return base.join(first.union(alone), "row", "left_semi").select(*docs.columns)

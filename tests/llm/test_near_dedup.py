@@ -3,7 +3,7 @@ import random
 import pytest
 from helpers import components
 
-from rowforge.llm.near_dedup import connected, matches_needed, near_duplicates
+from rowforge.llm.near_dedup import connected, matches_needed, near_duplicates, one_of_each
 
 SCHEMA = "doc_id long, text string, component_id string, kept string, other int"
 
@@ -73,3 +73,24 @@ def test_very_long_text(spark):
                                  "doc_id long, text string")
     got = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, 3, 85).collect()}
     assert got == {1: 1, 2: 1, 3: 3}
+
+
+def test_reused_repeated_and_null_ids(spark):
+    rng = random.Random(8)
+    text = lambda: " ".join(f"v{rng.randrange(10_000)}" for _ in range(60))
+    near = lambda t: " ".join(t.split()[:-1] + ["end"])
+    a, b, c, d, e, lone = (text() for _ in range(6))
+    rows = [(1, a), (7, a), (7, b),                       # an id with a copy and with a text of its own
+            (5, c), (5, d), (9, near(c)), (9, near(d)),   # two groups of the same ids
+            (4, e), (4, e), (4, e),                       # exact repeats
+            (None, lone), (None, lone), (None, near(lone)), (None, e), (8, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, "x", "y", k) for k, (i, t) in enumerate(rows)], SCHEMA)
+    out = one_of_each(docs, 5, 80)
+    got = [(r["doc_id"], r["text"]) for r in out.collect()]
+    assert out.columns == docs.columns
+    known = [r for r in got if r[0] is not None]
+    assert sorted(known, key=str) == sorted([(1, a), (7, b), (5, c), (5, d), (4, e), (8, None), (8, "")], key=str)
+    assert len(got) == len(known) + 1 and [t for i, t in got if i is None][0] in (lone, near(lone))
+    judged = {(r["doc_id"], r["component_id"], r["kept"]) for r in near_duplicates(docs, 5, 80).collect()}
+    assert {(1, 1, True), (7, 1, False), (7, 7, True), (5, 5, True), (9, 5, False)} <= judged
+    assert (9, 9, True) not in judged and (5, 9, False) not in judged
