@@ -8,6 +8,7 @@ from rowforge.llm import chat_format as chat
 from rowforge.llm import language_id, packing, pseudonyms, quality_classifier, quality_rules, source_mixing
 from rowforge.llm import token_counts as tokens
 from rowforge.llm.block_search import nearest
+from rowforge.llm.group_join import jaccard_components
 from rowforge.llm.near_dedup import near_duplicates
 from rowforge.session import read_table
 
@@ -102,12 +103,38 @@ def op10_token_counts(spark, sf_dir):
                           F.col("tree.n_tokens").alias("edited_tokens"), "encoded_chars")
 
 
+def op11_group_jaccard(spark, sf_dir):
+    return jaccard_components(read_table(spark, sf_dir, "documents"), n=3, threshold_pct=90)
+
+
 QUERIES = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 _ASCII_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 _ESCAPED = (r"regexp_replace(%s, '([<\[])(\\*)(" + chat._RESTS + r")', '\1\\\2\3', 'g')")
 
+def _linked_components(pct: int) -> str:
+    """Components of documents whose sets of three-word shingles link at ``pct`` percent."""
+    return f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2])
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+link AS (SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * c >= {pct} * (na.n + nb.n - c)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT a AS doc_id, a AS other FROM edge
+  UNION SELECT reach.doc_id, edge.b FROM reach JOIN edge ON reach.other = edge.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least(d.doc_id, r.m), d.doc_id) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+LEFT JOIN (SELECT doc_id, min(other) AS m FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id"""
+
+
 ORACLE_SQL = {
     "op2_chat_formatting": f"""
 WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
@@ -149,23 +176,6 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   fail_bits & {quality_rules.mask_of(quality_rules.POLICIES['base', 1])} <> 0 AS base_failed, fail_bits & {quality_rules.mask_of(quality_rules.POLICIES['web', 2])} = 0 AS kept,
   fail_bits FROM b""",
     "op9_minhash_near_dedup": f"""
-WITH RECURSIVE w AS (
-  SELECT doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
-sh AS (
-  SELECT DISTINCT doc_id, unnest(CASE
-    WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2])
-    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
-n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
-common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
-  FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
-link AS (SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
-  WHERE 100 * c >= 85 * (na.n + nb.n - c)),
-edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
-reach AS (SELECT a AS doc_id, a AS other FROM edge
-  UNION SELECT reach.doc_id, edge.b FROM reach JOIN edge ON reach.other = edge.a)
-SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles,
-  coalesce(least(d.doc_id, r.m), d.doc_id) AS component_id,
-  d.doc_id = coalesce(least(d.doc_id, r.m), d.doc_id) AS kept
-FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
-LEFT JOIN (SELECT doc_id, min(other) AS m FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id""",
+SELECT *, doc_id = component_id AS kept FROM ({_linked_components(85)})""",
+    "op11_group_jaccard": _linked_components(90),
 }
