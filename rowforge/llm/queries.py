@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from rowforge.llm import chat_format as chat
-from rowforge.llm import language_id, packing, pseudonyms, quality_classifier, quality_rules, source_mixing
+from rowforge.llm import conversation_repair as conversations
+from rowforge.llm import language_id, packing, pseudonyms, quality_classifier, quality_rules, source_mixing, spelling_variants
 from rowforge.llm import token_counts as tokens
 from rowforge.llm.block_search import nearest
 from rowforge.llm.group_join import jaccard_components
@@ -107,12 +111,140 @@ def op11_group_jaccard(spark, sf_dir):
     return jaccard_components(read_table(spark, sf_dir, "documents"), n=3, threshold_pct=90)
 
 
+def damaged(turns):
+    """Rows with the faults that the query plants by a hash of (conv_id, turn)."""
+    space = F.lit(" ")
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")])
+    h = F.crc32(key.cast("binary")) % 20
+    role, text = (F.coalesce(c, space) for c in ("role", "text"))
+    rows = turns.select(
+        "conv_id", "turn", F.when(h == 4, "user").otherwise(role).alias("role"),
+        F.when(h == 1, "").when(h == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.when(h == 0, 0).when(h == 3, 2).otherwise(1).alias("copies"))
+    return rows.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).drop("copies", "copy")
+
+
+def op12_conversation_repair(spark, sf_dir):
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = conversations.summaries(conversations.repair(damaged(turns)))
+    every = turns.select(F.col("conv_id").alias("of")).distinct()
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c)
+              for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.join(found, F.col("of").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("of").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def misspelt(doc_id, runs: Counter) -> Counter:
+    """Runs of a text in which the query has planted variants: one run in 199,
+    chosen by a hash, loses a code point."""
+    start = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
+    out: Counter = Counter()
+    for run, n in runs.items():
+        h = zlib.crc32(run.encode(), start)
+        out[run if h % 199 else run[:(k := h % len(run))] + run[k + 1:]] += n
+    return out
+
+
+def op13_spelling_variants(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling_variants.variants(spelling_variants.vocabulary(docs, change=misspelt))
+
+
 QUERIES = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 _ASCII_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 _ESCAPED = (r"regexp_replace(%s, '([<\[])(\\*)(" + chat._RESTS + r")', '\1\\\2\3', 'g')")
 
+#: The unsigned crc32 of an ASCII text.
+_CRC32 = """xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(string_split(%s, ''), lambda x: ascii(x)::BIGINT),
+  lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)))"""
+
+
+def _least(*options: tuple[str, str, str, str]) -> str:
+    """Of (from state, cost, edit, condition): the least (cost, edits)."""
+    return "list_sort([" + ", ".join(
+        f"{{'c': {s}.c + CASE WHEN {ok} THEN {c} ELSE 1000000000 END, 'p': {s}.p || '{e}'}}"
+        for s, c, e, ok in options) + "])[1]"
+
+
+def _edit(before: str, to: str) -> list[tuple[str, str, str, str]]:
+    """Keep and rerole of a row after one of the states, giving it that initial."""
+    return [x for s in before for x in ((s, "more", "K", f"free AND initial = '{to}'"),
+                                        (s, "more + 3", "R", f"free AND '{to}' <> 's'"))]
+
+
+_REPAIR = f"""
+WITH RECURSIVE h AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {_CRC32 % "coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"} % 20 AS h FROM conversations),
+d AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+  CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(CASE h WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM h),
+n AS (SELECT conv_id, turn, role, text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM d),
+f AS (SELECT *, left(role, 1) AS initial,
+  lag(role) OVER (PARTITION BY conv_id ORDER BY i) IS NOT NULL
+    AND left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) NOT IN ('su', 'ua', 'au') AS illegal,
+  CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM n),
+r AS (SELECT *, fault NOT IN ('blank', 'duplicate') AS free, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS more FROM f),
+v AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'p': ''}} AS z, {{'c': 1000000000::BIGINT, 'p': ''}} AS s,
+    {{'c': 3::BIGINT, 'p': 'I'}} AS u, {{'c': 6::BIGINT, 'p': 'II'}} AS a FROM conversations
+  UNION ALL
+  SELECT conv_id, i, z, s, u1 AS u, {_least(("a", "0", "", "true"), ("u1", "3", "I", "true"))} AS a FROM (
+    SELECT *, {_least(("u", "0", "", "true"), *[(x, "3", "I", "true") for x in "zsa"])} AS u1 FROM (
+      SELECT conv_id, r.i, {_least(("z", "4", "D", "true"))} AS z,
+        {_least(("s", "4", "D", "true"), *_edit("z", "s"))} AS s,
+        {_least(("u", "4", "D", "true"), *_edit("zsa", "u"))} AS u,
+        {_least(("a", "4", "D", "true"), *_edit("u", "a"))} AS a
+      FROM v JOIN r USING (conv_id) WHERE r.i = v.i + 1))),
+last AS (SELECT conv_id, list_sort([z, a])[1] AS won FROM (SELECT *, max(i) OVER (PARTITION BY conv_id) AS n FROM v) WHERE i = n),
+e AS (SELECT conv_id, won.p AS audit, unnest(range(1, length(won.p) + 1)) AS j FROM last),
+k AS (SELECT e.conv_id, j, substr(audit, j, 1) AS edit, r.role, r.text,
+  row_number() OVER (PARTITION BY e.conv_id ORDER BY j) AS m FROM e LEFT JOIN r ON r.conv_id = e.conv_id
+    AND substr(audit, j, 1) <> 'I' AND r.i = length(replace(substr(audit, 1, j), 'I', '')) WHERE substr(audit, j, 1) <> 'D'),
+o AS (SELECT *, max(CASE WHEN m = 1 AND edit = 'K' AND left(role, 1) = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS sys FROM k),
+t AS (SELECT conv_id, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (m - sys) % 2 = 1 THEN 'user' ELSE 'assistant' END
+  || ':' || coalesce(text, ''), chr(10) ORDER BY m)) AS sha FROM o GROUP BY conv_id),
+c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'blank') AS blank,
+  count_if(fault = 'duplicate') AS duplicate, count_if(fault = 'truncated') AS truncated, count_if(illegal) AS illegal
+  FROM r GROUP BY conv_id)
+SELECT last.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, won.c::BIGINT AS cost, won.p AS audit,
+  coalesce(sha, sha256('')) AS repaired_sha256
+FROM last LEFT JOIN c USING (conv_id) LEFT JOIN t USING (conv_id)"""
+
+
+#: The same of the bytes of a text of any letters.
+_CRC32_UTF8 = _CRC32.replace("string_split(%s, '')", "regexp_extract_all(hex(encode(%s)), '..')").replace(
+    "ascii(x)::BIGINT", "('0x' || x)::BIGINT")
+
+_SPELLING = f"""
+WITH RECURSIVE run AS (SELECT doc_id, unnest(regexp_extract_all({{lower}}, '[a-z\\x{{{{C0}}}}-\\x{{{{FF}}}}]+')) AS run FROM documents),
+own AS (SELECT doc_id, run, count(*) AS n FROM run WHERE length(run) >= 6 GROUP BY doc_id, run),
+h AS (SELECT *, {_CRC32_UTF8 % "coalesce(doc_id::VARCHAR, '') || ':' || run"} AS h FROM own),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM (SELECT n, CASE WHEN h % 199 = 0
+    THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM h)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+del AS (SELECT word, n, length(word) AS len, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM w, unnest(range(1, length(word) + 1)) AS u(i)),
+pair AS (SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n FROM del a JOIN del b
+    ON a.rest = b.rest AND a.i = b.i AND a.len = b.len AND a.word <> b.word
+  UNION SELECT a.word, a.n, w.word, w.n FROM del a JOIN w ON w.word = a.rest
+  UNION SELECT w.word, w.n, a.word, a.n FROM del a JOIN w ON w.word = a.rest),
+near AS (SELECT word, count(*) AS n_near, list_sort(list({{{{'n': -near_n, 'w': near}}}}))[1] AS best FROM pair GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.n >= 5 * w.n THEN best.w END AS form,
+  CASE WHEN -best.n >= 5 * w.n THEN -best.n END AS form_n FROM w LEFT JOIN near USING (word)),
+way AS (SELECT word, word AS root, form AS onward FROM f
+  UNION ALL SELECT way.word, f.word, f.form FROM way JOIN f ON f.word = way.onward)
+SELECT f.word, form, root, n, n_near, form_n::BIGINT AS form_n FROM f JOIN way ON way.word = f.word AND way.onward IS NULL"""
+
+
 def _linked_components(pct: int) -> str:
     """Components of documents whose sets of three-word shingles link at ``pct`` percent."""
     return f"""
@@ -178,4 +310,6 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     "op9_minhash_near_dedup": f"""
 SELECT *, doc_id = component_id AS kept FROM ({_linked_components(85)})""",
     "op11_group_jaccard": _linked_components(90),
+    "op12_conversation_repair": _REPAIR,
+    "op13_spelling_variants": _SPELLING.format(lower=_ASCII_LOWER),
 }

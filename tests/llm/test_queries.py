@@ -10,7 +10,7 @@ NAMES = [n for n in entry.queries() if n.startswith("op")]
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", [n for n in NAMES if n in entry.oracle_sql()])
