@@ -16,13 +16,14 @@ from rowforge.operators import cleanse as cl
 from rowforge.operators.relational import counts_of_groups, union_all
 from rowforge.operators.splitting import write_split_by
 from rowforge.plans import insurance
-from rowforge.session import path_exists, scratch_path
+from rowforge.operators.aggregate import keyword_count
+from rowforge.session import scratch_path
 from rowforge.sinks import files as sinks
 from rowforge.sources.csv import read_csv_strings, read_csv_typed
 from rowforge.sources.lookup import read_lookup_list
 from rowforge.sources.text import read_text_lines
 from rowforge.streaming import chat as sc
-from rowforge.streaming.runner import run_append_to_files, run_complete_to_versions
+from rowforge.streaming.ledger import run_to_ledger
 
 
 def cleansing_job(spark: SparkSession, file1: str, file2: str, out: str,
@@ -88,19 +89,15 @@ def enrichment_job(spark: SparkSession, plans_csv: str, custs_states: str, out:
 def chat_job(spark: SparkSession, chat_dir: str, stopwords: str, out: str,
              checkpoint: str | None = None, max_files_per_trigger: int | None = None) -> None:
     """Chat lines (``id~text~type``) arriving as files in ``chat_dir`` ->
-    customer words without stop words (parquet, append, exactly-once) and
-    keyword counts (json versions under ``out/keywords``, one per micro-batch;
-    ``read_newest_version`` reads the current one).  Each run processes the
-    files that are new since the last run; the checkpoints that say which
-    are kept beside the output unless ``checkpoint`` names a folder."""
-    ck = checkpoint or f"{out}/_checkpoints"
-    if path_exists(spark, f"{out}/words/_spark_metadata") and not path_exists(spark, f"{ck}/words/offsets"):
-        raise ValueError(f"{out} holds the output of another checkpoint than {ck}: this run would skip "
-                         "batches that its log counts as done; pass that checkpoint or another folder")
+    customer words without stop words (parquet, ``out/words``) and their
+    counts per batch (json, ``out/keywords``), both from one pass over each file.
+    ``streaming.ledger.read_rows`` and ``read_sums`` read them, always at the same
+    batch.  Each run processes the files that are new since the last run; the
+    checkpoint that says which is kept beside the output unless ``checkpoint``
+    names a folder."""
     stop = read_lookup_list(spark, stopwords)
     words = sc.words_without_stop(
         sc.customer_words(sc.text_stream(spark, chat_dir, max_files_per_trigger)), stop,
         null_aware=True)
-    run_append_to_files(words, f"{out}/words", f"{ck}/words")
-    run_complete_to_versions(sc.stream_keyword_counts(words), f"{out}/keywords", f"{ck}/keywords",
-                             fmt="json", n_state=spark.sparkContext.defaultParallelism, rocksdb=True)
+    run_to_ledger(words, out, checkpoint or f"{out}/_checkpoint", "words", {"keywords": keyword_count},
+                  formats={"keywords": "json"})

@@ -9,10 +9,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rowforge.operators.aggregate import COUNT_NAME, KEY_NAME, keyword_count
 from rowforge.plans import chat, queries as batch, render
 from rowforge.session import scratch_path, table_path
+from rowforge.sources.lookup import lookup_from_values
 from rowforge.sources.tables import create_database, kept_rows
 from rowforge.streaming import chat as sc
+from rowforge.streaming import ledger, lists
 from rowforge.streaming.runner import (
     compact_versions, read_latest_versions, read_newest_version, read_result, run_append_to_files,
     run_complete_to_versions, run_to_table, run_update_to_versions,
@@ -101,6 +104,42 @@ def q_stream_result_read(spark, sf, files_per_trigger: int | None = None):
     return kept_rows(spark, spark.table(table).select("id", "word"), db)
 
 
+_COUNTS = f"{KEY_NAME} string, {COUNT_NAME} long"
+
+
+def q_stream_one_pass(spark, sf, files_per_trigger: int | None = None):
+    """Words and keyword counts from one pass over the stream, both read at
+    the same batch: the counts, and the words written for each of them."""
+    out, ck = _paths(spark, "one_pass")
+    words = sc.words_without_stop(sc.customer_words(_lines(spark, sf, files_per_trigger)), _stop_list(spark, sf))
+    ledger.run_to_ledger(words, out, ck, "words", {"keywords": keyword_count}, formats={"keywords": "json"})
+    upto = ledger.compact_sums(spark, out, "keywords", _COUNTS, [KEY_NAME], fmt="json")
+    counts = ledger.read_sums(spark, out, "keywords", _COUNTS, [KEY_NAME], fmt="json", upto=upto)
+    written = ledger.read_rows(spark, out, "words", words.schema, upto=upto)
+    return counts.join(keyword_count(written, count_name="words_written"), KEY_NAME, "full_outer")
+
+
+def q_stream_changing_list(spark, sf, files_per_trigger: int | None = None):
+    """Customer words of a folder that grows, without the words of a list that
+    changes: even conversations come while it is half as long, odd ones later."""
+    (out, ck), folder = _paths(spark, "changing_list"), scratch_path(spark, "stream", "chat_growing")
+    stop, pins = scratch_path(spark, "stream", "stop_list"), f"{out}/_pins"
+    conversations = batch._t(spark, sf, "conversations")
+    schema = "stopword string"
+
+    def without_list(words, batch_id):
+        session = words.sparkSession
+        version = lists.pinned_version(session, stop, pins, batch_id)
+        return sc.words_without_stop(words, lists.read_version(session, stop, version, schema))
+
+    for k, values in enumerate((chat.DEFAULT_STOP_WORDS[::2], chat.DEFAULT_STOP_WORDS)):
+        lists.publish(spark, stop, lookup_from_values(spark, values))
+        render.chat_lines(conversations.where(conversations["conv_id"] % 2 == k)).write.mode("append").text(folder)
+        words = sc.customer_words(sc.text_stream(spark, folder, files_per_trigger))
+        ledger.run_to_ledger(words, out, ck, "words", {}, each=without_list)
+    return ledger.read_rows(spark, out, "words", words.schema)
+
+
 def q_stream_to_parquet(spark, sf, files_per_trigger: int | None = None):
     """Parquet file sink, run twice on one checkpoint: the second run finds
     no new input and adds nothing (exactly-once)."""

@@ -8,7 +8,7 @@ from test_streaming import CHAT, N_KEPT, N_WORDS, STOP, TWICE
 
 from rowforge.plans import jobs
 from rowforge.plans.render import INSURANCE_HEADER
-from rowforge.streaming.runner import read_newest_version
+from rowforge.streaming.ledger import read_rows, read_sums
 
 FILE1 = [INSURANCE_HEADER,
          "1,10,2019-10-01,AL,SrcA,Plan-/2X_(dental),http://www2.a.com/,100,Individual,No",
@@ -80,9 +80,9 @@ def test_chat_job_golden_and_incremental(spark, scratch):
 
 
 def words_and_keywords_agree(spark, out):
-    words = [r.word for r in spark.read.parquet(f"{out}/words").collect()]
-    kw = {r.chatkeywords: r.occurances for r in
-          read_newest_version(spark, f"{out}/keywords", "chatkeywords string, occurances long", "json").collect()}
+    words = [r.word for r in read_rows(spark, out, "words", "id string, word string").collect()]
+    kw = {r.chatkeywords: r.occurances for r in read_sums(
+        spark, out, "keywords", "chatkeywords string, occurances long", ["chatkeywords"], "json").collect()}
     assert len(words) == N_KEPT and kw == Counter(words)
     assert len(kw) == N_WORDS and {k for k, v in kw.items() if v == 2} == TWICE
 
