@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowforge.operators.partitioning import DEFAULT_BROADCAST_ROWS, fits_broadcast, maybe_broadcast
+from rowforge.operators.prefilter import may_be_in
 from rowforge.session import scratch_path
 
 
@@ -38,16 +39,31 @@ def _lookup_values(lookup: DataFrame, col: str) -> DataFrame:
     return lookup.select(F.col(col).alias("__lk")).where(F.col("__lk").isNotNull())
 
 
-def antijoin_left_anti(df: DataFrame, col: str, lookup: DataFrame, lookup_col: str,
-                       keep_null: bool = False) -> DataFrame:
+def _without(df: DataFrame, col: str, values: DataFrame, max_broadcast_rows: int) -> DataFrame:
+    """Rows whose ``col`` is not among the values ``__lk`` (null ones stay).
+
+    A list beyond the broadcast bound is made a Bloom filter first: rows that
+    miss it are not in the list and stay where they are, and only the others are
+    shuffled to the exact anti join.  (A stream, which would have to be read once
+    for each of these, is shuffled whole.)"""
+    if fits_broadcast(values, max_broadcast_rows):
+        values = F.broadcast(values)
+    elif not df.isStreaming:
+        near = may_be_in(F.col(col), values, "__lk")
+        found = df.where(near)
+        return df.where(~near).unionAll(found.join(values, found[col] == values["__lk"], "left_anti"))
+    return df.join(values, df[col] == values["__lk"], "left_anti")
+
+
+def antijoin_left_anti(df: DataFrame, col: str, lookup: DataFrame, lookup_col: str, keep_null: bool = False,
+                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Rows of ``df`` whose ``col`` is not in the lookup.
 
     Nulls are removed from the lookup (so one null there cannot empty the
     result); null values of ``col`` are dropped unless ``keep_null``.
     """
-    lk = maybe_broadcast(_lookup_values(lookup, lookup_col))
     left = df if keep_null else df.where(F.col(col).isNotNull())
-    return left.join(lk, left[col] == lk["__lk"], "left_anti")
+    return _without(left, col, _lookup_values(lookup, lookup_col), max_broadcast_rows)
 
 
 def antijoin_not_in(df: DataFrame, col: str, lookup: DataFrame, lookup_col: str,
@@ -58,15 +74,13 @@ def antijoin_not_in(df: DataFrame, col: str, lookup: DataFrame, lookup_col: str,
     One plan whatever the data: whether the lookup has a null, or any row, is
     an uncorrelated scalar subquery (one aggregate over the lookup, run with
     the query and once per micro-batch on a stream), beside an equi anti join
-    that needs no nested loop.  The size check only decides on a broadcast hint.
+    that needs no nested loop.  The size check only decides how that join moves rows.
     """
     lk = lookup.select(F.col(lookup_col).alias("__lk"))
     seen = lk.agg(F.struct(F.count_if(F.col("__lk").isNull()).alias("nulls"),
                            F.count(F.lit(1)).alias("rows")).alias("s")).scalar()
     allowed = (seen["nulls"] == 0) & (F.col(col).isNotNull() | (seen["rows"] == 0))
-    values = maybe_broadcast(_lookup_values(lookup, lookup_col), max_broadcast_rows)
-    left = df.where(allowed)
-    return left.join(values, left[col] == values["__lk"], "left_anti")
+    return _without(df.where(allowed), col, _lookup_values(lookup, lookup_col), max_broadcast_rows)
 
 
 def antijoin_outer_null(df: DataFrame, col: str, lookup: DataFrame, lookup_col: str) -> DataFrame:

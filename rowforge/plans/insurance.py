@@ -9,9 +9,11 @@ from pyspark.sql.types import DateType, IntegerType, StringType, StructField, St
 from rowforge.functions.keys import composite_key, with_audit_columns
 from rowforge.functions.text import clean_special_chars
 from rowforge.functions.urls import url_protocol
-from rowforge.operators.aggregate import group_avg_count, rank_within
+from rowforge.operators.aggregate import group_avg_count
 from rowforge.operators.cleanse import LineSpec
-from rowforge.operators.relational import enrich_inner_join, harmonise_key
+from rowforge.operators.numbering import number_within
+from rowforge.operators.relational import harmonise_key
+from rowforge.operators.salted import salted_join
 from rowforge.operators.splitting import split_by_null
 from rowforge.plans.render import INSURANCE_FIELDS
 
@@ -32,6 +34,9 @@ INSURANCE_SCHEMA = StructType([
     for n in INSURANCE_FIELDS])
 
 
+#: Columns that tell plans apart, by which those of a hot key are dealt.
+PLAN_KEY = ["IssuerId", "IssuerId2", "custnum"]
+
 # Reader options of the plan files.
 CSV_ESCAPE, CSV_NAN = ",", "0"
 
@@ -89,24 +94,16 @@ def _customers(custs: DataFrame) -> DataFrame:
     return harmonise_key(custs.select("Id", "Age", "Profession"), "Id", "int", "cust_id").drop("Id")
 
 
-def _states_of(states: DataFrame, plans: DataFrame) -> DataFrame:
-    """The states whose code some plan has.  The states side also holds every
-    customer without a last name and grows with them; what a plan can join is
-    bounded by the distinct codes of the plans."""
-    codes = plans.select(F.col("stcd").alias("__code")).where("stcd is not null").distinct()
-    return states.join(codes, states["State_cd"] == codes["__code"], "left_semi")
-
-
 def enriched_view(ds22: DataFrame, states: DataFrame, custs: DataFrame) -> DataFrame:
-    """Plans joined to their state (cut to the plans' codes, size-checked
-    broadcast) and
-    customer (shuffle join), with the cleaned name, load date/time, year and
-    month of the business date and the URL protocol.  Duplicate lookup keys
-    multiply rows, as any inner join does."""
-    c = _customers(custs)
-    near = _states_of(states, ds22)
-    j = enrich_inner_join(ds22, [(near, ds22["stcd"] == near["State_cd"], True),
-                                 (c, ds22["custnum"] == c["cust_id"], False)])
+    """Plans joined to their state and customer, with the cleaned name, load
+    date/time, year and month of the business date and the URL protocol.
+    Duplicate lookup keys multiply rows, as any inner join does.
+
+    The states side also holds every customer without a last name and grows
+    with them, so neither side is taken to be small; a state or a customer
+    with very many plans is split by the joins."""
+    j = salted_join(ds22, states, "stcd", "State_cd", PLAN_KEY)
+    j = salted_join(j, _customers(custs), "custnum", "cust_id", PLAN_KEY, counted=ds22)
     derived = {"cleannetworkname": clean_special_chars("NetworkName"),
                "curdt": F.current_date(), "curts": F.current_timestamp(),
                "yr": F.year("BusinessDate"), "mth": F.month("BusinessDate"),
@@ -120,13 +117,13 @@ def protocol_ranking(ds22: DataFrame, states: DataFrame, custs: DataFrame) -> Da
 
     Same result as grouping the enriched view, but plans are first counted
     per (customer, state code, protocol) so the customer join sees a few
-    rows per customer, whatever share of plans one customer holds."""
+    rows per customer, whatever share of plans one customer holds, and a state
+    with very many customers is split."""
     pre = (ds22.groupBy("custnum", "stcd", url_protocol("NetworkURL").alias("Protocol"))
                .agg(F.count(F.lit(1)).alias("n")))
     c = _customers(custs)
-    near = _states_of(states, ds22)
-    j = enrich_inner_join(pre, [(near, pre["stcd"] == near["State_cd"], True),
-                                (c, pre["custnum"] == c["cust_id"], False)])
+    j = salted_join(pre, states, "stcd", "State_cd", ["custnum", "Protocol"], counted=ds22)
+    j = j.join(c, j["custnum"] == c["cust_id"])
     g = group_avg_count(j, ["State_desc", "Protocol", "Profession"], "Age", "avg_age", weight="n")
-    return (rank_within(g, ["Protocol"], "total", ["State_desc", "Profession"])
-            .select("seq_number", "avg_age", "total", "State_desc", "Protocol", "Profession"))
+    numbered = number_within(g, ["Protocol"], "total", ["State_desc", "Profession"])
+    return numbered.select(F.col("seq_number").cast("int").alias("seq_number"), "avg_age", "total", "State_desc", "Protocol", "Profession")

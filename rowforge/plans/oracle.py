@@ -249,6 +249,11 @@ SELECT CAST(row_number() OVER (PARTITION BY o_orderpriority
 FROM ({O["group_avg_count"]}) g"""
 
 O["sink_parquet_single"] = O["rank_within_protocol"]
+O["number_rows_within"] = """
+SELECT o_orderkey, o_orderpriority, o_totalprice,
+       row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey NULLS LAST) AS seq_number
+FROM orders"""
+O["salted_enrich_join"] = O["enrich_inner_join"]
 
 # ------------------------------------------------------------------ URL and text functions
 _URLS = """u AS (SELECT page_id, CASE WHEN page_id % 5 = 0 THEN regexp_replace(url, '^https?://', '')
@@ -276,6 +281,10 @@ _NOSTOP = _with(_TOK) + f"\nSELECT id, word FROM tok WHERE word NOT IN (SELECT s
 O["antijoin_not_in"] = _NOSTOP
 O["antijoin_left_anti"] = _NOSTOP
 O["antijoin_outer_null"] = _NOSTOP
+O["antijoin_long_list"] = _with(_TOK) + """
+SELECT id, word FROM tok WHERE word NOT IN (
+  SELECT said FROM (SELECT unnest(string_split(text, ' ')) AS said FROM conversations WHERE role = 'assistant')
+  WHERE regexp_full_match(said, '[A-Za-z]+'))"""
 _NULLABLE = f"""SELECT id, nullif(word, '') AS word FROM tok
 WHERE nullif(word, '') IS NULL OR word NOT IN (SELECT stopword FROM {STOP})"""
 O["antijoin_not_in_nulls"] = _with(_TOK) + f"\nSELECT * FROM ({_NULLABLE}) WHERE word IS NOT NULL"
@@ -300,6 +309,11 @@ O["stream_complete"] = _with(_MSG, _MTOK) + f"""
 SELECT word AS chatkeywords, count(*) AS occurances FROM mtok
 WHERE word NOT IN (SELECT stopword FROM {STOP}) GROUP BY word"""
 O["stream_update"] = O["stream_complete"]
+O["stream_one_pass"] = f"SELECT *, occurances AS words_written FROM ({O['stream_complete']}) k"
+_HALF = "(VALUES " + ", ".join("('" + w.replace("'", "''") + "')" for w in DEFAULT_STOP_WORDS[::2]) + ") AS s(stopword)"
+O["stream_changing_list"] = _with(_MSG, _MTOK) + f"""
+SELECT id, word FROM mtok WHERE CASE WHEN CAST(id AS BIGINT) % 2 = 0
+  THEN word NOT IN (SELECT stopword FROM {_HALF}) ELSE word NOT IN (SELECT stopword FROM {STOP}) END"""
 O["stream_to_parquet"] = _NOSTOP
 O["stream_agg_to_json"] = O["keyword_count"]
 

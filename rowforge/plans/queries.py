@@ -21,11 +21,13 @@ from rowforge.functions.text import clean_special_chars, split_keep_trailing, ja
 from rowforge.functions.urls import url_protocol, url_scheme
 from rowforge.operators import cleanse as cl
 from rowforge.operators.aggregate import top_keywords
+from rowforge.operators.numbering import number_within
 from rowforge.operators.partitioning import balance_summary
 from rowforge.operators.relational import (
     antijoin_left_anti, antijoin_not_in, antijoin_outer_null, dedup_counts, dedup_exact,
     enrich_inner_join, harmonise_key, rows_not_in, union_all,
 )
+from rowforge.operators.salted import salted_join
 from rowforge.operators.splitting import split_by_width, write_split_by
 from rowforge.plans import chat, render, segments
 from rowforge.plans import insurance
@@ -181,7 +183,7 @@ def q_sql_view_select(spark, sf):
 
 def q_lookup_list(spark, sf):
     path = _rendered(spark, sf, "segments", lambda: render.segment_list_lines(_t(spark, sf, "customer")))
-    return read_lookup_list(spark, path, name="item")
+    return read_lookup_list(spark, path, name="item").distinct()
 
 
 def _ext_table(spark, sf, appends: int) -> tuple[str, str]:
@@ -458,6 +460,26 @@ def q_rank_within_protocol(spark, sf):
                                   _t(spark, sf, "nation"))
 
 
+def q_number_rows_within(spark, sf):
+    """Every order numbered per priority by its price, rows of a priority
+    spread over tasks."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return number_within(o, ["o_orderpriority"], "o_totalprice", ["o_orderkey"])
+
+
+def q_salted_enrich_join(spark, sf):
+    """The rows of ``enrich_inner_join``, with hot customers and hot nations
+    split by the join itself."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
+    c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
+    n = _t(spark, sf, "nation").select("n_nationkey", "n_name")
+    j = salted_join(o, c, "o_custkey", "c_custkey", ["o_orderkey"])
+    j = salted_join(j, n, "c_nationkey", "n_nationkey", ["o_orderkey"], counted=c)
+    parts = date_parts("o_orderdate")
+    return j.select("o_orderkey", "o_custkey", "o_orderpriority", "n_name", "c_mktsegment",
+                    "c_acctbal", parts["yr"].alias("yr"), parts["mth"].alias("mth"))
+
+
 def q_repartition_balance(spark, sf, n: int = 8):
     """Rows dealt to ``n`` partitions, and whether these differ by no more
     than one row per task that dealt them."""
@@ -527,6 +549,22 @@ def q_antijoin_outer_null(spark, sf):
     return antijoin_outer_null(_chat_tokens(spark, sf), "word", _stop(spark), "stopword")
 
 
+def _said_words(spark, sf) -> DataFrame:
+    """A list that grows with the data, loaded from a file: the plain words of
+    the assistants' turns."""
+    def lines():
+        said = chat.conversation_tokens(_t(spark, sf, "conversations"), "assistant")
+        return said.where(F.col("word").rlike("^[A-Za-z]+$")).select(F.col("word").alias("value"))
+    return read_lookup_list(spark, _rendered(spark, sf, "said_words", lines))
+
+
+def q_antijoin_long_list(spark, sf):
+    """Customer words that no assistant says: the list is taken as too long to be
+    broadcast, so a filter of it decides which words are shuffled at all."""
+    return antijoin_left_anti(_chat_tokens(spark, sf), "word", _said_words(spark, sf), "stopword",
+                              max_broadcast_rows=0)
+
+
 def q_keyword_count(spark, sf):
     return chat.keywords(_chat_tokens(spark, sf), _stop(spark))
 

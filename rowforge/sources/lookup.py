@@ -9,14 +9,15 @@ from rowforge.functions.text import java_trim
 
 
 def read_lookup_list(spark: SparkSession, path, name: str = "stopword") -> DataFrame:
-    """Distinct, trimmed, non-blank values of a one-value-per-line file.
+    """Trimmed, non-blank values of a one-value-per-line file, repeats included.
 
-    The result is meant for a broadcast anti/semi join; callers check its
-    size with ``operators.partitioning.maybe_broadcast``.
+    The result is meant for an anti/semi join, which does not mind repeats: so
+    nothing has to be shuffled for its size to be checked, and nothing stands between
+    an exchange and a join of it.
     """
     v = java_trim(F.col("value"))
     return (spark.read.text(path).select(v.alias(name))
-            .where(F.length(F.col(name)) > 0).distinct())
+            .where(F.length(F.col(name)) > 0))
 
 
 def lookup_from_values(spark: SparkSession, values, name: str = "stopword") -> DataFrame:
