@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rowforge.functions.dates import normalize_date
@@ -152,16 +152,39 @@ def cleanse(lines: DataFrame, spec: LineSpec, header: str | None,
     with partition pruning: the text is parsed once, lineage is cut, and a
     lost executor never re-reads the raw input.
     """
-    kept_row = F.col("reject_reason").isNull()
-    cl = _with_status(classify(lines, spec, col), header, col)
-    # the raw line is only kept for rejects (kept rows have their typed values)
-    cl = cl.withColumn(col, F.when(~kept_row, F.col(col)))
+    cl = _classified(lines, spec, header, col)
     if store_path:
         cl.write.mode("overwrite").partitionBy("status").parquet(store_path)
         cl = lines.sparkSession.read.schema(cl.schema).parquet(store_path)
-    kept = cl.where(F.col("status") == "kept").select(*spec.names)
-    rejected = cl.where(F.col("status") == "rejected").select(col, "reject_reason")
-    return kept, rejected
+    return _sides(cl, spec, col)
+
+
+def cleanse_counted(lines: DataFrame, spec: LineSpec, header: str | None, store_path: str,
+                    col: str = "value") -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """``cleanse`` into a store, and its reconciliation counts (those of
+    ``quality_counts``) from the job that writes it: every task counts the lines
+    it classifies, so nothing is read again.
+
+    The counts come with the results of the writing tasks.  A task that fails
+    and runs again, or runs twice, counts once, as its files do."""
+    cl = _classified(lines, spec, header, col)
+    seen = Observation()
+    category, counts = _category(), _counts_of(F.col("__category"))
+    (cl.withColumn("__category", category).observe(seen, *counts).drop("__category")
+     .write.mode("overwrite").partitionBy("status").parquet(store_path))
+    cl = lines.sparkSession.read.schema(cl.schema).parquet(store_path)
+    return *_sides(cl, spec, col), dict(seen.get)
+
+
+def _classified(lines: DataFrame, spec: LineSpec, header: str | None, col: str) -> DataFrame:
+    cl = _with_status(classify(lines, spec, col), header, col)
+    # the raw line is only kept for rejects (kept rows have their typed values)
+    return cl.withColumn(col, F.when(F.col("reject_reason").isNotNull(), F.col(col)))
+
+
+def _sides(classified: DataFrame, spec: LineSpec, col: str) -> tuple[DataFrame, DataFrame]:
+    return (classified.where(F.col("status") == "kept").select(*spec.names),
+            classified.where(F.col("status") == "rejected").select(col, "reject_reason"))
 
 
 def _with_status(classified: DataFrame, header: str | None, col: str) -> DataFrame:
@@ -182,11 +205,16 @@ def quality_counts(lines: DataFrame, spec: LineSpec, header: str,
 def stored_quality_counts(classified: DataFrame) -> DataFrame:
     """``quality_counts`` of lines that carry ``status`` and ``reject_reason``,
     such as ``cleanse`` stores."""
+    return classified.select(_category().alias("category")).agg(*_counts_of(F.col("category")))
+
+
+def _category() -> Column:
+    """The one category of a line that has ``status`` and ``reject_reason``."""
     named = F.create_map(F.lit("header"), F.lit("header_lines"), F.lit("blank"), F.lit("blank_lines"),
                          F.lit("kept"), F.lit("kept"))
-    category = F.coalesce(named[F.col("status")], F.col("reject_reason"))
+    return F.coalesce(named[F.col("status")], F.col("reject_reason"))
+
+
+def _counts_of(category: Column) -> list[Column]:
     cats = ["header_lines", "blank_lines", TOO_FEW_FIELDS, MISSING_REQUIRED, BAD_INT, BAD_DATE, "kept"]
-    c = F.col("category")
-    return (classified.select(category.alias("category"))
-            .agg(F.count(F.lit(1)).alias("raw_lines"),
-                 *[F.count_if(c == x).alias(x) for x in cats]))
+    return [F.count(F.lit(1)).alias("raw_lines"), *[F.count_if(category == x).alias(x) for x in cats]]

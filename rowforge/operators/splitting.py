@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowforge.functions.text import java_split_width
+from rowforge.session import create_file, names_in, remove_path
 
 
 def split_by_width(lines: DataFrame, widths: dict[str, int], sep: str = ",",
@@ -49,3 +50,34 @@ def write_split_by(df: DataFrame, col: str, path: str, fmt: str = "parquet",
     elif layout != "local":
         raise ValueError(f"unknown layout {layout!r}")
     df.write.mode(mode).partitionBy(col).format(fmt).save(path)
+
+
+def _done(path: str) -> str:
+    return path.rstrip("/") + "__done"
+
+
+def rewrite_splits(df: DataFrame, col: str, path: str, values: list, fmt: str = "parquet") -> None:
+    """Write the splits of these ``values`` of ``col`` (dates, for example), and
+    no others, again or for the first time.
+
+    Their folders are replaced (one whose value has no row any more goes); all
+    other files stay as they are.  A value is listed as complete
+    beside the splits once its folder is; while it is written it is not listed, so a
+    run that died is seen and can be repeated."""
+    spark = df.sparkSession
+    names = {v: str(v) for v in values}
+    for name in names.values():
+        remove_path(spark, f"{_done(path)}/{name}")
+    some = df.where(F.col(col).isin(list(names)))
+    found = {r[0] for r in some.select(F.col(col).cast("string")).distinct().collect()}
+    (some.hint("rebalance", col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(col).format(fmt).save(path))
+    for name in names.values():
+        if name not in found:
+            remove_path(spark, f"{path}/{col}={name}")
+        create_file(spark, f"{_done(path)}/{name}")
+
+
+def complete_values(spark: SparkSession, path: str) -> list[str]:
+    """The values whose splits are complete, as text in order."""
+    return sorted(n for n in names_in(spark, _done(path)) if not n.startswith("."))

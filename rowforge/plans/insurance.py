@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
@@ -41,6 +41,11 @@ PLAN_KEY = ["IssuerId", "IssuerId2", "custnum"]
 CSV_ESCAPE, CSV_NAN = ",", "0"
 
 
+def quality_row(spark: SparkSession, counts: dict[str, int], file: int) -> DataFrame:
+    """The counts of one file as a row."""
+    return spark.range(1).select(*[F.lit(n).cast("long").alias(c) for c, n in counts.items()], F.lit(file).alias("file"))
+
+
 def insure_view(ds: DataFrame) -> DataFrame:
     """Renamed codes, composite issuer key, no dental column, audit columns."""
     return with_audit_columns(

@@ -42,12 +42,11 @@ def cleansing_job(spark: SparkSession, file1: str, file2: str, out: str,
         lines = read_text_lines(spark, path)
         h = header if header is not None else cl.first_line(lines)
         store = scratch_path(spark, "jobs", f"cleansed{v}")
-        k, r = cl.cleanse(lines, specs[v], h, store_path=store)
+        k, r, counts = cl.cleanse_counted(lines, specs[v], h, store)
         kept.append(k)
         rejected.append(r.withColumn("file", F.lit(v)))
-        quality.append(cl.stored_quality_counts(spark.read.parquet(store)).withColumn("file", F.lit(v)))
-    q = union_all(*quality)
-    sinks.write_json(q, f"{out}/quality")
+        quality.append(insurance.quality_row(spark, counts, v))
+    sinks.write_json(union_all(*quality), f"{out}/quality")
     sinks.write_parquet(union_all(*rejected), f"{out}/rejected", mode="overwrite")
     merged = union_all(*kept)
     sinks.write_parquet(merged, f"{out}/merged", mode="overwrite")

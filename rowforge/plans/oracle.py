@@ -147,6 +147,8 @@ FROM cls{v}"""
 
 O["quality_counts"] = _with(_parsed(1), _parsed(2)) + f"\n{_qc(1)}\nUNION ALL\n{_qc(2)}"
 
+O["quality_counts_at_write"] = O["quality_counts"]
+
 O["normalize_date"] = _with(_parsed(2)) + """
 SELECT IssuerId, BusinessDate AS raw_date, dnorm AS norm_date FROM body2"""
 
@@ -169,6 +171,8 @@ O["rows_not_in"] = _with(_parsed(1), _parsed(2), "u AS (SELECT * FROM kept1 UNIO
     "SELECT * FROM u WHERE NOT EXISTS (SELECT 1 FROM kept1 b WHERE " + \
     " AND ".join(f"u.{n} IS NOT DISTINCT FROM b.{n}" for n in NAMES) + ")"
 
+O |= {f"{k}_stored": O[k] for k in ("dedup_exact", "dedup_counts", "rows_not_in")}
+
 # ------------------------------------------------------------------ CSV path
 _CSV = _with(_ins(1)) + """
 SELECT CAST(k AS INTEGER) AS IssuerId, CAST(ck AS INTEGER) AS IssuerId2, d AS BusinessDate,
@@ -177,6 +181,16 @@ SELECT CAST(k AS INTEGER) AS IssuerId, CAST(ck AS INTEGER) AS IssuerId2, d AS Bu
        CAST(ck AS INTEGER) AS custnum, nullif(f9, '') AS MarketCoverage, nullif(f10, '') AS DentalOnlyPlan
 FROM ins1_f WHERE kind IN ('ok', 'missing') AND k % 37 <> 1"""
 O["csv_schema_dropmalformed"] = _CSV
+O["csv_kept_of_permissive"] = _CSV
+O["csv_rejects"] = _with(_ins(1)) + f"""
+SELECT CASE kind WHEN 'header' THEN '{H}' WHEN 'short' THEN concat_ws(',', f1, f2, f3, f4, f5, q6)
+         ELSE concat_ws(',', f1, f2, f3, f4, f5, q6, f7, f8, f9, f10) END AS line,
+       CASE WHEN kind = 'header' THEN 'bad_IssuerId,bad_IssuerId2,bad_BusinessDate,bad_custnum'
+            WHEN kind = 'short' OR k % 37 = 1 THEN 'too_few_columns'
+            WHEN kind = 'badint' THEN 'bad_IssuerId2' ELSE 'bad_BusinessDate' END AS cause
+FROM (SELECT *, CASE WHEN k % 37 = 1 THEN '"' || f6 || ',"' WHEN k % 13 = 0 THEN '"' || f6 || ', east"' ELSE f6 END AS q6
+      FROM ins1_f)
+WHERE kind IN ('header', 'short', 'badint', 'baddate') OR kind IN ('ok', 'missing') AND k % 37 = 1"""
 O["drop_nulls_any"] = f"SELECT * FROM ({_CSV}) WHERE MarketCoverage IS NOT NULL AND DentalOnlyPlan IS NOT NULL"
 O["rename_columns"] = f"""SELECT IssuerId, IssuerId2, BusinessDate, StateCode AS stcd, SourceName AS srcnm,
        NetworkName, NetworkURL, custnum, MarketCoverage, DentalOnlyPlan FROM ({_CSV})"""
@@ -210,6 +224,7 @@ _CUST_NULLS = """SELECT c_custkey, c_name, c_nationkey, c_acctbal,
 O["sql_view_select"] = "SELECT c_custkey, c_name, c_mktsegment FROM customer"
 O["external_table_scan"] = "SELECT c_custkey, c_name, c_mktsegment FROM customer"
 O["external_table_append"] = f"{_CUST} UNION ALL {_CUST}"
+O["append_once"] = f"{_CUST} UNION ALL {_CUST}"
 O["managed_table_overwrite"] = "SELECT c_custkey, c_name, c_mktsegment FROM customer"
 O["sink_text"] = """SELECT concat_ws(',', CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR),
                  CAST(c_acctbal AS VARCHAR), c_mktsegment) AS value FROM customer"""
@@ -224,6 +239,7 @@ O["drop_columns"] = """SELECT l_orderkey, l_linenumber, l_quantity, l_extendedpr
        l_returnflag, l_linestatus FROM lineitem"""
 O["audit_columns"] = "SELECT c_custkey, c_name, true AS sysdt_ok, true AS systs_ok FROM customer"
 O["split_by_date"] = "SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS event_date FROM events"
+O["split_by_date_again"] = O["split_by_date"]
 O["date_parts"] = """SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS yr,
        CAST(month(o_orderdate) AS INTEGER) AS mth FROM orders"""
 O["repartition_balance"] = ("SELECT CAST(8 AS BIGINT) AS num_partitions, count(*) AS total_rows, "

@@ -20,6 +20,7 @@ from rowforge.functions.sql import register_sql_functions
 from rowforge.functions.text import clean_special_chars, split_keep_trailing, java_trim
 from rowforge.functions.urls import url_protocol, url_scheme
 from rowforge.operators import cleanse as cl
+from rowforge.operators import rowstore
 from rowforge.operators.aggregate import top_keywords
 from rowforge.operators.numbering import number_within
 from rowforge.operators.partitioning import balance_summary
@@ -28,13 +29,13 @@ from rowforge.operators.relational import (
     enrich_inner_join, harmonise_key, rows_not_in, union_all,
 )
 from rowforge.operators.salted import salted_join
-from rowforge.operators.splitting import split_by_width, write_split_by
+from rowforge.operators.splitting import rewrite_splits, split_by_width, write_split_by
 from rowforge.plans import chat, render, segments
 from rowforge.plans import insurance
 from rowforge.plans.insurance import INSURANCE_SCHEMA, SPEC_FILE1, SPEC_FILE2
 from rowforge.session import fingerprint, read_table, remove_path, scratch_path, table_path
 from rowforge.sinks import files as sinks
-from rowforge.sources.csv import read_csv_strings, read_csv_typed
+from rowforge.sources.csv import read_csv_strings, read_csv_typed, read_csv_with_rejects
 from rowforge.sources.lookup import lookup_from_values, read_lookup_list
 from rowforge.sources.tables import (
     create_database, create_external_csv_table, kept_rows, scan_from_first, select_from_view,
@@ -172,6 +173,25 @@ def q_csv_schema_dropmalformed(spark, sf):
     return _insurance_csv(spark, sf)
 
 
+def _csv_sides(spark, sf) -> tuple[DataFrame, DataFrame]:
+    path = _rendered(spark, sf, "insurance1_csv",
+                     lambda: render.insurance_lines(_t(spark, sf, "orders"), 1, with_header=False, quoted=True),
+                     header_per_file=render.INSURANCE_HEADER)
+    return read_csv_with_rejects(spark, path, INSURANCE_SCHEMA, scratch_path(spark, "out", "csv_sides"),
+                                 escape=insurance.CSV_ESCAPE, nanValue=insurance.CSV_NAN)
+
+
+def q_csv_kept_of_permissive(spark, sf):
+    """The rows that ``csv_schema_dropmalformed`` keeps, by the parse that
+    keeps the others as well."""
+    return _csv_sides(spark, sf)[0]
+
+
+def q_csv_rejects(spark, sf):
+    """Lines of the typed CSV that do not fit its schema, with their cause."""
+    return _csv_sides(spark, sf)[1]
+
+
 def q_csv_strings_ragged(spark, sf):
     return _ragged(spark, sf)
 
@@ -211,6 +231,18 @@ def q_external_table_append(spark, sf):
     return kept_rows(spark, spark.table(table), db)
 
 
+def q_append_once(spark, sf):
+    """Two jobs append to one folder; the first is tried again after it is
+    complete, the second after it died halfway."""
+    where = scratch_path(spark, "out", "appended")
+    cust = _t(spark, sf, "customer").select(*_CUST_COLS)
+    sinks.append_once(cust, where, "first")
+    sinks.append_once(cust, where, "first")
+    cust.where("c_custkey % 2 = 0").write.csv(f"{where}/second")          # a run that was lost before its end
+    sinks.append_once(cust, where, "second")
+    return sinks.read_appended(spark, where, _CUST_DDL)
+
+
 def q_managed_table_overwrite(spark, sf):
     root = scratch_path(spark, "warehouse")
     db = f"rf_{uuid.uuid4().hex[:12]}"
@@ -316,6 +348,16 @@ def q_quality_counts(spark, sf):
     return union_all(*out)
 
 
+def q_quality_counts_at_write(spark, sf):
+    """The same counts from the jobs that write the classified lines."""
+    rows = []
+    for v in (1, 2):
+        path = scratch_path(spark, "out", f"counted{v}")
+        _, _, counts = cl.cleanse_counted(_insurance_text(spark, sf, v), _spec(v), render.INSURANCE_HEADER, path)
+        rows.append(insurance.quality_row(spark, counts, v))
+    return union_all(*rows)
+
+
 def _dates(spark, sf, variant, mode):
     spec = _spec(variant)
     arr = split_keep_trailing(F.col("value"))
@@ -368,6 +410,19 @@ def q_split_by_date(spark, sf):
     return spark.read.parquet(path)
 
 
+def q_split_by_date_again(spark, sf):
+    """Splits by date of all events but those of a few types, then those dates
+    of which these types have some written again with all."""
+    ev = _t(spark, sf, "events").select("event_id", "user_id", "event_type", "value",
+                                        F.to_date("ts").alias("event_date"))
+    path = scratch_path(spark, "out", "events_again")
+    late = (F.col("event_id") % 97 == 5) & (F.day("event_date") % 2 == 0)
+    days = [r[0] for r in ev.select("event_date").distinct().collect()]
+    rewrite_splits(ev.where(~late), "event_date", path, days)
+    rewrite_splits(ev, "event_date", path, [d for d in days if d.day % 2 == 0])
+    return spark.read.parquet(path)
+
+
 def q_split_by_width(spark, sf):
     lines = read_text_lines(spark, _mixed_text_path(spark, sf))
     return split_by_width(lines, {"cust": 5, "state": 2})
@@ -430,6 +485,32 @@ def q_dedup_counts(spark, sf):
     return dedup_counts(q_union_all(spark, sf))
 
 
+def _row_store(spark, sf):
+    """(database, the rows of both files in one store)."""
+    db = f"rf_{uuid.uuid4().hex[:12]}"
+    root = scratch_path(spark, "warehouse")
+    create_database(spark, db, root + "/db")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = {str(v): _typed(spark, sf, v) for v in (1, 2)}
+    return db, rowstore.write_row_store(parts, f"{db}.merged", f"{root}/merged", buckets)
+
+
+def q_dedup_exact_stored(spark, sf):
+    """``dedup_exact`` over rows stored by a hash of the whole row."""
+    db, store = _row_store(spark, sf)
+    return kept_rows(spark, rowstore.distinct_rows(store), db)
+
+
+def q_dedup_counts_stored(spark, sf):
+    db, store = _row_store(spark, sf)
+    return kept_rows(spark, rowstore.row_counts(store), db)
+
+
+def q_rows_not_in_stored(spark, sf):
+    db, store = _row_store(spark, sf)
+    return kept_rows(spark, rowstore.rows_not_in_part(store, "1"), db)
+
+
 def q_rows_not_in(spark, sf):
     return rows_not_in(q_union_all(spark, sf), _typed(spark, sf, 1))
 

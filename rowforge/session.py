@@ -93,6 +93,22 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder; none if there is no folder."""
+    fs, p = hadoop_path(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def create_file(spark: SparkSession, path: str) -> None:
+    """An empty file that is there wholly or not at all: a mark that something
+    beside it is complete."""
+    fs, p = hadoop_path(spark, path)
+    _, hidden = hadoop_path(spark, f"{p.getParent().toString()}/.{p.getName()}.new")
+    fs.create(hidden, True).close()
+    if not fs.rename(hidden, p) and not fs.exists(p):
+        raise OSError(f"cannot create {path}")
+
+
 def fingerprint(spark: SparkSession, paths: list[str]) -> tuple:
     """Name, size and time of every file below the paths: changes when the
     data there does.  A listing only."""

@@ -7,9 +7,13 @@ upstream stages keep their parallelism and only the final write is one task.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowforge.session import create_file, names_in
+
 
 def _one(df: DataFrame, single_file: bool) -> DataFrame:
     return df.repartition(1) if single_file else df
@@ -74,6 +78,34 @@ def append_files_to_location(df: DataFrame, location: str, table: str | None = N
         df.sparkSession.catalog.refreshTable(table)
 
 
+def _jobs(location: str) -> str:
+    return location.rstrip("/") + "__jobs"
+
+
+def append_once(df: DataFrame, location: str, job: str, fmt: str = "csv", **options) -> bool:
+    """Append ``df`` as the output of ``job`` (letters, digits, ``-._``), once.
+
+    A job's files have a folder of their own, and its name is listed beside the
+    table when they are complete; readers (``read_appended``) take listed folders
+    only.  So the same append tried again leaves one copy, and one that died
+    leaves nothing that can be seen.  False if the job was listed already."""
+    spark = df.sparkSession
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", job):
+        raise ValueError(f"not a job name: {job!r}")
+    if job in names_in(spark, _jobs(location)):
+        return False
+    df.write.mode("overwrite").format(fmt).options(**options).save(f"{location}/{job}")
+    create_file(spark, f"{_jobs(location)}/{job}")
+    return True
+
+
+def read_appended(spark: SparkSession, location: str, schema, fmt: str = "csv", **options) -> DataFrame:
+    """The rows of all jobs whose appends are complete."""
+    done = sorted(n for n in names_in(spark, _jobs(location)) if not n.startswith("."))
+    reader = spark.read.schema(schema).format(fmt).options(**options)
+    return reader.load([f"{location}/{job}" for job in done]) if done else spark.createDataFrame([], schema)
+
+
 def overwrite_table_from_view(spark: SparkSession, table: str, df: DataFrame,
                               columns: list[str]) -> None:
     """``INSERT OVERWRITE TABLE t SELECT cols FROM view``."""

@@ -24,28 +24,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rowforge.session import hadoop_path, path_exists, remove_path
+from rowforge.session import create_file, names_in, path_exists, remove_path
 from rowforge.streaming.runner import _finish, _with
 
 #: Entries that stay in the ledger; the newest says all, as batches run in order.
 KEPT_ENTRIES = 2
 
 
-def names_in(spark: SparkSession, path: str) -> list[str]:
-    """Names of the files in a folder; none if there is no folder."""
-    fs, p = hadoop_path(spark, path)
-    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
-
-
-def create_file(spark: SparkSession, path: str) -> None:
-    """An empty file that is there wholly or not at all."""
-    fs, p = hadoop_path(spark, path)
-    _, hidden = hadoop_path(spark, f"{p.getParent().toString()}/.{p.getName()}.new")
-    fs.create(hidden, True).close()
-    if not fs.rename(hidden, p) and not fs.exists(p):
-        raise OSError(f"cannot create {path}")
-
-
 def committed(spark: SparkSession, path: str) -> int:
     """The newest batch all of whose outputs are complete; -1 if there is none."""
     return max((int(n) for n in names_in(spark, f"{path}/_ledger") if n.isdigit()), default=-1)

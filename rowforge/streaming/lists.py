@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowforge.session import remove_path
-from rowforge.streaming.ledger import create_file, names_in
+from rowforge.session import create_file, names_in, remove_path
 
 KEPT_PINS = 2
 

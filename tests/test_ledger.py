@@ -9,6 +9,7 @@ from test_streaming import CHAT, STOP
 
 from rowforge.operators.aggregate import keyword_count
 from rowforge.plans import jobs
+from rowforge.session import names_in
 from rowforge.sources.lookup import lookup_from_values, read_lookup_list
 from rowforge.streaming import chat as sc
 from rowforge.streaming import ledger, lists
@@ -105,7 +106,7 @@ def test_many_batches_and_snapshots(spark, scratch):
     run(spark, src, stop, out, ck)
     n = len(CHAT) - 1
     assert ledger.committed(spark, out) == n
-    assert len([x for x in ledger.names_in(spark, f"{out}/_ledger") if x.isdigit()]) == ledger.KEPT_ENTRIES
+    assert len([x for x in names_in(spark, f"{out}/_ledger") if x.isdigit()]) == ledger.KEPT_ENTRIES
     before = outputs(spark, out)
     assert ledger.compact_sums(spark, out, "keywords", COUNTS, ["chatkeywords"], "json") == n
     assert outputs(spark, out) == before and outputs(spark, out, upto=3) != before
@@ -172,7 +173,7 @@ def test_replayed_batch_sees_the_list_it_saw(spark, scratch):
     words, counts = outputs(spark, out)
     assert words == counts == {"alpha": 2, "beta": 2, "gamma": 2}
     assert outputs(spark, out, upto=0)[0] == {"beta": 1, "gamma": 1}
-    assert len(lists.names_in(spark, pins)) <= lists.KEPT_PINS + 1
+    assert len(names_in(spark, pins)) <= lists.KEPT_PINS + 1
 
 
 def test_unfinished_version_is_not_used(spark, scratch):

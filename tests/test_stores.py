@@ -1,0 +1,211 @@
+"""Outputs that can be written again, rows kept with a reason, and rows stored by
+a hash of the whole row."""
+
+import json
+import os
+import subprocess
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+from test_jobs import FILE1, write
+
+from rowforge.operators import cleanse as cl
+from rowforge.operators import rowstore
+from rowforge.operators.relational import dedup_counts, rows_not_in
+from rowforge.operators.splitting import complete_values, rewrite_splits
+from rowforge.plans.insurance import INSURANCE_SCHEMA, SPEC_FILE1
+from rowforge.plans.render import INSURANCE_HEADER
+from rowforge.sinks.files import append_once, read_appended
+from rowforge.sources.csv import read_csv_typed, read_csv_with_rejects
+from rowforge.sources.tables import create_database
+from rowforge.sources.text import read_text_lines
+
+HERE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def files_of(path):
+    found = {}
+    for d, _, names in os.walk(path.replace("file:", "")):
+        for n in names:
+            if n.startswith("part-"):
+                full = os.path.join(d, n)
+                found[full] = (os.stat(full).st_mtime_ns, os.path.getsize(full))
+    return found
+
+
+# ------------------------------------------------------------------ counts while writing
+
+def test_counts_of_the_writing_job(spark, scratch):
+    lines = read_text_lines(spark, write(scratch("f1"), FILE1 + [INSURANCE_HEADER, " \t"]))
+    kept, rejected, counts = cl.cleanse_counted(lines, SPEC_FILE1, INSURANCE_HEADER, scratch("store"))
+    assert counts == cl.quality_counts(lines, SPEC_FILE1, INSURANCE_HEADER).first().asDict()
+    assert counts["kept"] == kept.count() == 2 and rejected.count() == 3 and counts["header_lines"] == 2
+    empty = lines.limit(0)
+    _, _, counts = cl.cleanse_counted(empty, SPEC_FILE1, INSURANCE_HEADER, scratch("store"))
+    assert set(counts.values()) == {0}
+
+
+RETRY = """
+import json, sys
+from pyspark import TaskContext
+from rowforge.operators import cleanse as cl
+from rowforge.plans.insurance import SPEC_FILE1
+from rowforge.plans.render import INSURANCE_HEADER
+from rowforge.session import build_session
+path, store = sys.argv[1:]
+spark = build_session("local[2,4]", extra={"spark.checkpoint.dir": store})
+lines = spark.read.text(path)
+
+def fails_once(batches):
+    for b in batches:
+        yield b
+    if TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError("lost after its rows were classified")
+
+shaky = lines.mapInArrow(fails_once, "value string")
+_, _, counts = cl.cleanse_counted(shaky, SPEC_FILE1, INSURANCE_HEADER, store + "/out")
+print("COUNTS", json.dumps([counts, cl.quality_counts(lines, SPEC_FILE1, INSURANCE_HEADER).first().asDict()]))
+spark.stop()
+"""
+
+
+def test_a_task_that_runs_again_counts_once(scratch, tmp_path):
+    path = write(scratch("f1"), FILE1)
+    done = subprocess.run([sys.executable, "-c", RETRY, path, str(tmp_path)], cwd=HERE, capture_output=True, text=True,
+                          timeout=300, env={**os.environ, "PYTHONPATH": HERE})
+    said = [x for x in done.stdout.splitlines() if x.startswith("COUNTS")]
+    assert said, done.stderr[-2000:]
+    observed, counted = json.loads(said[0][len("COUNTS"):])
+    assert observed == counted and observed["raw_lines"] == len(FILE1)
+
+
+# ------------------------------------------------------------------ malformed rows with a cause
+
+def test_rejects_and_their_causes(spark, scratch):
+    rows = ["1,10,2019-10-01,AL,S,N,u,100,Individual,No", "2,20,2019-10-01,AL,S,N,u,100,,",
+            "x3,30,2019-10-01,AL,S,N,u,100,,", "4,y,2019-13-01,AL,S,N,u,z,,", "5,50,2019-10-01,AL",
+            "6,60,2019-10-01,AL,S,N,u,100,,,", "7,70,2019-10-01,AL,S,N,u,100,a,b,,more", "8,80,,AL,S,N,u,,,",
+            '9,90,2019-10-01,AL,S,"open,u,100,,', "", "99999999999,1,2019-10-01,AL,S,N,u,100,,"]
+    path = write(scratch("csv"), [INSURANCE_HEADER, *rows])
+    kept, rejected = read_csv_with_rejects(spark, path, INSURANCE_SCHEMA, scratch("sides"))
+    dropped = read_csv_typed(spark, path, INSURANCE_SCHEMA, store_path=scratch("typed"))
+    assert sorted(map(str, kept.collect())) == sorted(map(str, dropped.collect())) and kept.count() == 3
+    got = {r.line: r.cause for r in rejected.collect()}
+    assert got == {rows[2]: "bad_IssuerId", rows[3]: "bad_IssuerId2,bad_BusinessDate,bad_custnum",
+                   rows[4]: "too_few_columns", rows[5]: "too_many_columns", rows[6]: "too_many_columns",
+                   rows[8]: "too_few_columns", rows[10]: "bad_IssuerId"}
+
+
+def test_rejects_of_another_separator_and_of_nothing(spark, scratch):
+    schema = "a int, b date, c string"
+    from pyspark.sql.types import StructType
+    path = write(scratch("csv"), ["1|2020-01-02|x", "1|02.01.2020|x", "1|2020-01-02", "q|2020-01-02|"])
+    kept, rejected = read_csv_with_rejects(spark, path, StructType.fromDDL(schema), scratch("sides"), header=False, sep="|")
+    assert kept.count() == 1
+    assert {r.line: r.cause for r in rejected.collect()} == {
+        "1|02.01.2020|x": "bad_b", "1|2020-01-02": "too_few_columns", "q|2020-01-02|": "bad_a"}
+    path = write(scratch("csv"), [], nl="")
+    kept, rejected = read_csv_with_rejects(spark, path, StructType.fromDDL(schema), scratch("sides"), header=False)
+    assert kept.count() == rejected.count() == 0
+
+
+# ------------------------------------------------------------------ appends that can be repeated
+
+def test_append_again_and_after_a_crash(spark, scratch, monkeypatch):
+    where, schema = scratch("table"), "id long, name string"
+    rows = spark.range(10).select("id", F.concat(F.lit("n"), "id").alias("name"))
+    assert read_appended(spark, where, schema).count() == 0
+    assert append_once(rows, where, "day-1") and not append_once(rows, where, "day-1")
+    assert read_appended(spark, where, schema).count() == 10
+
+    from rowforge.sinks import files
+    real = files.create_file
+    monkeypatch.setattr(files, "create_file", lambda *a: (_ for _ in ()).throw(OSError("lost before it was listed")))
+    with pytest.raises(OSError):
+        append_once(rows, where, "day-2")
+    monkeypatch.setattr(files, "create_file", real)
+    assert read_appended(spark, where, schema).count() == 10          # written, not seen
+    assert append_once(rows.limit(4), where, "day-2")
+    got = read_appended(spark, where, schema)
+    assert got.count() == 14 and got.select("id").distinct().count() == 10
+    for bad in ("", "_x", ".x", "a/b", "a b"):
+        with pytest.raises(ValueError):
+            append_once(rows, where, bad)
+
+
+# ------------------------------------------------------------------ single dates again
+
+def test_two_dates_again_leave_the_others(spark, scratch):
+    path = scratch("splits")
+    rows = spark.range(600).select("id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 6).cast("int")).alias("day"))
+    days = sorted(r[0] for r in rows.select("day").distinct().collect())
+    rewrite_splits(rows, "day", path, days)
+    assert complete_values(spark, path) == [str(d) for d in days]
+    before = files_of(path)
+    changed = rows.withColumn("id", F.col("id") + 1000).where("day <> '2024-01-03' or id % 2 = 0")
+    rewrite_splits(changed, "day", path, days[1:3])
+    after = files_of(path)
+    touched = {str(d) for d in days[1:3]}
+    other = lambda found: {k: v for k, v in found.items() if not any(f"day={d}" in k for d in touched)}
+    assert other(before) == other(after) and set(before) != set(after)
+    got = spark.read.schema("id long, day date").parquet(path)
+    want = rows.where(~F.col("day").isin(days[1:3])).union(changed.where(F.col("day").isin(days[1:3])))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_date_without_rows_goes_and_a_failed_run_is_seen(spark, scratch):
+    path = scratch("splits")
+    rows = spark.range(60).select("id", (F.col("id") % 3).cast("int").alias("k"))
+    rewrite_splits(rows, "k", path, [0, 1, 2])
+    rewrite_splits(rows.where("k <> 1"), "k", path, [1])
+    assert spark.read.parquet(path).where("k = 1").count() == 0 and complete_values(spark, path) == ["0", "1", "2"]
+    broken = rows.withColumn("id", F.when(F.col("id") == 6, F.raise_error(F.lit("bad row"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="bad row"):
+        rewrite_splits(broken, "k", path, [0, 2])
+    assert complete_values(spark, path) == ["1"]
+    assert spark.read.parquet(path).count() == 40                      # what was there is still there
+    rewrite_splits(rows, "k", path, [0, 2])
+    assert complete_values(spark, path) == ["0", "1", "2"]
+
+
+# ------------------------------------------------------------------ rows stored by their hash
+
+@pytest.fixture
+def database(spark, scratch):
+    name = f"rows_{os.getpid()}"
+    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    create_database(spark, name, scratch("db"))
+    yield name
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_one_layout_for_distinct_counts_and_difference(spark, scratch, database):
+    k = F.col("id")
+    a = spark.range(0, 3000, 1, 4).select(F.when(k % 3 != 0, 7).otherwise(k).alias("n"),
+                                          F.when(k % 5 != 0, F.lit("x")).alias("s"))
+    b = spark.range(0, 500, 1, 4).select(k.alias("n"), F.when(k % 5 != 0, F.lit("x")).alias("s"))
+    both = a.union(b)
+    store = rowstore.write_row_store({"a": a, "b": b}, f"{database}.both", scratch("both"), 8)
+    of_a = rowstore.write_row_store({"a": a}, f"{database}.of_a", scratch("of_a"), 8)
+    of_b = rowstore.write_row_store({"b": b}, f"{database}.of_b", scratch("of_b"), 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        results = {"distinct": (rowstore.distinct_rows(store), both.distinct()),
+                   "counts": (rowstore.row_counts(store), dedup_counts(both)),
+                   "part": (rowstore.rows_not_in_part(store, "b"), rows_not_in(both, b)),
+                   "store": (rowstore.rows_not_in_store(of_a, of_b), rows_not_in(a, b))}
+        for name, (got, want) in results.items():
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning" not in plan, name
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_store_has_one_file_per_bucket(spark, scratch, database):
+    path = scratch("rows")
+    rowstore.write_row_store({"a": spark.range(1000)}, f"{database}.one", path, 4)
+    assert len(files_of(path)) == 4
+    empty = rowstore.write_row_store({"a": spark.range(0)}, f"{database}.none", scratch("none"), 4)
+    assert tuple(rowstore.row_counts(empty).select("distinct_count").first()) == (0,)
