@@ -220,7 +220,31 @@ SELECT last.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGI
 FROM last LEFT JOIN c USING (conv_id) LEFT JOIN t USING (conv_id)"""
 
 
-#: The same of the bytes of a text of any letters.
+#: Blocks of eight in the order of a hash, largest remainders, earliest deadline first.
+_MIXING = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS src, source, md5('mix:' || doc_id::VARCHAR) AS draw FROM documents),
+n AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY draw, doc_id) - 1 AS number FROM d),
+w AS (SELECT src, sqrt(count(*)) AS w FROM d GROUP BY src),
+k AS (SELECT *, count(*) OVER () AS k, greatest({source_mixing.PERIOD}, 4 * count(*) OVER ()) AS period, w / sum(w) OVER () AS share FROM w),
+x AS (SELECT *, floor(share * (period - k)) AS whole, share * (period - k) - floor(share * (period - k)) AS part FROM k),
+o AS (SELECT *, row_number() OVER (ORDER BY part DESC, src) AS place, period - k - sum(whole) OVER () AS rest FROM x),
+q AS (SELECT src, period, (1 + whole + rest // k + CASE WHEN place <= rest % k THEN 1 ELSE 0 END)::BIGINT AS quota FROM o),
+st AS (
+  SELECT 0::BIGINT AS slot, any_value(period) AS period, list({{'q': quota, 's': src, 'done': 0::BIGINT}}) AS l,
+    {{'due': 0::BIGINT, 'q': 0::BIGINT, 's': '', 'done': 0::BIGINT}} AS won FROM q
+  UNION ALL
+  SELECT slot + 1, period, list_transform(l, lambda c: {{'q': c.q, 's': c.s, 'done': c.done + CASE WHEN c.s = w.s THEN 1 ELSE 0 END}}), w
+  FROM (SELECT *, list_sort(list_transform(list_filter(l, lambda c: c.done < c.q AND c.done * period // c.q <= slot),
+      lambda c: {{'due': -((-(c.done + 1) * period) // c.q), 'q': c.q, 's': c.s, 'done': c.done}}))[1] AS w
+    FROM st WHERE slot < period)),
+turn AS (SELECT won.s AS src, won.done AS turn, slot - 1 AS slot FROM st WHERE slot > 0),
+b AS (SELECT n.*, q.quota, q.period, number // {source_mixing.BLOCK_ROWS} AS block FROM n JOIN q ON q.src = n.src)
+SELECT doc_id, source, block AS mix_block, block // quota * b.period + slot AS mix_slot, block * b.period // quota AS mix_release,
+  -((-(block + 1) * b.period) // quota) AS mix_deadline,
+  (block // quota * b.period + slot) * {source_mixing.BLOCK_ROWS} + number % {source_mixing.BLOCK_ROWS} AS mix_order
+FROM b JOIN turn ON turn.src = b.src AND turn.turn = block % quota"""
+
+#: The same as _CRC32 of the bytes of a text of any letters.
 _CRC32_UTF8 = _CRC32.replace("string_split(%s, '')", "regexp_extract_all(hex(encode(%s)), '..')").replace(
     "ascii(x)::BIGINT", "('0x' || x)::BIGINT")
 
@@ -307,6 +331,7 @@ b AS (SELECT *, ({' + '.join(f'CASE WHEN {c} THEN {1 << i} ELSE 0 END' for i, c
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   fail_bits & {quality_rules.mask_of(quality_rules.POLICIES['base', 1])} <> 0 AS base_failed, fail_bits & {quality_rules.mask_of(quality_rules.POLICIES['web', 2])} = 0 AS kept,
   fail_bits FROM b""",
+    "op7_source_mixing": _MIXING,
     "op9_minhash_near_dedup": f"""
 SELECT *, doc_id = component_id AS kept FROM ({_linked_components(85)})""",
     "op11_group_jaccard": _linked_components(90),

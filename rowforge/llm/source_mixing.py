@@ -6,32 +6,39 @@ cut into blocks of ``block_rows``.  Target weights are whole quotas that add
 up to a period of P slots, one block per slot.  Block i (from 0) of a source
 with quota q is released at slot floor(i * P / q) and due by
 ceil((i + 1) * P / q).  Earliest deadline first among the released blocks
-(ties: the smaller source name) meets every window, so after any number of
-slots each source is less than one block from its share, for as long as no
-source has run out.  The windows repeat every P slots, so one period is
+(ties: the smaller quota, then the smaller source name) meets every window, so
+after any number of slots each source is less than one block from its share, for as
+long as no source has run out.  The windows repeat every P slots, so one period is
 scheduled, and every block finds its slot from its number alone.
 
+Sources of one quota have the same windows, so the schedule is made for the
+distinct quotas, whose sources take turns.  Quotas add up to P, so there are fewer
+than sqrt(2 P) distinct ones, and a period takes P steps over as many: with P four
+times the number of sources, some thousand sources take seconds, and a hundred
+thousand some minutes of one task.
+
 The order covers every document.  Where a source runs out, its slots stay
 empty and the others keep theirs.
 
 A source that holds most rows is no bottleneck: rows are numbered in small
 hash buckets per source, and buckets are added up afterwards.
 
-Edge cases: a null source counts as the source named by the empty string; a
-row without id is ordered by its place in the null bucket; sources without a
+Edge cases: a null source counts as the source named by the empty string; rows
+without id are dealt and ordered by a hash of their other columns; sources without a
 weight get a quota of one; weights of absent sources are ignored; repeated
-rows are numbered one by one.
+rows are numbered one by one (those of one id in one bucket).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 PERIOD = 1000            # slots, at least four for every source
 BLOCK_ROWS = 8
 BUCKET_ROWS = 2048       # rows numbered together, on average
+STRIDE = 256             # slots whose results are gathered before they join the others
 
 
 def quotas(sizes: DataFrame, period: int, target: dict[str, float] | None, power: float) -> DataFrame:
@@ -58,31 +65,48 @@ def quotas(sizes: DataFrame, period: int, target: dict[str, float] | None, power
                        F.col("period").cast("long").alias("period"))
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def schedule(quota: DataFrame) -> DataFrame:
-    """(source, number, slot) of one period, from 0: earliest deadline first.
-    One row of state per period slot; as many steps as the period has slots,
-    each over all sources."""
-    listed = quota.groupBy("period").agg(F.sort_array(F.collect_list(F.struct("source", "quota"))).alias("all"))
-    start = F.struct(F.transform("all", lambda s: F.struct(s["source"], s["quota"], F.lit(0).cast("long").alias("done")))
-                     .alias("state"), F.array().cast("array<struct<source: string, number: bigint, slot: bigint>>")
-                     .alias("out"))
-    period = F.col("period")
-
-    def step(acc, slot):
-        # of the released blocks the one that is due first
-        due = F.array_min(F.transform(F.filter(
-            acc["state"], lambda s: (s["done"] < s["quota"]) & (F.floor(s["done"] * period / s["quota"]) <= slot)),
-            lambda s: F.struct(F.ceil((s["done"] + 1) * period / s["quota"]).alias("due"), s["source"].alias("source"),
-                               s["done"].alias("number"))))
-        return F.struct(
-            F.transform(acc["state"], lambda s: F.struct(
-                s["source"], s["quota"],
-                (s["done"] + F.when(s["source"] == due["source"], 1).otherwise(0)).alias("done"))).alias("state"),
-            F.array_append(acc["out"], F.struct(due["source"].alias("source"), due["number"].alias("number"),
-                                                slot.cast("long").alias("slot"))).alias("out"))
-
-    run = F.aggregate(F.sequence(F.lit(0).cast("long"), period - 1), start, step)
-    return listed.select(F.explode(run["out"]).alias("s")).select("s.source", "s.number", "s.slot")
+    """(source, number, slot) of one period, from 0, of (source, quota,
+    period): earliest deadline first."""
+    classes = quota.groupBy("period", "quota").agg(F.count("*").alias("n"))
+    listed = classes.groupBy("period").agg(F.sort_array(F.collect_list(F.struct("quota", "n"))).alias("all"))
+    period, zero = F.col("period"), F.lit(0).cast("long")
+    none = F.array().cast("array<struct<quota: bigint, n: bigint, turn: bigint, slot: bigint>>")
+
+    def first(state: Column, slot: Column) -> Column:
+        """Of the released blocks the one that is due first."""
+        ready = F.filter(state, lambda c: (c["done"] < c["quota"] * c["n"]) & (
+            F.floor(F.floor(c["done"] / c["n"]) * period / c["quota"]) <= slot))
+        return F.array_min(F.transform(ready, lambda c: F.struct(
+            F.ceil((F.floor(c["done"] / c["n"]) + 1) * period / c["quota"]).alias("due"),
+            c["quota"].alias("quota"), c["n"].alias("n"), c["done"].alias("turn"))))
+
+    def step(acc: Column, slot: Column) -> Column:
+        return _let(first(acc["state"], slot), lambda d: F.struct(
+            F.transform(acc["state"], lambda c: F.struct(
+                c["quota"], c["n"], (c["done"] + F.when(c["quota"] == d["quota"], 1).otherwise(0)).alias("done"))).alias("state"),
+            F.array_append(acc["out"], F.struct(d["quota"].alias("quota"), d["n"].alias("n"), d["turn"].alias("turn"),
+                                                slot.alias("slot"))).alias("out")))
+
+    def stride(acc: Column, start: Column) -> Column:
+        slots = F.sequence(start, F.least(start + STRIDE, period) - 1)
+        run = F.aggregate(slots, F.struct(acc["state"].alias("state"), none.alias("out")), step)
+        return _let(run, lambda r: F.struct(r["state"].alias("state"), F.concat(acc["out"], r["out"]).alias("out")))
+
+    state = F.transform("all", lambda c: F.struct(c["quota"].alias("quota"), c["n"].alias("n"), zero.alias("done")))
+    run = F.aggregate(F.sequence(zero, period - 1, F.lit(STRIDE).cast("long")),
+                      F.struct(state.alias("state"), none.alias("out")), stride)
+    turns = listed.select(F.explode(run["out"]).alias("s")).select(
+        "s.quota", (F.col("s.turn") % F.col("s.n")).alias("place"), F.floor(F.col("s.turn") / F.col("s.n")).alias("number"),
+        "s.slot")
+    placed = quota.select("source", "quota", (F.row_number().over(
+        Window.partitionBy("quota").orderBy("source")) - 1).cast("long").alias("place"))
+    return placed.join(turns, ["quota", "place"]).select("source", "number", "slot")
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source",
@@ -95,29 +119,29 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source",
     keep = [F.col(f"`{c}`") for c in docs.columns if c not in own]
     source = F.coalesce(F.col(f"`{source_col}`").cast("string"), F.lit(""))
     buckets = max(1, -(-docs.count() // bucket_rows))
-    draw = F.xxhash64(F.lit("mix"), F.col(f"`{id_col}`"))
+    ident = F.col(f"`{id_col}`").cast("string")
+    draw = F.md5(F.coalesce(F.concat(F.lit("mix:"), ident), F.xxhash64(*keep).cast("string")).cast("binary"))
     rows = docs.select(*keep, source.alias("__source"), draw.alias("__draw"))
-    bucket = F.floor((F.shiftrightunsigned("__draw", 32) * buckets) / float(1 << 32)).cast("int")
+    bucket = F.floor(F.conv(F.substring("__draw", 1, 8), 16, 10).cast("long") * buckets / float(1 << 32)).cast("int")
     rows = rows.withColumn("__bucket", bucket)
     key = ["__source", "__bucket"]
     sizes = rows.groupBy(*key).agg(F.count("*").alias("n"))
     before = sizes.select(*key, (F.sum("n").over(Window.partitionBy("__source").orderBy("__bucket")) - F.col("n"))
                           .alias("__before"))
     quota = quotas(sizes.groupBy(F.col("__source").alias("source")).agg(F.sum("n").alias("n")), period, target, power)
-    plan = schedule(quota).groupBy("source").agg(
-        F.sort_array(F.collect_list(F.struct("number", "slot"))).alias("__slots"))
-    # one row per source, its slots of one period: bounded by the period
-    plan = plan.join(quota, "source").select(F.col("source").alias("__source"), F.col("quota").alias("__quota"),
-                                             F.col("period").alias("__period"), F.transform("__slots", lambda s: s["slot"]).alias("__slots"))
-    before = before.join(plan, "__source")
+    before = before.join(quota.select(F.col("source").alias("__source"), F.col("quota").alias("__quota"),
+                                      F.col("period").alias("__period")), "__source")
     local = Window.partitionBy(*key).orderBy("__draw", F.col(f"`{id_col}`"))
     numbered = rows.withColumn("__local", F.row_number().over(local)).join(before, key)
     number = F.col("__before") + F.col("__local") - 1
-    block = F.floor(number / block_rows)
-    slot = F.floor(F.col("mix_block") / F.col("__quota")) * F.col("__period") + F.get(
-        "__slots", (F.col("mix_block") % F.col("__quota")).cast("int"))
-    placed = numbered.withColumn("__number", number).withColumn("mix_block", block.cast("long"))
-    placed = placed.withColumn("mix_slot", slot.cast("long"))
+    placed = numbered.withColumn("__number", number).withColumn(
+        "mix_block", F.floor(F.col("__number") / block_rows).cast("long")).withColumn(
+        "__turn", F.col("mix_block") % F.col("__quota"))
+    # one row per slot of a period, found by source and number: a source of most rows has most of them
+    turns = schedule(quota).select(F.col("source").alias("__source"), F.col("number").alias("__turn"),
+                                   F.col("slot").alias("__slot"))
+    slot = F.floor(F.col("mix_block") / F.col("__quota")) * F.col("__period") + F.col("__slot")
+    placed = placed.join(turns, ["__source", "__turn"]).withColumn("mix_slot", slot.cast("long"))
     return placed.select(
         *keep, "mix_block", "mix_slot",
         F.floor(F.col("mix_block") * F.col("__period") / F.col("__quota")).cast("long").alias("mix_release"),

@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter, defaultdict
 from fractions import Fraction
 
@@ -67,3 +68,33 @@ def test_many_sources_lengthen_the_period(spark):
     df = spark.createDataFrame(made({f"s{i}": 2 for i in range(30)}), SCHEMA)
     out = sm.mix(df, period=10, block_rows=1).collect()
     assert len({r["mix_slot"] for r in out}) == 60
+
+
+def test_thousands_of_sources(spark):
+    """5000 sources, one of a third of the weight: every prefix of the period is
+    less than a block from every share, in well under a minute."""
+    sizes = [(f"s{i:05}", 400_000_000 if i == 7 else 1 + (i * i) % 5000) for i in range(5000)]
+    began = time.time()
+    quota = sm.quotas(spark.createDataFrame(sizes, "source string, n long"), 1000, None, 0.5)
+    rows = sm.schedule(quota).collect()
+    assert time.time() - began < 60
+    q = {r["source"]: r["quota"] for r in quota.collect()}
+    period = 20_000
+    assert sum(q.values()) == period == len(rows) and max(q.values()) > 300
+    at = {r["slot"]: r for r in rows}
+    assert sorted(at) == list(range(period))
+    done = Counter()
+    for slot in range(period):
+        s, number = at[slot]["source"], at[slot]["number"]
+        assert number == done[s] and number * period // q[s] <= slot < -(-(number + 1) * period // q[s])
+        done[s] += 1
+    # a block in its window is less than one block from its share at every slot
+    assert done == q
+
+
+def test_rows_without_id_are_dealt(spark):
+    rows = [(None, f"s{i % 3}", str(i), None) for i in range(3000)]
+    out = sm.mix(spark.createDataFrame(rows, SCHEMA.replace("mix_slot", "other")), block_rows=4, bucket_rows=50)
+    assert out.count() == 3000 and out.select("mix_order").distinct().count() == 3000
+    draws = spark.createDataFrame(rows, SCHEMA.replace("mix_slot", "other"))
+    assert draws.select(sm.F.md5(sm.F.xxhash64(*draws.columns).cast("string").cast("binary"))).distinct().count() == 3000
