@@ -10,10 +10,22 @@ of the original (separators, letter case, length, check digits recomputed), so
 it is a valid value of the same kind, and since the permutation depends on the
 symbols alone, equal values stay linked across documents and notations.
 
-Kinds: card (Luhn digit recomputed), iban (check digits recomputed), ssn,
-phone, ip, date (1900-01-01 to 2099-12-31, any day to any day), email (local
-part; the domain stays), and credentials (``AKIA`` keys and the values of
-password, secret, token and key assignments), which are treated alike.
+Kinds: card (Luhn digit recomputed), iban (check digits recomputed, either
+case), ssn, phone, ip, ip6, date (1900-01-01 to 2099-12-31, any day to any day),
+email (local part, letters of any script; the domain stays), and credentials
+(``AKIA``, ``sk-`` and ``gh._`` keys and the values of password, secret, token and
+key assignments), which are treated alike.  Groups of cards, phones and numbers of
+the form 3-2-4 may be set off by blanks, hyphens or (cards, phones) dots; dates may
+have one-digit days and months, or the year first with hyphens or slashes.
+
+Not covered: names and postal addresses, months written as words, years of two
+digits, phone numbers without separators or ``+``, IPv6 addresses of fewer than three
+groups or with an IPv4 tail (equal addresses that are shortened differently
+are not linked), and keys of other services.
+
+The key is a secret: it is a column that comes from a one-row table, so
+that neither plans nor ``explain()`` show it.  ``session_key`` takes it from the
+setting ``spark.rowforge.pseudonym.key``; without one, the session draws its own.
 
 Every position where a pattern matches is a candidate, unless it lies inside
 a value that was replaced.  A candidate that fails as a whole is tried again
@@ -28,9 +40,11 @@ a value that fails validation in every form is left alone.
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROUNDS = 8            # even, so the halves end where they began
@@ -39,24 +53,42 @@ FIRST_DAY, YEARS_DAYS = "1900-01-01", (17, 4297)   # 17 * 4297 days to 2099-12-3
 _MARK = "\ue000"
 _WORD = r"(?<![A-Za-z0-9])"
 _END = r"(?![A-Za-z0-9])"
+_NO_LETTER = r"(?<![\p{L}\p{N}._%+-])"
 _ASSIGN = r"(?:[Pp]assword|PASSWORD|[Pp]asswd|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Aa]pi_?[Kk]ey|API_?KEY)"
 
+_KEY_HEAD = r"(?:sk-|gh[opsu]_)"
+_HEX = "[0-9A-Fa-f]{1,4}"
+_SEPARATORS = (" ", "-", r"\.")
+
+
+def _iban(c: str) -> str:
+    return rf"[{c}]{{2}}\d{{2}}(?:[{c}0-9]{{11,30}}|(?: [{c}0-9]{{4}}){{2,7}}(?: [{c}0-9]{{1,3}})?)"
+
+
+def _groups(sep: str) -> str:
+    """A card in groups; three groups only at the front of a row of groups: the
+    end of a longer number is none."""
+    return (rf"\d{{4}}(?:{sep}\d{{4}}){{3}}(?:{sep}\d{{1,3}})?|(?<!\d{{4}}{sep})\d{{4}}(?:{sep}\d{{4}}){{2}}(?:{sep}\d{{1,3}})?"
+            rf"|\d{{4}}{sep}\d{{6}}{sep}\d{{5}}")
+
+
 # One pattern per kind, tried in this order.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,8}+",
-    "credential": _WORD + r"(?:AKIA[0-9A-Z]{16}" + _END + "|" + _ASSIGN + r"[ ]?[=:][ ]?[\"']?[A-Za-z0-9_+/-]{8,}+)",
-    "iban": _WORD + r"[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)" + _END,
+    "email": _NO_LETTER + r"[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,63}+@[\p{L}\p{N}-]{1,63}+(?:\.[\p{L}\p{N}-]{1,63}+){1,8}+",
+    "credential": _WORD + r"(?:AKIA[0-9A-Z]{16}" + _END + "|" + _KEY_HEAD + "[A-Za-z0-9]{20,}+|"
+                  + _ASSIGN + r"[ ]?[=:][ ]?[\"']?[A-Za-z0-9_+/-]{8,}+)",
+    "iban": _WORD + "(?:" + _iban("A-Z") + "|" + _iban("a-z") + ")" + _END,
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)",
-    "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-])",
-    "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
+    "ip6": rf"(?<![0-9A-Za-z:.])(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}(?::{_HEX}){{0,5}})?::(?:{_HEX}(?::{_HEX}){{0,5}})?)(?![0-9A-Za-z:]|\.\d)",
+    "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-])",
+    "ssn": r"(?<![\d-])(?:\d{3}-\d{2}-\d{4}|(?<!\d )\d{3} \d{2} \d{4}(?! \d))(?![\d-])",
     "phone": r"(?:\+\d{1,3}[ .-]?|(?<![\dA-Za-z.-]))(?:\(\d{3}\)[ .-]?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)"
+             r"|(?<![\dA-Za-z.-])(?<!\d )\d{3} \d{3} \d{4}(?! ?\d)"
              r"|\+\d{1,3}(?:[ .-]\d{1,4}){2,6}(?!\d)|\+\d{8,15}(?!\d)",
-    # three groups only at the front of a row of groups: the end of a longer number is none
-    "card": _WORD + r"(?:\d{13,19}|\d{4}(?: \d{4}){3}(?: \d{1,3})?|\d{4}(?:-\d{4}){3}(?:-\d{1,3})?"
-            r"|(?<!\d{4} )\d{4}(?: \d{4}){2}(?: \d{1,3})?|(?<!\d{4}-)\d{4}(?:-\d{4}){2}(?:-\d{1,3})?"
-            r"|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5})" + _END,
+    "card": _WORD + r"(?:\d{13,19}|" + "|".join(map(_groups, _SEPARATORS)) + ")" + _END,
 }
 _ANY = "|".join(PATTERNS.values())
+_NO_SYMBOL = r"[^\p{L}0-9]"
 _LONG_PARTS = "(?s).{128}(?=.{64})|.{1,191}"
 
 
@@ -66,12 +98,13 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def _symbols(text: Column) -> Column:
-    """The letters and digits of a string as (value, radix); letters count the
-    same in either case."""
-    chars = F.split(F.regexp_replace(text, "[^A-Za-z0-9]", ""), "")
+    """The letters and digits of a string as (value, radix); letters A-Z count
+    the same in either case, any other one by its place in its 64 code points."""
+    chars = F.split(F.regexp_replace(text, _NO_SYMBOL, ""), "")
+    number = lambda v, m: F.struct(v.cast("long").alias("v"), F.lit(m).cast("long").alias("m"))
     return F.transform(F.filter(chars, lambda c: c != ""), lambda c: F.when(
-        c.rlike("[0-9]"), F.struct((F.ascii(c) - 48).cast("long").alias("v"), F.lit(10).cast("long").alias("m")))
-        .otherwise(F.struct((F.ascii(F.lower(c)) - 97).cast("long").alias("v"), F.lit(26).cast("long").alias("m"))))
+        c.rlike("[0-9]"), number(F.ascii(c) - 48, 10)).when(
+        c.rlike("[A-Za-z]"), number(F.ascii(F.lower(c)) - 97, 26)).otherwise(number(F.ascii(c) % 64, 64)))
 
 
 def _numbers(*values_and_radices: tuple[Column, int]) -> Column:
@@ -79,7 +112,7 @@ def _numbers(*values_and_radices: tuple[Column, int]) -> Column:
                      for v, m in values_and_radices])
 
 
-def permute(symbols: Column, kind: Column, key: str) -> Column:
+def permute(symbols: Column, kind: Column, key: Column) -> Column:
     """The keyed Feistel permutation of an array of (value, radix): the new
     values, each below the radix of its position."""
     def turn(state: Column, number: Column) -> Column:
@@ -91,7 +124,7 @@ def permute(symbols: Column, kind: Column, key: str) -> Column:
                                   16, 10).cast("long")) % x["m"]).alias("v"), x["m"].alias("m")))
 
         return F.struct(state["right"].alias("left"), _let(
-            F.concat_ws("|", F.lit(key), kind, number.cast("string"), other), shifted).alias("right"))
+            F.concat_ws("|", key, kind, number.cast("string"), other), shifted).alias("right"))
 
     def run(all_of: Column) -> Column:
         half = F.floor(F.size(all_of) / 2).cast("int")
@@ -103,13 +136,19 @@ def permute(symbols: Column, kind: Column, key: str) -> Column:
     return _let(symbols, run)
 
 
+def _char(code: Column) -> Column:
+    """The character of a code point."""
+    return F.decode(F.unhex(F.lpad(F.hex(code.cast("long")), 8, "0")), "UTF-32")
+
+
 def _rendered(shape: Column, values: Column) -> Column:
     """``shape`` with its letters and digits replaced in order by ``values``,
     which has to be a variable or column."""
     def one(c: Column, i: Column) -> Column:
-        place = F.length(F.regexp_replace(F.substring(shape, F.lit(1), i), "[^A-Za-z0-9]", ""))
-        return F.when(c.rlike("[A-Za-z0-9]"), _let(F.get(values, place).cast("int"), lambda v: F.when(
-            c.rlike("[0-9]"), v.cast("string")).when(c.rlike("[a-z]"), F.char(v + 97)).otherwise(F.char(v + 65))
+        place = F.length(F.regexp_replace(F.substring(shape, F.lit(1), i), _NO_SYMBOL, ""))
+        return F.when(c.rlike(r"[\p{L}0-9]"), _let(F.get(values, place).cast("int"), lambda v: F.when(
+            c.rlike("[0-9]"), v.cast("string")).when(c.rlike("[a-z]"), F.char(v + 97))
+            .when(c.rlike("[A-Z]"), F.char(v + 65)).otherwise(_char(F.ascii(c) - F.ascii(c) % 64 + v))
         )).otherwise(c)
     return F.array_join(F.transform(F.split(shape, ""), one), "")
 
@@ -135,15 +174,18 @@ def _mod97(text: Column) -> Column:
 
 def _day(m: Column) -> Column:
     read = lambda p: F.try_to_timestamp(m, F.lit(p)).cast("date")
-    return (F.when(m.rlike(r"^\d{4}-"), read("yyyy-MM-dd")).when(m.contains("."), read("dd.MM.yyyy"))
-            .otherwise(F.coalesce(read("dd/MM/yyyy"), read("MM/dd/yyyy"))))
+    return (F.when(m.rlike(r"^\d{4}-"), read("yyyy-MM-dd")).when(m.rlike(r"^\d{4}/"), read("yyyy/MM/dd"))
+            .when(m.contains("."), read("d.M.yyyy")).otherwise(F.coalesce(read("d/M/yyyy"), read("M/d/yyyy"))))
 
 
 def _day_text(m: Column, day: Column) -> Column:
-    day_first = F.try_to_timestamp(m, F.lit("dd/MM/yyyy")).isNotNull()
-    return (F.when(m.rlike(r"^\d{4}-"), F.date_format(day, "yyyy-MM-dd"))
-            .when(m.contains("."), F.date_format(day, "dd.MM.yyyy"))
-            .when(day_first, F.date_format(day, "dd/MM/yyyy")).otherwise(F.date_format(day, "MM/dd/yyyy")))
+    """``day`` in the form of ``m``; with a one-digit day or month, neither is padded."""
+    day_first = F.try_to_timestamp(m, F.lit("d/M/yyyy")).isNotNull()
+    form = (F.when(m.rlike(r"^\d{4}-"), "yyyy-MM-dd").when(m.rlike(r"^\d{4}/"), "yyyy/MM/dd")
+            .when(m.contains("."), "dd.MM.yyyy").when(day_first, "dd/MM/yyyy").otherwise("MM/dd/yyyy"))
+    short = ~m.rlike(r"^(?:\d{4}|\d{2}[./]\d{2}[./])")
+    form = F.when(short, F.replace(F.replace(form, F.lit("dd"), F.lit("d")), F.lit("MM"), F.lit("M"))).otherwise(form)
+    return F.call_function("date_format", day, form)
 
 
 def _day_number(m: Column) -> Column:
@@ -156,13 +198,15 @@ def _part(m: Column, start: int, length: int) -> Column:
 
 def _valid(m: Column) -> dict[str, Column]:
     """The test of each kind beyond its pattern."""
-    plain = F.regexp_replace(m, " ", "")
+    plain = F.upper(F.regexp_replace(m, " ", ""))
+    groups = F.filter(F.split(m, ":"), lambda g: g != "")
     return {
         "email": F.lit(True),
         "credential": F.lit(True),
         "iban": F.length(plain).between(15, 34) & (_mod97(F.concat(
             F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))) == 1),
         "ip": F.forall(F.split(m, r"\."), lambda x: x.cast("int") <= 255) & ~m.rlike(r"(?:^|\.)0\d"),
+        "ip6": F.size(groups).between(3, 8) & m.rlike("[0-9]"),
         "date": F.coalesce(_day_number(m).between(0, YEARS_DAYS[0] * YEARS_DAYS[1] - 1), F.lit(False)),
         "ssn": (_part(m, 1, 3).between(1, 899) & (_part(m, 1, 3) != 666) & (_part(m, 5, 2) > 0)
                 & (_part(m, 8, 4) > 0)),
@@ -184,7 +228,7 @@ def _head(m: Column, kind: Column) -> Column:
     code = F.regexp_extract(m, r"^\+\d{1,3}(?=[ .(-])[ .-]?", 0)
     code = F.when((code == "") & m.startswith("+"),
                   F.substring(m, F.lit(1), F.greatest(F.length(m) - 10, F.lit(1)))).otherwise(code)
-    name = F.regexp_extract(m, r"^(?:AKIA(?=[0-9A-Z]{16}$)|" + _ASSIGN + r"[ ]?[=:][ ]?[\"']?)", 0)
+    name = F.regexp_extract(m, r"^(?:AKIA(?=[0-9A-Z]{16}$)|" + _KEY_HEAD + "|" + _ASSIGN + r"[ ]?[=:][ ]?[\"']?)", 0)
     return F.when(kind == "phone", code).when(kind == "credential", name).otherwise(F.lit(""))
 
 
@@ -201,7 +245,10 @@ def _symbols_of(m: Column, kind: Column, body: Column) -> Column:
     octets = F.split(m, r"\.")
     area = _part(m, 1, 3)
     years, days = YEARS_DAYS
+    hexes = F.filter(F.split(F.replace(m, F.lit(":"), F.lit("")), ""), lambda c: c != "")
     return (F.when(kind == "ip", _numbers(*[(F.get(octets, i), 256) for i in range(4)]))
+            .when(kind == "ip6", F.transform(hexes, lambda c: F.struct(
+                F.conv(c, 16, 10).cast("long").alias("v"), F.lit(16).cast("long").alias("m"))))
             .when(kind == "date", _let(_day_number(m), lambda n: _numbers(
                 (F.floor(n / days), years), (n % days, days))))
             .when(kind == "ssn", _numbers((area - 1 - F.when(area > 666, 1).otherwise(0), 898),
@@ -211,27 +258,37 @@ def _symbols_of(m: Column, kind: Column, body: Column) -> Column:
 
 def _iban_text(m: Column, new: Column) -> Column:
     """Country, new check digits and new body, with the blanks of ``m``."""
-    check = F.lpad((98 - _mod97(F.concat(new, F.substring(m, 1, 2), F.lit("00")))).cast("string"), 2, "0")
+    check = F.lpad((98 - _mod97(F.upper(F.concat(new, F.substring(m, 1, 2), F.lit("00"))))).cast("string"), 2, "0")
     return _let(F.split(F.concat(F.substring(m, 1, 2), check, new), ""), lambda chars: F.array_join(F.transform(
         F.split(m, ""), lambda c, i: F.when(c == " ", c).otherwise(F.get(
             chars, F.length(F.regexp_replace(F.substring(m, F.lit(1), i), " ", ""))))), ""))
 
 
+def _ip6_text(m: Column, values: Column) -> Column:
+    """The hexadecimal digits of ``m`` replaced in order, in its letter case."""
+    place = lambda i: F.length(F.replace(F.substring(m, F.lit(1), i), F.lit(":"), F.lit("")))
+    new = F.array_join(F.transform(F.split(m, ""), lambda c, i: F.when(c.isin("", ":"), c).otherwise(
+        F.lower(F.hex(F.get(values, place(i)))))), "")
+    return F.when(m.rlike("[A-F]"), F.upper(new)).otherwise(new)
+
+
 def _text(m: Column, kind: Column, head: Column, body: Column, values: Column) -> Column:
     area = F.get(values, 0) + 1
     padded = lambda c, n: F.lpad(c.cast("string"), n, "0")
     moved = F.date_add(F.lit(FIRST_DAY).cast("date"), (F.get(values, 0) * YEARS_DAYS[1] + F.get(values, 1)).cast("int"))
     check = _let(F.array_join(values, ""), lambda d: (10 - luhn_sum(d, True) % 10) % 10)
     return (F.when(kind == "ip", F.array_join(values, "."))
+            .when(kind == "ip6", _ip6_text(m, values))
             .when(kind == "date", _let(moved, lambda d: _day_text(m, d)))
-            .when(kind == "ssn", F.concat_ws("-", padded(area + F.when(area >= 666, 1).otherwise(0), 3),
-                                             padded(F.get(values, 1) + 1, 2), padded(F.get(values, 2) + 1, 4)))
+            .when(kind == "ssn", F.concat(padded(area + F.when(area >= 666, 1).otherwise(0), 3), F.substring(m, 4, 1),
+                                          padded(F.get(values, 1) + 1, 2), F.substring(m, 7, 1),
+                                          padded(F.get(values, 2) + 1, 4)))
             .when(kind == "card", _let(F.array_append(values, check.cast("long")), lambda v: _rendered(m, v)))
             .otherwise(_let(_rendered(body, values), lambda new: F.when(kind == "iban", _iban_text(m, new)).otherwise(
                 F.concat(head, new, F.substring(m, F.length(head) + F.length(body) + 1, F.length(m)))))))
 
 
-def _long_text(m: Column, head: Column, key: str) -> Column:
+def _long_text(m: Column, head: Column, key: Column) -> Column:
     """A credential whose parts are permuted one by one: short ones in one part."""
     parts = F.regexp_extract_all(F.substring(m, F.length(head) + 1, F.length(m)), F.lit(_LONG_PARTS), F.lit(0))
     new = F.transform(parts, lambda part, i: _let(
@@ -252,7 +309,7 @@ def _form(m: Column) -> Column:
     return _let(_kind(m), lambda kind: F.when(kind.isNotNull(), form(kind, size)).otherwise(shorter))
 
 
-def _replaced(c: Column, key: str) -> Column:
+def _replaced(c: Column, key: Column) -> Column:
     """(kind, new text, length of what it replaces) of a candidate; (null,
     empty, 0) if no form of it is valid."""
     def known(kind: Column, m: Column) -> Column:
@@ -267,9 +324,21 @@ def _replaced(c: Column, key: str) -> Column:
     return _let(_form(c), new)
 
 
+KEY_SETTING = "spark.rowforge.pseudonym.key"
+_drawn: dict[str, str] = {}
+
+
+def session_key(spark: SparkSession) -> str:
+    """The secret that the session is set to, or one drawn for it."""
+    drawn = _drawn.setdefault(spark.sparkContext.applicationId, secrets.token_hex(16))
+    return spark.conf.get(KEY_SETTING, None) or drawn
+
+
 def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFrame:
     """``docs`` with the text rewritten, and ``pseudonyms`` (kind and new
     value of every replacement, in order)."""
+    held = docs.sparkSession.createDataFrame(pa.table({"key": [key]}))     # one row, no RDD
+    docs, key = docs.withColumn("__key", held.scalar()), F.col("__key")
     text = F.col(f"`{text_col}`").cast("string")
     # before each place where a candidate starts: a mark, the candidate, a mark
     marked = F.regexp_replace(F.replace(text, F.lit(_MARK), F.lit(_MARK + "0")), f"(?=({_ANY}))",
@@ -299,4 +368,4 @@ def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFr
         "__done", lambda p: F.concat(p["text"], p["rest"])), ""))
     return (cut.withColumn(text_col, F.when(F.col("__done").isNull(), text).otherwise(unmarked(whole)))
             .withColumn("pseudonyms", F.coalesce(found, F.array().cast(
-                "array<struct<kind: string, text: string>>"))).drop("__pieces", "__done"))
+                "array<struct<kind: string, text: string>>"))).drop("__pieces", "__done", "__key"))

@@ -16,8 +16,6 @@ from rowforge.llm.group_join import jaccard_components
 from rowforge.llm.near_dedup import near_duplicates
 from rowforge.session import read_table
 
-#: A deployment passes its own secret; this one only serves the query.
-PSEUDONYM_KEY = "query key"
 RANK_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 QUERY_STEP = 20
 MIN_SCORE = 0.7
@@ -50,7 +48,7 @@ def op2_chat_formatting(spark, sf_dir):
 
 def op3_pseudonyms(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
+    return pseudonyms.pseudonymise(docs, pseudonyms.session_key(spark))
 
 
 def op4_block_nearest(spark, sf_dir):

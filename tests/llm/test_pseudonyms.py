@@ -112,3 +112,57 @@ def test_long_credentials(spark):
         assert shape(new) == shape(v) and len(out[k]["pseudonyms"]) == 1
         assert not any(new[i:i + 16] == v[i:i + 16] for i in range(0, len(v) - 15))
     assert out[4]["text"] == out[0]["text"].removesuffix(" end") + " twice"
+
+
+def test_other_spellings_are_replaced(spark):
+    """Planted in running text: every one of these goes, in its own form."""
+    planted = ["4111.1111.1111.1111", "555 123 4567", "1/5/1984", "5.1.1984", "15.1.1984", "1984/01/05", "2001:db8::ff00:42:8329",
+               "2001:0DB8:0000:0000:0000:FF00:0042:8329", "sk-abcdefghijklmnopqrstuvwx", "gb82 west 1234 5698 7654 32",
+               "gb82west12345698765432", "078 05 1120", "ghp_abcdefghijklmnopqrstuvwxyz0123456789"]
+    out = run(spark, [f"Siehe {v}, wie gesagt." for v in planted])
+    shape = lambda t: re.sub("[0-9]", "0", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", t)))
+    for k, v in enumerate(planted):
+        new = out[k]["text"].removeprefix("Siehe ").removesuffix(", wie gesagt.")
+        assert new != v and len(out[k]["pseudonyms"]) == 1, v
+        if ":" in v:
+            assert re.fullmatch(re.sub("[0-9A-Fa-f]", "[0-9A-F]" if "D" in v else "[0-9a-f]", v), new)
+        elif not re.fullmatch(r"\d{1,2}[./]\d{1,2}[./]\d{4}", v):
+            assert shape(new) == shape(v), (v, new)
+        else:
+            assert re.fullmatch(r"\d{1,2}[./]\d{1,2}[./](19|20)\d\d", new)
+    assert [out[k]["pseudonyms"][0]["kind"] for k in range(len(planted))] == [
+        "card", "phone", "date", "date", "date", "date", "ip6", "ip6", "credential", "iban", "iban", "ssn", "credential"]
+    iban = out[9]["text"].split("Siehe ")[1].split(",")[0].replace(" ", "").upper()
+    assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+    assert out[9]["text"].replace(" ", "") == out[10]["text"].replace(" ", "")
+
+
+def test_addresses_are_replaced_whole(spark):
+    out = run(spark, ["an jörg@example.com", "an Jörg.Müller@bücher.example und иван@example.com", "jörg@example.com ."])
+    new = out[0]["text"].removeprefix("an ").removesuffix("@example.com")
+    assert len(new) == 4 and new.isalpha() and new != "jörg" and sum(a == b for a, b in zip(new, "jörg")) < 3
+    assert out[2]["text"] == f"{new}@example.com ."
+    assert "Jörg" not in out[1]["text"] and "иван" not in out[1]["text"] and "@bücher.example" in out[1]["text"]
+    assert [p["kind"] for p in out[1]["pseudonyms"]] == ["email", "email"]
+
+
+def test_what_looks_alike_stays(spark):
+    texts = ["at 12:34:56 or a::b or std::end", "version 1.2.3 of 2024", "00:1a:2b:3c:4d:5e", "1/2 of 3/4", "12 345 6789 and 123 45 67890",
+             "sk-learn is a word", "31.31.1984 and 0/5/1984", "5555 123 4567 and 555 123 45678", "1 555 123 4567 89"]
+    out = run(spark, texts)
+    assert [out[k]["text"] for k in range(len(texts))] == texts
+
+
+def test_key_is_not_in_the_plan(spark):
+    df = ps.pseudonymise(spark.createDataFrame([("10.1.2.3",)], "text string"), "very secret key")
+    qe = df._jdf.queryExecution()
+    assert df.first()["text"] != "10.1.2.3"
+    assert all("very secret" not in x.toString() for x in (qe, qe.logical(), qe.optimizedPlan(), qe.executedPlan()))
+    assert "Python" not in qe.executedPlan().toString() and df.columns == ["text", "pseudonyms"]
+    drawn = ps.session_key(spark)
+    assert drawn == ps.session_key(spark) and len(drawn) == 32
+    spark.conf.set(ps.KEY_SETTING, "from the setting")
+    try:
+        assert ps.session_key(spark) == "from the setting"
+    finally:
+        spark.conf.unset(ps.KEY_SETTING)
