@@ -13,9 +13,9 @@ A document longer than the capacity is cut: its leading pieces of exactly the
 capacity are sequences of their own, and its rest is packed.  Nothing is
 dropped or shortened.
 
-Documents are dealt to shards of about ``shard_rows`` rows by a hash, so a
-shard is a bounded group at any size, however frequent one source or cluster
-is; bins never span shards.  Only ids, lengths, sources and clusters move.
+Documents are dealt to shards of about ``shard_rows`` rows by a hash of id, length,
+cluster and the number of the row, so a shard is a bounded group at any size,
+however frequent one source, cluster or repeated row is; bins never span shards.  Only ids, lengths, sources and clusters move.
 Given the place of each row in a reading order, shards are ranges of that
 order instead, and bins are numbered by their first row in it, so the names of
 the bins sort in the order in which they are to be read.
@@ -153,7 +153,7 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sou
     n_rows = docs.count()
     shards = max(1, -(-n_rows // shard_rows))
     shard = (F.floor(F.col("place") * shards / max(1, n_rows)) if place_col
-             else F.pmod(F.xxhash64("doc_id", "length", "cluster"), F.lit(shards)))
+             else F.pmod(F.xxhash64("doc_id", "length", "cluster", F.monotonically_increasing_id()), F.lit(shards)))
     dealt = rows.withColumn("rest", F.col("length") % capacity).withColumn("shard", shard.cast("int"))
     return dealt.groupBy("shard").applyInArrow(_pack(capacity, per_source), PLAN)
 

@@ -71,3 +71,14 @@ def test_given_clusters_repeated_rows_nulls_and_empty(spark):
     again = spark.createDataFrame([(None, "same", None, None, None)] * 5, SCHEMA)
     assert len({r["bin"] for r in pk.pack(again, capacity=100).collect()}) == 5
     assert pk.pack(docs.limit(0)).count() == 0
+
+
+def test_repeated_rows_are_spread_over_shards(spark):
+    """One row that makes up most of the table, and rows without id."""
+    rows = [(7, "same text", "s", None, None)] * 3000 + [(None, "no id", "t", None, None)] * 1000
+    plan = pk.pack(spark.createDataFrame(rows, SCHEMA).repartition(4), shard_rows=100, capacity=64).collect()
+    assert len(plan) == 4000
+    sizes = {}
+    for r in plan:
+        sizes[r["bin"].split(".")[0]] = sizes.get(r["bin"].split(".")[0], 0) + 1
+    assert len(sizes) == 40 and max(sizes.values()) < 200

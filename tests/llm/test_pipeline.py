@@ -141,3 +141,21 @@ def test_language_stage_keeps_evenly_mixed_texts(spark):
     both = docs.select(COLUMNS).union(spark.createDataFrame(rows, SCHEMA))
     kept = {r["doc_id"] for r in cp.keep_known_language(spark, both, SF).collect()}
     assert {20_001, 20_002} <= kept and 20_003 not in kept
+
+
+def test_files_are_in_the_order_of_their_numbers(spark, scratch):
+    names = spark.range(100_003).selectExpr("concat('file:/x/part-', lpad(cast(id as string), greatest(5, length(cast(id as string))), '0'), "
+                                            "'-c000.snappy.parquet') AS path", "id")
+    order = cp.Window.orderBy(cp.file_number(cp.F.col("path")), "path")
+    rows = names.select("id", cp.F.row_number().over(order).alias("n")).where("id <> n - 1")
+    assert rows.count() == 0
+    assert names.where("path < 'file:/x/part-100000' and id > 100000").count() == 0
+    by_text = names.orderBy("path").limit(10_010).collect()
+    assert [r["id"] for r in by_text] != list(range(10_010))          # the text order is another one
+    path = scratch("files")
+    spark.range(0, 300, 1, 6).selectExpr("id AS doc_id").write.parquet(path)
+    back = cp.in_read_order(spark, spark.read.parquet(path))
+    got = sorted((r["place"], r["doc_id"]) for r in back.collect())
+    assert got == [(i, i) for i in range(300)]
+    assert "BroadcastHint" not in back._jdf.queryExecution().analyzed().toString() and "(strategy=broadcast)" not in \
+        back._jdf.queryExecution().analyzed().toString()
