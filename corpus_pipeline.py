@@ -5,14 +5,13 @@ the last return the columns of ``documents``."""
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowforge.llm import language_id, packing, pseudonyms, source_mixing
 from rowforge.llm.near_dedup import one_of_each
 from rowforge.session import read_table, scratch_path
 
-PSEUDONYM_KEY = "pipeline key"
 #: A document goes if the languages of its spans, however many, are less sure than this.
 MIN_CONFIDENCE = 0.4
 
@@ -32,7 +31,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    done = pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
+    done = pseudonyms.pseudonymise(docs, pseudonyms.session_key(spark))
     return done.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
@@ -41,10 +40,17 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return source_mixing.mix(docs).orderBy("mix_order", "doc_id").select(*docs.columns)
 
 
+def file_number(path: Column) -> Column:
+    """The number that Spark gives a file it writes: names sort by their text
+    only as long as all numbers have five digits."""
+    return F.regexp_extract(path, r"part-(\d+)[^/]*$", 1).try_cast("long")
+
+
 def in_read_order(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` with ``place``, the number of each row in the order of the
-    table: by file name and row for a table that is read as it is, else by
-    partition and row.  One count per file reaches the driver."""
+    table: by file number and row for a table that is read as it is, else by
+    partition and row.  Rows are counted per file, and only these counts are
+    added up in one task."""
     part, row = F.spark_partition_id(), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
     if docs._jdf.queryExecution().analyzed().children().isEmpty():
         try:
@@ -54,13 +60,11 @@ def in_read_order(spark: SparkSession, docs: DataFrame) -> DataFrame:
             pass
     if "__part" not in docs.columns:
         docs = docs.select("*", part.alias("__part"), row.alias("__row"))
-    before, offsets = 0, []
-    for r in docs.groupBy("__part").agg(F.count("*").alias("n")).orderBy("__part").collect():
-        offsets.append((r["__part"], before))
-        before += r["n"]
-    kind = docs.schema["__part"].dataType.simpleString()
-    offsets = spark.createDataFrame(offsets, f"__part {kind}, __before long")
-    return (docs.join(F.broadcast(offsets), "__part").withColumn("place", F.col("__before") + F.col("__row"))
+    is_file = docs.schema["__part"].dataType.simpleString() == "string"
+    order = [file_number(F.col("__part")), "__part"] if is_file else ["__part"]
+    counts = docs.groupBy("__part").agg(F.count("*").alias("n"))
+    before = counts.select("__part", (F.sum("n").over(Window.orderBy(*order)) - F.col("n")).alias("__before"))
+    return (docs.join(before, "__part").withColumn("place", F.col("__before") + F.col("__row"))
             .drop("__part", "__row", "__before"))
 
 
