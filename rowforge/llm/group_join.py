@@ -45,9 +45,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowforge.llm.bloom import among
 from rowforge.llm.near_dedup import _linked, _overlaps, connected
 from rowforge.llm.shingles import mix, shingle_sets
-from rowforge.session import remove_path, scratch_path
+from rowforge.session import names_in, remove_path, scratch_path
 
 GROUP_ROWS = 256
 #: f(r): all of r up to the first number, and one of every so many beyond it.
@@ -98,9 +99,10 @@ class _Store:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def remove(self, *names: str) -> None:
-        for name in names:
-            remove_path(self.spark, f"{self.root}/{name}")
+    def remove_all_but(self, kept: str) -> None:
+        for name in names_in(self.spark, self.root):
+            if name != kept:
+                remove_path(self.spark, f"{self.root}/{name}")
 
 
 def _rows_of(table: pa.Table) -> tuple:
@@ -175,46 +177,55 @@ def _compared(n: int, threshold_pct: int):
     return compared
 
 
+def _sql_overlap(r: str) -> str:
+    return f"IF({r} <= {WINDOW_ALL}, {r}, {WINDOW_ALL} + ({r} - {WINDOW_ALL}) div {WINDOW_STEP})"
+
+
 def _shared_tokens(store: _Store, classes: DataFrame, threshold_pct: int) -> DataFrame:
-    """(rep, n_shingles, weight, window, prefix) of the classes that are not
-    alone: the window's tokens that another class has, rare ones first, and
-    those of them by which it is found."""
-    posts = classes.select("rep", "n_shingles", F.explode("window").alias("token"))
+    """(rep, n_shingles, least, weight, window, prefix) of the classes that are
+    not alone: the least overlap of its window, the window's tokens that another
+    class has, rare ones first, and those of them by which it is found."""
+    posts = classes.select("rep", F.explode("window").alias("token"))
     common = store(posts.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "common")
-    found = posts.join(common, "token").groupBy("rep", "n_shingles").agg(
+    found = posts.join(common, "token").groupBy("rep").agg(
         F.sort_array(F.collect_list(F.struct("df", "token"))).alias("v"))
-    r = _sql_required(threshold_pct)
-    overlap = f"IF({r} <= {WINDOW_ALL}, {r}, {WINDOW_ALL} + ({r} - {WINDOW_ALL}) div {WINDOW_STEP})"
+    sizes = classes.select("rep", "n_shingles", F.expr(_sql_overlap(_sql_required(threshold_pct))).alias("least"))
     # of the n - r + 1 rarest tokens, those of this class alone come first
-    first = F.size("v") - F.expr(overlap) + 1
+    first = F.size("v") - F.col("least") + 1
     weight = F.aggregate("v", F.lit(0).cast("long"), lambda s, x: s + x["df"])
-    return store(found.where(first > 0).select(
-        "rep", "n_shingles", weight.alias("weight"), F.col("v.token").alias("window"),
+    return store(found.join(sizes, "rep").where(first > 0).select(
+        "rep", "n_shingles", "least", weight.alias("weight"), F.col("v.token").alias("window"),
         F.slice("v.token", F.lit(1), first.cast("int")).alias("prefix")), "shared")
 
 
+def _texts(store: _Store, name: str, reps: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(rep, text) of some classes.  A filter of their keys leaves all other
+    texts where they are."""
+    keys = store(classes.select("rep", "first.doc_id", "first.text_hash").join(reps, "rep", "left_semi"), f"{name}_keys")
+    held = docs.where(among(keys, "text_hash")).groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"))
+    return store(held.join(keys, ["doc_id", "text_hash"]).select("rep", "text"), name)
+
+
 def _links(store: _Store, classes: DataFrame, docs: DataFrame, n: int, threshold_pct: int,
            group_rows: int) -> DataFrame:
     """Links (a, b) between classes that make the components of all links."""
     spark = docs.sparkSession
     shared = _shared_tokens(store, classes, threshold_pct)
-    posted = shared.select("rep", "n_shingles", "weight", F.explode("prefix").alias("token"))
+    posted = shared.select("rep", "weight", F.explode("prefix").alias("token"))
     hub = F.max(F.struct("weight", (-F.col("rep")).alias("minus_rep")))["minus_rep"]
     lists = store(posted.groupBy("token").agg(F.count("*").alias("members"), (-hub).alias("hub"))
                   .where("members > 1"), "lists")
-    near = posted.join(lists, "token").groupBy("rep", "n_shingles").agg(
-        F.max(F.struct("members", "token", "hub"))["hub"].alias("hub"))
+    near = posted.join(lists, "token").groupBy("rep").agg(F.max(F.struct("members", "token", "hub"))["hub"].alias("hub"))
     near = store(near, "near")
 
-    keys = classes.select("rep", "first.doc_id", "first.text_hash").join(near.select("rep"), "rep", "left_semi")
-    keys = store(keys, "keys")
-    texts = docs.join(keys, ["doc_id", "text_hash"]).groupBy("rep").agg(F.first("text").alias("text"))
-    texts = store(texts, "texts")
-
-    size_of = shared.select(F.col("rep").alias("hub"), F.col("n_shingles").alias("n_hub"))
-    pairs = near.where("rep <> hub").join(size_of, "hub").where(
-        100 * F.least("n_shingles", "n_hub") >= threshold_pct * F.greatest("n_shingles", "n_hub"))
+    # a class and its hub: first the bound on their windows, then the sets
+    own = shared.select("rep", "n_shingles", "least", "window")
+    of_hub = own.select(*[F.col(c).alias(f"hub_{c}" if c != "rep" else "hub") for c in own.columns])
+    pairs = near.where("rep <> hub").join(own, "rep").join(of_hub, "hub").where(
+        100 * F.least("n_shingles", "hub_n_shingles") >= threshold_pct * F.greatest("n_shingles", "hub_n_shingles"))
+    pairs = pairs.where(F.size(F.array_intersect("window", "hub_window")) >= F.greatest("least", "hub_least"))
     pairs = store(pairs.select("rep", "hub"), "hub_pairs")
+    texts = _texts(store, "hub_texts", pairs.select(F.explode(F.array("rep", "hub")).alias("rep")), classes, docs)
     links = (pairs.join(texts, "rep").join(texts.select(F.col("rep").alias("hub"), F.col("text").alias("hub_text")), "hub")
              .where(_linked(n, threshold_pct)("text", "hub_text")).select(F.col("rep").alias("a"), F.col("hub").alias("b")))
     links = store(links, "hub_links")
@@ -222,27 +233,32 @@ def _links(store: _Store, classes: DataFrame, docs: DataFrame, n: int, threshold
 
     counts = store(near.groupBy("hub").agg(F.ceil(F.count("*") / group_rows).alias("chunks")), "chunks")
     chunk = F.pmod(F.xxhash64(F.lit("chunk"), "rep"), F.col("chunks"))
-    members = near.join(counts, "hub").join(labels, near["rep"] == labels["node"]).select(
-        F.xxhash64("hub", chunk).alias("group"), "rep", "n_shingles", "component")
+    sizes = shared.select("rep", "n_shingles")
+    members = near.join(counts, "hub").join(labels, near["rep"] == labels["node"]).join(sizes, "rep").select(
+        F.xxhash64("hub", chunk).alias("group"), "rep", "n_shingles", "component", (F.col("rep") == F.col("hub")).alias("is_hub"))
     members = store(members, "members")
-    spans = store(members.groupBy("group").agg(F.min("component").alias("c_min"), F.max("component").alias("c_max")),
-                  "spans")
+    spans = store(members.groupBy("group").agg(
+        F.min("component").alias("c_min"), F.max("component").alias("c_max"),
+        ((F.count("*") == 2) & F.bool_or("is_hub")).alias("done")), "spans")
+    members = members.drop("is_hub")
 
     of_group = members.select("rep", "group")
     matrix = store(posted.select("rep", "token").join(of_group, "rep").select("token", "group").distinct()
-                   .join(spans, "group"), "matrix")
+                   .join(spans.drop("done"), "group"), "matrix")
     other = matrix.select("token", *[F.col(c).alias(f"{c}_2") for c in ("group", "c_min", "c_max")])
     one = "c_min = c_max and c_min_2 = c_max_2 and c_min = c_min_2"
     pairs = matrix.join(other, "token").where(f"group < group_2 and not ({one})").select(
         F.col("group").alias("low"), F.col("group_2").alias("high")).distinct()
-    own = spans.where("c_min <> c_max").select(F.col("group").alias("low"), F.col("group").alias("high"))
-    pairs = store(pairs.union(own), "pairs")
+    # of a hub and one more member, the only pair has been decided
+    inner = spans.where("c_min <> c_max and not done").select(F.col("group").alias("low"), F.col("group").alias("high"))
+    pairs = store(pairs.union(inner), "pairs")
 
     sides = pairs.withColumn("group", F.col("low")).union(
         pairs.where("low <> high").withColumn("group", F.col("high")))
     tiles = sides.join(members, "group").join(shared.select("rep", "window"), "rep")
     tile = "low long, high long, group long, rep long, component long, n_shingles long"
     opened = store(tiles.groupBy("low", "high").applyInArrow(_qualifying(threshold_pct), tile), "opened")
+    texts = _texts(store, "tile_texts", opened.select("rep"), classes, docs)
     found = opened.join(texts, "rep").groupBy("low", "high").applyInArrow(
         _compared(n, threshold_pct), "a long, b long")
     return store(links.union(found), "links")
@@ -278,7 +294,5 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold_pct: int = 80, *,
     out = store(rows.join(of_class, ["set_a", "set_b", "n_shingles"], "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")), "result")
-    store.remove("signed", "common", "shared", "lists", "near", "keys", "texts", "hub_pairs", "hub_links",
-                 "components", "chunks", "members", "spans", "matrix", "pairs", "opened", "links", "labels",
-                 "grouped", "least", "of_class", "classes")
+    store.remove_all_but("result")
     return out
