@@ -11,6 +11,11 @@ probability of its label among the learned languages, over all letters.  Its
 confidence is the same over the spans of all languages, so a text that is
 evenly mixed has a low score and a high confidence.
 
+A text of more than ``LONG_WORDS`` words is cut into segments that go through
+Viterbi side by side: first from every possible label before a segment, then, when
+these are joined, from the scores that really come before it.  Trigrams are scored
+``LETTERS`` letters at a time.  So time and memory follow the length of the text.
+
 Training reads text and language only, of a bounded sample: about
 ``rows_per_language`` rows of each language, chosen by a hash of the id.
 
@@ -37,6 +42,8 @@ SWITCH_PENALTY = 12.0
 #: A script belongs to a language that writes this share of its letters in it.
 SCRIPT_SHARE = 0.01
 UNDETERMINED = "und"
+LETTERS = 1 << 20
+LONG_WORDS, SEGMENT_WORDS = 1 << 15, 512
 
 # First and last code point of the letter blocks of scripts.
 SCRIPTS = [
@@ -72,21 +79,35 @@ class LanguageModel:
     uses: np.ndarray
 
 
-def _trigrams(codes: np.ndarray, rows: np.ndarray):
-    """(word starts, word ends, letters before each word, bucket per letter)."""
+def _words(codes: np.ndarray, rows: np.ndarray):
+    """(lower-case letters and zeros, word starts, word ends)."""
     low = letter_table()[codes]
     starts, ends = runs(low > 0, rows)
-    sizes = ends - starts
-    before = np.concatenate([[0], np.cumsum(sizes)])
-    total = int(before[-1])
-    letters = np.arange(total) + np.repeat(starts - before[:-1], sizes)
-    here = low[letters]
-    prev, after = np.empty_like(here), np.empty_like(here)
-    if total:
-        prev[1:], after[:-1] = here[:-1], here[1:]
-        prev[before[:-1]], after[before[1:] - 1] = 32, 32
-    h = here * np.uint32(0x9E3779B1) + prev * np.uint32(0x85EBCA6B) + after * np.uint32(0xC2B2AE35)
-    return starts, ends, before, (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(16)
+    return low, starts, ends
+
+
+def _trigrams(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, at_once: int = LETTERS
+              ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first word, word behind the last, where each word's letters begin,
+    bucket per letter), some words at a time; a very long word in parts."""
+    before = np.concatenate([[0], np.cumsum(ends - starts)])
+    i = 0
+    while i < before[-1]:
+        a = int(np.searchsorted(before, i, side="right")) - 1
+        b = max(a + 1, int(np.searchsorted(before, i + at_once, side="right")) - 1)
+        j = min(int(before[b]), i + at_once)
+        first = np.maximum(before[a:b], i)
+        sizes = np.minimum(before[a + 1:b + 1], j) - first
+        heads = first - i
+        letters = np.arange(j - i) + np.repeat(starts[a:b] + first - before[a:b] - heads, sizes)
+        here = low[letters]
+        prev, after = low[letters - 1], low[np.minimum(letters + 1, len(low) - 1)]
+        prev[heads[before[a:b] >= i]] = 32
+        whole = before[a + 1:b + 1] <= j
+        after[(heads + sizes - 1)[whole]] = 32
+        h = here * np.uint32(0x9E3779B1) + prev * np.uint32(0x85EBCA6B) + after * np.uint32(0xC2B2AE35)
+        yield a, b, heads, (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(16)
+        i = j
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,9 +120,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts = batch.column("text").filter(pa.array(langs == lang))
             counts = found.setdefault(lang, np.zeros(BUCKETS + len(SCRIPT_NAMES), np.int64))
             for codes, rows in code_slices(texts):
-                starts, _, _, buckets = _trigrams(codes, rows)
-                counts[:BUCKETS] += np.bincount(buckets, minlength=BUCKETS)
-                letters = codes[letter_table()[codes] > 0]
+                low, starts, ends = _words(codes, rows)
+                for *_, buckets in _trigrams(low, starts, ends):
+                    counts[:BUCKETS] += np.bincount(buckets, minlength=BUCKETS)
+                letters = codes[low > 0]
                 counts[BUCKETS:] += np.bincount(scripts_of(letters), minlength=len(SCRIPT_NAMES))
     for lang, counts in found.items():
         at = np.flatnonzero(counts)
@@ -138,9 +160,63 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     return LanguageModel(languages, log_p, scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(axis=0), 1))
 
 
-def _viterbi(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray:
-    """Best label of each word; ``first``: first word per row + total.  All
-    rows advance together, longest first, so each step is one array operation."""
+def _viterbi(scores: np.ndarray, first: np.ndarray, penalty: float, long_words: int = LONG_WORDS) -> np.ndarray:
+    """Best label of each word; ``first``: first word per row + total."""
+    long = np.flatnonzero(np.diff(first) > long_words)
+    if not len(long):
+        return _together(scores, first, penalty)
+    labels, done = np.zeros(len(scores), np.int64), 0
+    for row in [*long, len(first) - 1]:
+        a = first[row]
+        if done < row:
+            labels[first[done]:a] = _together(scores[first[done]:a], first[done:row + 1] - first[done], penalty)
+        if row < len(first) - 1:
+            labels[a:first[row + 1]] = _in_segments(scores[a:first[row + 1]], penalty)
+        done = row + 1
+    return labels
+
+
+def _in_segments(scores: np.ndarray, penalty: float, words: int = SEGMENT_WORDS) -> np.ndarray:
+    """Best label of each word of one long row."""
+    n_words, n_lang = scores.shape
+    n = -(-n_words // words)
+    x = np.zeros((n * words, n_lang), scores.dtype)     # words without scores change no label
+    x[:n_words] = scores
+    x = x.reshape(n, words, n_lang)
+    # from each label before a segment to each label at its end
+    table = np.where(np.eye(n_lang, dtype=bool), 0.0, -np.inf) + np.zeros((n, 1, 1))
+    for t in range(words):
+        table = np.maximum(table, table.max(axis=2, keepdims=True) - penalty) + x[:, None, t]
+    best = np.zeros((n + 1, n_lang))
+    for k in range(n):
+        end = (best[k][:, None] + table[k]).max(axis=0)
+        best[k + 1] = end - end.max()
+    last, best = int(best[n].argmax()), best[:n].copy()
+    own, each = np.arange(n_lang), np.arange(n)
+    came = np.zeros((words, n, n_lang), np.int8 if n_lang < 128 else np.int32)
+    for t in range(words):
+        top = best.argmax(axis=1)
+        leave = best[each, top] - penalty
+        stay = best >= leave[:, None]
+        came[t] = np.where(stay, own, top[:, None])
+        best = np.where(stay, best, leave[:, None])
+        best += x[:, t] - best.max(axis=1, keepdims=True)
+    # back from every label at a segment's end; then along the ends that are taken
+    state = np.broadcast_to(own, (n, n_lang)).astype(came.dtype)
+    found = np.empty_like(came)
+    for t in range(words - 1, -1, -1):
+        found[t] = state
+        state = np.take_along_axis(came[t], state.astype(np.int64), axis=1)
+    taken = np.zeros(n, np.int64)
+    for k in range(n - 1, -1, -1):
+        taken[k] = last
+        last = int(state[k, last])
+    return found[:, each, taken].T.reshape(-1)[:n_words].astype(np.int64)
+
+
+def _together(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray:
+    """Best label of each word of some rows, which advance together, longest
+    first, so each step is one array operation."""
     sizes = np.diff(first)
     order = np.argsort(-sizes, kind="stable")
     begin, sizes = first[:-1][order], sizes[order]
@@ -170,13 +246,17 @@ def _viterbi(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarra
 
 def _label(model: LanguageModel, penalty: float, codes: np.ndarray, rows: np.ndarray):
     """Per row: language, score, confidence, and its spans (start, end, language)."""
-    starts, ends, before, buckets = _trigrams(codes, rows)
+    low, starts, ends = _words(codes, rows)
     n_rows, n_lang = len(rows) - 1, len(model.languages)
     if not len(starts) or not n_lang:
         none = np.zeros(0, np.int64)
         return ([UNDETERMINED] * n_rows, np.zeros(n_rows), np.zeros(n_rows), np.zeros(n_rows + 1, np.int64),
                 none, none, none)
-    scores = np.add.reduceat(model.log_p[buckets], before[:-1], axis=0)
+    scores = np.zeros((len(starts), n_lang), np.float32)
+    for a, b, heads, buckets in _trigrams(low, starts, ends):
+        scores[a:b] += np.add.reduceat(model.log_p[buckets], heads, axis=0)
+    before = np.concatenate([[0], np.cumsum(ends - starts)])
+    del low
     allowed = model.uses[scripts_of(codes[starts])]
     allowed[~allowed.any(axis=1)] = True
     scores[~allowed] -= 1e4
@@ -188,7 +268,7 @@ def _label(model: LanguageModel, penalty: float, codes: np.ndarray, rows: np.nda
     head = np.flatnonzero(opens)
     tail = np.append(head[1:], len(starts)) - 1
     letters = before[tail + 1] - before[head]
-    total = np.add.reduceat(scores.astype(np.float64), head, axis=0)
+    total = np.add.reduceat(scores, head, axis=0, dtype=np.float64)
     sure = 1 / np.exp(total - total[np.arange(len(head)), labels[head]][:, None]).clip(max=1e300).sum(axis=1)
     owned, weighed = np.zeros((n_rows, n_lang)), np.zeros((n_rows, n_lang))
     np.add.at(owned, (row[head], labels[head]), letters)
