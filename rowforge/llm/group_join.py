@@ -46,9 +46,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowforge.llm.bloom import among
-from rowforge.llm.near_dedup import _linked, _overlaps, connected
+from rowforge.llm.near_dedup import _linked, _overlaps, _Store, connected
 from rowforge.llm.shingles import mix, shingle_sets
-from rowforge.session import names_in, remove_path, scratch_path
 
 GROUP_ROWS = 256
 #: f(r): all of r up to the first number, and one of every so many beyond it.
@@ -88,23 +87,6 @@ def sign(n: int, threshold_pct: int):
     return F.arrow_udf(signed, SIGNED)
 
 
-class _Store:
-    """Intermediate tables below the shared folder, removed together."""
-
-    def __init__(self, spark):
-        self.spark, self.root = spark, scratch_path(spark, "group_join")
-
-    def __call__(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def remove_all_but(self, kept: str) -> None:
-        for name in names_in(self.spark, self.root):
-            if name != kept:
-                remove_path(self.spark, f"{self.root}/{name}")
-
-
 def _rows_of(table: pa.Table) -> tuple:
     """(positions of the low group, of the high group, the columns as arrays)."""
     group = table.column("group").to_numpy()

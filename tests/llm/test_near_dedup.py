@@ -94,3 +94,26 @@ def test_reused_repeated_and_null_ids(spark):
     judged = {(r["doc_id"], r["component_id"], r["kept"]) for r in near_duplicates(docs, 5, 80).collect()}
     assert {(1, 1, True), (7, 1, False), (7, 7, True), (5, 5, True), (9, 5, False)} <= judged
     assert (9, 9, True) not in judged and (5, 9, False) not in judged
+
+
+def test_chance_of_a_missed_link_is_an_argument(spark):
+    """A smaller chance asks for fewer matches; the links stay those of all pairs."""
+    assert matches_needed(0.8, miss=1e-12) < matches_needed(0.8) < matches_needed(0.8, miss=1e-3)
+    assert matches_needed(0.8, miss=0.0) == 1
+    texts = dict(list(made(5).items())[:60])
+    docs = spark.createDataFrame([(i, t, "x", "y", 1) for i, t in texts.items()], SCHEMA)
+    parent, _ = components(texts, 5, 80)
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, 5, 80, miss=0.0, short_list=2).collect()}
+    assert got == parent
+
+
+def test_inner_tables_are_removed(spark, monkeypatch):
+    from rowforge.llm import near_dedup
+    from rowforge.session import names_in
+    roots = []
+    real = near_dedup.scratch_path
+    monkeypatch.setattr(near_dedup, "scratch_path", lambda *a: roots.append(real(*a)) or roots[-1])
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e g"), (3, "a b c d e f")], "doc_id long, text string")
+    assert near_duplicates(docs, 3, 85).count() == 3
+    assert set(names_in(spark, roots[0])) == {"signed", "grouped"}
+    assert all(len([n for n in names_in(spark, r) if n.startswith("labels")]) <= 1 for r in roots[1:])
