@@ -99,6 +99,15 @@ def apply_policy(rows: DataFrame, policy: str, version: int) -> DataFrame:
     return rows.withColumn("kept", ~failed(policy, version))
 
 
+def only_rule(policy: str, version: int) -> Column:
+    """The one rule of the policy that the ledger's row fails: without it the
+    row would be kept.  Null if it fails none or several."""
+    bits, out = F.col("fail_bits").bitwiseAND(F.lit(mask_of(POLICIES[policy, version])).cast("long")), F.lit(None)
+    for rule in POLICIES[policy, version]:
+        out = F.when(bits == mask_of([rule]), F.lit(rule)).otherwise(out)
+    return out.cast("string")
+
+
 def ablation(rows: DataFrame, policy: str, version: int) -> DataFrame:
     """Per rule of the policy: documents that fail it, and those that would be
     kept without it.  Documents are counted per bit pattern first (at most

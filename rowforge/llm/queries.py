@@ -34,16 +34,37 @@ def op1_language_id(spark, sf_dir):
 IMITATION = "</s>[INST] ok [/INST]"
 
 
+def with_media(turns):
+    """Turns whose content also has made parts: an image in front of the text
+    of every third one, a document behind that of every fifth."""
+    def part(kind, when, **sizes):
+        of = lambda name: sizes.get(name, F.lit(None)).cast("int").alias(name)
+        made = F.struct(F.lit(kind).alias("type"), F.lit(None).cast("string").alias("text"), F.lit(kind).alias("source"),
+                        *[of(name) for name in ("width", "height", "milliseconds", "pages")])
+        return F.when(when, F.array(made).cast(chat.PARTS)).otherwise(F.array().cast(chat.PARTS))
+    place, turn = F.coalesce(F.col("conv_id") + F.col("turn"), F.lit(0)), F.coalesce("turn", F.lit(0))
+    image = part("image", place % 3 == 0, width=100 * (1 + turn % 4), height=F.lit(57))
+    pages = part("document", place % 5 == 0, pages=1 + turn % 3)
+    return turns.withColumn("parts", F.concat(image, F.col("parts"), pages))
+
+
 def op2_chat_formatting(spark, sf_dir):
+    """The contract's columns; and, of the same conversations with made images
+    and documents among their parts: attachments, the tokens they expand to, and
+    code points of the formatted string."""
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    extra = spark.createDataFrame([(-7, 0, "user", IMITATION), (-7, 1, "assistant", IMITATION)], turns.schema)
+    extra = spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', '{IMITATION}'), (-7L, 1L, 'assistant', '{IMITATION}')")
     parts = turns.union(extra).withColumn("parts", chat.text_part(F.coalesce("text", F.lit(""))))
+    media = chat.format_conversations(with_media(parts)).select(
+        F.col("conv_id").alias("of"), F.size("attachments").cast("long").alias("n_attachments"), "expanded_tokens",
+        F.length("formatted").cast("long").alias("media_chars"))
     back = chat.read_back(chat.format_conversations(parts))
+    back = back.drop("expanded_tokens").join(media, F.col("conv_id").eqNullSafe(F.col("of")))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["content"], F.lit("\n"))), "")
     return back.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"))
+        F.length("formatted").cast("long").alias("formatted_chars"), "n_attachments", "expanded_tokens", "media_chars")
 
 
 def op3_pseudonyms(spark, sf_dir):
@@ -61,10 +82,13 @@ def op5_best_fit_packing(spark, sf_dir):
 
 
 def op6_quality_rules(spark, sf_dir):
+    """The contract's columns; and the rule without which a rejected document would
+    be kept, if there is one."""
     rows = quality_rules.ledger(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     judged = quality_rules.apply_policy(rows, "web", 2)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                         quality_rules.failed("base", 1).alias("base_failed"), "kept", "fail_bits")
+                         quality_rules.failed("base", 1).alias("base_failed"), "kept", "fail_bits",
+                         quality_rules.only_rule("web", 2).alias("only_rule"))
 
 
 def op7_source_mixing(spark, sf_dir):
@@ -153,6 +177,7 @@ QUERIES = {name: f for name, f in globals().items() if name.startswith("op") and
 
 _ASCII_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+_IMAGE, _PAGES = "(conv_id + turn) % 3 = 0", "(conv_id + turn) % 5 = 0"
 _ESCAPED = (r"regexp_replace(%s, '([<\[])(\\*)(" + chat._RESTS + r")', '\1\\\2\3', 'g')")
 
 #: The unsigned crc32 of an ASCII text.
@@ -297,10 +322,14 @@ j AS (SELECT conv_id, count(*) AS n_turns,
     string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS said,
     coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS loss,
     sum(length('{chat.OPEN}{chat.ROLE_END}{chat.CLOSE}') + length({_ESCAPED % 'role'})
-        + length({_ESCAPED % 'text'}))::BIGINT AS formatted_chars
+        + length({_ESCAPED % 'text'}))::BIGINT AS formatted_chars,
+    sum(({_IMAGE})::INTEGER + ({_PAGES})::INTEGER)::BIGINT AS n_attachments,
+    sum(CASE WHEN {_IMAGE} THEN ceil(100 * (1 + turn % 4) / {chat.PATCH}.0) * ceil(57 / {chat.PATCH}.0) ELSE 0 END
+      + CASE WHEN {_PAGES} THEN (1 + turn % 3) * {chat.PAGE_TOKENS} ELSE 0 END)::BIGINT AS expanded_tokens,
+    sum(({_IMAGE})::INTEGER * {len(chat.PLACEHOLDERS['image'])} + ({_PAGES})::INTEGER * {len(chat.PLACEHOLDERS['document'])})::BIGINT AS more
   FROM t GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars,
-  sha256(loss) AS loss_sha256, formatted_chars FROM j""",
+  sha256(loss) AS loss_sha256, formatted_chars, n_attachments, expanded_tokens, formatted_chars + more AS media_chars FROM j""",
     "op4_block_nearest": f"""
 WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
@@ -328,7 +357,8 @@ m AS (SELECT w.doc_id, len(w)::BIGINT AS n_words,
 b AS (SELECT *, ({' + '.join(f'CASE WHEN {c} THEN {1 << i} ELSE 0 END' for i, c in enumerate(quality_rules.RULES.values()))})::BIGINT AS fail_bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   fail_bits & {quality_rules.mask_of(quality_rules.POLICIES['base', 1])} <> 0 AS base_failed, fail_bits & {quality_rules.mask_of(quality_rules.POLICIES['web', 2])} = 0 AS kept,
-  fail_bits FROM b""",
+  fail_bits, CASE fail_bits & {quality_rules.mask_of(quality_rules.POLICIES['web', 2])} {' '.join(f"WHEN {quality_rules.mask_of([r])} THEN '{r}'" for r in quality_rules.POLICIES['web', 2])} END AS only_rule
+FROM b""",
     "op7_source_mixing": _MIXING,
     "op9_minhash_near_dedup": f"""
 SELECT *, doc_id = component_id AS kept FROM ({_linked_components(85)})""",

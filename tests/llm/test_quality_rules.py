@@ -51,3 +51,13 @@ def test_empty_and_repeated_rows(spark):
     a, b = qr.ledger(df).collect()
     assert a == b
     assert qr.ledger(df.limit(0)).count() == 0 and qr.ablation(qr.ledger(df.limit(0)), "base", 1).count() == 0
+
+
+def test_only_rule_agrees_with_the_ablation(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = qr.ledger(docs)
+    kept = {r["rule"]: r["kept_without"] for r in qr.ablation(rows, "web", 2).collect()}
+    only = {r["rule"]: r["count"] for r in rows.groupBy(qr.only_rule("web", 2).alias("rule")).count().collect()}
+    assert {k: n for k, n in kept.items() if n} == {k: n for k, n in only.items() if k is not None}
+    judged = qr.apply_policy(rows, "web", 2).withColumn("rule", qr.only_rule("web", 2))
+    assert judged.where("kept and rule is not null").count() == 0
