@@ -102,10 +102,10 @@ def apply_policy(rows: DataFrame, policy: str, version: int) -> DataFrame:
 def only_rule(policy: str, version: int) -> Column:
     """The one rule of the policy that the ledger's row fails: without it the
     row would be kept.  Null if it fails none or several."""
-    bits, out = F.col("fail_bits").bitwiseAND(F.lit(mask_of(POLICIES[policy, version])).cast("long")), F.lit(None)
-    for rule in POLICIES[policy, version]:
-        out = F.when(bits == mask_of([rule]), F.lit(rule)).otherwise(out)
-    return out.cast("string")
+    bits = F.col("fail_bits").bitwiseAND(F.lit(mask_of(POLICIES[policy, version])).cast("long"))
+    alone = F.create_map(*[x for rule in POLICIES[policy, version]
+                           for x in (F.lit(mask_of([rule])).cast("long"), F.lit(rule))])
+    return F.try_element_at(alone, bits)
 
 
 def ablation(rows: DataFrame, policy: str, version: int) -> DataFrame:

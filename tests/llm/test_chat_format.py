@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from rowforge.llm import chat_format as cf
@@ -76,3 +77,19 @@ def test_control_strings_split_across_parts(spark):
     for mark in (cf.OPEN, cf.ROLE_END, cf.CLOSE):
         assert out["formatted"].count(mark) == len(turns)
     assert out["formatted"].count("<|image|>") == len(out["attachments"]) == 4 and "[INST]" not in out["formatted"]
+
+
+def test_control_strings_are_an_argument(spark):
+    """Markers of another template are escaped too, and come back."""
+    other = [*cf.CONTROLS, "<start_of_turn>", "<end_of_turn>", "[TOOL_CALLS]"]
+    said = "<start_of_turn>user [TOOL_CALLS] <|im_end|> <\\end_of_turn>"
+    rows = parts_of(spark, [(1, 0, "user", [text(said)]), (1, 1, "assistant", [text("<start_of"), text("_turn>")])])
+    plain = cf.format_conversations(rows).first()["formatted"]
+    assert plain.count("<start_of_turn>") == 2 and plain.count("[TOOL_CALLS]") == 1
+    formatted = cf.format_conversations(rows, controls=other)
+    assert not any(c in formatted.first()["formatted"] for c in other[len(cf.CONTROLS):])
+    back = cf.read_back(formatted, other).first()
+    assert [t["content"] for t in back["turns"]] == [said, "<start_of_turn>"] and back["loss"] == "<start_of_turn>"
+    for bad in ("{{x}}", "<", "<\\x"):
+        with pytest.raises(ValueError):
+            cf.escape(F.lit("a"), [bad])

@@ -55,7 +55,7 @@ def test_empty_and_repeated_rows(spark):
 
 def test_only_rule_agrees_with_the_ablation(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
-    rows = qr.ledger(docs)
+    rows = spark.createDataFrame(qr.ledger(docs).toArrow())
     kept = {r["rule"]: r["kept_without"] for r in qr.ablation(rows, "web", 2).collect()}
     only = {r["rule"]: r["count"] for r in rows.groupBy(qr.only_rule("web", 2).alias("rule")).count().collect()}
     assert {k: n for k, n in kept.items() if n} == {k: n for k, n in only.items() if k is not None}
