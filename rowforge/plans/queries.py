@@ -26,7 +26,7 @@ from rowforge.operators.numbering import number_within
 from rowforge.operators.partitioning import balance_summary
 from rowforge.operators.relational import (
     antijoin_left_anti, antijoin_not_in, antijoin_outer_null, dedup_counts, dedup_exact,
-    enrich_inner_join, harmonise_key, rows_not_in, union_all,
+    enrich_inner_join, rows_not_in, union_all,
 )
 from rowforge.operators.salted import salted_join
 from rowforge.operators.splitting import rewrite_splits, split_by_width, write_split_by
@@ -516,13 +516,10 @@ def q_rows_not_in(spark, sf):
 
 
 def q_enrich_inner_join(spark, sf):
-    """Orders enriched with customer (text key, as from a CSV lookup) and
-    nation (small, broadcast after a size check)."""
+    """Orders enriched with customer and nation (small, broadcast after a size
+    check).  (Text keys of a lookup file: ``insurance_enriched``.)"""
     o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
-    c = (_t(spark, sf, "customer")
-         .select(F.col("c_custkey").cast("string").alias("Id"), "c_nationkey",
-                 "c_mktsegment", "c_acctbal"))
-    c = harmonise_key(c, "Id", "bigint", "c_custkey").drop("Id")
+    c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
     n = _t(spark, sf, "nation").select("n_nationkey", "n_name")
     j = enrich_inner_join(o, [(c, o["o_custkey"] == c["c_custkey"], False),
                               (n, F.col("c_nationkey") == n["n_nationkey"], True)])

@@ -179,3 +179,14 @@ def test_registered_single_file_sink_writes_one_file(spark):
     df = q_sink_parquet_single(spark, SF_SMALL)
     files = {f for f in df.inputFiles()}
     assert len(files) == 1 and df.count() > 0
+
+
+def test_databases_are_listed(spark, scratch):
+    from rowforge.sources.tables import create_database
+    create_database(spark, "listed_here", scratch("db"))
+    try:
+        names = {d.name for d in spark.catalog.listDatabases()}
+        assert {"default", "listed_here"} <= names and spark.catalog.databaseExists("listed_here")
+    finally:
+        spark.sql("DROP DATABASE listed_here CASCADE")
+    assert not spark.catalog.databaseExists("listed_here")
