@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rowforge.llm import language_id, packing, pseudonyms, source_mixing
 from rowforge.llm.near_dedup import one_of_each
+from rowforge.operators.partitioning import maybe_broadcast
 from rowforge.session import read_table, scratch_path
 
 #: A document goes if the languages of its spans, however many, are less sure than this.
@@ -50,7 +51,8 @@ def in_read_order(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` with ``place``, the number of each row in the order of the
     table: by file number and row for a table that is read as it is, else by
     partition and row.  Rows are counted per file, and only these counts are
-    added up in one task."""
+    added up in one task.  Their table, a row per file, is broadcast behind a
+    check of its size; otherwise the planner chooses the join."""
     part, row = F.spark_partition_id(), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
     if docs._jdf.queryExecution().analyzed().children().isEmpty():
         try:
@@ -64,7 +66,7 @@ def in_read_order(spark: SparkSession, docs: DataFrame) -> DataFrame:
     order = [file_number(F.col("__part")), "__part"] if is_file else ["__part"]
     counts = docs.groupBy("__part").agg(F.count("*").alias("n"))
     before = counts.select("__part", (F.sum("n").over(Window.orderBy(*order)) - F.col("n")).alias("__before"))
-    return (docs.join(before, "__part").withColumn("place", F.col("__before") + F.col("__row"))
+    return (docs.join(maybe_broadcast(before), "__part").withColumn("place", F.col("__before") + F.col("__row"))
             .drop("__part", "__row", "__before"))
 
 
