@@ -1,8 +1,8 @@
 """Document quality from random-indexing word vectors.
 
 Method: every word of the vocabulary has a sparse random index vector; a
-word's own vector is the sum of the index vectors of its neighbours in the
-training texts (two to either side), centred and scaled to length one.  The
+word's own vector is the sum of the index vectors of its neighbours in all texts
+(two to either side), centred and scaled to length one.  The
 vectors of a document's words are averaged, and a network of two layers gives
 the probability of label 1, divided in the logit by a temperature that is
 fitted on rows the network has not seen.
@@ -12,14 +12,15 @@ runs of digits are one word, as are all words in capitals (two letters or more)
 and all that repeat the word before; a word outside the vocabulary falls into
 one of ``SPARE`` classes by its hash.
 
-Training reads texts and labels of a bounded sample of about ``TRAIN_ROWS``
-labelled rows, chosen by a hash of the id.  Vocabulary, word vectors and
-document vectors are made by Spark; the driver gets the vocabulary, the summed
-word vectors and one vector per training row.
+Vocabulary (the ``VOCABULARY`` most frequent words) and word vectors are counted
+over all texts; no label is read for them.  The network and its temperature are
+fitted on a bounded sample of about ``TRAIN_ROWS`` labelled ids, chosen by a hash.
+The driver gets the vocabulary, its summed vectors and one vector per training row.
 
 Edge cases: a null or empty text is the zero vector and gets the network's
-score for that; without a labelled row every score is 0.5; equal ids in the
-labels count once per row.  Existing columns called score are replaced.
+score for that; without a labelled row every score is 0.5; an id with several
+labels counts once, with the more frequent one (ties: 1), and an id with several
+texts with the smallest.  Existing columns called score are replaced.
 """
 
 from __future__ import annotations
@@ -43,6 +44,10 @@ DIMS = 64
 REACH = 2                # neighbours to either side
 HIDDEN = 32
 SLICE_BYTES = 1 << 20
+STRETCH = 50_000
+HELD_WORDS = 1 << 20
+
+COMPONENTS = [f"d{i}" for i in range(DIMS)]
 
 NUMBER, CAPITALS, AGAIN = (np.uint64(x) for x in (1, 2, 3))
 
@@ -104,36 +109,57 @@ def _numbered(words: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
 def _index_vectors(n: int) -> np.ndarray:
     """Sparse random vectors: each component is -1 or 1 with 1/16 chance each."""
     draw = np.random.default_rng(20240229).integers(0, 16, (n, DIMS), dtype=np.int8)
-    return (draw == 0).astype(np.float32) - (draw == 1)
+    return (draw == 0).astype(np.int8) - (draw == 1).astype(np.int8)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of one task's rows with counts; a word comes again after ``HELD_WORDS`` others."""
+    held, n_held = [], 0
+
+    def added() -> pa.RecordBatch:
+        keys, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+        n = np.bincount(at, np.concatenate([c for _, c in held]), len(keys)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["word", "n"])
+
+    for batch in batches:
+        for words, _ in _tokens(batch.column("text")):
+            held.append(np.unique(words, return_counts=True))
+            n_held += len(held[-1][0])
+            if n_held > HELD_WORDS:
+                yield added()
+                held, n_held = [], 0
+    if held:
+        yield added()
+
+
+def _neighbour_sums(ids: np.ndarray, first: np.ndarray, index: np.ndarray, total: np.ndarray) -> None:
+    """Adds the index vectors of each word's neighbours in its own row to the word's total."""
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    for a in range(0, len(ids), STRETCH):
+        b = min(a + STRETCH, len(ids))
+        lo, hi = max(0, a - REACH), min(len(ids), b + REACH)
+        own, vectors = row[lo:hi], index[ids[lo:hi]]
+        near = np.zeros_like(vectors)
+        for step in range(1, REACH + 1):
+            same = (own[step:] == own[:-step])[:, None]
+            near[:-step] += vectors[step:] * same
+            near[step:] += vectors[:-step] * same
+        order = np.argsort(ids[a:b], kind="stable")
+        word = ids[a:b][order]
+        heads = np.flatnonzero(np.diff(word, prepend=-1))
+        total[word[heads]] += np.add.reduceat(near[a - lo:b - lo][order], heads, axis=0, dtype=np.int64)
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The summed neighbour vectors of one task's rows, in blocks of words."""
+    """The summed neighbour vectors of one task's rows, a row per word and a column per component."""
     index = _index_vectors(len(vocabulary) + SPARE)
-    total = np.zeros_like(index)
+    total = np.zeros(index.shape, np.int64)
     for batch in batches:
         for words, first in _tokens(batch.column("text")):
-            ids = _numbered(words, vocabulary)
-            row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-            for step in range(1, REACH + 1):
-                for a in range(0, len(ids) - step, 50_000):
-                    b = min(a + 50_000, len(ids) - step)
-                    same = row[a:b] == row[a + step:b + step]
-                    left, right = ids[a:b][same], ids[a + step:b + step][same]
-                    for word, other in ((left, right), (right, left)):
-                        if len(word):
-                            order = np.argsort(word, kind="stable")
-                            heads = np.flatnonzero(np.diff(word[order], prepend=-1))
-                            total[word[order][heads]] += np.add.reduceat(index[other[order]], heads, axis=0)
-    blocks = range(0, len(total), 1024)
-    yield pa.RecordBatch.from_arrays([pa.array([a for a in blocks], pa.int32()),
-                                      pa.array([total[a:a + 1024].astype(np.float64).tobytes() for a in blocks],
-                                               pa.binary())], ["block", "sums"])
-
-
-def _added(rows: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x.as_py()) for x in rows.column("sums"))
-    return pa.table({"block": rows.column("block").slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
+            _neighbour_sums(_numbered(words, vocabulary), first, index, total)
+    found = np.flatnonzero(total.any(axis=1))
+    yield pa.RecordBatch.from_arrays([pa.array(found), *[pa.array(c) for c in total[found].T.copy()]],
+                                     ["word", *COMPONENTS])
 
 
 def pooled(texts: pa.Array, vocabulary: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -209,36 +235,23 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     """Fit on documents that have a 0 or 1 label (see the module's bound)."""
     spark = docs.sparkSession
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where(
-        "id is not null and y in (0, 1)")
+        "id is not null and y in (0, 1)").groupBy("id").agg(F.round(F.avg("y")).cast("int").alias("y"))
     share = min(1.0, rows / max(1, marked.count()))
     drawn = F.pmod(F.xxhash64(F.lit("quality sample"), "id"), F.lit(1 << 20)) / float(1 << 20)
     sample = marked.where(drawn < share)  # about ``rows`` rows at any size
     path = scratch_path(spark, "quality", "sample")
-    (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-     .join(F.broadcast(sample), "id").select("id", "y", "text").write.parquet(path))
-    sample = spark.read.schema("id long, y int, text string").parquet(path)
-
-    def counted(batches):
-        seen: dict[int, int] = {}
-        for batch in batches:
-            for words, _ in _tokens(batch.column("text")):
-                for w, n in zip(*np.unique(words, return_counts=True)):
-                    seen[int(w)] = seen.get(int(w), 0) + int(n)
-        keys = np.array(list(seen), np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(list(seen.values()), pa.int64())],
-                                         ["word", "n"])
-
-    text = sample.select("text")
-    top = (text.mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    texts.join(F.broadcast(sample), "id").groupBy("id", "y").agg(F.min("text").alias("text")).write.parquet(path)
+    sample, text = spark.read.schema("id long, y int, text string").parquet(path), texts.select("text")
+
+    top = (text.mapInArrow(_counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
            .where("n > 2").orderBy(F.desc("n"), "word").limit(VOCABULARY))
     vocabulary = np.sort(np.array([r["word"] for r in top.collect()], np.int64).view(np.uint64))
     held = spark.sparkContext.broadcast(vocabulary)
-    sums = (text.mapInArrow(lambda b: _contexts(b, held.value), "block int, sums binary")
-            .groupBy("block").applyInArrow(_added, "block int, sums binary").collect())
+    sums = (text.mapInArrow(lambda b: _contexts(b, held.value), ", ".join(f"{c} long" for c in ["word", *COMPONENTS]))
+            .groupBy("word").agg(*[F.sum(c).alias(c) for c in COMPONENTS]).toArrow())
     vectors = np.zeros((len(vocabulary) + SPARE, DIMS))
-    for r in sums:
-        part = np.frombuffer(r["sums"]).reshape(-1, DIMS)
-        vectors[r["block"]:r["block"] + len(part)] = part
+    vectors[sums.column("word").to_numpy()] = np.stack([sums.column(c).to_numpy() for c in COMPONENTS], axis=1)
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     vectors -= vectors.mean(axis=0)
     vectors = (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)).astype(np.float32)

@@ -60,3 +60,52 @@ def test_pooled_vectors_against_plain_means():
         ids = qc._numbered(np.array(ws, np.uint64), vocabulary)
         want.append(vectors[ids].mean(axis=0) if len(ids) else np.zeros(4))
     assert np.allclose(qc.pooled(pa.array(texts), vocabulary, vectors), want, atol=1e-5)
+
+
+def test_neighbour_sums_against_plain_python(monkeypatch):
+    monkeypatch.setattr(qc, "STRETCH", 7)     # words at the borders of stretches
+    rng = np.random.default_rng(5)
+    sizes = [0, 1, 2, 40, 0, 5, 1]
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    ids, index = rng.integers(0, 6, first[-1]), qc._index_vectors(6)
+    got, want = np.zeros(index.shape, np.int64), np.zeros(index.shape, np.int64)
+    qc._neighbour_sums(ids, first, index, got)
+    for a, b in zip(first[:-1], first[1:]):
+        for i in range(a, b):
+            for j in range(max(a, i - qc.REACH), min(b, i + qc.REACH + 1)):
+                if i != j:
+                    want[ids[i]] += index[ids[j]]
+    assert (got == want).all()
+
+
+def test_word_counts_cover_all_texts(monkeypatch):
+    import pyarrow as pa
+    from collections import Counter
+    monkeypatch.setattr(qc, "HELD_WORDS", 3)
+    texts = ["a b a", None, "c d e f", "a", "", "f f g"]
+    words = Counter(int(w) for ws, _ in qc._tokens(pa.array(texts)) for w in ws.view(np.int64))
+    got = Counter()
+    for t in texts:
+        for batch in qc._counted(iter([pa.RecordBatch.from_arrays([pa.array([t], pa.string())], ["text"])])):
+            for r in batch.to_pylist():
+                got[r["word"]] += r["n"]
+    assert got == words
+
+
+def test_vocabulary_reaches_beyond_the_labelled_rows(spark):
+    rows = [(i, "plain words here" if i < 4 else "unlabelled corpus text") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 1), (2, 1), (3, 0)], "doc_id long, quality int")
+    m = qc.train(docs, labels)
+    found = set(m.vocabulary.tolist())
+    import pyarrow as pa
+    for word in ("plain", "unlabelled", "corpus"):
+        (ws, _), = qc._tokens(pa.array([word]))
+        assert int(ws[0]) in found
+    assert np.allclose(np.linalg.norm(m.vectors[:len(found)], axis=1), 1, atol=1e-4)
+
+
+def test_one_id_with_many_rows_is_one_training_row(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)] * 40 + [(1, 0)] * 3 + [(2, 0)], "doc_id long, quality int")
+    assert qc.score(docs, qc.train(docs, labels)).count() == 51
