@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rowforge.llm import language_id, packing, pseudonyms, source_mixing
 from rowforge.llm.near_dedup import one_of_each
 from rowforge.operators.partitioning import maybe_broadcast
-from rowforge.session import read_table, scratch_path
+from rowforge.session import read_table, remove_path, scratch_path
 
 #: A document goes if the languages of its spans, however many, are less sure than this.
 MIN_CONFIDENCE = 0.4
@@ -88,9 +88,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """The last stage's rows.  What a stage has written goes once the next one is written."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, "pipeline", name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove_path(spark, before)
+        before = path
     return docs
