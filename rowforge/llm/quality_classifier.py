@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from rowforge.llm.characters import code_slices, letter_table
 from rowforge.llm.shingles import _weights, mix
-from rowforge.session import scratch_path
+from rowforge.session import remove_path, scratch_path
 
 TRAIN_ROWS = 6000
 VOCABULARY = 20000
@@ -258,6 +258,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     table = spark.sparkContext.broadcast((vocabulary, vectors))
     pool = F.arrow_udf(lambda texts: pa.array([v.tobytes() for v in pooled(texts, *table.value)], pa.binary()), "binary")
     seen = sample.select("id", "y", pool("text").alias("x")).orderBy("id", "y").collect()
+    remove_path(spark, path)
     if not seen:
         zero = np.zeros(DIMS)
         return QualityModel(vocabulary, vectors, (zero, zero, np.zeros((DIMS, HIDDEN)), np.zeros(HIDDEN),
