@@ -304,8 +304,9 @@ def identify(docs: DataFrame, model: LanguageModel, *, text_col: str = "text",
             [("lang_pred", pa.string()), ("score", pa.float64()), ("confidence", pa.float64()),
              ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])))]))
 
+    # marked so that no filter on its columns is pushed below it, which would run it twice
     label = F.arrow_udf(labelled, "lang_pred string, score double, confidence double, "
-                                  "spans array<struct<start: int, end: int, lang: string>>")
+                                  "spans array<struct<start: int, end: int, lang: string>>").asNondeterministic()
     keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score", "confidence", "spans")]
     marked = docs.select(*keep, label(F.col(text_col).cast("string")).alias("__lid"))
     return marked.select(*keep, "__lid.lang_pred", "__lid.score", "__lid.confidence", "__lid.spans")
